@@ -10,7 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import windows as win
-from ..sources.tables import read_requests
+from ..functions.timecols import to_wall_time
+from ..operators import parse as prs
+from ..sources import render
+from ..sources.tables import read_requests, read_table
 
 # The reference's window sizes (10-minute slots, one-hour series, one-minute slide).
 SLOT, SLOTS, SLIDE = "10 minutes", 6, "1 minute"
@@ -45,6 +48,36 @@ def q_hourly_totals(spark: SparkSession, sf: str) -> DataFrame:
     return win.hourly_totals(read_requests(spark, sf))
 
 
+def q_parse_requests(spark: SparkSession, sf: str) -> DataFrame:
+    good, _ = prs.parse_requests(render.request_lines(read_table(spark, sf, "events")))
+    return good.withColumn("ts", to_wall_time("ts"))
+
+
+def q_parse_requests_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    _, bad = prs.parse_requests(render.request_lines(read_table(spark, sf, "events")))
+    return bad
+
+
+def q_parse_hourly_logs(spark: SparkSession, sf: str) -> DataFrame:
+    good, _ = prs.parse_hourly_logs(render.hourly_log_lines(read_table(spark, sf, "events")))
+    return good
+
+
+def q_parse_hourly_logs_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    _, bad = prs.parse_hourly_logs(render.hourly_log_lines(read_table(spark, sf, "events")))
+    return bad
+
+
+def q_parse_window_counts(spark: SparkSession, sf: str) -> DataFrame:
+    routed = q_phase_routed_counts(spark, sf)
+    good, _ = prs.parse_window_counts(routed.select("value"))
+    return good
+
+
+def q_catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    return prs.catalogue_from_lines(render.catalogue_lines(read_table(spark, sf, "part")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trending_hour": q_trending_hour,
     "trending_day": q_trending_day,
@@ -52,4 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sliding_counts": q_sliding_counts,
     "phase_routed_counts": q_phase_routed_counts,
     "hourly_totals": q_hourly_totals,
+    "parse_requests": q_parse_requests,
+    "parse_requests_rejects": q_parse_requests_rejects,
+    "parse_hourly_logs": q_parse_hourly_logs,
+    "parse_hourly_logs_rejects": q_parse_hourly_logs_rejects,
+    "parse_window_counts": q_parse_window_counts,
+    "catalogue": q_catalogue,
 }

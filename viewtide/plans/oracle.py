@@ -1,7 +1,7 @@
 """DuckDB SQL for each registered query, written independently of the Spark plans: windows are
 built by brute-force expansion of event minutes rather than by the bucket/halo/range-frame plan.
 
-Conventions: epoch minutes ``epoch_ms(ts) // 60000``; window bounds as naive TIMESTAMP; every
+Conventions: epoch minutes ``epoch_us(ts) // 60000000``; window bounds as naive TIMESTAMP; every
 integer sum cast to BIGINT; every column aliased to the Spark name.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 def _slot_cells(slot_min: int, slots: int, slide_min: int) -> str:
     span = slot_min * slots
     return f"""
-    req AS (SELECT event_type AS article, epoch_ms(ts) // 60000 AS m FROM events WHERE ts IS NOT NULL),
+    req AS (SELECT event_type AS article, epoch_us(ts) // 60000000 AS m FROM events WHERE ts IS NOT NULL),
     cells AS (
       SELECT article, (m // {slide_min} - j) * {slide_min} AS s,
              ((m - (m // {slide_min} - j) * {slide_min}) // {slot_min}) AS k
@@ -38,7 +38,7 @@ def _trend_sql(slot_min: int, slots: int, slide_min: int, trending: bool, extra:
     FROM ser WHERE {cond}"""
 
 
-_SLIDING = """WITH req AS (SELECT event_type AS article, epoch_ms(ts) // 60000 AS m FROM events
+_SLIDING = """WITH req AS (SELECT event_type AS article, epoch_us(ts) // 60000000 AS m FROM events
                       WHERE ts IS NOT NULL),
   c AS (SELECT article, m - j AS s, COUNT(*) AS views FROM req, range(0, 10) t(j) GROUP BY 1, 2)
 SELECT article, TIMESTAMP '1970-01-01' + to_minutes(s) AS window_start,
@@ -58,6 +58,60 @@ _HOURLY = """SELECT CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
        event_type AS article, CAST(COUNT(*) AS BIGINT) AS views
 FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
 
+_OCTET = r"(\+?0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])|-0+)"
+_IP = rf"{_OCTET}(\.{_OCTET}){{3}}"
+
+_REQ_LINES = """req_lines AS (
+  SELECT CASE WHEN sec = 3 THEN event_type || chr(9) || ip || chr(9) || 'x' || ep
+              WHEN sec = 4 THEN event_type || chr(9) || ip
+              ELSE event_type || chr(9) || ip || chr(9) || ep END AS line
+  FROM (
+    SELECT event_type, sec, ep,
+           CASE WHEN sec = 0 THEN ''
+                WHEN sec = 1 THEN ip0 || '.'
+                WHEN sec = 2 THEN '00' || ip0
+                ELSE ip0 END AS ip
+    FROM (
+      SELECT event_type, CAST(second(ts) AS INTEGER) AS sec,
+             CAST(epoch_us(ts) // 1000000 AS VARCHAR) AS ep,
+             concat_ws('.', user_id, regexp_extract(props, '"k": ([0-9]+)', 1),
+                       CAST(floor(value) AS BIGINT), CAST(second(ts) AS INTEGER)) AS ip0
+      FROM events)))"""
+
+_REQ_PARSED = f"""WITH {_REQ_LINES},
+parsed AS (
+  SELECT line, f[1] AS article, f[2] AS ip, f[3] AS tsf, len(string_split(rtrim(line, chr(9)), chr(9))) AS n
+  FROM (SELECT line, string_split(line, chr(9)) AS f FROM req_lines)),
+judged AS (
+  SELECT *, CASE WHEN n < 3 THEN 'fields'
+                 WHEN ip IS NULL OR NOT regexp_full_match(ip, '{_IP}') OR strpos(ip, chr(10)) > 0 THEN 'ip'
+                 WHEN NOT regexp_full_match(tsf, '[+-]?[0-9]+') OR TRY_CAST(tsf AS BIGINT) IS NULL
+                      OR TRY_CAST(tsf AS BIGINT) < -62135596800
+                      OR TRY_CAST(tsf AS BIGINT) > 253402300799 THEN 'timestamp' END AS reason
+  FROM parsed)"""
+
+_LOG_LINES = """log_lines AS (
+  SELECT CASE WHEN sec = 6 THEN concat_ws(' ', project, title, views)
+              WHEN sec = 7 THEN concat_ws(' ', project, '', title, views, bytes)
+              ELSE concat_ws(' ', project, title, views, bytes) END AS line, hr
+  FROM (
+    SELECT CAST(second(ts) AS INTEGER) AS sec, CAST(hour(ts) AS INTEGER) AS hr,
+           CASE WHEN user_id % 2 = 0 THEN 'en' ELSE 'de' END AS project,
+           upper(substr(event_type, 1, 1)) || substr(event_type, 2) AS title,
+           CASE WHEN second(ts) = 5 THEN 'n/a' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS views,
+           CAST(user_id AS VARCHAR) AS bytes
+    FROM events))"""
+
+_LOG_PARSED = f"""WITH {_LOG_LINES},
+parsed AS (
+  SELECT line, hr, f[1] AS project, lower(f[2]) AS article,
+         CASE WHEN regexp_full_match(f[3], '[+-]?[0-9]+') THEN TRY_CAST(f[3] AS BIGINT) END AS views,
+         CASE WHEN regexp_full_match(f[4], '[+-]?[0-9]+') THEN TRY_CAST(f[4] AS BIGINT) END AS bytes,
+         len(f) AS n
+  FROM (SELECT line, hr, string_split(line, ' ') AS f FROM log_lines)),
+judged AS (
+  SELECT *, CASE WHEN n <> 4 THEN 'arity' WHEN views IS NULL THEN 'views' END AS reason FROM parsed)"""
+
 ORACLE_SQL: dict[str, str] = {
     "trending_hour": _trend_sql(10, 6, 1, True),
     "trending_day": _trend_sql(240, 6, 60, True),
@@ -68,4 +122,17 @@ ORACLE_SQL: dict[str, str] = {
     "sliding_counts": _SLIDING,
     "phase_routed_counts": _PHASE,
     "hourly_totals": _HOURLY,
+    "parse_requests": _REQ_PARSED + """
+SELECT article, ip, TIMESTAMP '1970-01-01' + to_seconds(CAST(tsf AS BIGINT)) AS ts
+FROM judged WHERE reason IS NULL""",
+    "parse_requests_rejects": _REQ_PARSED + """
+SELECT line, reason FROM judged WHERE reason IS NOT NULL""",
+    "parse_hourly_logs": _LOG_PARSED + """
+SELECT hr AS hour, project, article, views, bytes FROM judged WHERE reason IS NULL""",
+    "parse_hourly_logs_rejects": _LOG_PARSED + """
+SELECT line, reason FROM judged WHERE reason IS NOT NULL""",
+    "parse_window_counts": f"""WITH pr AS ({_PHASE})
+SELECT article, strftime(window_start, '%H:%M:%S') AS clock, views FROM pr""",
+    "catalogue": """SELECT lower(string_split(p_name, ' ')[2]) AS article FROM part
+WHERE lower(string_split(p_name, ' ')[2]) IS NOT NULL""",
 }
