@@ -8,9 +8,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import windows as win
 from ..functions.timecols import to_wall_time
+from ..operators import anomaly as anom
+from ..operators import history as hist_ops
 from ..operators import parse as prs
 from ..sources import render
 from ..sources.tables import read_requests, read_table
@@ -78,6 +81,80 @@ def q_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return prs.catalogue_from_lines(render.catalogue_lines(read_table(spark, sf, "part")))
 
 
+# --- history and anomaly: the latest day of `events` is "today", earlier days are the history ---
+TOP_K = 3
+DIGITS = 6
+
+
+def _day_split(spark: SparkSession, sf: str):
+    """(feed, latest date Column, today's feed, earlier feed). The latest date is a scalar subquery."""
+    feed = win.hourly_totals(read_requests(spark, sf))
+    latest = feed.select(F.max("date")).scalar()
+    return feed, latest, feed.where(F.col("date") == latest), feed.where(F.col("date") < latest)
+
+
+def q_historical_average(spark: SparkSession, sf: str) -> DataFrame:
+    _, _, _, past = _day_split(spark, sf)
+    return hist_ops.historical_average(past)
+
+
+def q_update_history(spark: SparkSession, sf: str) -> DataFrame:
+    _, _, today, past = _day_split(spark, sf)
+    return hist_ops.update_history(hist_ops.historical_average(past), today)
+
+
+def _backfill(spark: SparkSession, sf: str, missing: str, method: str = "ratio") -> DataFrame:
+    _, latest, today, past = _day_split(spark, sf)
+    run = anom.anomaly_backfill(today, hist_ops.historical_average(past), 23, missing)
+    return anom.with_distance(run, method).withColumn("date", latest)
+
+
+def _out(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select("date", "hour", *cols, F.round("distance", DIGITS).alias("distance"))
+
+
+def q_anomaly_backfill_drop(spark: SparkSession, sf: str) -> DataFrame:
+    return _out(_backfill(spark, sf, "drop"), "article", "lhs", "rhs")
+
+
+def q_anomaly_backfill_zero(spark: SparkSession, sf: str) -> DataFrame:
+    return _out(_backfill(spark, sf, "zero"), "article", "lhs", "rhs")
+
+
+def q_anomaly_canberra(spark: SparkSession, sf: str) -> DataFrame:
+    return _out(_backfill(spark, sf, "zero", "canberra"), "article")
+
+
+def _step(spark: SparkSession, sf: str, hour: int, missing: str) -> DataFrame:
+    """Incremental path: state of hour-1 (closed form) advanced by the terms of `hour`."""
+    _, latest, today, past = _day_split(spark, sf)
+    hist = hist_ops.historical_average(past)
+    terms = anom.hour_terms(today.where(F.col("hour") == hour), hist.where(F.col("hour") == hour), missing)
+    prev = None
+    if hour > 0:
+        prev = anom.anomaly_backfill(today, hist, hour - 1, missing).where(F.col("hour") == hour - 1)
+    state = anom.advance_anomaly(prev, terms, missing)
+    scored = anom.with_distance(state).withColumn("date", latest).withColumn("hour", F.lit(hour))
+    return _out(scored, "article", "lhs", "rhs")
+
+
+def q_anomaly_hour0(spark: SparkSession, sf: str) -> DataFrame:
+    return _step(spark, sf, 0, "drop")
+
+
+def q_anomaly_step(spark: SparkSession, sf: str) -> DataFrame:
+    return _step(spark, sf, 23, "drop")
+
+
+def q_anomaly_step_zero(spark: SparkSession, sf: str) -> DataFrame:
+    return _step(spark, sf, 23, "zero")
+
+
+def q_top_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    ranked = anom.top_anomalies(_backfill(spark, sf, "zero"), TOP_K)
+    return _out(ranked, "rank", "article")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trending_hour": q_trending_hour,
     "trending_day": q_trending_day,
@@ -91,4 +168,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_hourly_logs_rejects": q_parse_hourly_logs_rejects,
     "parse_window_counts": q_parse_window_counts,
     "catalogue": q_catalogue,
+    "historical_average": q_historical_average,
+    "update_history": q_update_history,
+    "anomaly_backfill_drop": q_anomaly_backfill_drop,
+    "anomaly_backfill_zero": q_anomaly_backfill_zero,
+    "anomaly_canberra": q_anomaly_canberra,
+    "anomaly_hour0": q_anomaly_hour0,
+    "anomaly_step": q_anomaly_step,
+    "anomaly_step_zero": q_anomaly_step_zero,
+    "top_anomalies": q_top_anomalies,
 }

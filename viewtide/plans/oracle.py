@@ -112,6 +112,44 @@ parsed AS (
 judged AS (
   SELECT *, CASE WHEN n <> 4 THEN 'arity' WHEN views IS NULL THEN 'views' END AS reason FROM parsed)"""
 
+_DAY = """feed AS (SELECT CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
+                 event_type AS article, COUNT(*) AS views
+          FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3),
+lat AS (SELECT max(date) AS d FROM feed),
+cur AS (SELECT hour, article, views AS c FROM feed WHERE date = (SELECT d FROM lat)),
+hist AS (SELECT hour, article, SUM(views) AS sum_views, COUNT(*) AS n, SUM(views) // COUNT(*) AS a
+         FROM feed WHERE date < (SELECT d FROM lat) GROUP BY 1, 2)"""
+
+_PAIRS = {
+    "drop": "SELECT cur.hour, cur.article, c, a FROM cur JOIN hist ON cur.hour = hist.hour AND cur.article = hist.article",
+    "zero": """SELECT coalesce(cur.hour, hist.hour) AS hour, coalesce(cur.article, hist.article) AS article,
+                      coalesce(c, 0) AS c, coalesce(a, 0) AS a
+               FROM cur FULL OUTER JOIN hist ON cur.hour = hist.hour AND cur.article = hist.article""",
+}
+
+
+def _run_sql(missing: str, upto: int = 23) -> str:
+    keep = "WHERE k = hour + 1" if missing == "drop" else ""
+    return f"""WITH {_DAY},
+pairs AS ({_PAIRS[missing]}),
+terms AS (SELECT hour, article, abs(c - a) AS l, c + a AS r,
+                 CASE WHEN c + a = 0 THEN 0.0 ELSE abs(c - a) / (c + a) END AS cb FROM pairs),
+run0 AS (SELECT hh.h AS hour, t.article, SUM(l) AS lhs, SUM(r) AS rhs, SUM(cb) AS cb, COUNT(*) AS k
+         FROM terms t JOIN range(0, {upto + 1}) hh(h) ON t.hour <= hh.h GROUP BY 1, 2),
+run AS (SELECT (SELECT d FROM lat) AS date, CAST(hour AS INTEGER) AS hour, article,
+               CAST(lhs AS BIGINT) AS lhs, CAST(rhs AS BIGINT) AS rhs, cb,
+               CASE WHEN rhs = 0 THEN 0.0 ELSE lhs / rhs END AS ratio
+        FROM run0 {keep})"""
+
+
+def _hist_sql(all_days: bool) -> str:
+    cond = "" if all_days else "WHERE date < (SELECT d FROM lat)"
+    return f"""WITH {_DAY}
+SELECT hour, article, CAST(SUM(views) AS BIGINT) AS sum_views, CAST(COUNT(*) AS BIGINT) AS n,
+       CAST(SUM(views) // COUNT(*) AS BIGINT) AS avg_views
+FROM feed {cond} GROUP BY 1, 2"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "trending_hour": _trend_sql(10, 6, 1, True),
     "trending_day": _trend_sql(240, 6, 60, True),
@@ -135,4 +173,22 @@ SELECT line, reason FROM judged WHERE reason IS NOT NULL""",
 SELECT article, strftime(window_start, '%H:%M:%S') AS clock, views FROM pr""",
     "catalogue": """SELECT lower(string_split(p_name, ' ')[2]) AS article FROM part
 WHERE lower(string_split(p_name, ' ')[2]) IS NOT NULL""",
+    "historical_average": _hist_sql(False),
+    "update_history": _hist_sql(True),
+    "anomaly_backfill_drop": _run_sql("drop") + """
+SELECT date, hour, article, lhs, rhs, round(ratio, 6) AS distance FROM run""",
+    "anomaly_backfill_zero": _run_sql("zero") + """
+SELECT date, hour, article, lhs, rhs, round(ratio, 6) AS distance FROM run""",
+    "anomaly_canberra": _run_sql("zero") + """
+SELECT date, hour, article, round(cb, 6) AS distance FROM run""",
+    "anomaly_hour0": _run_sql("drop", 0) + """
+SELECT date, hour, article, lhs, rhs, round(ratio, 6) AS distance FROM run WHERE hour = 0""",
+    "anomaly_step": _run_sql("drop") + """
+SELECT date, hour, article, lhs, rhs, round(ratio, 6) AS distance FROM run WHERE hour = 23""",
+    "anomaly_step_zero": _run_sql("zero") + """
+SELECT date, hour, article, lhs, rhs, round(ratio, 6) AS distance FROM run WHERE hour = 23""",
+    "top_anomalies": _run_sql("zero") + """
+SELECT date, hour, CAST(rk AS INTEGER) AS rank, article, round(ratio, 6) AS distance
+FROM (SELECT *, row_number() OVER (PARTITION BY date, hour ORDER BY ratio DESC, article) AS rk FROM run)
+WHERE rk <= 3""",
 }
