@@ -15,8 +15,11 @@ from ..functions.timecols import to_wall_time
 from ..operators import anomaly as anom
 from ..operators import history as hist_ops
 from ..operators import parse as prs
+from ..operators import serving as srv
 from ..sources import render
+from ..session import scratch_path
 from ..sources.tables import read_requests, read_table
+from ..streaming import trend_stream as stm
 
 # The reference's window sizes (10-minute slots, one-hour series, one-minute slide).
 SLOT, SLOTS, SLIDE = "10 minutes", 6, "1 minute"
@@ -155,6 +158,51 @@ def q_top_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return _out(ranked, "rank", "article")
 
 
+SERVE_N = 10
+
+
+def q_latest_trending(spark: SparkSession, sf: str) -> DataFrame:
+    return srv.latest_trending(q_trending_hour(spark, sf), SERVE_N)
+
+
+def q_serving_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return srv.serving_rows(q_trending_hour(spark, sf), SERVE_N)
+
+
+# --- streaming: the events table replayed as a file stream until it is exhausted (availableNow) ---
+WATERMARK = "10 minutes"
+
+
+def _request_file_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = read_table(spark, sf, "events").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+                .option("maxFilesPerTrigger", 1).parquet(sf))
+    return src.select(F.col("event_type").alias("article"), F.col("ts"))
+
+
+def _drain(spark: SparkSession, df: DataFrame, name: str, partition_by=None) -> DataFrame:
+    """Run a streaming DataFrame to completion into a table in the shared checkpoint folder and
+    read the table back (the stream's output, not its lineage)."""
+    root = scratch_path(spark, name)
+    q = stm.start_stream(df, "parquet", f"{root}/data", f"{root}/checkpoint", None,
+                         partition_by=partition_by, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/data")
+
+
+def q_trending_stream(spark: SparkSession, sf: str) -> DataFrame:
+    out = _drain(spark, stm.trending_stream(_request_file_stream(spark, sf), SLOTS, SLOT, SLIDE, WATERMARK),
+                 "trending-stream")
+    return out.select("article", to_wall_time("window_start").alias("window_start"),
+                      to_wall_time("window_end").alias("window_end"), *win.slot_names(SLOTS))
+
+
+def q_hourly_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
+    out = _drain(spark, stm.hourly_totals_stream(_request_file_stream(spark, sf), WATERMARK),
+                 "hourly-stream")
+    return out.select("date", "hour", "article", "views")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trending_hour": q_trending_hour,
     "trending_day": q_trending_day,
@@ -177,4 +225,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomaly_step": q_anomaly_step,
     "anomaly_step_zero": q_anomaly_step_zero,
     "top_anomalies": q_top_anomalies,
+    "latest_trending": q_latest_trending,
+    "serving_rows": q_serving_rows,
+    "trending_stream": q_trending_stream,
+    "hourly_totals_stream": q_hourly_totals_stream,
 }

@@ -150,6 +150,19 @@ SELECT hour, article, CAST(SUM(views) AS BIGINT) AS sum_views, CAST(COUNT(*) AS
 FROM feed {cond} GROUP BY 1, 2"""
 
 
+_LATEST = f"""SELECT * FROM ({_trend_sql(10, 6, 1, True)}) ORDER BY window_end DESC, article LIMIT 10"""
+
+_SERVING = f"""WITH lt AS ({_LATEST})
+SELECT article, window_start, window_end,
+       concat_ws(':', s0, s1, s2, s3, s4, s5) AS series,
+       array_to_string(list_transform(range(0, 6),
+           lambda i: strftime(window_start + to_minutes(i * 10), '%H:%M:%S')), ',') AS labels,
+       'https://en.wikipedia.org/wiki/' || article AS url,
+       'https://en.wikipedia.org/wiki/' || right(article, 15) AS link_text,
+       article || chr(9) || strftime(window_start, '%H:%M:%S') || chr(9)
+           || concat_ws(':', s0, s1, s2, s3, s4, s5) AS text_row
+FROM lt"""
+
 ORACLE_SQL: dict[str, str] = {
     "trending_hour": _trend_sql(10, 6, 1, True),
     "trending_day": _trend_sql(240, 6, 60, True),
@@ -191,4 +204,11 @@ SELECT date, hour, article, lhs, rhs, round(ratio, 6) AS distance FROM run WHERE
 SELECT date, hour, CAST(rk AS INTEGER) AS rank, article, round(ratio, 6) AS distance
 FROM (SELECT *, row_number() OVER (PARTITION BY date, hour ORDER BY ratio DESC, article) AS rk FROM run)
 WHERE rk <= 3""",
+    "latest_trending": _LATEST,
+    "serving_rows": _SERVING,
+    # a stream emits a window once the watermark (latest event time - 10 minutes) passes its end
+    "trending_stream": f"""SELECT * FROM ({_trend_sql(10, 6, 1, True)})
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "hourly_totals_stream": f"""SELECT * FROM ({_HOURLY})
+WHERE CAST(date AS TIMESTAMP) + to_hours(hour + 1) <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
 }
