@@ -26,7 +26,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timecols import date_of, epoch_bucket, from_epoch_seconds_ntz, hour_of_day
+from ..functions.timecols import (date_of, epoch_bucket, from_epoch_seconds_ntz, hour_of_day,
+                                  to_wall_time)
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
@@ -177,13 +178,20 @@ def hourly_totals(df: DataFrame, ts: str = "ts", key: str = "article") -> DataFr
 def route_by_phase(counts: DataFrame, base_topic: str, ts: str = "window_start",
                    key: str = "article", views: str = "views") -> DataFrame:
     """Topic per row from the last digit of the window start minute, with the keyed
-    record the broker receives (key = article, value = `article \\t HH:mm:ss \\t count`)."""
-    ph = (F.minute(ts) % 10).cast("int")
+    record the broker receives (key = article, value = `article \\t HH:mm:ss \\t count`).
+
+    The digit and the clock come from epoch arithmetic / UTC wall time, so TIMESTAMP windows (from a
+    stream) route the same way whatever the session time zone.
+    """
+    wall = F.col(ts)
+    if not isinstance(counts.schema[ts].dataType, T.TimestampNTZType):
+        wall = to_wall_time(F.col(ts))
+    ph = (F.floor(F.unix_timestamp(F.col(ts)) / 60) % 10).cast("int")
     return counts.select(
         "*",
         ph.alias("phase"),
         F.concat(F.lit(base_topic), ph.cast("string")).alias("topic"),
         F.col(key).cast("string").alias("key"),
-        F.concat_ws("\t", F.col(key), F.date_format(ts, "HH:mm:ss"), F.col(views).cast("string"))
+        F.concat_ws("\t", F.col(key), F.date_format(wall, "HH:mm:ss"), F.col(views).cast("string"))
          .alias("value"),
     )

@@ -80,6 +80,12 @@ def q_parse_window_counts(spark: SparkSession, sf: str) -> DataFrame:
     return good
 
 
+def q_history_from_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """E2 chain on rendered hourly logs: every good log line is one observation."""
+    good, _ = prs.parse_hourly_logs(render.hourly_log_lines(read_table(spark, sf, "events")))
+    return hist_ops.historical_average(good)
+
+
 def q_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return prs.catalogue_from_lines(render.catalogue_lines(read_table(spark, sf, "part")))
 
@@ -161,6 +167,14 @@ def q_top_anomalies(spark: SparkSession, sf: str) -> DataFrame:
 SERVE_N = 10
 
 
+def q_parse_trending_text(spark: SparkSession, sf: str) -> DataFrame:
+    """F9 -> F10 round trip: the pushed text rows parsed back."""
+    from ..functions.text import parse_trending_text, series_text
+    rows = srv.serving_rows(q_trending_hour(spark, sf), SERVE_N)
+    art, clock, series = parse_trending_text(F.col("text_row"))
+    return rows.select(art.alias("article"), clock.alias("clock"), series_text(series).alias("series"))
+
+
 def q_latest_trending(spark: SparkSession, sf: str) -> DataFrame:
     return srv.latest_trending(q_trending_hour(spark, sf), SERVE_N)
 
@@ -197,6 +211,14 @@ def q_trending_stream(spark: SparkSession, sf: str) -> DataFrame:
                       to_wall_time("window_end").alias("window_end"), *win.slot_names(SLOTS))
 
 
+def q_phase_counts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    counts = stm.sliding_counts_stream(_request_file_stream(spark, sf), SLOT, SLIDE, WATERMARK)
+    out = _drain(spark, win.route_by_phase(counts, PHASE_TOPIC), "phase-stream")
+    return out.select("article", to_wall_time("window_start").alias("window_start"),
+                      to_wall_time("window_end").alias("window_end"), "views", "phase", "topic", "key",
+                      "value")
+
+
 def q_hourly_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
     out = _drain(spark, stm.hourly_totals_stream(_request_file_stream(spark, sf), WATERMARK),
                  "hourly-stream")
@@ -216,6 +238,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_hourly_logs_rejects": q_parse_hourly_logs_rejects,
     "parse_window_counts": q_parse_window_counts,
     "catalogue": q_catalogue,
+    "history_from_logs": q_history_from_logs,
     "historical_average": q_historical_average,
     "update_history": q_update_history,
     "anomaly_backfill_drop": q_anomaly_backfill_drop,
@@ -229,4 +252,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "serving_rows": q_serving_rows,
     "trending_stream": q_trending_stream,
     "hourly_totals_stream": q_hourly_totals_stream,
+    "phase_counts_stream": q_phase_counts_stream,
+    "parse_trending_text": q_parse_trending_text,
 }

@@ -186,6 +186,10 @@ SELECT line, reason FROM judged WHERE reason IS NOT NULL""",
 SELECT article, strftime(window_start, '%H:%M:%S') AS clock, views FROM pr""",
     "catalogue": """SELECT lower(string_split(p_name, ' ')[2]) AS article FROM part
 WHERE lower(string_split(p_name, ' ')[2]) IS NOT NULL""",
+    "history_from_logs": _LOG_PARSED + """
+SELECT hr AS hour, article, CAST(SUM(views) AS BIGINT) AS sum_views, CAST(COUNT(*) AS BIGINT) AS n,
+       CAST(SUM(views) // COUNT(*) AS BIGINT) AS avg_views
+FROM judged WHERE reason IS NULL GROUP BY 1, 2""",
     "historical_average": _hist_sql(False),
     "update_history": _hist_sql(True),
     "anomaly_backfill_drop": _run_sql("drop") + """
@@ -209,6 +213,10 @@ WHERE rk <= 3""",
     # a stream emits a window once the watermark (latest event time - 10 minutes) passes its end
     "trending_stream": f"""SELECT * FROM ({_trend_sql(10, 6, 1, True)})
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "phase_counts_stream": f"""SELECT * FROM ({_PHASE})
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+    "parse_trending_text": f"""SELECT article, strftime(window_start, '%H:%M:%S') AS clock,
+       concat_ws(':', s0, s1, s2, s3, s4, s5) AS series FROM ({_LATEST})""",
     "hourly_totals_stream": f"""SELECT * FROM ({_HOURLY})
 WHERE CAST(date AS TIMESTAMP) + to_hours(hour + 1) <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
 }
