@@ -69,3 +69,18 @@ def test_top_k_plan_limits_before_shuffle(spark):
     plan = anom.top_anomalies(df, 5)._jdf.queryExecution().executedPlan().toString()
     # a partial top-k runs in every map task, before the exchange on (date, hour)
     assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("missing", ["drop", "zero"])
+def test_one_exchange_step_equals_two_step(spark, missing):
+    cur, hist = _frames(spark)
+    state = None
+    for h in range(3):
+        c, a = cur.where(F.col("hour") == h), hist.where(F.col("hour") == h)
+        two = anom.advance_anomaly(state, anom.hour_terms(c, a, missing), missing)
+        one = anom.anomaly_step(c, a, state, missing)
+        key = lambda df: sorted((r.article, r.lhs, r.rhs, round(r.canberra_sum, 9)) for r in df.collect())
+        assert key(one) == key(two)
+        state = spark.createDataFrame(two.collect(), two.schema)
+    plan = anom.anomaly_step(cur, hist, state, missing)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -90,3 +90,8 @@ def article_url(article) -> Column:
 
 def article_link_text(article) -> Column:
     return F.concat(F.lit(ARTICLE_URL_PREFIX), F.right(_col(article), F.lit(LINK_TAIL_CHARS)))
+
+
+# Names used in the design notes
+format_trending_row = trending_text
+parse_trending_row = parse_trending_text

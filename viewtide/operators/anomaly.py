@@ -11,9 +11,9 @@ absent side as 0 (full outer semantics).
 
 Two equivalent evaluations:
 
-* incremental (A5): ``hour_terms`` for hour h, then ``advance_anomaly(state_{h-1}, terms_h)``; each
-  hourly job reads one hour of feed, one hour of history and one state partition, so its cost stays
-  flat through the day;
+* incremental (A5): ``hour_terms`` for hour h, then ``advance_anomaly(state_{h-1}, terms_h)`` --
+  fused into ``anomaly_step`` (one exchange) for the hourly job; each hourly job reads one hour of
+  feed, one hour of history and one state partition, so its cost stays flat through the day;
 * closed form (W1): ``anomaly_backfill`` scores every hour of a day in one job.
 
 Both replace the reference's joins with a union and a grouped aggregate on the article key: one
@@ -85,6 +85,46 @@ def advance_anomaly(state: DataFrame | None, terms: DataFrame, missing: str = "d
                     F.col("rhs").cast("bigint").alias("rhs"), "canberra_sum")
 
 
+def anomaly_step(cur: DataFrame, hist: DataFrame, state: DataFrame | None, missing: str = "drop",
+                 key: str = "article", views: str = "views", avg: str = "avg_views") -> DataFrame:
+    """E3's hourly step in one exchange: today's rows for the hour, the history of the hour and the
+    running sums of the previous hour are unioned and aggregated once per article, equivalent to
+    ``advance_anomaly(state, hour_terms(cur, hist))`` (two exchanges). ``state`` is None at hour 0.
+    """
+    _check(missing)
+    nb, nd = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+    parts = [
+        cur.select(key, F.col(views).cast("bigint").alias("_c"), nb.alias("_a"), nb.alias("_l"),
+                   nb.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
+        hist.select(key, nb.alias("_c"), F.col(avg).cast("bigint").alias("_a"), nb.alias("_l"),
+                    nb.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
+    ]
+    if state is not None:
+        parts.append(state.select(key, nb.alias("_c"), nb.alias("_a"), F.col("lhs").alias("_l"),
+                                  F.col("rhs").alias("_r"), F.col("canberra_sum").alias("_b"),
+                                  F.lit(1).alias("_s")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    g = u.groupBy(key).agg(F.sum("_c").alias("c"), F.max("_a").alias("a"), F.sum("_l").alias("pl"),
+                           F.sum("_r").alias("pr"), F.sum("_b").alias("pb"), F.max("_s").alias("ps"))
+    if missing == "drop":
+        keep = F.col("c").isNotNull() & F.col("a").isNotNull()
+        if state is not None:
+            keep = keep & (F.col("ps") == 1)
+        g = g.where(keep)
+    c, a = F.coalesce("c", F.lit(0)), F.coalesce("a", F.lit(0))
+    diff = F.abs(c - a)
+    return g.select(key,
+                    (F.coalesce("pl", F.lit(0)) + diff).cast("bigint").alias("lhs"),
+                    (F.coalesce("pr", F.lit(0)) + c + a).cast("bigint").alias("rhs"),
+                    (F.coalesce("pb", F.lit(0.0)) + _frac(diff, c + a)).alias("canberra_sum"))
+
+
+# Names used in the design notes
+distance_terms = hour_terms
+
+
 def anomaly_backfill(cur: DataFrame, hist: DataFrame, last_hour: int = 23, missing: str = "drop",
                      key: str = "article", views: str = "views", avg: str = "avg_views") -> DataFrame:
     """Running sums for every hour 0..``last_hour`` of one day in one job.

@@ -138,11 +138,11 @@ def _step(spark: SparkSession, sf: str, hour: int, missing: str) -> DataFrame:
     """Incremental path: state of hour-1 (closed form) advanced by the terms of `hour`."""
     _, latest, today, past = _day_split(spark, sf)
     hist = hist_ops.historical_average(past)
-    terms = anom.hour_terms(today.where(F.col("hour") == hour), hist.where(F.col("hour") == hour), missing)
     prev = None
     if hour > 0:
         prev = anom.anomaly_backfill(today, hist, hour - 1, missing).where(F.col("hour") == hour - 1)
-    state = anom.advance_anomaly(prev, terms, missing)
+    state = anom.anomaly_step(today.where(F.col("hour") == hour), hist.where(F.col("hour") == hour),
+                              prev, missing)
     scored = anom.with_distance(state).withColumn("date", latest).withColumn("hour", F.lit(hour))
     return _out(scored, "article", "lhs", "rhs")
 

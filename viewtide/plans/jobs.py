@@ -69,9 +69,8 @@ def run_anomaly_hour(spark: SparkSession, feed_path: str, history_root: str, sta
     """
     cur = read_feed(spark, feed_path, date=date, hour=hour)
     hist = tbl.read_history(spark, history_root, as_of, hour=hour)
-    terms = anom.hour_terms(cur, hist, missing)
     prev = tbl.read_anomaly_state(spark, state_root, date, hour - 1) if hour > 0 else None
-    tbl.write_anomaly_state(anom.advance_anomaly(prev, terms, missing), state_root, date, hour)
+    tbl.write_anomaly_state(anom.anomaly_step(cur, hist, prev, missing), state_root, date, hour)
     state = tbl.read_anomaly_state(spark, state_root, date, hour)
     scored = (anom.with_distance(state, method)
                   .withColumn("date", F.lit(date).cast("date")).withColumn("hour", F.lit(hour)))

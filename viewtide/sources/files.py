@@ -31,6 +31,16 @@ def read_feed(spark: SparkSession, path: str, date=None, hour: int | None = None
     return df
 
 
+def read_day(spark: SparkSession, path: str, date) -> DataFrame:
+    """One finished day of the feed."""
+    return read_feed(spark, path, date=date)
+
+
+def read_hour(spark: SparkSession, path: str, date, hour: int) -> DataFrame:
+    """S3: the current hour of the feed."""
+    return read_feed(spark, path, date=date, hour=hour)
+
+
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """Article catalogue from a text file."""
     return catalogue_from_lines(spark.read.text(path))

@@ -153,6 +153,11 @@ def start_stream(df: DataFrame, sink: str, path: str | None, checkpoint: str, na
     raise ValueError(f"unsupported sink {sink!r}")
 
 
+def write_trending(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """K5: trending rows to idempotent micro-batch folders."""
+    return start_stream(df, "batches", path, checkpoint, None, **trigger)
+
+
 def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str, checkpoint_root: str,
                         watermark: str = "10 minutes", phase_sink: str = "parquet",
                         phase_topic: str = "pageviews-", kafka: dict | None = None,
