@@ -87,3 +87,19 @@ def test_idempotent_batch_writer(spark, tmp_dir):
     w(df, 3)
     w(df, 3)  # replay of the same batch
     assert spark.read.parquet(f"{tmp_dir}/t").count() == 2
+
+
+def test_stream_from_raw_lines_routes_rejects(spark, tmp_dir):
+    src = f"{tmp_dir}/lines"
+    os.makedirs(src)
+    base = 1704103200
+    lines = [f"up\t1.2.3.4\t{base + 600 * k + j}" for k, c in enumerate([1, 2, 2, 3, 4, 5, 1]) for j in range(c)]
+    lines += ["up\t1.2.3.4\t" + str(base + 4 * 3600), "bad\t256.1.1.1\t1", "short"]
+    with open(f"{src}/part-0.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    req = stm.request_stream(spark, "text", src)
+    for q in stm.run_trending_stream(spark, req, f"{tmp_dir}/out", f"{tmp_dir}/ck", available_now=True):
+        q.awaitTermination()
+    rej = {r.reason for r in spark.read.parquet(f"{tmp_dir}/out/rejects").collect()}
+    assert rej == {"ip", "fields"}
+    assert spark.read.parquet(f"{tmp_dir}/out/trending").where("article = 'up'").count() >= 1

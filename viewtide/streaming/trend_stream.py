@@ -169,7 +169,16 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
       otherwise a parquet table partitioned by topic;
     * hourly totals (K2), parquet partitioned by date and hour -- the anomaly job's feed;
     * trending rows (K5), idempotent micro-batch folders.
+
+    ``requests`` is either typed (article, ts) or raw lines (a ``value`` column, e.g. from Kafka);
+    raw lines are parsed (P1) and their rejects go to a fourth query, ``out_root/rejects``.
     """
+    extra: list[StreamingQuery] = []
+    if "value" in requests.columns and "article" not in requests.columns:
+        requests, rejects = parse_requests(requests)
+        extra.append(start_stream(rejects, "parquet", f"{out_root}/rejects", f"{checkpoint_root}/rejects",
+                                  "request_rejects", available_now=available_now,
+                                  processing_time=processing_time))
     routed = route_by_phase(sliding_counts_stream(requests, slot, slide, watermark), phase_topic)
     hourly = hourly_totals_stream(requests, watermark)
     trend = trending_stream(requests, slots, slot, slide, watermark)
@@ -184,4 +193,4 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
                       "hourly_totals", partition_by=["date", "hour"], **common)
     q3 = start_stream(trend, "batches", f"{out_root}/trending", f"{checkpoint_root}/trending",
                       "trending", **common)
-    return [q1, q2, q3]
+    return [q1, q2, q3, *extra]
