@@ -21,15 +21,16 @@ def split_fields(line, sep: str, keep_trailing: bool = True) -> Column:
     """split on a literal separator.
 
     ``keep_trailing=True`` keeps trailing empty fields (Python ``str.split``); ``False`` drops
-    them (Java ``String.split``).
+    them (Java ``String.split``: "a\\t\\t" -> ["a"], "\\t" -> [], "" -> [""]). Built from
+    regexp_replace + split only, so it stays inside whole-stage codegen (no lambda functions).
     """
-    parts = F.split(_col(line), _regex_escape(sep), -1)
+    c = _col(line)
+    esc = _regex_escape(sep)
     if keep_trailing:
-        return parts
-    # drop trailing empty strings: cut the array after its last non-empty element
-    last = F.array_position(F.reverse(F.transform(parts, lambda p: p != F.lit(""))), True)
-    return F.when(last == 0, F.array().cast("array<string>")).otherwise(
-        F.slice(parts, 1, F.size(parts) - last + 1))
+        return F.split(c, esc, -1)
+    stripped = F.regexp_replace(c, f"(?:{esc})+$", "")
+    return F.when((stripped == F.lit("")) & (c != F.lit("")), F.array().cast("array<string>")) \
+            .otherwise(F.split(stripped, esc, -1))
 
 
 def _regex_escape(sep: str) -> str:

@@ -23,21 +23,30 @@ def _split_good_bad(df: DataFrame, reason: Column, good_cols: list, line: str) -
     return good, bad
 
 
+def _min_java_fields(value: str, sep: str, n: int):
+    """Java ``split`` would give at least ``n`` fields (trailing empty fields dropped): the line has
+    n-1 separators and a non-separator character after the last of them. One regex, no arrays."""
+    return F.col(value).rlike("(?s)^" + f"[^{sep}]*{sep}" * (n - 1) + f".*[^{sep}]")
+
+
 def parse_requests(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """P1 + P2: `article \\t ip \\t epoch_seconds` -> (article, ip, ts TIMESTAMP), plus rejects.
 
     Fields are split like Java's ``String.split`` (trailing empty fields dropped); fields beyond the
     third are ignored. Reasons, first that applies: ``fields`` (fewer than three), ``ip`` (not a valid
     dotted IPv4 address), ``timestamp`` (not an integer in the TIMESTAMP range).
+
+    The first three fields of a Java split and of a split keeping empties are the same whenever the
+    Java split has three, so one plain ``split`` serves; the field count is one regex.
     """
-    parts = split_fields(F.col(value), "\t", keep_trailing=False)
+    parts = F.split(F.col(value), "\t", -1)
     sec = to_long(F.get(parts, 2))
     p = lines.select(
         F.col(value),
         F.get(parts, 0).alias("article"),
         F.get(parts, 1).alias("ip"),
         sec.alias("_sec"),
-        F.coalesce(F.size(parts), F.lit(0)).alias("_n"),
+        F.when(_min_java_fields(value, "\t", 3), 3).otherwise(0).alias("_n"),
     )
     reason = (F.when(F.col(value).isNull() | (F.col("_n") < 3), F.lit("fields"))
                .when(~is_valid_ipv4("ip"), F.lit("ip"))
@@ -48,10 +57,10 @@ def parse_requests(lines: DataFrame, value: str = "value") -> tuple[DataFrame, D
 
 def parse_window_counts(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """`article \\t clock \\t count` (the phase-topic record) -> (article, clock, views)."""
-    parts = split_fields(F.col(value), "\t", keep_trailing=False)
+    parts = F.split(F.col(value), "\t", -1)
     p = lines.select(F.col(value), F.get(parts, 0).alias("article"), F.get(parts, 1).alias("clock"),
                      to_long(F.get(parts, 2)).alias("views"),
-                     F.coalesce(F.size(parts), F.lit(0)).alias("_n"))
+                     F.when(_min_java_fields(value, "\t", 3), 3).otherwise(0).alias("_n"))
     reason = (F.when(F.col(value).isNull() | (F.col("_n") < 3), F.lit("fields"))
                .when(F.col("views").isNull(), F.lit("count")))
     return _split_good_bad(p, reason, ["article", "clock", "views"], value)
