@@ -68,7 +68,7 @@ def unpack_pair(s) -> tuple[Column, Column]:
 
 # series as `a:b:c:d:e:f`
 def series_text(series) -> Column:
-    return F.array_join(F.transform(_col(series), lambda x: x.cast("string")), ":")
+    return F.array_join(_col(series).cast("array<string>"), ":")
 
 
 # trending text row `article \t HH:mm:ss \t a:b:c:d:e:f`

@@ -175,6 +175,19 @@ def q_parse_trending_text(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(art.alias("article"), clock.alias("clock"), series_text(series).alias("series"))
 
 
+def q_promote_day(spark: SparkSession, sf: str) -> DataFrame:
+    """K2 (batch) + K9 + S2: write the hourly feed as the work table, promote its latest day into the
+    history log, and read that day back from the log."""
+    from ..sinks import tables as tbl
+    from ..sources.files import read_day
+    root = scratch_path(spark, "promote")
+    feed = win.hourly_totals(read_requests(spark, sf))
+    tbl.write_hourly_totals(feed, f"{root}/work")
+    day = spark.read.parquet(f"{root}/work").select(F.max("date")).first()[0]  # one scalar
+    tbl.promote_day(spark, f"{root}/work", f"{root}/log", day)
+    return read_day(spark, f"{root}/log", day).select("date", "hour", "article", "views")
+
+
 def q_latest_trending(spark: SparkSession, sf: str) -> DataFrame:
     return srv.latest_trending(q_trending_hour(spark, sf), SERVE_N)
 
@@ -254,4 +267,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_totals_stream": q_hourly_totals_stream,
     "phase_counts_stream": q_phase_counts_stream,
     "parse_trending_text": q_parse_trending_text,
+    "promote_day": q_promote_day,
 }
