@@ -90,3 +90,25 @@ def test_hot_article_spreads_over_blocks(spark):
     assert days >= 4
     assert len(per_task) >= 2
     assert max(r["count"] for r in per_task) < m.where("article = 'hot'").count()
+
+
+def test_serving_payload_and_member(spark):
+    from viewtide.operators.serving import serving_payload
+    from viewtide.operators.anomaly import anomaly_member
+    t = dt.datetime(2024, 1, 1, 23, 35, 7)
+    rows = [("x", t, t + dt.timedelta(hours=1), 1, 2, 3, 4, 5, 6)]
+    df = spark.createDataFrame(rows, "article string, window_start timestamp_ntz, window_end timestamp_ntz, "
+                                     "s0 bigint, s1 bigint, s2 bigint, s3 bigint, s4 bigint, s5 bigint")
+    p = serving_payload(df, 10)
+    assert p == {"datalist": [[1, 2, 3, 4, 5, 6]],
+                 "timelist": [["23:35:07", "23:45:07", "23:55:07", "00:05:07", "00:15:07", "00:25:07"]],
+                 "articlelist": ["x"]}
+    m = anomaly_member(spark.createDataFrame([("a", 0.5)], "article string, distance double")).first().member
+    assert m == "a:0.5"
+
+
+def test_cluster_conf_sizes_shuffle():
+    from viewtide.session import cluster_conf
+    c = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts * (256 << 20) >= 25 * 10**12

@@ -183,3 +183,8 @@ def top_anomalies(scored: DataFrame, k: int = 5, by: tuple[str, ...] = ("date",
     w = Window.partitionBy(*by).orderBy(F.desc("distance"), F.asc(key))
     return (scored.withColumn("rank", F.row_number().over(w))
                   .where(F.col("rank") <= k))
+
+
+def anomaly_member(df: DataFrame, key: str = "article") -> DataFrame:
+    """K7 text form: the `article:distance` member string the reference added to its per-hour set."""
+    return df.withColumn("member", F.concat_ws(":", F.col(key), F.col("distance").cast("string")))

@@ -33,3 +33,15 @@ def serving_rows(trending_rows: DataFrame, n: int = 10, slots: int = 6, slot_min
         article_link_text(key).alias("link_text"),
         trending_text(F.col(key), F.col("window_start"), series).alias("text_row"),
     )
+
+
+def serving_payload(trending_rows: DataFrame, n: int = 10, slots: int = 6, slot_minutes: int = 10,
+                    key: str = "article") -> dict:
+    """The web endpoint's JSON body: three parallel lists (series, clock labels, articles) of the
+    ``n`` latest rows. Collects at most ``n`` rows -- a bounded top-n report."""
+    names = slot_names(slots)
+    top = latest_trending(trending_rows, n, key).select(
+        key, F.array(*names).alias("series"), time_labels("window_start", slots, slot_minutes).alias("labels"))
+    rows = top.collect()
+    return {"datalist": [list(r.series) for r in rows], "timelist": [list(r.labels) for r in rows],
+            "articlelist": [r[key] for r in rows]}

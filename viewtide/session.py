@@ -43,22 +43,54 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no local SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster the folder is configured by the operator and is only read here. Only when it is
     unset (tests, local runs) is a fresh private folder created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="viewtide-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        local = sc.getCheckpointDir()
     spark.conf.set("spark.checkpoint.dir", local)
-    return sc.getCheckpointDir().rstrip("/")
+    return local.rstrip("/")
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings to size a large run (apply at submit time; nothing here is set automatically).
+
+    Shuffle width follows the pre-aggregated volume (assumed at most a quarter of the input for
+    these jobs), rounded up to whole waves of the cluster's cores; AQE coalesces below that when a
+    stage turns out smaller and splits skewed partitions.
+    """
+    cores = executors * cores_per_executor
+    shuffle_bytes = max(input_bytes // 4, target_partition_bytes)
+    parts = -(-shuffle_bytes // target_partition_bytes)
+    parts = max(cores, -(-parts // cores) * cores)
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.ui.enabled": "false",
+    }
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
