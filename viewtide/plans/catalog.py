@@ -207,12 +207,20 @@ def _request_file_stream(spark: SparkSession, sf: str) -> DataFrame:
     return src.select(F.col("event_type").alias("article"), F.col("ts"))
 
 
+def _default_parallelism(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no local SparkContext (Spark Connect): keep the session's setting
+        return None
+
+
 def _drain(spark: SparkSession, df: DataFrame, name: str, partition_by=None) -> DataFrame:
     """Run a streaming DataFrame to completion into a table in the shared checkpoint folder and
     read the table back (the stream's output, not its lineage)."""
     root = scratch_path(spark, name)
     q = stm.start_stream(df, "parquet", f"{root}/data", f"{root}/checkpoint", None,
-                         partition_by=partition_by, available_now=True)
+                         partition_by=partition_by, available_now=True,
+                         state_partitions=_default_parallelism(spark))
     q.awaitTermination()
     return spark.read.parquet(f"{root}/data")
 

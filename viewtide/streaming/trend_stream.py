@@ -131,10 +131,25 @@ def idempotent_batch_writer(path: str, fmt: str = "parquet"):
 
 def start_stream(df: DataFrame, sink: str, path: str | None, checkpoint: str, name: str,
                  partition_by: list[str] | None = None, available_now: bool = False,
-                 processing_time: str | None = None, options: dict | None = None) -> StreamingQuery:
+                 processing_time: str | None = None, options: dict | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Start an append-mode query: ``parquet`` file sink (exactly-once via its manifest),
     ``kafka`` (needs a ``topic`` or per-row ``topic`` column), or ``batches`` (idempotent
-    foreachBatch folders)."""
+    foreachBatch folders).
+
+    ``state_partitions`` fixes the number of state-store partitions of a new query (recorded in its
+    checkpoint, so restarts keep it); AQE does not resize stateful stages, so size it to the
+    cluster's cores rather than leaving the batch default.
+    """
+    if state_partitions:
+        spark = df.sparkSession
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            return start_stream(df, sink, path, checkpoint, name, partition_by, available_now,
+                                processing_time, options, None)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
     w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -162,7 +177,8 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
                         watermark: str = "10 minutes", phase_sink: str = "parquet",
                         phase_topic: str = "pageviews-", kafka: dict | None = None,
                         available_now: bool = False, processing_time: str | None = "1 minute",
-                        slots: int = 6, slot: str = "10 minutes", slide: str = "1 minute") -> list[StreamingQuery]:
+                        slots: int = 6, slot: str = "10 minutes", slide: str = "1 minute",
+                        state_partitions: int | None = None) -> list[StreamingQuery]:
     """From one request stream start the three outputs of the reference job.
 
     * sliding counts routed to ten phase topics (K1) -- Kafka when ``phase_sink='kafka'``,
@@ -178,11 +194,12 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
         requests, rejects = parse_requests(requests)
         extra.append(start_stream(rejects, "parquet", f"{out_root}/rejects", f"{checkpoint_root}/rejects",
                                   "request_rejects", available_now=available_now,
-                                  processing_time=processing_time))
+                                  processing_time=processing_time, state_partitions=state_partitions))
     routed = route_by_phase(sliding_counts_stream(requests, slot, slide, watermark), phase_topic)
     hourly = hourly_totals_stream(requests, watermark)
     trend = trending_stream(requests, slots, slot, slide, watermark)
-    common = dict(available_now=available_now, processing_time=processing_time)
+    common = dict(available_now=available_now, processing_time=processing_time,
+                  state_partitions=state_partitions)
     if phase_sink == "kafka":
         q1 = start_stream(routed.select("topic", "key", "value"), "kafka", None,
                           f"{checkpoint_root}/phase", "phase_counts", options=kafka, **common)
