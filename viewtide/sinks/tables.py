@@ -13,31 +13,27 @@ from pyspark.sql import functions as F
 from ..sources.files import list_partition_values
 
 
-def _clustered(df: DataFrame, cols: list[str], files_per_partition: int = 1,
-               salt_key: str = "article") -> DataFrame:
-    """Cluster rows by the partition columns before a partitioned write, so each output folder gets
-    ``files_per_partition`` files instead of one file per writing task (small-file blow-up)."""
-    if files_per_partition <= 1 or salt_key not in df.columns:
-        return df.repartition(*cols)
-    salt = F.pmod(F.hash(salt_key), F.lit(files_per_partition))
-    return df.repartition(*cols, salt)
-
-
-def _overwrite_partitions(df: DataFrame, path: str, cols: list[str], files_per_partition: int = 1) -> None:
-    (_clustered(df, cols, files_per_partition).write.mode("overwrite")
+def _clustered(df: DataFrame, cols: list[str]) -> DataFrame:
+    """REBALANCE by the partition columns before a partitioned write: rows of one output folder
+    meet in few tasks (no file per task per folder), and AQE splits a folder that is too big for one
+    task (e.g. a whole hour of anomaly state) and merges small ones, to the advisory size."""
+    return df.hint("rebalance", *cols)
+
+
+def _overwrite_partitions(df: DataFrame, path: str, cols: list[str]) -> None:
+    (_clustered(df, cols).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
 
 
 # K2 (batch form): the hourly feed, partitioned like the streaming sink writes it
-def write_hourly_totals(df: DataFrame, path: str, files_per_partition: int = 1) -> None:
-    _overwrite_partitions(df.select("date", "hour", "article", "views"), path, ["date", "hour"],
-                          files_per_partition)
+def write_hourly_totals(df: DataFrame, path: str) -> None:
+    _overwrite_partitions(df.select("date", "hour", "article", "views"), path, ["date", "hour"])
 
 
 # Versioned history store  root/as_of=YYYY-MM-DD/hour=H/
-def write_history(hist: DataFrame, root: str, as_of, files_per_hour: int = 1) -> str:
+def write_history(hist: DataFrame, root: str, as_of) -> str:
     path = f"{root.rstrip('/')}/as_of={as_of}"
-    out = _clustered(hist.select("hour", "article", "sum_views", "n", "avg_views"), ["hour"], files_per_hour)
+    out = _clustered(hist.select("hour", "article", "sum_views", "n", "avg_views"), ["hour"])
     out.write.mode("overwrite").partitionBy("hour").parquet(path)
     return path
 
@@ -59,10 +55,10 @@ def read_history(spark: SparkSession, root: str, as_of: str | None = None,
 
 
 # Running anomaly sums per (date, hour)
-def write_anomaly_state(state: DataFrame, root: str, date, hour: int, files: int = 1) -> None:
+def write_anomaly_state(state: DataFrame, root: str, date, hour: int) -> None:
     out = state.select("article", "lhs", "rhs", "canberra_sum",
                        F.lit(date).cast("date").alias("date"), F.lit(hour).cast("int").alias("hour"))
-    _overwrite_partitions(out, root, ["date", "hour"], files)
+    _overwrite_partitions(out, root, ["date", "hour"])
 
 
 def read_anomaly_state(spark: SparkSession, root: str, date, hour: int) -> DataFrame:
