@@ -121,11 +121,26 @@ def hourly_totals_stream(req: DataFrame, watermark: str = "10 minutes", ts: str
 
 # ---------------------------------------------------------------- sinks and the job
 
-def idempotent_batch_writer(path: str, fmt: str = "parquet"):
-    """foreachBatch function (K5/K6): each micro-batch goes to its own ``batch_id=N`` folder with
-    overwrite, so a batch replayed after a failure replaces its own output instead of duplicating."""
+def idempotent_batch_writer(path: str, fmt: str = "parquet", partition_by: list[str] | None = None):
+    """foreachBatch function (K1/K5/K6): each micro-batch goes to its own ``batch_id=N`` folder with
+    overwrite, so a batch replayed after a failure replaces its own output instead of duplicating.
+    Rows are rebalanced by ``partition_by`` first: few files per folder, not one per state task."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        out = batch.hint("rebalance", *partition_by) if partition_by else batch.hint("rebalance")
+        w = out.write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(f"{path}/batch_id={batch_id}")
+    return write
+
+
+def complete_partitions_writer(path: str, partition_by: list[str]):
+    """foreachBatch function (K2) for outputs whose every partition is emitted whole by one batch,
+    as append-mode windows are (an hour's totals leave the state together, once): rebalance, then
+    dynamic partition overwrite -- idempotent on replay, files sized by AQE."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.hint("rebalance", *partition_by).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     return write
 
 
@@ -134,8 +149,8 @@ def start_stream(df: DataFrame, sink: str, path: str | None, checkpoint: str, na
                  processing_time: str | None = None, options: dict | None = None,
                  state_partitions: int | None = None) -> StreamingQuery:
     """Start an append-mode query: ``parquet`` file sink (exactly-once via its manifest),
-    ``kafka`` (needs a ``topic`` or per-row ``topic`` column), or ``batches`` (idempotent
-    foreachBatch folders).
+    ``kafka`` (needs a ``topic`` or per-row ``topic`` column), ``batches`` (idempotent
+    per-batch folders) or ``partitions`` (whole partitions per batch, dynamic overwrite).
 
     ``state_partitions`` fixes the number of state-store partitions of a new query (recorded in its
     checkpoint, so restarts keep it); AQE does not resize stateful stages, so size it to the
@@ -164,7 +179,9 @@ def start_stream(df: DataFrame, sink: str, path: str | None, checkpoint: str, na
     if sink == "kafka":
         return w.format("kafka").options(**(options or {})).start()
     if sink == "batches":
-        return w.foreachBatch(idempotent_batch_writer(path)).start()
+        return w.foreachBatch(idempotent_batch_writer(path, partition_by=partition_by)).start()
+    if sink == "partitions":
+        return w.foreachBatch(complete_partitions_writer(path, partition_by)).start()
     raise ValueError(f"unsupported sink {sink!r}")
 
 
@@ -182,8 +199,9 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
     """From one request stream start the three outputs of the reference job.
 
     * sliding counts routed to ten phase topics (K1) -- Kafka when ``phase_sink='kafka'``,
-      otherwise a parquet table partitioned by topic;
-    * hourly totals (K2), parquet partitioned by date and hour -- the anomaly job's feed;
+      otherwise per-batch folders partitioned by topic;
+    * hourly totals (K2), parquet partitioned by date and hour -- the anomaly job's feed, each hour
+      written whole by the batch that closes it;
     * trending rows (K5), idempotent micro-batch folders.
 
     ``requests`` is either typed (article, ts) or raw lines (a ``value`` column, e.g. from Kafka);
@@ -204,9 +222,9 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
         q1 = start_stream(routed.select("topic", "key", "value"), "kafka", None,
                           f"{checkpoint_root}/phase", "phase_counts", options=kafka, **common)
     else:
-        q1 = start_stream(routed, "parquet", f"{out_root}/phase_counts", f"{checkpoint_root}/phase",
+        q1 = start_stream(routed, "batches", f"{out_root}/phase_counts", f"{checkpoint_root}/phase",
                           "phase_counts", partition_by=["topic"], **common)
-    q2 = start_stream(hourly, "parquet", f"{out_root}/hourly_totals", f"{checkpoint_root}/hourly",
+    q2 = start_stream(hourly, "partitions", f"{out_root}/hourly_totals", f"{checkpoint_root}/hourly",
                       "hourly_totals", partition_by=["date", "hour"], **common)
     q3 = start_stream(trend, "batches", f"{out_root}/trending", f"{checkpoint_root}/trending",
                       "trending", **common)
