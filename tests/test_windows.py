@@ -2,6 +2,7 @@ import datetime as dt
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from viewtide.operators import windows as win
@@ -94,3 +95,37 @@ def test_series_array(spark):
     df = _requests(spark, {"up": FIXTURE["up"]})
     r = win.with_series(win.trend_series(df).where(F.col("window_start") == T0)).first()
     assert r.series == [1, 2, 2, 3, 4, 5] and r.total_views == 17
+
+
+def _brute_series(rows, slots, slot_min, slide_min):
+    """Every window start s (multiple of the slide) whose first slot holds a request -> slot counts."""
+    by_art = defaultdict(list)
+    for art, t in rows:
+        by_art[art].append(int(t.replace(tzinfo=dt.timezone.utc).timestamp()) // 60)
+    out = {}
+    for art, mins in by_art.items():
+        starts = {(m // slide_min - j) * slide_min for m in mins for j in range(slot_min // slide_min)}
+        for s in starts:
+            if not any(s <= m < s + slot_min for m in mins):
+                continue
+            ser = tuple(sum(1 for m in mins if s + k * slot_min <= m < s + (k + 1) * slot_min) or None
+                        for k in range(slots))
+            out[(art, s)] = ser
+    return out
+
+
+
+@pytest.mark.parametrize("slots,slot_min,slide_min,block", [(3, 2, 1, 3600), (6, 10, 5, 7200), (4, 60, 60, 86400),
+                                                            (2, 120, 30, 10800), (1, 5, 5, 3600)])
+def test_series_geometries_match_brute_force(spark, slots, slot_min, slide_min, block):
+    rnd = random.Random(slots * 100 + slot_min)
+    rows = [(rnd.choice("ab"), T0 + dt.timedelta(seconds=rnd.randrange(0, 10 * 3600))) for _ in range(800)]
+    df = spark.createDataFrame(rows, "article string, ts timestamp_ntz")
+    epoch = dt.datetime(1970, 1, 1)
+    got = {(r.article, int((r.window_start - epoch).total_seconds()) // 60): tuple(r[f"s{i}"] for i in range(slots))
+           for r in win.trend_series(df, slots, f"{slot_min} minutes", f"{slide_min} minutes",
+                                     complete_only=False, block_seconds=block).collect()}
+    assert got == _brute_series(rows, slots, slot_min, slide_min)
+    sc = {(r.article, int((r.window_start - epoch).total_seconds()) // 60): r.views
+          for r in win.sliding_counts(df, f"{slot_min} minutes", f"{slide_min} minutes", block_seconds=block).collect()}
+    assert sc == {k: v[0] for k, v in _brute_series(rows, 1, slot_min, slide_min).items()}
