@@ -50,8 +50,9 @@ def test_import_sequence_pairs(spark, tmp_dir):
 
 
 def test_kafka_options():
-    o = kafka_options("h:9092", pattern="pageviews-[0-9]")
+    o = kafka_options("h:9092", pattern="pageviews-[0-9]", max_offsets_per_trigger=10**7, min_partitions=64)
     assert o["subscribePattern"] == "pageviews-[0-9]" and o["kafka.bootstrap.servers"] == "h:9092"
+    assert o["maxOffsetsPerTrigger"] == "10000000" and o["minPartitions"] == "64"
     with pytest.raises(ValueError):
         kafka_options("h:9092")
 

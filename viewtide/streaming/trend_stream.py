@@ -26,11 +26,18 @@ from ..operators.windows import duration_seconds, non_decreasing, route_by_phase
 # ---------------------------------------------------------------- sources
 
 def kafka_options(bootstrap: str, topic: str | None = None, pattern: str | None = None,
-                  starting: str = "latest", **extra: str) -> dict[str, str]:
+                  starting: str = "latest", max_offsets_per_trigger: int | None = None,
+                  min_partitions: int | None = None, **extra: str) -> dict[str, str]:
     """Options for ``readStream.format('kafka')``: one topic or a pattern (``subscribePattern``,
-    e.g. the ten phase topics)."""
+    e.g. the ten phase topics). ``max_offsets_per_trigger`` bounds a micro-batch (a backlog after
+    downtime is worked off in steps, not one giant batch); ``min_partitions`` splits Kafka partitions
+    into more Spark tasks than the topic has partitions."""
     opts = {"kafka.bootstrap.servers": bootstrap, "startingOffsets": starting,
             "failOnDataLoss": "false"}
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     if topic:
         opts["subscribe"] = topic
     elif pattern:
