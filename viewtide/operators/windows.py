@@ -67,7 +67,8 @@ def _block_units(slide_s: int, window_units: int, block_seconds: int) -> int:
 
 def _blocked(m: DataFrame, key: str, block: int, halo: int) -> DataFrame:
     """Assign bucket rows to (key, blk) partitions, copying the first ``halo`` buckets of each block
-    into the previous block; flag ``home`` rows."""
+    into the previous block, whose last windows reach into them. Callers keep only window starts
+    inside a block's own range, so every window is produced exactly once."""
     blk = F.floor(F.col("b") / block).cast("bigint")
     copies = F.when((F.col("b") - blk * block) < halo, F.array(blk, blk - 1)).otherwise(F.array(blk))
     return (m.select(key, "b", "views", F.explode(copies).alias("blk"))
