@@ -64,3 +64,14 @@ def test_anomaly_hours_incremental_job(spark, tmp_dir):
     a = sorted((r.hour, r.rank, r.article, r.distance) for r in spark.read.parquet(out).collect())
     b = sorted((r.hour, r.rank, r.article, r.distance) for r in spark.read.parquet(f"{tmp_dir}/bf").collect())
     assert a == b
+
+
+def test_read_partition_lists_one_folder_and_tolerates_missing(spark, tmp_dir):
+    from viewtide.sources.files import read_feed
+    _feed(spark, f"{tmp_dir}/feed", [("2024-01-01", 0, "a", 1), ("2024-01-01", 5, "b", 2), ("2024-01-02", 0, "c", 3)])
+    one = read_feed(spark, f"{tmp_dir}/feed", date="2024-01-01", hour=5)
+    assert [(str(r.date), r.hour, r.article) for r in one.collect()] == [("2024-01-01", 5, "b")]
+    assert read_feed(spark, f"{tmp_dir}/feed", date="2024-01-01", hour=7).count() == 0
+    assert read_feed(spark, f"{tmp_dir}/feed", date="2024-01-02").count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "hour=5" in plan or "1 paths" in plan

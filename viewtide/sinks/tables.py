@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import list_partition_values
+from ..sources.files import list_partition_values, read_partition
 
 
 def _clustered(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -50,21 +50,25 @@ def read_history(spark: SparkSession, root: str, as_of: str | None = None,
         if not versions:
             raise FileNotFoundError(f"no history version under {root}")
         as_of = versions[-1]
-    df = spark.read.parquet(f"{root.rstrip('/')}/as_of={as_of}")
-    return df.where(F.col("hour") == hour) if hour is not None else df
+    version = f"{root.rstrip('/')}/as_of={as_of}"
+    if hour is not None:
+        return read_partition(spark, version, hour=hour)
+    return spark.read.parquet(version)
 
 
 # Running anomaly sums per (date, hour)
 def write_anomaly_state(state: DataFrame, root: str, date, hour: int) -> None:
-    out = state.select("article", "lhs", "rhs", "canberra_sum",
-                       F.lit(date).cast("date").alias("date"), F.lit(hour).cast("int").alias("hour"))
-    _overwrite_partitions(out, root, ["date", "hour"])
+    """All rows share one (date, hour): write the aggregate's partitions straight into that folder
+    (overwrite of that folder only) -- no rebalance shuffle for a single target folder."""
+    folder = f"{root.rstrip('/')}/date={date}/hour={hour}"
+    state.select("article", "lhs", "rhs", "canberra_sum").write.mode("overwrite").parquet(folder)
 
 
 def read_anomaly_state(spark: SparkSession, root: str, date, hour: int) -> DataFrame:
-    return (spark.read.parquet(root)
-                 .where((F.col("date") == F.lit(date).cast("date")) & (F.col("hour") == hour))
-                 .select("article", "lhs", "rhs", "canberra_sum"))
+    """The running sums of one hour, read from its folder alone (fails if it was never written:
+    an hour cannot be advanced without the previous one)."""
+    folder = f"{root.rstrip('/')}/date={date}/hour={hour}"
+    return spark.read.parquet(folder).select("article", "lhs", "rhs", "canberra_sum")
 
 
 # K7: top anomalies per hour, set semantics per (date, hour, article)

@@ -20,12 +20,32 @@ def read_hourly_logs(spark: SparkSession, root: str) -> DataFrame:
     return df.select("value", F.when(hh != "", hh.cast("int")).alias("hour"))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def read_partition(spark: SparkSession, base: str, **parts) -> DataFrame:
+    """Read one partition folder ``base/k1=v1/k2=v2`` of a partitioned parquet table, listing only
+    that folder (``basePath`` keeps the partition columns). A missing folder -- an hour without
+    traffic -- gives the table's schema with no rows."""
+    base = base.rstrip("/")
+    folder = base + "".join(f"/{k}={v}" for k, v in parts.items())
+    if path_exists(spark, folder):
+        return spark.read.option("basePath", base).parquet(folder)
+    df = spark.read.parquet(base)
+    return df.where(F.lit(False))
+
+
 def read_feed(spark: SparkSession, path: str, date=None, hour: int | None = None) -> DataFrame:
     """The typed hourly-totals table (date, hour, article, views), partitioned by date and
-    hour; filters on them prune partitions."""
-    df = spark.read.parquet(path)
+    hour. A given date (and hour) reads just that folder; otherwise the table is read whole."""
+    if date is not None and hour is not None:
+        return read_partition(spark, path, date=date, hour=hour)
     if date is not None:
-        df = df.where(F.col("date") == F.lit(date).cast("date"))
+        return read_partition(spark, path, date=date)
+    df = spark.read.parquet(path)
     if hour is not None:
         df = df.where(F.col("hour") == F.lit(hour))
     return df
