@@ -17,3 +17,16 @@ def test_cli_anomaly_and_fold(spark, tmp_dir):
     assert got == {"a": 0.5, "b": 1.0}
     cli.main(["fold-day", "--feed", feed, "--history", f"{tmp_dir}/hist", "--date", "2024-01-02"])
     assert tbl.history_versions(spark, f"{tmp_dir}/hist") == ["2024-01-01", "2024-01-02"]
+
+
+def test_cli_stream_parquet_source(spark, tmp_dir):
+    import datetime as dt
+    src = f"{tmp_dir}/src"
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [("up", t0 + dt.timedelta(minutes=10 * k, seconds=j)) for k, c in enumerate([1, 2, 2, 3, 4, 5, 1])
+            for j in range(c)] + [("up", t0 + dt.timedelta(hours=3))]
+    spark.createDataFrame(rows, "event_type string, ts timestamp_ntz").write.parquet(src)
+    cli.main(["stream", "--source", "parquet", "--path", src, "--out", f"{tmp_dir}/out",
+              "--checkpoint", f"{tmp_dir}/ck", "--available-now", "--article-col", "event_type"])
+    assert spark.read.parquet(f"{tmp_dir}/out/trending").count() >= 1
+    assert spark.read.parquet(f"{tmp_dir}/out/hourly_totals").where("hour = 10").first().views == 17

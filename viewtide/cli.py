@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .plans import jobs
 from .session import ensure_checkpoint_dir
@@ -33,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--phase-sink", choices=["kafka", "parquet"], default="parquet")
     s.add_argument("--phase-topic", default="pageviews-")
     s.add_argument("--available-now", action="store_true")
+    s.add_argument("--article-col", default="article", help="parquet source: column holding the article")
+    s.add_argument("--ts-col", default="ts", help="parquet source: event-time column")
 
     b = sub.add_parser("build-history", help="E2: averages from raw hourly log folders")
     b.add_argument("--logs", required=True)
@@ -83,7 +86,8 @@ def main(argv: list[str] | None = None) -> None:
             src = stm.request_stream(spark, "text", args.path)
         else:
             schema = spark.read.parquet(args.path).schema
-            src = stm.request_stream(spark, "parquet", args.path, schema=schema)
+            src = stm.request_stream(spark, "parquet", args.path, schema=schema).select(
+                F.col(args.article_col).alias("article"), F.col(args.ts_col).alias("ts"))
         ck = args.checkpoint or f"{ensure_checkpoint_dir(spark)}/viewtide-stream"
         kafka = {"kafka.bootstrap.servers": args.bootstrap} if args.phase_sink == "kafka" else None
         qs = stm.run_trending_stream(spark, src, args.out, ck, args.watermark, args.phase_sink,
