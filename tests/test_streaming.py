@@ -86,7 +86,9 @@ def test_idempotent_batch_writer(spark, tmp_dir):
     df = spark.createDataFrame(pd.DataFrame({"x": [1, 2]}))
     w(df, 3)
     w(df, 3)  # replay of the same batch
+    w(df.limit(0), 4)  # a no-data batch leaves nothing behind
     assert spark.read.parquet(f"{tmp_dir}/t").count() == 2
+    assert not os.path.exists(f"{tmp_dir}/t/batch_id=4")
 
 
 def test_stream_from_raw_lines_routes_rejects(spark, tmp_dir):

@@ -133,11 +133,19 @@ def idempotent_batch_writer(path: str, fmt: str = "parquet", partition_by: list[
     overwrite, so a batch replayed after a failure replaces its own output instead of duplicating.
     Rows are rebalanced by ``partition_by`` first: few files per folder, not one per state task."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.hint("rebalance", *partition_by) if partition_by else batch.hint("rebalance")
-        w = out.write.mode("overwrite").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(f"{path}/batch_id={batch_id}")
+        # the batch is the output of the stateful plan: cache it so the emptiness check and the write
+        # do not run the micro-batch twice; no-data batches leave no folder behind
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            out = batch.hint("rebalance", *partition_by) if partition_by else batch.hint("rebalance")
+            w = out.write.mode("overwrite").format(fmt)
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.save(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
