@@ -84,3 +84,21 @@ def test_one_exchange_step_equals_two_step(spark, missing):
         state = spark.createDataFrame(two.collect(), two.schema)
     plan = anom.anomaly_step(cur, hist, state, missing)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_zero_mode_fills_hours_missing_on_both_sides(spark):
+    # d: hour 0 both sides, hour 1 nothing at all, hour 3 only today; e appears first at hour 2
+    cur = spark.createDataFrame([(0, "d", 4), (3, "d", 6), (2, "e", 1)], "hour int, article string, views bigint")
+    hist = spark.createDataFrame([(0, "d", 2), (2, "d", 2)], "hour int, article string, avg_views bigint")
+    back = anom.anomaly_backfill(cur, hist, 3, "zero")
+    got = {(r.hour, r.article): (r.lhs, r.rhs) for r in back.collect()}
+    assert got == {(0, "d"): (2, 6), (1, "d"): (2, 6), (2, "d"): (4, 8), (3, "d"): (10, 14),
+                   (2, "e"): (1, 1), (3, "e"): (1, 1)}
+    state = None
+    for h in range(4):
+        state = anom.anomaly_step(cur.where(F.col("hour") == h), hist.where(F.col("hour") == h), state, "zero")
+        state = spark.createDataFrame(state.collect(), state.schema)
+        assert sorted((r.article, r.lhs, r.rhs) for r in state.collect()) == \
+            sorted((a, l, r) for (hh, a), (l, r) in got.items() if hh == h)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -133,15 +133,18 @@ def anomaly_backfill(cur: DataFrame, hist: DataFrame, last_hour: int = 23, missi
     Output: hour, key, lhs, rhs, canberra_sum -- one row per article and hour in which the
     incremental chain would hold a state row for it.
 
-    Each hourly term row is copied forward to the hours h >= its own (at most 24 copies) and summed
-    per (key, h). One exchange on ``key`` serves both the pairing aggregate and this one, and a key's
-    group is bounded by 24 x 24 rows however hot the article is.
+    One exchange on ``key``: the pairing aggregate, the gap fill and the running-sum window all run
+    inside it, and an article's group is at most 24 rows however hot the article is.
+    ``missing='drop'``: keep an hour only if the article was present in every hour 0..h (running
+    count = h + 1). ``missing='zero'``: from its first hour on, an article has a row in every hour;
+    hours without either side get zero terms (each row is extended to the hour before the next one).
     """
     _check(missing)
-    c = cur.where(F.col("hour") <= last_hour).select("hour", key, views)
-    h = hist.where(F.col("hour") <= last_hour).select("hour", key, avg)
-    c = c.select("hour", key, F.col(views).cast("bigint").alias("_c"), F.lit(None).cast("bigint").alias("_a"))
-    h = h.select("hour", key, F.lit(None).cast("bigint").alias("_c"), F.col(avg).cast("bigint").alias("_a"))
+    nb = F.lit(None).cast("bigint")
+    c = cur.where(F.col("hour") <= last_hour).select("hour", key, F.col(views).cast("bigint").alias("_c"),
+                                                     nb.alias("_a"))
+    h = hist.where(F.col("hour") <= last_hour).select("hour", key, nb.alias("_c"),
+                                                      F.col(avg).cast("bigint").alias("_a"))
     g = (c.unionByName(h).repartition(key)
           .groupBy("hour", key).agg(F.sum("_c").alias("c"), F.max("_a").alias("a")))
     if missing == "drop":
@@ -149,18 +152,24 @@ def anomaly_backfill(cur: DataFrame, hist: DataFrame, last_hour: int = 23, missi
     else:
         g = g.select("hour", key, F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("a", F.lit(0)).alias("a"))
     t = g.select("hour", key, *_terms_from(F.col("c"), F.col("a")))
-    fwd = t.select(key, "lhs", "rhs", "canberra_sum",
-                   F.explode(F.sequence(F.col("hour"), F.lit(last_hour))).alias("h"),
-                   F.col("hour"))
-    run = (fwd.groupBy(key, "h")
-              .agg(F.sum("lhs").alias("lhs"), F.sum("rhs").alias("rhs"),
-                   F.sum("canberra_sum").alias("canberra_sum"), F.count(F.lit(1)).alias("_k")))
+    if missing == "zero":
+        nxt = F.lead("hour", 1, last_hour + 1).over(Window.partitionBy(key).orderBy("hour"))
+        t = t.withColumn("_next", nxt).select(
+            key, "lhs", "rhs", "canberra_sum", "hour",
+            F.explode(F.sequence(F.col("hour"), F.col("_next") - 1)).alias("_h"))
+        keep = F.col("_h") == F.col("hour")
+        t = t.select(F.col("_h").alias("hour"), key,
+                     *[F.when(keep, F.col(m)).otherwise(F.lit(0)).alias(m) for m in ("lhs", "rhs")],
+                     F.when(keep, F.col("canberra_sum")).otherwise(F.lit(0.0)).alias("canberra_sum"))
+    run = Window.partitionBy(key).orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = t.select(F.col("hour").cast("int").alias("hour"), key,
+                   F.sum("lhs").over(run).cast("bigint").alias("lhs"),
+                   F.sum("rhs").over(run).cast("bigint").alias("rhs"),
+                   F.sum("canberra_sum").over(run).alias("canberra_sum"),
+                   F.count(F.lit(1)).over(run).alias("_k"))
     if missing == "drop":
-        # present in every hour 0..h: exactly h+1 contributing hours
-        run = run.where(F.col("_k") == F.col("h") + 1)
-    return run.select(F.col("h").cast("int").alias("hour"), key,
-                      F.col("lhs").cast("bigint").alias("lhs"), F.col("rhs").cast("bigint").alias("rhs"),
-                      "canberra_sum")
+        out = out.where(F.col("_k") == F.col("hour") + 1)
+    return out.drop("_k")
 
 
 def with_distance(df: DataFrame, method: str = "ratio", digits: int | None = None) -> DataFrame:
