@@ -43,8 +43,10 @@ def main() -> None:
         df = fn(spark, sf)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()  # run this very plan, so AQE's final plan (with codegen stages) is shown
-        plan = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+        full = qe.executedPlan().toString()
+        plan = full.split("== Initial Plan ==")[0]
         s = shape(plan)
+        s["read schema"] = shape(full)["read schema"]  # finished stages are not expanded in the final plan
         cols = "; ".join(x.replace("struct<", "").replace(">", "") for x in s["read schema"])
         out.append(f"| {name} | {s['hash exchanges']} | {s['single-row exchanges']} | {s['codegen stages']} | "
                    f"{s['joins']} | {s['python']} | {'yes' if s['partial top-k'] else ''} | {cols} |")
