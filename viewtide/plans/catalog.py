@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import parse_trending_text, series_text
+from ..functions.text import parse_trending_text, series_text, trending_text
 from ..functions.timecols import to_wall_time
 from ..operators import anomaly as anom
 from ..operators import history as hist_ops
@@ -170,10 +170,11 @@ SERVE_N = 10
 
 
 def q_parse_trending_text(spark: SparkSession, sf: str) -> DataFrame:
-    """F9 -> F10 round trip: the pushed text rows parsed back."""
-    rows = srv.serving_rows(q_trending_hour(spark, sf), SERVE_N)
-    art, clock, series = parse_trending_text(F.col("text_row"))
-    return rows.select(art.alias("article"), clock.alias("clock"), series_text(series).alias("series"))
+    """F9 -> F10 round trip over every trending row: format the pushed text row, parse it back."""
+    tr = q_trending_hour(spark, sf)
+    text = trending_text(F.col("article"), F.col("window_start"), F.array(*win.slot_names(SLOTS)))
+    art, clock, series = parse_trending_text(text)
+    return tr.select(art.alias("article"), clock.alias("clock"), series_text(series).alias("series"))
 
 
 def q_promote_day(spark: SparkSession, sf: str) -> DataFrame:

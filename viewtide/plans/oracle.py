@@ -216,7 +216,7 @@ WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
     "phase_counts_stream": f"""SELECT * FROM ({_PHASE})
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
     "parse_trending_text": f"""SELECT article, strftime(window_start, '%H:%M:%S') AS clock,
-       concat_ws(':', s0, s1, s2, s3, s4, s5) AS series FROM ({_LATEST})""",
+       concat_ws(':', s0, s1, s2, s3, s4, s5) AS series FROM ({_trend_sql(10, 6, 1, True)})""",
     "promote_day": f"""SELECT * FROM ({_HOURLY}) WHERE date = (SELECT max(CAST(ts AS DATE)) FROM events)""",
     "hourly_totals_stream": f"""SELECT * FROM ({_HOURLY})
 WHERE CAST(date AS TIMESTAMP) + to_hours(hour + 1) <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
