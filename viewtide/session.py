@@ -6,7 +6,6 @@ Jobs never build their own SparkSession on a cluster: they take the one they are
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -97,16 +96,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique folder under the shared checkpoint folder, for written tables and stream state."""
     root = ensure_checkpoint_dir(spark)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def strip_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    p = strip_scheme(path)
-    return os.path.abspath(p)
