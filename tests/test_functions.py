@@ -58,3 +58,35 @@ def test_event_time_round_trip_is_zone_free(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r.u == 1704103200123456
     assert r.w == t
+
+
+def _ip_model(ip):
+    """The rule as specified: non-empty; four dot-separated parts once trailing empty parts are
+    dropped; each an integer with optional sign, 0..255; no trailing dot."""
+    import re
+    if not ip:
+        return False
+    parts = ip.split(".")
+    while parts and parts[-1] == "":
+        parts.pop()
+    if len(parts) != 4 or ip.endswith("."):
+        return False
+    for p in parts:
+        if not re.fullmatch(r"[+-]?[0-9]+", p):
+            return False
+        v = int(p)
+        if not (-2**31 <= v < 2**31) or not (0 <= v <= 255):
+            return False
+    return True
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.+- ", min_size=0, max_size=18), min_size=40, max_size=80))
+def test_ipv4_rule_matches_model(spark, ips):
+    ips = ips + ["1.2.3.4", "255.255.255.255", "0.0.0.256", "+1.-0.00.9", "1.2.3.4.."]
+    df = spark.createDataFrame([(i, ip) for i, ip in enumerate(ips)], "i int, ip string")
+    got = {r.i: r.ok for r in df.select("i", is_valid_ipv4("ip").alias("ok")).collect()}
+    assert all(got[i] == _ip_model(ip) for i, ip in enumerate(ips))

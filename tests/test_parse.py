@@ -60,3 +60,26 @@ def test_catalogue(spark, tmp_dir):
     assert sorted(r.article for r in read_catalogue(spark, p).collect()) == ["katze", "main_page"]
     df = spark.createDataFrame([("small ring",)], "value string")
     assert catalogue_from_lines(df).first().article == "ring"
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+def _java_field_count(line):
+    """Java String.split(sep) with limit 0: split, then drop trailing empty strings; a string with
+    no separator is one field."""
+    if "\t" not in line:
+        return 1
+    parts = line.split("\t")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return len(parts)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="ab\t ", min_size=0, max_size=10), min_size=30, max_size=60))
+def test_field_count_regex_matches_java_split(spark, lines):
+    from viewtide.operators.parse import _min_java_fields
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
+    got = {r.i: r.ok for r in df.select("i", _min_java_fields("value", "\t", 3).alias("ok")).collect()}
+    assert all(got[i] == (_java_field_count(v) >= 3) for i, v in enumerate(lines))
