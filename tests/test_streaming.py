@@ -79,6 +79,9 @@ def test_run_trending_stream_job(spark, tmp_dir):
     assert topics == {f"pageviews-{d}" for d in range(10)}
     hourly = {(r.hour, r.views) for r in spark.read.parquet(f"{tmp_dir}/out/hourly_totals").collect()}
     assert (10, 17) in hourly
+    from viewtide.plans.jobs import serve
+    served = serve(spark, f"{tmp_dir}/out/trending", 10).collect()
+    assert served and served[0].series.count(":") == 5 and served[0].url.endswith("/up")
 
 
 def test_idempotent_batch_writer(spark, tmp_dir):
