@@ -21,9 +21,18 @@ def read_hourly_logs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
+    """Whether a table folder exists and holds data (Hadoop FS check; DataFrame probe without a
+    local JVM, e.g. Spark Connect)."""
+    try:
+        jvm = spark._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath))
+    except AttributeError:
+        try:
+            spark.read.parquet(path).schema  # resolves the file listing only
+            return True
+        except Exception:
+            return False
 
 
 def read_partition(spark: SparkSession, base: str, **parts) -> DataFrame:
@@ -76,8 +85,18 @@ def import_sequence_pairs(spark: SparkSession, path: str, key: str = "article",
 
 
 def list_partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
-    """Names ``column=value`` of the sub-folders of ``root`` (directory listing only, no scan)."""
-    jvm = spark._jvm
+    """Names ``column=value`` of the sub-folders of ``root`` (directory listing only, no scan).
+    Without a local JVM (Spark Connect) the partition column is read instead; it has one value per
+    version, so the result stays small."""
+    try:
+        jvm = spark._jvm
+    except AttributeError:
+        jvm = None
+    if jvm is None:
+        if not path_exists(spark, root):
+            return []
+        vals = spark.read.parquet(root).select(F.col(column).cast("string")).distinct().collect()
+        return sorted(r[0] for r in vals)
     hpath = jvm.org.apache.hadoop.fs.Path(root)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
