@@ -21,7 +21,9 @@ def build_history(spark: SparkSession, logs_root: str, history_root: str, as_of,
                   rejects_path: str | None = None) -> str:
     """The historical hourly averages from raw hourly logs (all 24 hour folders, one job).
 
-    ``project`` keeps only one project code (the reference merges all, D20).
+    ``project`` keeps only one project code (the reference merges all, D20). ``rejects_path``
+    also writes the malformed lines; that is a second pass over the logs (the good rows leave this
+    job aggregated, the rejects as raw lines), so leave it unset for routine rebuilds.
     """
     good, bad = parse_hourly_logs(read_hourly_logs(spark, logs_root))
     if project is not None:
