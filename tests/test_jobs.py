@@ -75,3 +75,16 @@ def test_read_partition_lists_one_folder_and_tolerates_missing(spark, tmp_dir):
     assert read_feed(spark, f"{tmp_dir}/feed", date="2024-01-02").count() == 1
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "hour=5" in plan or "1 paths" in plan
+
+
+def test_scoring_uses_history_before_the_day(spark, tmp_dir):
+    """Folding the day first must not change that day's scores."""
+    feed, hist = f"{tmp_dir}/feed", f"{tmp_dir}/hist"
+    _feed(spark, feed, [("2024-01-01", 0, "a", 10), ("2024-01-02", 0, "a", 30)])
+    jobs.seed_history_from_feed(spark, feed, hist, "2024-01-01")
+    before = jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s1", f"{tmp_dir}/o1", "2024-01-02", 0,
+                                   missing="zero").collect()
+    jobs.fold_day(spark, feed, hist, "2024-01-02")
+    after = jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s2", f"{tmp_dir}/o2", "2024-01-02", 0,
+                                  missing="zero").collect()
+    assert [(r.article, r.distance) for r in before] == [(r.article, r.distance) for r in after] == [("a", 0.5)]

@@ -68,7 +68,9 @@ def run_anomaly_hour(spark: SparkSession, feed_path: str, history_root: str, sta
 
     Reads one hour of feed, one hour of history and the state of hour-1 (all partition-pruned),
     writes the state of this hour, then ranks from the written state. Returns the ranked rows.
+    The history defaults to the latest version before ``date`` (never one that already holds it).
     """
+    as_of = as_of or tbl.history_version_before(spark, history_root, date)
     cur = read_feed(spark, feed_path, date=date, hour=hour)
     hist = tbl.read_history(spark, history_root, as_of, hour=hour)
     prev = tbl.read_anomaly_state(spark, state_root, date, hour - 1) if hour > 0 else None
@@ -85,7 +87,9 @@ def run_anomaly_hour(spark: SparkSession, feed_path: str, history_root: str, sta
 def backfill_anomalies(spark: SparkSession, feed_path: str, history_root: str, anomalies_root: str,
                        date, k: int = 5, missing: str = "drop", method: str = "ratio",
                        last_hour: int = 23, as_of: str | None = None) -> None:
-    """W1 as a job: every hour of a day in one pass (re-scoring a past day, or catching up)."""
+    """W1 as a job: every hour of a day in one pass (re-scoring a past day, or catching up),
+    against the latest history version before ``date`` unless ``as_of`` is given."""
+    as_of = as_of or tbl.history_version_before(spark, history_root, date)
     cur = read_feed(spark, feed_path, date=date)
     hist = tbl.read_history(spark, history_root, as_of)
     run = anom.anomaly_backfill(cur, hist, last_hour, missing)

@@ -42,6 +42,15 @@ def history_versions(spark: SparkSession, root: str) -> list[str]:
     return list_partition_values(spark, root, "as_of")
 
 
+def history_version_before(spark: SparkSession, root: str, date) -> str:
+    """The latest history version strictly before ``date``: the history a day is scored against,
+    whether the day is live or re-scored later (a version that already folded the day is skipped)."""
+    older = [v for v in history_versions(spark, root) if v < str(date)]
+    if not older:
+        raise FileNotFoundError(f"no history version before {date} under {root}")
+    return older[-1]
+
+
 def read_history(spark: SparkSession, root: str, as_of: str | None = None,
                  hour: int | None = None) -> DataFrame:
     """One version of the history (the latest when ``as_of`` is None); ``hour`` prunes."""
