@@ -88,3 +88,15 @@ def test_scoring_uses_history_before_the_day(spark, tmp_dir):
     after = jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s2", f"{tmp_dir}/o2", "2024-01-02", 0,
                                   missing="zero").collect()
     assert [(r.article, r.distance) for r in before] == [(r.article, r.distance) for r in after] == [("a", 0.5)]
+
+
+def test_anomaly_hour_requires_written_feed(spark, tmp_dir):
+    feed, hist = f"{tmp_dir}/feed", f"{tmp_dir}/hist"
+    _feed(spark, feed, [("2024-01-01", 0, "a", 10), ("2024-01-02", 0, "a", 30)])
+    jobs.seed_history_from_feed(spark, feed, hist, "2024-01-01")
+    with pytest.raises(FileNotFoundError):
+        jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s", f"{tmp_dir}/o", "2024-01-02", 1)
+    jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s", f"{tmp_dir}/o", "2024-01-02", 0, missing="zero")
+    got = jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s", f"{tmp_dir}/o", "2024-01-02", 1,
+                                missing="zero", require_feed=False).collect()
+    assert [(r.article, r.distance) for r in got] == [("a", 0.5)]  # carried from hour 0

@@ -55,6 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("-k", type=int, default=5)
     a.add_argument("--missing", choices=["drop", "zero"], default="drop")
     a.add_argument("--method", choices=["ratio", "canberra"], default="ratio")
+    a.add_argument("--allow-missing-feed", action="store_true",
+                   help="score an hour with no feed folder as an hour without traffic")
 
     f = sub.add_parser("backfill", help="W1: score every hour of a day in one job")
     for n in ("--feed", "--history", "--out", "--date"):
@@ -98,7 +100,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.build_history(spark, args.logs, args.history, args.as_of, args.project, args.exact, args.rejects)
     elif args.cmd == "anomaly-hour":
         jobs.run_anomaly_hour(spark, args.feed, args.history, args.state, args.out, args.date, args.hour,
-                              args.k, args.missing, args.method)
+                              args.k, args.missing, args.method,
+                              require_feed=not args.allow_missing_feed)
     elif args.cmd == "backfill":
         jobs.backfill_anomalies(spark, args.feed, args.history, args.out, args.date, args.k, args.missing,
                                 args.method)

@@ -13,7 +13,7 @@ from ..operators import history as hist_ops
 from ..operators.parse import parse_hourly_logs
 from ..operators.serving import serving_rows
 from ..sinks import tables as tbl
-from ..sources.files import read_feed, read_hourly_logs
+from ..sources.files import path_exists, read_feed, read_hourly_logs
 
 
 def build_history(spark: SparkSession, logs_root: str, history_root: str, as_of,
@@ -63,13 +63,18 @@ def fold_day(spark: SparkSession, feed_path: str, history_root: str, date,
 
 def run_anomaly_hour(spark: SparkSession, feed_path: str, history_root: str, state_root: str,
                      anomalies_root: str, date, hour: int, k: int = 5, missing: str = "drop",
-                     method: str = "ratio", as_of: str | None = None) -> DataFrame:
+                     method: str = "ratio", as_of: str | None = None,
+                     require_feed: bool = True) -> DataFrame:
     """Score hour ``hour`` of ``date`` incrementally and publish the top ``k``.
 
     Reads one hour of feed, one hour of history and the state of hour-1 (all partition-pruned),
     writes the state of this hour, then ranks from the written state. Returns the ranked rows.
     The history defaults to the latest version before ``date`` (never one that already holds it).
+    With ``require_feed`` an hour the stream has not written yet is an error (retry later), not an
+    hour without traffic.
     """
+    if require_feed and not path_exists(spark, f"{feed_path.rstrip('/')}/date={date}/hour={hour}"):
+        raise FileNotFoundError(f"feed for {date} hour {hour} is not written yet under {feed_path}")
     as_of = as_of or tbl.history_version_before(spark, history_root, date)
     cur = read_feed(spark, feed_path, date=date, hour=hour)
     hist = tbl.read_history(spark, history_root, as_of, hour=hour)
