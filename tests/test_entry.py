@@ -40,3 +40,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(srows, df.columns)[0] == digest(drows, dcols)[0]
+
+
+@pytest.mark.parametrize("name", ["trending_day", "hourly_totals", "parse_requests", "phase_routed_counts",
+                                  "serving_rows", "hourly_totals_stream", "anomaly_backfill_zero"])
+def test_queries_do_not_depend_on_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")  # +05:30: not a whole hour
+        df = queries()[name](spark, SF_SMALL)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    assert digest(srows, df.columns)[0] == digest(res.fetchall(), dcols)[0]
