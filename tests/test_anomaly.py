@@ -102,3 +102,56 @@ def test_zero_mode_fills_hours_missing_on_both_sides(spark):
             sorted((a, l, r) for (hh, a), (l, r) in got.items() if hh == h)
     plan = back._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_cell = st.one_of(st.none(), st.integers(min_value=0, max_value=20))
+
+
+def _model(cur, hist, hours, missing):
+    """Hour by hour, as the reference's chain of joins does: state (lhs, rhs, canberra) per article."""
+    state, out = {}, {}
+    for h in range(hours):
+        arts = set(cur) | set(hist)
+        terms = {}
+        for a in arts:
+            c, v = cur.get(a, [None] * hours)[h], hist.get(a, [None] * hours)[h]
+            if missing == "drop" and (c is None or v is None):
+                continue
+            if missing == "zero" and c is None and v is None:
+                continue
+            c, v = c or 0, v or 0
+            terms[a] = (abs(c - v), c + v, abs(c - v) / (c + v) if c + v else 0.0)
+        if missing == "drop":
+            keys = set(terms) if h == 0 else set(terms) & set(state)
+        else:
+            keys = set(terms) | set(state)
+        state = {a: tuple(x + y for x, y in zip(state.get(a, (0, 0, 0.0)), terms.get(a, (0, 0, 0.0))))
+                 for a in keys}
+        for a, v in state.items():
+            out[(h, a)] = v
+    return out
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.dictionaries(st.sampled_from("abc"), st.lists(_cell, min_size=5, max_size=5), max_size=3),
+       st.dictionaries(st.sampled_from("abc"), st.lists(_cell, min_size=5, max_size=5), max_size=3),
+       st.sampled_from(["drop", "zero"]))
+def test_backfill_and_step_match_model(spark, cur, hist, missing):
+    crow = [(h, a, v) for a, vs in cur.items() for h, v in enumerate(vs) if v is not None]
+    hrow = [(h, a, v) for a, vs in hist.items() for h, v in enumerate(vs) if v is not None]
+    cdf = spark.createDataFrame(crow, "hour int, article string, views bigint")
+    hdf = spark.createDataFrame(hrow, "hour int, article string, avg_views bigint")
+    want = _model(cur, hist, 5, missing)
+    got = {(r.hour, r.article): (r.lhs, r.rhs, r.canberra_sum)
+           for r in anom.anomaly_backfill(cdf, hdf, 4, missing).collect()}
+    assert set(got) == set(want)
+    for k, (l, r, b) in want.items():
+        assert got[k][:2] == (l, r) and got[k][2] == pytest.approx(b)
+    state = None
+    for h in range(5):
+        state = anom.anomaly_step(cdf.where(F.col("hour") == h), hdf.where(F.col("hour") == h), state, missing)
+        state = spark.createDataFrame(state.collect(), state.schema)
+        assert {r.article: (r.lhs, r.rhs) for r in state.collect()} == \
+            {a: v[:2] for (hh, a), v in want.items() if hh == h}
