@@ -35,3 +35,27 @@ def test_exact_average(spark):
         spark.createDataFrame([(0, "x", 7), (0, "x", 8)], "hour int, article string, views bigint"),
         exact=True).collect()}
     assert got == {"x": 7.5}
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_obs = st.tuples(st.integers(0, 2), st.sampled_from("abcd"), st.integers(0, 50))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(_obs, max_size=8), min_size=2, max_size=4))
+def test_fold_equals_recompute_property(spark, days):
+    schema = "hour int, article string, views bigint"
+    # the fold counts a day's rows for one (hour, article) as one observation: model that directly
+    def day_obs(d):
+        agg = {}
+        for h, a, v in d:
+            agg[(h, a)] = agg.get((h, a), 0) + v
+        return [(h, a, v) for (h, a), v in agg.items()]
+    hist = historical_average(spark.createDataFrame(day_obs(days[0]), schema))
+    for d in days[1:]:
+        hist = update_history(hist, spark.createDataFrame(d, schema))
+        hist = spark.createDataFrame(hist.collect(), hist.schema)
+    full = historical_average(spark.createDataFrame([o for d in days for o in day_obs(d)], schema))
+    key = lambda df: sorted((r.hour, r.article, r.sum_views, r.n, r.avg_views) for r in df.collect())
+    assert key(hist) == key(full)
