@@ -63,14 +63,19 @@ def date_of(sec) -> Column:
     return F.date_from_unix_date(F.floor(_col(sec) / 86400).cast("int"))
 
 
-# clock stamp of a window (the reference stamped h:m:s; we format the window start)
-def clock_stamp(ts) -> Column:
-    return F.date_format(_col(ts), "HH:mm:ss")
+def wall_clock(ts, like: T.DataType) -> Column:
+    """``ts`` as UTC wall time: NTZ stays as is, TIMESTAMP is converted (zone-free)."""
+    return _col(ts) if isinstance(like, T.TimestampNTZType) else to_wall_time(ts)
 
 
-# phase = last digit of the window start's minute
+# clock stamp of a window start, `HH:mm:ss` in UTC wall time
+def clock_stamp(ts, like: T.DataType = T.TimestampNTZType()) -> Column:
+    return F.date_format(wall_clock(ts, like), "HH:mm:ss")
+
+
+# phase = last digit of the window start's minute (epoch arithmetic: zone-free)
 def phase(ts) -> Column:
-    return (F.minute(_col(ts)) % 10).cast("int")
+    return (F.floor(F.unix_timestamp(_col(ts)) / 60) % 10).cast("int")
 
 
 # zero padded hour, the folder name of an hour

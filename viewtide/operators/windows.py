@@ -26,8 +26,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timecols import (date_of, epoch_bucket, from_epoch_seconds_ntz, hour_of_day,
-                                  to_wall_time)
+from ..functions.timecols import (clock_stamp, date_of, epoch_bucket, from_epoch_seconds_ntz,
+                                  hour_of_day, phase)
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
@@ -184,15 +184,13 @@ def route_by_phase(counts: DataFrame, base_topic: str, ts: str = "window_start",
     The digit and the clock come from epoch arithmetic / UTC wall time, so TIMESTAMP windows (from a
     stream) route the same way whatever the session time zone.
     """
-    wall = F.col(ts)
-    if not isinstance(counts.schema[ts].dataType, T.TimestampNTZType):
-        wall = to_wall_time(F.col(ts))
-    ph = (F.floor(F.unix_timestamp(F.col(ts)) / 60) % 10).cast("int")
+    ph = phase(ts)
     return counts.select(
         "*",
         ph.alias("phase"),
         F.concat(F.lit(base_topic), ph.cast("string")).alias("topic"),
         F.col(key).cast("string").alias("key"),
-        F.concat_ws("\t", F.col(key), F.date_format(wall, "HH:mm:ss"), F.col(views).cast("string"))
+        F.concat_ws("\t", F.col(key), clock_stamp(ts, counts.schema[ts].dataType),
+                    F.col(views).cast("string"))
          .alias("value"),
     )
