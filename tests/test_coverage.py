@@ -113,3 +113,18 @@ def test_cluster_conf_sizes_shuffle():
     c = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
     parts = int(c["spark.sql.shuffle.partitions"])
     assert parts % 8000 == 0 and parts * (256 << 20) >= 25 * 10**12
+
+
+def test_serving_stream_rows_ignore_session_zone(spark):
+    from viewtide.operators.serving import serving_rows
+    t = dt.datetime(2024, 1, 1, 23, 35, 7, tzinfo=dt.timezone.utc)
+    rows = [("x", t, t + dt.timedelta(hours=1), 1, 2, 3, 4, 5, 6)]
+    df = spark.createDataFrame(rows, "article string, window_start timestamp, window_end timestamp, "
+                                     "s0 bigint, s1 bigint, s2 bigint, s3 bigint, s4 bigint, s5 bigint")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        r = serving_rows(df, 10).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.labels.split(",")[0] == "23:35:07" and r.text_row == "x\t23:35:07\t1:2:3:4:5:6"
