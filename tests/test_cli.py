@@ -30,3 +30,24 @@ def test_cli_stream_parquet_source(spark, tmp_dir):
               "--checkpoint", f"{tmp_dir}/ck", "--available-now", "--article-col", "event_type"])
     assert spark.read.parquet(f"{tmp_dir}/out/trending").count() >= 1
     assert spark.read.parquet(f"{tmp_dir}/out/hourly_totals").where("hour = 10").first().views == 17
+
+
+def test_cli_build_history_and_backfill(spark, tmp_dir):
+    import os
+    logs = f"{tmp_dir}/logs"
+    os.makedirs(f"{logs}/00")
+    with open(f"{logs}/00/part-0", "w") as f:
+        f.write("en A 10 1\nen B 4 1\nbad line\n")
+    cli.main(["build-history", "--logs", logs, "--history", f"{tmp_dir}/hist", "--as-of", "2024-01-01",
+              "--rejects", f"{tmp_dir}/rej"])
+    assert spark.read.parquet(f"{tmp_dir}/rej").count() == 1
+    feed = f"{tmp_dir}/feed"
+    tbl.write_hourly_totals(spark.createDataFrame([("2024-01-02", 0, "a", 30), ("2024-01-02", 0, "b", 4)],
+                                                  "date string, hour int, article string, views bigint")
+                            .withColumn("date", F.col("date").cast("date")), feed)
+    cli.main(["backfill", "--feed", feed, "--history", f"{tmp_dir}/hist", "--out", f"{tmp_dir}/an",
+              "--date", "2024-01-02", "--missing", "zero", "-k", "1"])
+    got = {(r.hour, r.rank, r.article, round(r.distance, 6)) for r in spark.read.parquet(f"{tmp_dir}/an").collect()}
+    # history from the logs: a = 10, b = 4 at hour 0; today a = 30 -> 20/40, b = 4 -> 0; zero mode
+    # carries both through hours 1..23, and k = 1 keeps a
+    assert got == {(h, 1, "a", 0.5) for h in range(24)}
