@@ -77,11 +77,28 @@ def bucket_counts_stream(req: DataFrame, bucket: str = "1 minute", watermark: st
                .agg(F.count(F.lit(1)).alias("views")))
 
 
+def _buckets(req: DataFrame, bucket: str, watermark: str, ts: str, key: str,
+             weight: str | None) -> DataFrame:
+    """(key, _t, _bsec, views) per slide bucket: ``_t`` is the watermarked event time the next
+    window groups on, ``_bsec`` the bucket start in epoch seconds.
+
+    Raw requests (``weight`` None) are counted here in a tumbling window; rows already counted per
+    bucket (a pre-count table: key, ts = bucket start, ``weight``) are only watermarked."""
+    if weight is None:
+        b = bucket_counts_stream(req, bucket, watermark, ts, key)
+        return b.select(F.col(key), F.window_time("b").alias("_t"),
+                        F.unix_timestamp(F.col("b.start")).alias("_bsec"), F.col("views"))
+    req = as_event_time(req, ts).withWatermark(ts, watermark)
+    return req.select(F.col(key), F.col(ts).alias("_t"), F.unix_timestamp(F.col(ts)).alias("_bsec"),
+                      F.col(weight).cast("bigint").alias("views"))
+
+
 def sliding_counts_stream(req: DataFrame, size: str = "10 minutes", slide: str = "1 minute",
-                          watermark: str = "10 minutes", ts: str = "ts", key: str = "article") -> DataFrame:
+                          watermark: str = "10 minutes", ts: str = "ts", key: str = "article",
+                          weight: str | None = None) -> DataFrame:
     """M4: sliding counts, emitted once the watermark closes each window."""
-    b = bucket_counts_stream(req, slide, watermark, ts, key)
-    g = (b.groupBy(F.window(F.window_time("b"), size, slide).alias("window"), F.col(key))
+    b = _buckets(req, slide, watermark, ts, key, weight)
+    g = (b.groupBy(F.window("_t", size, slide).alias("window"), F.col(key))
           .agg(F.sum("views").cast("bigint").alias("views")))
     return g.select(key, F.col("window.start").alias("window_start"),
                     F.col("window.end").alias("window_end"), "views")
@@ -89,15 +106,15 @@ def sliding_counts_stream(req: DataFrame, size: str = "10 minutes", slide: str =
 
 def trend_series_stream(req: DataFrame, slots: int = 6, slot: str = "10 minutes",
                         slide: str = "1 minute", watermark: str = "10 minutes", ts: str = "ts",
-                        key: str = "article") -> DataFrame:
+                        key: str = "article", weight: str | None = None) -> DataFrame:
     """M5 + P7: complete six-slot series per sliding window (NULL slot = no request, incomplete)."""
     slot_s, slide_s = duration_seconds(slot), duration_seconds(slide)
     if slot_s % slide_s:
         raise ValueError("slot width must be a multiple of the slide")
     span = f"{slots * slot_s} seconds"
-    b = bucket_counts_stream(req, f"{slide_s} seconds", watermark, ts, key)
-    k = F.floor((F.unix_timestamp(F.col("b.start")) - F.unix_timestamp(F.col("window.start"))) / slot_s)
-    wdf = b.select(F.window(F.window_time("b"), span, f"{slide_s} seconds").alias("window"), key, "b", "views")
+    b = _buckets(req, f"{slide_s} seconds", watermark, ts, key, weight)
+    k = F.floor((F.col("_bsec") - F.unix_timestamp(F.col("window.start"))) / slot_s)
+    wdf = b.select(F.window("_t", span, f"{slide_s} seconds").alias("window"), key, "_bsec", "views")
     g = wdf.groupBy("window", key).agg(
         *[F.sum(F.when(k == i, F.col("views"))).cast("bigint").alias(f"s{i}") for i in range(slots)])
     names = slot_names(slots)
@@ -109,19 +126,22 @@ def trend_series_stream(req: DataFrame, slots: int = 6, slot: str = "10 minutes"
 
 
 def trending_stream(req: DataFrame, slots: int = 6, slot: str = "10 minutes", slide: str = "1 minute",
-                    watermark: str = "10 minutes", ts: str = "ts", key: str = "article") -> DataFrame:
+                    watermark: str = "10 minutes", ts: str = "ts", key: str = "article",
+                    weight: str | None = None) -> DataFrame:
     """M6: the trending filter on the closed series (stateless after the stateful aggregate)."""
-    ser = trend_series_stream(req, slots, slot, slide, watermark, ts, key)
+    ser = trend_series_stream(req, slots, slot, slide, watermark, ts, key, weight)
     return ser.where(non_decreasing(slot_names(slots)))
 
 
 def hourly_totals_stream(req: DataFrame, watermark: str = "10 minutes", ts: str = "ts",
-                         key: str = "article") -> DataFrame:
-    """Tumbling one-hour counts labelled by the window start's UTC date and hour."""
+                         key: str = "article", weight: str | None = None) -> DataFrame:
+    """Tumbling one-hour counts labelled by the window start's UTC date and hour.
+    With ``weight`` the input is a pre-count table whose buckets divide the hour."""
     req = as_event_time(req, ts)
+    agg = F.count(F.lit(1)) if weight is None else F.sum(F.col(weight))
     g = (req.withWatermark(ts, watermark)
             .groupBy(F.window(ts, "1 hour").alias("w"), F.col(key))
-            .agg(F.count(F.lit(1)).alias("views")))
+            .agg(agg.cast("bigint").alias("views")))
     sec = F.unix_timestamp(F.col("w.start"))
     return g.select(date_of(sec).alias("date"), hour_of_day(sec).alias("hour"), key, "views")
 
