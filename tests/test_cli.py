@@ -24,10 +24,12 @@ def test_cli_stream_parquet_source(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
     rows = [("up", t0 + dt.timedelta(minutes=10 * k, seconds=j)) for k, c in enumerate([1, 2, 2, 3, 4, 5, 1])
-            for j in range(c)] + [("up", t0 + dt.timedelta(hours=3))]
+            for j in range(c)] + [("up", t0 + dt.timedelta(hours=3)), ("up", t0 + dt.timedelta(hours=4))]
+    # the pre-count path closes windows one stage later, so the data runs on past 11:00 by hours
     spark.createDataFrame(rows, "event_type string, ts timestamp_ntz").write.parquet(src)
     cli.main(["stream", "--source", "parquet", "--path", src, "--out", f"{tmp_dir}/out",
-              "--checkpoint", f"{tmp_dir}/ck", "--available-now", "--article-col", "event_type"])
+              "--checkpoint", f"{tmp_dir}/ck", "--available-now", "--article-col", "event_type",
+              "--precount", f"{tmp_dir}/pre", "--state-partitions", "4"])
     assert spark.read.parquet(f"{tmp_dir}/out/trending").count() >= 1
     assert spark.read.parquet(f"{tmp_dir}/out/hourly_totals").where("hour = 10").first().views == 17
 

@@ -36,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--article-col", default="article", help="parquet source: column holding the article")
     s.add_argument("--ts-col", default="ts", help="parquet source: event-time column")
+    s.add_argument("--precount", help="count the raw stream once into this table; outputs read it")
+    s.add_argument("--state-partitions", type=int, help="state-store partitions of new queries")
 
     b = sub.add_parser("build-history", help="E2: averages from raw hourly log folders")
     b.add_argument("--logs", required=True)
@@ -93,7 +95,8 @@ def main(argv: list[str] | None = None) -> None:
         ck = args.checkpoint or f"{ensure_checkpoint_dir(spark)}/viewtide-stream"
         kafka = {"kafka.bootstrap.servers": args.bootstrap} if args.phase_sink == "kafka" else None
         qs = stm.run_trending_stream(spark, src, args.out, ck, args.watermark, args.phase_sink,
-                                     args.phase_topic, kafka, available_now=args.available_now)
+                                     args.phase_topic, kafka, available_now=args.available_now,
+                                     state_partitions=args.state_partitions, precount_path=args.precount)
         for q in qs:
             q.awaitTermination()
     elif args.cmd == "build-history":

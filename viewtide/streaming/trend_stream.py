@@ -14,11 +14,14 @@ Rows later than the watermark are dropped by Spark and counted in the query prog
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timecols import as_event_time, date_of, hour_of_day
+from ..sources.files import path_exists
 from ..operators.parse import parse_requests
 from ..operators.windows import duration_seconds, non_decreasing, route_by_phase, slot_names
 
@@ -225,12 +228,34 @@ def write_trending(df: DataFrame, path: str, checkpoint: str, **trigger) -> Stre
     return start_stream(df, "batches", path, checkpoint, None, **trigger)
 
 
+PRECOUNT_SCHEMA = "article STRING, ts TIMESTAMP, views BIGINT"
+
+
+def start_precount(requests: DataFrame, path: str, checkpoint: str, slide: str = "1 minute",
+                   watermark: str = "10 minutes", wait_seconds: float = 120.0, **common) -> StreamingQuery:
+    """One query counts the raw requests per (article, slide bucket) into a parquet table (file
+    sink: exactly-once through its commit log). Returns once the table's commit log exists, so
+    readers started afterwards read committed batches only."""
+    counts = bucket_counts_stream(requests, slide, watermark).select(
+        "article", F.col("b.start").alias("ts"), "views")
+    q = start_stream(counts, "parquet", path, checkpoint, "precount", **common)
+    deadline = time.monotonic() + wait_seconds
+    while not path_exists(counts.sparkSession, f"{path.rstrip('/')}/_spark_metadata"):
+        if not q.isActive and q.exception() is not None:
+            raise q.exception()
+        if time.monotonic() > deadline:
+            raise TimeoutError(f"pre-count sink at {path} did not start")
+        time.sleep(0.2)
+    return q
+
+
 def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str, checkpoint_root: str,
                         watermark: str = "10 minutes", phase_sink: str = "parquet",
                         phase_topic: str = "pageviews-", kafka: dict | None = None,
                         available_now: bool = False, processing_time: str | None = "1 minute",
                         slots: int = 6, slot: str = "10 minutes", slide: str = "1 minute",
-                        state_partitions: int | None = None) -> list[StreamingQuery]:
+                        state_partitions: int | None = None,
+                        precount_path: str | None = None) -> list[StreamingQuery]:
     """From one request stream start the three outputs of the reference job.
 
     * sliding counts routed to ten phase topics (K1) -- Kafka when ``phase_sink='kafka'``,
@@ -241,6 +266,11 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
 
     ``requests`` is either typed (article, ts) or raw lines (a ``value`` column, e.g. from Kafka);
     raw lines are parsed (P1) and their rejects go to a fourth query, ``out_root/rejects``.
+
+    With ``precount_path`` the raw stream is read and counted once, into a per-(article, minute)
+    table, and the three outputs stream from that compact table instead of each consuming the raw
+    topic (the reference's two-stage design, with a table in place of its phase topics). The slide
+    must divide an hour, since the hourly totals are then summed from the buckets.
     """
     extra: list[StreamingQuery] = []
     if "value" in requests.columns and "article" not in requests.columns:
@@ -248,11 +278,23 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
         extra.append(start_stream(rejects, "parquet", f"{out_root}/rejects", f"{checkpoint_root}/rejects",
                                   "request_rejects", available_now=available_now,
                                   processing_time=processing_time, state_partitions=state_partitions))
-    routed = route_by_phase(sliding_counts_stream(requests, slot, slide, watermark), phase_topic)
-    hourly = hourly_totals_stream(requests, watermark)
-    trend = trending_stream(requests, slots, slot, slide, watermark)
     common = dict(available_now=available_now, processing_time=processing_time,
                   state_partitions=state_partitions)
+    weight = None
+    if precount_path:
+        if 3600 % duration_seconds(slide):
+            raise ValueError("a pre-count table needs a slide that divides the hour")
+        q0 = start_precount(requests, precount_path, f"{checkpoint_root}/precount", slide, watermark,
+                            **common)
+        if available_now:
+            q0.awaitTermination()  # drain the raw input first, then the outputs drain the table
+        extra.append(q0)
+        requests = spark.readStream.schema(PRECOUNT_SCHEMA).parquet(precount_path)
+        weight = "views"
+    routed = route_by_phase(sliding_counts_stream(requests, slot, slide, watermark, weight=weight),
+                            phase_topic)
+    hourly = hourly_totals_stream(requests, watermark, weight=weight)
+    trend = trending_stream(requests, slots, slot, slide, watermark, weight=weight)
     if phase_sink == "kafka":
         q1 = start_stream(routed.select("topic", "key", "value"), "kafka", None,
                           f"{checkpoint_root}/phase", "phase_counts", options=kafka, **common)
