@@ -7,6 +7,10 @@ aggregates, append mode). Its slots are conditional sums keyed on the bucket's o
 window start, so exactly six non-overlapping slots make up an hour (D3, D4), and phase alignment is
 inherent (M8).
 
+Every operator also accepts rows already counted per bucket (``weight=``): with ``precount_path``,
+``run_trending_stream`` reads and counts the raw topic once into such a table and the outputs stream
+from it, at the cost of one more stage of watermark lag.
+
 Rows later than the watermark are dropped by Spark and counted in the query progress
 (``numRowsDroppedByWatermark``). State lives in the checkpoint folder; with the RocksDB provider
 (``session.BASE_CONF``) it stays off-heap.
