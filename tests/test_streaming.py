@@ -176,3 +176,22 @@ def test_precount_table_feeds_all_outputs(spark, tmp_dir):
     assert got_sc and all(batch_sc[k] == v for k, v in got_sc.items())
     pre = spark.read.parquet(f"{tmp_dir}/pre")
     assert pre.count() <= ev.count()  # compacted: one row per (article, hour bucket)
+
+
+def test_raw_lines_with_precount(spark, tmp_dir):
+    src = f"{tmp_dir}/lines"
+    os.makedirs(src)
+    base = 1704103200  # 2024-01-01 10:00:00 UTC
+    lines = [f"up\t1.2.3.4\t{base + 600 * k + j}" for k, c in enumerate([1, 2, 2, 3, 4, 5, 1]) for j in range(c)]
+    lines += [f"up\t1.2.3.4\t{base + h * 3600}" for h in (3, 4)] + ["bad\t256.1.1.1\t1"]
+    with open(f"{src}/part-0.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    req = stm.request_stream(spark, "text", src)
+    for q in stm.run_trending_stream(spark, req, f"{tmp_dir}/out", f"{tmp_dir}/ck", available_now=True,
+                                     precount_path=f"{tmp_dir}/pre"):
+        q.awaitTermination()
+    assert {r.reason for r in spark.read.parquet(f"{tmp_dir}/out/rejects").collect()} == {"ip"}
+    tr = spark.read.parquet(f"{tmp_dir}/out/trending").select("article", to_wall_time("window_start").alias("ws"))
+    assert ("up", T0) in {(r.article, r.ws) for r in tr.collect()}
+    hourly = {(r.hour, r.views) for r in spark.read.parquet(f"{tmp_dir}/out/hourly_totals").collect()}
+    assert (10, 17) in hourly
