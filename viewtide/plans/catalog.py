@@ -232,6 +232,20 @@ def q_trending_stream(spark: SparkSession, sf: str) -> DataFrame:
                       to_wall_time("window_end").alias("window_end"), *win.slot_names(SLOTS))
 
 
+def q_trending_stream_precount(spark: SparkSession, sf: str) -> DataFrame:
+    """Two-stage stream: requests counted once per (article, minute) into a table, the trend
+    query streams from that table."""
+    root = scratch_path(spark, "trending-precount")
+    q0 = stm.start_precount(_request_file_stream(spark, sf), f"{root}/pre", f"{root}/checkpoint", SLIDE,
+                            WATERMARK, available_now=True, state_partitions=_default_parallelism(spark))
+    q0.awaitTermination()
+    pre = spark.readStream.schema(stm.PRECOUNT_SCHEMA).parquet(f"{root}/pre")
+    out = _drain(spark, stm.trending_stream(pre, SLOTS, SLOT, SLIDE, WATERMARK, weight="views"),
+                 "trending-precount-out")
+    return out.select("article", to_wall_time("window_start").alias("window_start"),
+                      to_wall_time("window_end").alias("window_end"), *win.slot_names(SLOTS))
+
+
 def q_phase_counts_stream(spark: SparkSession, sf: str) -> DataFrame:
     counts = stm.sliding_counts_stream(_request_file_stream(spark, sf), SLOT, SLIDE, WATERMARK)
     out = _drain(spark, win.route_by_phase(counts, PHASE_TOPIC), "phase-stream")
@@ -274,6 +288,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trending_stream": q_trending_stream,
     "hourly_totals_stream": q_hourly_totals_stream,
     "phase_counts_stream": q_phase_counts_stream,
+    "trending_stream_precount": q_trending_stream_precount,
     "parse_trending_text": q_parse_trending_text,
     "promote_day": q_promote_day,
 }

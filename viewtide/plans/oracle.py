@@ -217,6 +217,12 @@ WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
     "parse_trending_text": f"""SELECT article, strftime(window_start, '%H:%M:%S') AS clock,
        concat_ws(':', s0, s1, s2, s3, s4, s5) AS series FROM ({_trend_sql(10, 6, 1, True)})""",
+    # two stages: minutes are emitted once the first watermark passes their end; the second
+    # watermark trails the latest emitted minute start by the same delay
+    "trending_stream_precount": f"""WITH u AS (SELECT max(ts) - INTERVAL 10 MINUTE AS u FROM events),
+mins AS (SELECT date_trunc('minute', ts) AS m FROM events),
+d AS (SELECT max(m) - INTERVAL 10 MINUTE AS d FROM mins, u WHERE m + INTERVAL 1 MINUTE <= u.u)
+SELECT t.* FROM ({_trend_sql(10, 6, 1, True)}) t, d WHERE t.window_end <= d.d""",
     "promote_day": f"""SELECT * FROM ({_HOURLY}) WHERE date = (SELECT max(CAST(ts AS DATE)) FROM events)""",
     "hourly_totals_stream": f"""SELECT * FROM ({_HOURLY})
 WHERE CAST(date AS TIMESTAMP) + to_hours(hour + 1) <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
