@@ -195,3 +195,11 @@ def test_raw_lines_with_precount(spark, tmp_dir):
     assert ("up", T0) in {(r.article, r.ws) for r in tr.collect()}
     hourly = {(r.hour, r.views) for r in spark.read.parquet(f"{tmp_dir}/out/hourly_totals").collect()}
     assert (10, 17) in hourly
+
+
+def test_precount_on_empty_source(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/empty")
+    src = spark.readStream.schema(SCHEMA).parquet(f"{tmp_dir}/empty")
+    q = stm.start_precount(src, f"{tmp_dir}/pre", f"{tmp_dir}/ck", available_now=True, wait_seconds=60)
+    q.awaitTermination()
+    assert spark.read.schema(stm.PRECOUNT_SCHEMA).parquet(f"{tmp_dir}/pre").count() == 0

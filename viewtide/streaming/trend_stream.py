@@ -243,13 +243,18 @@ def start_precount(requests: DataFrame, path: str, checkpoint: str, slide: str =
     counts = bucket_counts_stream(requests, slide, watermark).select(
         "article", F.col("b.start").alias("ts"), "views")
     q = start_stream(counts, "parquet", path, checkpoint, "precount", **common)
+    spark = counts.sparkSession
     deadline = time.monotonic() + wait_seconds
-    while not path_exists(counts.sparkSession, f"{path.rstrip('/')}/_spark_metadata"):
-        if not q.isActive and q.exception() is not None:
-            raise q.exception()
+    while not path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        if not q.isActive:
+            if q.exception() is not None:
+                raise q.exception()
+            break  # finished without input (availableNow on an empty source)
         if time.monotonic() > deadline:
             raise TimeoutError(f"pre-count sink at {path} did not start")
         time.sleep(0.2)
+    if not path_exists(spark, path):  # give readers an empty table of the right schema
+        spark.createDataFrame([], PRECOUNT_SCHEMA).write.mode("ignore").parquet(path)
     return q
 
 
