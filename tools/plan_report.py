@@ -56,10 +56,18 @@ def main() -> None:
     from viewtide.plans import catalog as cat
     from viewtide.streaming import trend_stream as stm
     src = cat._request_file_stream(spark, sf)
+    from viewtide.session import scratch_path as _scratch
+    pre_path = _scratch(spark, "plan-precount")
+    spark.createDataFrame([], stm.PRECOUNT_SCHEMA).write.parquet(pre_path)
+    pre = spark.readStream.schema(stm.PRECOUNT_SCHEMA).parquet(pre_path)
     streams = {
         "trending_stream": stm.trending_stream(src),
         "sliding_counts_stream": stm.sliding_counts_stream(src),
         "hourly_totals_stream": stm.hourly_totals_stream(src),
+        "pre-count stage (raw -> bucket table)": stm.bucket_counts_stream(src),
+        "trending_stream from the bucket table": stm.trending_stream(pre, weight="views"),
+        "sliding_counts_stream from the bucket table": stm.sliding_counts_stream(pre, weight="views"),
+        "hourly_totals_stream from the bucket table": stm.hourly_totals_stream(pre, weight="views"),
     }
     for name, sdf in streams.items():
         plan = spark._jvm.PythonSQLUtils.explainString(sdf._jdf.queryExecution(), "simple")
