@@ -90,3 +90,17 @@ def test_ipv4_rule_matches_model(spark, ips):
     df = spark.createDataFrame([(i, ip) for i, ip in enumerate(ips)], "i int, ip string")
     got = {r.i: r.ok for r in df.select("i", is_valid_ipv4("ip").alias("ok")).collect()}
     assert all(got[i] == _ip_model(ip) for i, ip in enumerate(ips))
+
+
+def test_clock_and_phase_of_instants_ignore_session_zone(spark):
+    from pyspark.sql import types as T
+    from viewtide.functions import clock_stamp, phase
+    t = dt.datetime(2024, 1, 1, 10, 59, 7, tzinfo=dt.timezone.utc)
+    df = spark.createDataFrame([(t,)], "t timestamp")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        r = df.select(clock_stamp("t", T.TimestampType()).alias("c"), phase("t").alias("p")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (r.c, r.p) == ("10:59:07", 9)
