@@ -33,7 +33,7 @@ CENTROIDS = 3
 MAX_ROWS = 2_400
 ROUNDS = 12
 BINS = (0, 20, 60, 200, 800, 1 << 40)  # letters, for the rejection thresholds
-REJECT_SHARE = 0.6  # of the lowest cosine (1 % of the training texts left out) in a bin
+REJECT_SHARE = 0.4  # of the lowest cosine (1 % of the training texts left out) in a bin
 UND = "und"
 
 PREDICTION = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),

@@ -7,15 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import decontam, exact_dedup, jaccard_join, lang_id, line_dedup, mixing, token_files
+from . import (decontam, exact_dedup, html_main, jaccard_join, lang_id, line_dedup, mixing, pii, token_files,
+               toxicity)
 
 LINE_MIN_SITES = 4
 
 
+def q_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.find_personal_data(spark, read_table(spark, sf, "documents"))
+
+
 def q_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.remove_boilerplate_lines(spark, read_table(spark, sf, "documents"), LINE_MIN_SITES)
 
 
+def q_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_main.extract_main_text(spark, read_table(spark, sf, "pages"))
+
+
+def q_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score_toxicity(spark, read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 def q_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_components(spark, read_table(spark, sf, "documents"))
 
@@ -42,14 +55,23 @@ def q_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return lang_id.identify(spark, read_table(spark, sf, "documents"))
 
 
+def q_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal_data": q_personal_data,
     "op2_line_dedup": q_line_dedup,
+    "op3_main_text": q_main_text,
+    "op4_toxicity": q_toxicity,
     "op5_jaccard_join": q_jaccard_join,
     "op6_token_files": q_token_files,
     "op7_decontaminate": q_decontaminate,
     "op8_exact_dedup": q_exact_dedup,
     "op9_mix": q_mix,
     "op10_language_id": q_language_id,
+    "pipeline": q_pipeline,
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
