@@ -13,7 +13,7 @@
 4. Lists are not paired up. Each member is first verified against its list leader it shares most
    with; connected members need no further comparison, so a group of thousands of near copies costs
    one verification each. What is left are pairs in one list but in different components; all of
-   them that pass the size bound are verified, in rounds, until no list joins two components by
+   them that could link by size and by odd sketch (a lower bound of the symmetric difference) are verified, in rounds, until no list joins two components by
    an unverified pair.
 
 Sets are compared as sets of 64-bit hashes; nothing is sampled, capped or dropped.
@@ -40,7 +40,7 @@ from .components import connected_components
 WORDS = 5
 NUM, DEN = 80, 100  # link: DEN * intersection >= NUM * union
 BATCH_DOCS = 1_000  # sets that are packed together
-RANGE_KEYS = 3_000_000  # shingles that one hash range holds, about
+RANGE_KEYS = 1_500_000  # shingles that one hash range holds, about
 NEAR = 16  # lists before a list in which a pair is looked for, to emit it once
 MAX_WORDS = 300_000  # distinct words a worker remembers
 
@@ -101,6 +101,13 @@ def _pieces(keys: np.ndarray, ranges: int):
     return [(r, slice(bounds[r], bounds[r + 1])) for r in range(ranges) if bounds[r + 1] > bounds[r]]
 
 
+def _offsets(keys: np.ndarray, r: int, ranges: int) -> bytes:
+    """The leading 32 bits of keys inside range r: enough to tell RANGE_KEYS of them apart. Where two
+    fall together they count as shared, which only keeps a set open for the next step."""
+    start = np.uint64(r * (1 << 64) // ranges)
+    return ((keys - start) >> np.uint64(33 - ranges.bit_length())).astype("<u4").tobytes()
+
+
 def _slices(batches, rows: int):
     for b in batches:
         for i in range(0, b.num_rows, rows):
@@ -138,8 +145,8 @@ def _pack_documents(ranges: int, parts: int):
                 mine = np.argsort(one_owner[at], kind="stable")
                 counts = np.bincount(one_owner[at], minlength=len(sets))
                 has = np.flatnonzero(counts)
-                rows.append((r, one[at][mine].tobytes(), ids[has].tobytes(), counts[has].astype("<u4").tobytes(),
-                             many[multiples.get(r, slice(0, 0))].tobytes()))
+                rows.append((r, _offsets(one[at][mine], r, ranges), ids[has].tobytes(), counts[has].astype("<u4").tobytes(),
+                             _offsets(many[multiples.get(r, slice(0, 0))], r, ranges)))
             facts = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
             facts = np.column_stack([sizes, facts, shared])
             home = (ids % parts + parts) % parts
@@ -159,10 +166,10 @@ def _shared_in_range(parts: int):
             return pa.table({"part": pa.array([-1 - r] * table.num_rows, pa.int32()),
                              "ids": table["ids"], "shared": table["counts"]}).cast(FOUND_ARROW)
         blobs = {c: table[c].to_pylist() for c in ("keys", "ids", "counts", "many")}
-        keys = np.frombuffer(b"".join(blobs["keys"]), np.uint64)
+        keys = np.frombuffer(b"".join(blobs["keys"]), "<u4")
         owner = np.repeat(np.frombuffer(b"".join(blobs["ids"]), np.int64),
                           np.frombuffer(b"".join(blobs["counts"]), "<u4").astype(np.int64))
-        many = np.unique(np.frombuffer(b"".join(blobs["many"]), np.uint64))
+        many = np.unique(np.frombuffer(b"".join(blobs["many"]), "<u4"))
         del blobs, table
         order = np.argsort(keys)
         ranked = keys[order]
@@ -222,7 +229,7 @@ def shingle_sets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ship(spark)
     head = docs.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")).first()
     ranges = max(1, (head.chars or 0) // 6 // RANGE_KEYS)
-    ranges = max(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = max(ranges, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = max(8, head.n // 50_000)
     packed = _keyed(docs).mapInArrow(_pack_documents(ranges, parts), PACKED)
     found = packed.groupBy("range").applyInArrow(_shared_in_range(parts), FOUND)
@@ -233,7 +240,8 @@ def shingle_sets(spark: SparkSession, docs: DataFrame) -> DataFrame:
 CLASSES = _fields("batch:l", "doc_id:l", "n:l", "keys:b")
 COUNTED = _fields("range:i", "batch:l", "keys:b", "counts:b")
 FREQ = _fields("batch:l", "keys:b", "counts:b")
-POSTED = _fields("doc_id:l", "n:l", "most:l", "df_cost:l", "single:b", "keys:b")
+SKETCH = [f"o{i}" for i in range(8)]
+POSTED = _fields("doc_id:l", "n:l", "most:l", "df_cost:l", "single:b", "keys:b", *[f"{o}:l" for o in SKETCH])
 
 
 def _class_sets(batches):
@@ -274,7 +282,14 @@ def _frequencies(table):
 
 
 POSTED_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("most", pa.int64()), ("df_cost", pa.int64()),
-                          ("single", pa.binary()), ("keys", pa.binary())])
+                          ("single", pa.binary()), ("keys", pa.binary()), *[(o, pa.int64()) for o in SKETCH]])
+
+
+def odd_sketch(keys: np.ndarray) -> list[int]:
+    """512 parities: bit b tells whether an odd number of keys falls on b. Of two sets, the bits that
+    differ are at most the elements of their symmetric difference."""
+    odd = np.bincount((keys & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
 
 
 def _leading_parts(_, sets, freq):
@@ -301,7 +316,7 @@ def _leading_parts(_, sets, freq):
         have, freqs = mine[shared], df[at][shared]
         rank = np.lexsort((have, freqs))[:spare + 2 - alone]
         first = rank[:spare + 1 - alone]
-        rows.append((doc, len(mine), len(mine) - alone, int((freqs[first] - 1).sum()), have[first].tobytes(), have[rank].tobytes()))
+        rows.append((doc, len(mine), len(mine) - alone, int((freqs[first] - 1).sum()), have[first].tobytes(), have[rank].tobytes(), *odd_sketch(mine)))
     return _table(rows, POSTED_ARROW)
 
 
@@ -326,23 +341,27 @@ def leading_parts(spark: SparkSession, classes: DataFrame) -> DataFrame:
 def boundary_by_cost(parts: DataFrame) -> int:
     """The largest light size: subsets of the sets up to it plus list scans of those beyond cost least.
     Sizes come to the driver in bins of about 10 %, so their number is bounded."""
-    pairs = F.octet_length("keys") / 8
+    pairs, single = F.octet_length("keys") / 8, F.octet_length("single") / 8
     size_bin = F.floor(F.log("n") / F.log(F.lit(1.1)))
-    rows = (parts.groupBy(size_bin.alias("b")).agg(F.max("n").alias("n"), F.sum(pairs * (pairs - 1) / 2).alias("subsets"),
-                                                   F.sum(F.col("df_cost").cast("double")).alias("scans")).orderBy("n").collect())
+    rows = (parts.groupBy(size_bin.alias("b"))
+                 .agg(F.max("n").alias("n"), F.sum(pairs * (pairs - 1) / 2).alias("subsets"),
+                      F.sum(single + COMPARE * F.col("df_cost")).alias("scans")).orderBy("n").collect())
     costs = [(sum(r.subsets for r in rows[:k]) + sum(r.scans for r in rows[k:]), k) for k in range(len(rows) + 1)]
     best = min(costs)[1]
     return rows[best - 1].n if best else 0
 
 
-POSTINGS = _fields("sig:l", "doc_id:l", "n:l", "most:l", "heavy:i", "rank:i")
+POSTINGS = _fields("sig:l", "doc_id:l", "n:l", "most:l", *[f"{o}:l" for o in SKETCH], "heavy:i", "rank:i")
+FACTS = ["doc_id", "n", "most", *SKETCH]
+COMPARE = 0.005  # a comparison inside a list scan, in units of one posting
 
 
 def _signatures(boundary: int):
     probe_from = needed(boundary + 1)
     def signatures(batches):
         for b in _slices(batches, 500):
-            for doc, n, most, single, blob in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "most", "single", "keys"))):
+            for single, blob, *facts in zip(*(b.column(c).to_pylist() for c in ("single", "keys", *FACTS))):
+                n = facts[1]
                 kinds = []
                 if n > boundary or n >= probe_from:
                     kinds.append((np.frombuffer(single, np.uint64), int(n > boundary)))
@@ -353,15 +372,14 @@ def _signatures(boundary: int):
                 for sigs, kind in kinds:
                     m = len(sigs)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(sigs.view(np.int64)), pa.array(np.full(m, doc)), pa.array(np.full(m, n)),
-                         pa.array(np.full(m, most)), pa.array(np.full(m, kind, np.int32)),
+                        [pa.array(sigs.view(np.int64)), *[pa.array(np.full(m, x)) for x in facts], pa.array(np.full(m, kind, np.int32)),
                          pa.array(np.arange(m, dtype=np.int32))], names=POSTINGS.names)
     return signatures
 
 
 def signature_postings(spark: SparkSession, parts: DataFrame, boundary: int) -> DataFrame:
-    """(sig, doc_id, n, most, heavy): 2 a light set's subset, 1 a heavy set's shingle, 0 a light set probing."""
-    posts = parts.select("doc_id", "n", "most", "single", "keys").mapInArrow(_signatures(boundary), POSTINGS)
+    """(sig, facts of the set, heavy): 2 a light set's subset, 1 a heavy set's shingle, 0 a light set probing."""
+    posts = parts.select(*FACTS, "single", "keys").mapInArrow(_signatures(boundary), POSTINGS)
     # a subset's signature and a single shingle must not meet
     posts = posts.withColumn("sig", F.when(F.col("heavy") == 2, F.xxhash64("sig")).otherwise(F.col("sig")))
     posts = written(spark, posts, "jaccard-postings")
@@ -371,9 +389,13 @@ def signature_postings(spark: SparkSession, parts: DataFrame, boundary: int) ->
 
 # --- 4: verification and components ----------------------------------------------------------------
 
-def _comparable(n: Column, most: Column, other_n: Column, other_most: Column) -> Column:
-    """Whether two sets could link: an intersection of the smaller ``most`` would be large enough."""
-    return F.least(most, other_most) * (NUM + DEN) >= (n + other_n) * NUM
+def _comparable(a, b) -> Column:
+    """Whether two sets could link by their facts: what they can share at most is enough, and what they
+    differ in at least (by their odd sketches) is not too much."""
+    together = a("n") + b("n")
+    differ = sum((F.bit_count(a(o).bitwiseXOR(b(o))) for o in SKETCH[1:]), F.bit_count(a(SKETCH[0]).bitwiseXOR(b(SKETCH[0]))))
+    return ((F.least(a("most"), b("most")) * (DEN + NUM) >= together * NUM)
+            & (differ * (DEN + NUM) <= together * (DEN - NUM)))
 
 
 def _overlaps(batches):
@@ -400,9 +422,9 @@ def _leader_pairs(posts: DataFrame) -> DataFrame:
     """Each member with the list leader it shares most lists with: one pair a member. A list's leader
     is the set with the fewest shingles of its own, the likeliest centre of a group of near copies."""
     alone = F.col("n") - F.col("most")
-    lead = posts.groupBy("sig").agg(F.min(F.struct(alone.alias("alone"), "doc_id", "n", "most")).alias("lead"))
+    lead = posts.groupBy("sig").agg(F.min(F.struct(alone.alias("alone"), *FACTS)).alias("lead"))
     each = posts.join(lead, "sig").where(F.col("doc_id") != F.col("lead.doc_id"))
-    each = each.where(_comparable(F.col("n"), F.col("most"), F.col("lead.n"), F.col("lead.most")))
+    each = each.where(_comparable(F.col, lambda c: F.col(f"lead.{c}")))
     each = each.groupBy("doc_id", "lead.doc_id", "lead.alone").agg(F.count(F.lit(1)).alias("k")).toDF("a", "b", "alone", "k")
     best = each.groupBy("a").agg(F.min(F.struct((-F.col("k")).alias("k"), "alone", "b")).alias("m"))
     return best.select("a", F.col("m.b").alias("b"))
@@ -410,7 +432,7 @@ def _leader_pairs(posts: DataFrame) -> DataFrame:
 
 def _labelled(posts: DataFrame, labels: DataFrame) -> DataFrame:
     out = posts.join(labels, posts.doc_id == labels.node, "left")
-    return out.select("sig", "doc_id", "n", "most", "heavy", "rank", F.coalesce("component", "doc_id").alias("comp"))
+    return out.select("sig", *FACTS, "heavy", "rank", F.coalesce("component", "doc_id").alias("comp"))
 
 
 def _cross_pairs(posts: DataFrame) -> DataFrame:
@@ -420,17 +442,16 @@ def _cross_pairs(posts: DataFrame) -> DataFrame:
     they meet in one of the lists just before a list, the pair is left to that one."""
     several = posts.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     mixed = posts.join(several.select("sig"), "sig", "left_semi")
-    facts = ["doc_id", "n", "most", "comp", "heavy"]
+    facts = [*FACTS, "comp", "heavy"]
     left = mixed.groupBy(*facts).agg(F.sort_array(F.collect_list(F.struct("rank", "sig"))).alias("l"))  # of one set
     left = left.select(*facts, F.col("l.sig").alias("sigs"), F.posexplode("l.sig").alias("i", "sig"))
     left = left.select(*facts, "sig", F.slice("sigs", F.greatest(F.lit(1), F.col("i") - NEAR + 1),
                                               F.least(F.col("i"), F.lit(NEAR))).alias("before"))
-    right = left.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("bn"), F.col("most").alias("bm"),
-                        F.col("comp").alias("bc"), F.col("heavy").alias("bh"), F.col("before").alias("bb"))
-    first = ~F.arrays_overlap("before", "bb")
-    pairs = left.join(right, "sig").where((F.col("comp") < F.col("bc")) & (F.col("heavy") + F.col("bh") > 0)
-                                          & _comparable(F.col("n"), F.col("most"), F.col("bn"), F.col("bm")) & first)
-    return pairs.select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct()
+    right = left.select("sig", *[F.col(c).alias(f"r_{c}") for c in (*facts, "before")])
+    pairs = left.join(right, "sig").where(
+        (F.col("comp") < F.col("r_comp")) & (F.col("heavy") + F.col("r_heavy") > 0)
+        & _comparable(F.col, lambda c: F.col(f"r_{c}")) & ~F.arrays_overlap("before", "r_before"))
+    return pairs.select(F.least("doc_id", "r_doc_id").alias("a"), F.greatest("doc_id", "r_doc_id").alias("b")).distinct()
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
