@@ -1,0 +1,119 @@
+"""Mixing, token files, decontamination."""
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from viewtide.llm import decontam, mixing, token_files
+
+from llm_helpers import brute_hits, same_as_sql
+
+
+def test_mix_odd_rows(spark, odd, none):
+    out = mixing.mix(spark, odd).select("doc_id", "size", "source_size", "target", "taken")
+    same_as_sql(out, "op9_mix", documents=odd)
+    assert mixing.mix(spark, none).count() == 0
+    blank = odd.where("doc_id in (2, 3, 4)")
+    assert {(r.taken, r.target) for r in mixing.mix(spark, blank).collect()} == {(0, 0.0)}
+
+
+def test_mix_ranges_do_not_matter(spark, docs, monkeypatch):
+    one = sorted(map(tuple, mixing.mix(spark, docs).collect()))
+    monkeypatch.setattr(mixing, "ROWS_PER_RANGE", 3)
+    assert sorted(map(tuple, mixing.mix(spark, docs).collect())) == one
+    taken = sum(r[4] for r in one)
+    assert 0.97 < taken / sum(r[1] for r in one) <= 1
+    same = mixing.mixed_documents(spark, docs)
+    assert same.columns == docs.columns and same.count() == sum(r[5] for r in one)
+
+
+def test_mix_near_targets(spark):
+    rows = [(i, "w " * 10, None, f"s{i % 2}" if i % 4 else "s2", 0) for i in range(3000)]
+    out = mixing.mix(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    got = out.groupBy("target").agg(F.sum("taken").alias("t"), F.max(F.col("taken") / F.col("size")).alias("m")).collect()
+    assert all(abs(r.t - r.target) <= 30 and r.m <= 3 for r in got)
+
+
+def read_ids(spark, path):
+    rows = token_files.read_token_files(spark, path).collect()
+    return [(r.doc_id, np.array(r.ids, "<u4")) for r in sorted(rows, key=lambda r: (r.part, r.seq))]
+
+
+@pytest.mark.parametrize("table", ["docs", "odd"])
+def test_token_files_round_trip(spark, table, request, tmp_dir):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(token_files.tokenizer_path())
+    rows = request.getfixturevalue(table).repartition(5)
+    out = token_files.token_output(spark, rows, f"{tmp_dir}/ids").collect()
+    want = sorted(((r.doc_id if r.doc_id is not None else -1), r.text or "") for r in rows.select("doc_id", "text").collect())
+    ids = [np.array(whole.encode(t, add_special_tokens=False).ids + [2], "<u4") for _, t in want]
+    got = read_ids(spark, f"{tmp_dir}/ids")
+    assert [-1 if d is None else d for d, _ in got] == [d for d, _ in want]
+    assert all((a == b).all() for (_, a), b in zip(got, ids)) and len(got) == len(ids)
+    starts = np.concatenate(([0], np.cumsum([len(i) for i in ids])[:-1])).tolist()
+    assert (sorted((-1 if r.doc_id is None else r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in out)
+            == sorted((d, s, len(i), zlib.crc32(i.tobytes())) for (d, _), s, i in zip(want, starts, ids)))
+
+
+def test_token_files_odd_characters():
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(token_files.tokenizer_path())
+    texts = ["a b c\x0bd\x1ce", "é ́x Σας ΟΔΟΣ", "<|endoftext|> x<|startoftext|>y", "it's we'll  don't\r\n'd",
+             "日本語 テキスト 😀😀", "﻿a 1234567 ½ ﬁ", "Å Å", None, ""]
+    got = token_files.WordEncoder(token_files.tokenizer_path()).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [
+        whole.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_token_files_prune_and_are_empty(spark, docs, none, tmp_dir):
+    token_files.write_token_files(spark, docs, f"{tmp_dir}/p", partitions=6)
+    some = docs.select("doc_id").orderBy("doc_id").first().doc_id
+    read = token_files.read_token_files(spark, f"{tmp_dir}/p").where(F.col("doc_id") == some)
+    assert read.count() == 1 and "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id" in read._jdf.queryExecution().toString()
+    assert token_files.token_output(spark, none, f"{tmp_dir}/e").count() == 0
+
+
+def check_contamination(out, rows, items):
+    got = sorted(((r.doc_id if r.doc_id is not None else -1), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out.collect())
+    want = []
+    for d, t in rows:
+        n, h, found = brute_hits(t, items)
+        want.append((-1 if d is None else d, n, h, len(found), hashlib.sha256(",".join(found).encode()).hexdigest(), h > 0 and 20 * h >= n))
+    assert got == sorted(want)
+    return got
+
+
+def test_decontaminate_the_table(spark, docs):
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    items = [tuple(r) for r in bench.select("item_id", "text").collect()]
+    got = check_contamination(decontam.contamination(spark, docs, bench), rows, items)
+    assert any(r[2] for r in got)
+    check_contamination(decontam.contamination(spark, docs, bench, block_chars=300), rows, items)
+    left = decontam.remove_contaminated(spark, docs, bench)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.select("doc_id").collect()) == [r[0] for r in got if not r[5]]
+    clean = decontam.contamination(spark, decontam.remove_contaminated(spark, docs, bench, mode="spans"), bench)
+    assert clean.count() == len(rows)
+
+
+def test_decontaminate_odd_rows(spark, odd, none):
+    bench = spark.createDataFrame([("1", "one TWO"), ("1", "eta theta"), ("2", None), ("3", ""), ("4", " - "), (None, "two"),
+                                   ("5", " ".join(f"word{i}" for i in range(500, 530)))], "item_id string, text string")
+    rows = [tuple(r) for r in odd.select("doc_id", "text").collect()]
+    listed = [(k if k is not None else "", t) for k, t in (tuple(r) for r in bench.collect())]
+    out = decontam.contamination(spark, odd, bench).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        if r.doc_id is not None:  # the two rows without an id differ in text
+            n, h, found = brute_hits(next(t for d, t in rows if d == r.doc_id), listed)
+            assert (r.n_words, r.n_hit, r.n_items) == (n, h, len(set(found)))
+    assert decontam.contamination(spark, none, bench).count() == 0
+    assert decontam.contamination(spark, odd, bench.limit(0)).where("contaminated or n_hit > 0").count() == 0
+    assert decontam.remove_contaminated(spark, odd, bench).columns == odd.columns
+
+
+def test_spans_are_removed():
+    assert decontam.without_hits("Keep ONE, two; three four", [1, 3]) == "Keep ; three four"
+    assert decontam.without_hits(None, [0, 1]) is None and decontam.without_hits("a b", []) == "a b"
