@@ -60,7 +60,7 @@ def test_token_files_round_trip(spark, table, request, tmp_dir):
 def test_token_files_odd_characters():
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(token_files.tokenizer_path())
-    texts = ["a b c\x0bd\x1ce", "é ́x Σας ΟΔΟΣ", "<|endoftext|> x<|startoftext|>y", "it's we'll  don't\r\n'd",
+    texts = ["a b c\x0bd\x1ce", "é ́x Σας ΟΔΟΣ", "<|endoftext|> x<|startoftext|>y", "<|EndOfText|> A\x0cB..", "a., b,. c.\x85d\xa0e. It's. X1, É. é, ,. . -. _, 9.", "it's we'll  don't\r\n'd",
              "日本語 テキスト 😀😀", "﻿a 1234567 ½ ﬁ", "Å Å", None, ""]
     got = token_files.WordEncoder(token_files.tokenizer_path()).encode(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [

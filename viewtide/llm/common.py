@@ -16,7 +16,7 @@ from ..session import scratch_path
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
-_LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 # A side is broadcast only below this many bytes (checked, not assumed); beyond it the plain shuffle join runs.
 BROADCAST_BYTES = 64 << 20
@@ -65,7 +65,7 @@ def small_enough(spark: SparkSession, rows: int, row_bytes: int) -> bool:
 
 def lower_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 bytes after lower-casing A-Z only."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER_AZ).split()
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER_AZ).split()
 
 
 @functools.lru_cache(maxsize=None)

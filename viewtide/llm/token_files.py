@@ -18,7 +18,8 @@ empty table writes no rows and gives none.
 from __future__ import annotations
 
 import os
-import re
+import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -29,16 +30,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .common import ship
+from .common import LOWER_AZ, ship
 
 END_ID = 2
-MAX_WORDS = 400_000  # distinct words a worker remembers; then it starts anew
+MAX_WORDS = 400_000  # distinct words of a generation; a worker remembers two
 TOKEN_SCHEMA = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("doc_id", T.LongType()),
                              T.StructField("seq", T.LongType()),  # position in its file's id range
                              T.StructField("n_tokens", T.LongType()),
                              T.StructField("ids", T.ArrayType(T.IntegerType()))])
 DIGEST_SCHEMA = T.StructType([*TOKEN_SCHEMA.fields[:4], T.StructField("ids_crc32", T.LongType())])
-_GAPS = re.compile("[ \t\n\r]+")  # white space for the tokenizer as well; others stay inside a word
+# The byte-level alphabet by its rule: printable Latin-1 bytes stand for themselves, the others for U+0100 on.
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SELF)))}
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -48,27 +51,75 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit integers."""
+    """Token ids of texts as little-endian unsigned 32-bit integers.
+
+    The tokenizer lower-cases and drops white space itself, so texts are split at ASCII white space and
+    A-Z lower-cased first (unless they spell a special token). A lower-case word of letters only passes its
+    normalizer and pre-tokenizer unchanged but for the byte alphabet, so its model is asked directly; a
+    full stop or comma after such a word is a token sequence of its own; all else is encoded in full.
+    Words used of late are remembered in two generations."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.marks = {m: self._encoded([m.encode()])[0] for m in (".", ",")}
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+    def _letters(self, raw: bytes) -> bytes:
+        found = self.tokenizer.model.tokenize(raw.decode("latin-1").translate(BYTE_ALPHABET))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, older = self.known, self.older
+        rest = []
+        for w in words:
+            ids = older.get(w)
+            if ids is None:
+                text = w.decode("utf-8", "replace")
+                if _plain(text):
+                    ids = self._letters(w)
+                elif text[-1] in self.marks and _plain(text[:-1]):
+                    stem = w[:-1]
+                    ids = known.get(stem) or older.get(stem) or self._letters(stem)
+                    known[stem] = ids
+                    ids += self.marks[text[-1]]
+                else:
+                    rest.append(w)
+                    continue
+            known[w] = ids
+        for i in range(0, len(rest), 10_000):
+            known.update(zip(rest[i:i + 10_000], self._encoded(rest[i:i + 10_000])))
 
     def encode(self, texts: list[str | None], end_id: int = END_ID) -> list[bytes]:
-        split = [_GAPS.split(t) if t else [] for t in texts]
+        if len(self.known) > MAX_WORDS:
+            self.known, self.older = {}, self.known
+        split = [_words(t) for t in texts]
+        some: set[bytes] = set()
+        for words in split:
+            some.update(words)
+        self._learn(some - self.known.keys())
         known, end = self.known, np.uint32(end_id).tobytes()
-        if len(known) > MAX_WORDS:
-            known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(new), 10_000):
-            some = new[i:i + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
         return [b"".join([known[w] for w in words]) + end for words in split]
 
 
+def _plain(text: str) -> bool:
+    """Lower-case letters only, composed."""
+    return text.isalpha() and text == text.lower() and (text.isascii() or unicodedata.is_normalized("NFC", text))
+
+
+def _words(text: str | None) -> list[bytes]:
+    if not text:
+        return []
+    raw = text.encode("utf-8", "surrogatepass")
+    return raw.split() if b"<|" in raw else raw.translate(LOWER_AZ).split()
+
+
 def encoder(path: str) -> WordEncoder:
     """One per worker process."""
     if path not in _ENCODERS:
