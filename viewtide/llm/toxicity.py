@@ -102,36 +102,33 @@ def _margins(rows: list[set[int]], bias: float, linear: np.ndarray, factors: np.
     return bias + lin + 0.5 * ((sums * sums).sum(axis=1) - squares), sums, flat, owner
 
 
-def select_terms(rows: list[set[int]], toxic: np.ndarray, most: int = TERMS) -> dict[int, int]:
-    """The buckets with the largest chi-square against the label, in three documents or more."""
+def select_terms(rows: list[np.ndarray], toxic: np.ndarray, most: int = TERMS) -> np.ndarray:
+    """The buckets with the largest chi-square against the label, in three documents or more; sorted."""
     n, pos = len(rows), toxic.sum()
-    with_, with_pos = {}, {}
-    for r, y in zip(rows, toxic):
-        for b in r:
-            with_[b] = with_.get(b, 0) + 1
-            if y:
-                with_pos[b] = with_pos.get(b, 0) + 1
-    b = np.array(sorted(k for k, c in with_.items() if c >= 3), np.int64)
-    if not len(b):
-        return {}
-    c, p = np.array([with_[k] for k in b.tolist()], float), np.array([with_pos.get(k, 0) for k in b.tolist()], float)
+    flat = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
+    c = np.bincount(flat, minlength=BUCKETS).astype(float)
+    p = np.bincount(flat, np.repeat(toxic, [len(r) for r in rows]), BUCKETS)
     expected = c * pos / n
-    chi = (p - expected) ** 2 * (1 / np.maximum(expected, 1e-9) + 1 / np.maximum(c - expected, 1e-9))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi = np.where(c >= 3, (p - expected) ** 2 * (1 / expected + 1 / (c - expected)), 0)
     best = np.argsort(-chi, kind="stable")[:min(most, int((chi >= CHI_SQUARE).sum()))]
-    return {int(k): i for i, k in enumerate(np.sort(b[best]))}
+    return np.sort(best)
 
 
-def fit(rows: list[set[int]], toxic: np.ndarray, epochs: int = EPOCHS, seed: int = 4) -> FactorizationMachine:
+def fit(rows: list[np.ndarray], toxic: np.ndarray, epochs: int = EPOCHS, seed: int = 4) -> FactorizationMachine:
+    """``rows``: the term buckets of each document, as arrays."""
     toxic = np.asarray(toxic, float)
     rate = (toxic.sum() + 1) / (len(toxic) + 2)
-    index = select_terms(rows, toxic) if 0 < toxic.sum() < len(toxic) else {}
+    chosen = select_terms(rows, toxic) if 0 < toxic.sum() < len(toxic) else np.zeros(0, np.int64)
     rng = np.random.default_rng(seed)
-    model = FactorizationMachine(index, float(np.log(rate / (1 - rate))), np.zeros(len(index)),
-                                 rng.normal(0, 0.01, (len(index), FACTORS)))
-    if not index:
+    model = FactorizationMachine({int(b): i for i, b in enumerate(chosen)}, float(np.log(rate / (1 - rate))),
+                                 np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), FACTORS)))
+    if not len(chosen):
         return model
-    terms = [{index[b] for b in r if b in index} for r in rows]
-    g_lin, g_fac, g_bias = np.full(len(index), 1e-6), np.full((len(index), FACTORS), 1e-6), 1e-6
+    place = np.full(BUCKETS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    terms = [set(k[k >= 0].tolist()) for k in (place[r] for r in rows)]
+    g_lin, g_fac, g_bias = np.full(len(chosen), 1e-6), np.full((len(chosen), FACTORS), 1e-6), 1e-6
     for _ in range(epochs):
         order = rng.permutation(len(terms))
         for s in range(0, len(order), 64):
@@ -177,7 +174,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), F.col("doc_id") == F.col("l_id"))
     got = rows.select("doc_id", "toxic", "text").mapInArrow(_hash_terms, "doc_id bigint, toxic int, terms binary").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
-    return fit([set(np.frombuffer(t, "<u4").tolist()) for t in got["terms"].to_pylist()], np.array(got["toxic"].to_pylist(), float))
+    return fit([np.frombuffer(t, "<u4") for t in got["terms"].to_pylist()], np.array(got["toxic"].to_pylist(), float))
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame,
