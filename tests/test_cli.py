@@ -15,7 +15,7 @@ def test_cli_anomaly_and_fold(spark, tmp_dir):
               "--out", f"{tmp_dir}/an", "--date", "2024-01-02", "--hour", "0", "--missing", "zero"])
     got = {r.article: round(r.distance, 6) for r in spark.read.parquet(f"{tmp_dir}/an").collect()}
     assert got == {"a": 0.5, "b": 1.0}
-    cli.main(["fold-day", "--feed", feed, "--history", f"{tmp_dir}/hist", "--date", "2024-01-02"])
+    cli.main(["fold-day", "--allow-missing-hours", "--feed", feed, "--history", f"{tmp_dir}/hist", "--date", "2024-01-02"])
     assert tbl.history_versions(spark, f"{tmp_dir}/hist") == ["2024-01-01", "2024-01-02"]
 
 

@@ -32,12 +32,18 @@ def test_fold_day_versions_and_refuses_repeat(spark, tmp_dir):
     _feed(spark, feed, [("2024-01-01", 0, "cat", 7), ("2024-01-01", 0, "cat", 8), ("2024-01-02", 0, "cat", 9),
                         ("2024-01-02", 0, "dog", 4)])
     jobs.seed_history_from_feed(spark, feed, hist, "2024-01-01")
-    jobs.fold_day(spark, feed, hist, "2024-01-02", log_path=log)
+    with pytest.raises(FileNotFoundError):  # hours 1 to 23 may still come
+        jobs.fold_day(spark, feed, hist, "2024-01-02", log_path=log)
+    jobs.fold_day(spark, feed, hist, "2024-01-02", log_path=log, allow_missing_hours=True)
     assert tbl.history_versions(spark, hist) == ["2024-01-01", "2024-01-02"]
     got = {r.article: (r.sum_views, r.n, r.avg_views) for r in tbl.read_history(spark, hist).collect()}
     assert got == {"cat": (24, 3, 8), "dog": (4, 1, 4)}  # FIXTURES day fold
     with pytest.raises(ValueError):
-        jobs.fold_day(spark, feed, hist, "2024-01-02")
+        jobs.fold_day(spark, feed, hist, "2024-01-02", allow_missing_hours=True)
+    with pytest.raises(ValueError):  # a jump over 01-03
+        jobs.fold_day(spark, feed, hist, "2024-01-04", allow_missing_hours=True)
+    with pytest.raises(FileNotFoundError):  # no feed
+        jobs.fold_day(spark, feed, hist, "2024-01-03", allow_missing_hours=True)
     assert spark.read.parquet(log).count() == 2
 
 
@@ -84,7 +90,7 @@ def test_scoring_uses_history_before_the_day(spark, tmp_dir):
     jobs.seed_history_from_feed(spark, feed, hist, "2024-01-01")
     before = jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s1", f"{tmp_dir}/o1", "2024-01-02", 0,
                                    missing="zero").collect()
-    jobs.fold_day(spark, feed, hist, "2024-01-02")
+    jobs.fold_day(spark, feed, hist, "2024-01-02", allow_missing_hours=True)
     after = jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s2", f"{tmp_dir}/o2", "2024-01-02", 0,
                                   missing="zero").collect()
     assert [(r.article, r.distance) for r in before] == [(r.article, r.distance) for r in after] == [("a", 0.5)]
@@ -100,3 +106,75 @@ def test_anomaly_hour_requires_written_feed(spark, tmp_dir):
     got = jobs.run_anomaly_hour(spark, feed, hist, f"{tmp_dir}/s", f"{tmp_dir}/o", "2024-01-02", 1,
                                 missing="zero", require_feed=False).collect()
     assert [(r.article, r.distance) for r in got] == [("a", 0.5)]  # carried from hour 0
+
+
+def test_unfinished_version_is_neither_read_nor_in_the_way(spark, tmp_dir):
+    feed, hist = f"{tmp_dir}/feed", f"{tmp_dir}/hist"
+    _feed(spark, feed, [("2024-01-01", 0, "a", 10), ("2024-01-02", 0, "a", 30)])
+    jobs.seed_history_from_feed(spark, feed, hist, "2024-01-01")
+    os.makedirs(f"{hist}/as_of=2024-01-02/hour=0")
+    with open(f"{hist}/as_of=2024-01-02/hour=0/part-0.parquet", "w") as f:
+        f.write("half")
+    assert tbl.history_versions(spark, hist) == ["2024-01-01"]
+    assert tbl.read_history(spark, hist).first().sum_views == 10
+    jobs.fold_day(spark, feed, hist, "2024-01-02", allow_missing_hours=True)
+    assert tbl.read_history(spark, hist).first().sum_views == 40
+
+
+def test_rebuilt_version_and_promoted_day_keep_no_stale_hours(spark, tmp_dir):
+    feed, hist, log = f"{tmp_dir}/feed", f"{tmp_dir}/hist", f"{tmp_dir}/log"
+    _feed(spark, feed, [("2024-01-01", h, "a", 1) for h in (0, 1, 5)])
+    jobs.seed_history_from_feed(spark, feed, hist, "2024-01-01")
+    tbl.promote_day(spark, feed, log, "2024-01-01")
+    _feed(spark, f"{tmp_dir}/fixed", [("2024-01-01", 5, "a", 1)])
+    jobs.seed_history_from_feed(spark, f"{tmp_dir}/fixed", hist, "2024-01-01")
+    tbl.promote_day(spark, f"{tmp_dir}/fixed", log, "2024-01-01")
+    assert [r.hour for r in tbl.read_history(spark, hist).collect()] == [5]
+    assert [(str(r.date), r.hour) for r in spark.read.parquet(log).collect()] == [("2024-01-01", 5)]
+
+
+def test_hour_without_result_replaces_the_old_one(spark, tmp_dir):
+    hist, state, out = (f"{tmp_dir}/{n}" for n in ("hist", "state", "out"))
+    _feed(spark, f"{tmp_dir}/old", [("2024-01-01", 0, "a", 10)])
+    jobs.seed_history_from_feed(spark, f"{tmp_dir}/old", hist, "2024-01-01")
+    _feed(spark, f"{tmp_dir}/f1", [("2024-01-02", 0, "a", 30)])
+    _feed(spark, f"{tmp_dir}/f2", [("2024-01-02", 0, "b", 30)])
+    assert jobs.run_anomaly_hour(spark, f"{tmp_dir}/f2", hist, state, out, "2024-01-02", 0).count() == 0
+    assert jobs.run_anomaly_hour(spark, f"{tmp_dir}/f1", hist, state, out, "2024-01-02", 0).count() == 1
+    assert jobs.run_anomaly_hour(spark, f"{tmp_dir}/f2", hist, state, out, "2024-01-02", 0).count() == 0
+    assert tbl.read_anomalies(spark, out).count() == 0
+
+
+def test_feed_titles_meet_the_history_in_lower_case(spark, tmp_dir):
+    hist = f"{tmp_dir}/hist"
+    _feed(spark, f"{tmp_dir}/old", [("2024-01-01", 0, "Main_Page", 10)])
+    jobs.seed_history_from_feed(spark, f"{tmp_dir}/old", hist, "2024-01-01")
+    _feed(spark, f"{tmp_dir}/f", [("2024-01-02", 0, "Main_page", 20), ("2024-01-02", 0, "main_page", 10)])
+    got = jobs.run_anomaly_hour(spark, f"{tmp_dir}/f", hist, f"{tmp_dir}/s", f"{tmp_dir}/o", "2024-01-02", 0)
+    assert [(r.article, r.distance) for r in got.collect()] == [("main_page", 0.5)]
+    jobs.fold_day(spark, f"{tmp_dir}/f", hist, "2024-01-02", allow_missing_hours=True)
+    assert [tuple(r) for r in tbl.read_history(spark, hist).select("article", "sum_views", "n").collect()] == [("main_page", 40, 2)]
+
+
+def test_exact_averages_are_scored_exactly(spark):
+    from viewtide.operators import anomaly as anom
+    from viewtide.operators import history as hist_ops
+    obs = spark.createDataFrame([(0, "a", 1), (0, "a", 2)], "hour int, article string, views bigint")
+    cur = spark.createDataFrame([(0, "a", 2)], "hour int, article string, views bigint")
+    for exact, want in ((False, 1 / 3), (True, 0.5 / 3.5)):
+        hist = hist_ops.historical_average(obs, exact=exact)
+        for run in (anom.anomaly_step(cur, hist, None), anom.anomaly_backfill(cur, hist, 0),
+                    anom.advance_anomaly(None, anom.hour_terms(cur, hist))):
+            assert abs(anom.with_distance(run).first().distance - want) < 1e-12
+
+
+def test_log_folders_that_are_no_hour_are_rejected(spark, tmp_dir):
+    from viewtide.operators.parse import parse_hourly_logs
+    from viewtide.sources.files import read_hourly_logs
+    for folder in ("00", "31", "old", "hour=7"):
+        os.makedirs(f"{tmp_dir}/logs/{folder}")
+        with open(f"{tmp_dir}/logs/{folder}/part-0", "w") as f:
+            f.write("en Cat 1 2\n")
+    good, bad = parse_hourly_logs(read_hourly_logs(spark, f"{tmp_dir}/logs"))
+    assert sorted(r.hour for r in good.collect()) == [0, 7]
+    assert [r.reason for r in bad.collect()] == ["hour", "hour"]

@@ -203,3 +203,12 @@ def test_precount_on_empty_source(spark, tmp_dir):
     q = stm.start_precount(src, f"{tmp_dir}/pre", f"{tmp_dir}/ck", available_now=True, wait_seconds=60)
     q.awaitTermination()
     assert spark.read.schema(stm.PRECOUNT_SCHEMA).parquet(f"{tmp_dir}/pre").count() == 0
+
+
+def test_stream_queries_read_any_file_layout(spark, tmp_dir):
+    from viewtide.plans.catalog import QUERIES
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4, F.xxhash64("ts")).write.parquet(f"{tmp_dir}/events.parquet")
+    for name in ("hourly_totals_stream", "phase_counts_stream"):
+        one = sorted(map(str, QUERIES[name](spark, "/root/testdata/sf0.001").collect()))
+        assert one and sorted(map(str, QUERIES[name](spark, tmp_dir).collect())) == one

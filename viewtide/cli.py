@@ -28,6 +28,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--path")
     s.add_argument("--bootstrap")
     s.add_argument("--topic")
+    s.add_argument("--starting", default="latest", help="Kafka source: starting offsets")
+    s.add_argument("--max-offsets", type=int, help="Kafka source: most offsets of a micro-batch")
+    s.add_argument("--allow-data-loss", action="store_true", help="Kafka source: go on where offsets have expired")
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", help="defaults to <spark.checkpoint.dir>/viewtide-stream")
     s.add_argument("--watermark", default="10 minutes")
@@ -72,6 +75,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--history", required=True)
     d.add_argument("--date", required=True)
     d.add_argument("--log")
+    d.add_argument("--allow-missing-hours", action="store_true",
+                   help="fold a day of which some hours have no feed folder")
     d.add_argument("--exact", action="store_true")
 
     v = sub.add_parser("serve", help="E5: latest trending rows")
@@ -85,7 +90,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"viewtide-{args.cmd}").getOrCreate()
     if args.cmd == "stream":
         if args.source == "kafka":
-            src = stm.request_stream(spark, "kafka", options=stm.kafka_options(args.bootstrap, args.topic))
+            src = stm.request_stream(spark, "kafka", options=stm.kafka_options(
+                args.bootstrap, args.topic, starting=args.starting, max_offsets_per_trigger=args.max_offsets,
+                fail_on_data_loss=not args.allow_data_loss))
         elif args.source == "text":
             src = stm.request_stream(spark, "text", args.path)
         else:
@@ -109,7 +116,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.backfill_anomalies(spark, args.feed, args.history, args.out, args.date, args.k, args.missing,
                                 args.method)
     elif args.cmd == "fold-day":
-        jobs.fold_day(spark, args.feed, args.history, args.date, args.log, args.exact)
+        jobs.fold_day(spark, args.feed, args.history, args.date, args.log, args.exact,
+                      allow_missing_hours=args.allow_missing_hours)
     elif args.cmd == "serve":
         jobs.serve(spark, args.trending, args.n).show(truncate=False)
 

@@ -5,7 +5,7 @@ For an article at hour h of the day, with c_i today's views and a_i the historic
 * ``ratio`` (the reference's computation, D12): sum_i |c_i - a_i| / sum_i (c_i + a_i), i = 0..h
 * ``canberra`` (textbook, A7):                     sum_i |c_i - a_i| / (c_i + a_i)
 
-with 0/0 taken as 0 (D16). ``missing='drop'`` keeps the reference's inner joins: an article must
+with 0/0 taken as 0 (D16). Today's titles are lower-cased, as the history's are (P6). ``missing='drop'`` keeps the reference's inner joins: an article must
 have both a current count and a history average in every hour 0..h. ``missing='zero'`` treats an
 absent side as 0 (full outer semantics).
 
@@ -33,12 +33,17 @@ def _frac(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
-def _terms_from(c: Column, a: Column) -> list[Column]:
+def _terms_from(c: Column, a: Column, kind: str) -> list[Column]:
     diff = F.abs(c - a)
-    return [diff.cast("bigint").alias("lhs"), (c + a).cast("bigint").alias("rhs"),
+    return [diff.cast(kind).alias("lhs"), (c + a).cast(kind).alias("rhs"),
             _frac(diff, c + a).alias("canberra_sum")]
 
 
+def _sum_kind(df: DataFrame, column: str) -> str:
+    """Sums are BIGINT, or DOUBLE where the averages are exact ones."""
+    return "double" if df.schema[column].dataType.typeName() == "double" else "bigint"
+
+
 def _check(missing: str, method: str | None = None) -> None:
     if missing not in MISSING:
         raise ValueError(f"missing must be one of {MISSING}")
@@ -49,8 +54,10 @@ def _check(missing: str, method: str | None = None) -> None:
 def _paired(cur: DataFrame, hist: DataFrame, keys: list[str], key: str, views: str,
             avg: str, missing: str) -> DataFrame:
     """(keys..., c, a): today's views summed per key (A3) next to the historical average."""
-    c = cur.select(*keys, F.col(views).cast("bigint").alias("_c"), F.lit(None).cast("bigint").alias("_a"))
-    a = hist.select(*keys, F.lit(None).cast("bigint").alias("_c"), F.col(avg).cast("bigint").alias("_a"))
+    kind = _sum_kind(hist, avg)
+    rest = [k for k in keys if k != key]
+    c = cur.select(*rest, F.lower(key).alias(key), F.col(views).cast("bigint").alias("_c"), F.lit(None).cast(kind).alias("_a"))
+    a = hist.select(*rest, key, F.lit(None).cast("bigint").alias("_c"), F.col(avg).cast(kind).alias("_a"))
     g = c.unionByName(a).groupBy(*keys).agg(F.sum("_c").alias("c"), F.max("_a").alias("a"))
     if missing == "drop":
         return g.where(F.col("c").isNotNull() & F.col("a").isNotNull())
@@ -65,7 +72,7 @@ def hour_terms(cur: DataFrame, hist: DataFrame, missing: str = "drop", key: str
     """
     _check(missing)
     p = _paired(cur, hist, [key], key, views, avg, missing)
-    return p.select(key, *_terms_from(F.col("c"), F.col("a")))
+    return p.select(key, *_terms_from(F.col("c"), F.col("a"), _sum_kind(hist, avg)))
 
 
 def advance_anomaly(state: DataFrame | None, terms: DataFrame, missing: str = "drop",
@@ -81,8 +88,9 @@ def advance_anomaly(state: DataFrame | None, terms: DataFrame, missing: str = "d
           .agg(*[F.sum(c).alias(c) for c in cols], F.max("_s").alias("_s"), F.max("_t").alias("_t")))
     if missing == "drop":
         g = g.where((F.col("_s") == 1) & (F.col("_t") == 1))
-    return g.select(key, F.col("lhs").cast("bigint").alias("lhs"),
-                    F.col("rhs").cast("bigint").alias("rhs"), "canberra_sum")
+    kind = _sum_kind(terms, "lhs")
+    return g.select(key, F.col("lhs").cast(kind).alias("lhs"),
+                    F.col("rhs").cast(kind).alias("rhs"), "canberra_sum")
 
 
 def anomaly_step(cur: DataFrame, hist: DataFrame, state: DataFrame | None, missing: str = "drop",
@@ -92,16 +100,17 @@ def anomaly_step(cur: DataFrame, hist: DataFrame, state: DataFrame | None, missi
     ``advance_anomaly(state, hour_terms(cur, hist))`` (two exchanges). ``state`` is None at hour 0.
     """
     _check(missing)
-    nb, nd = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+    kind = _sum_kind(hist, avg)
+    nb, nk, nd = F.lit(None).cast("bigint"), F.lit(None).cast(kind), F.lit(None).cast("double")
     parts = [
-        cur.select(key, F.col(views).cast("bigint").alias("_c"), nb.alias("_a"), nb.alias("_l"),
-                   nb.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
-        hist.select(key, nb.alias("_c"), F.col(avg).cast("bigint").alias("_a"), nb.alias("_l"),
-                    nb.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
+        cur.select(F.lower(key).alias(key), F.col(views).cast("bigint").alias("_c"), nk.alias("_a"), nk.alias("_l"),
+                   nk.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
+        hist.select(key, nb.alias("_c"), F.col(avg).cast(kind).alias("_a"), nk.alias("_l"),
+                    nk.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
     ]
     if state is not None:
-        parts.append(state.select(key, nb.alias("_c"), nb.alias("_a"), F.col("lhs").alias("_l"),
-                                  F.col("rhs").alias("_r"), F.col("canberra_sum").alias("_b"),
+        parts.append(state.select(key, nb.alias("_c"), nk.alias("_a"), F.col("lhs").cast(kind).alias("_l"),
+                                  F.col("rhs").cast(kind).alias("_r"), F.col("canberra_sum").alias("_b"),
                                   F.lit(1).alias("_s")))
     u = parts[0]
     for p in parts[1:]:
@@ -116,8 +125,8 @@ def anomaly_step(cur: DataFrame, hist: DataFrame, state: DataFrame | None, missi
     c, a = F.coalesce("c", F.lit(0)), F.coalesce("a", F.lit(0))
     diff = F.abs(c - a)
     return g.select(key,
-                    (F.coalesce("pl", F.lit(0)) + diff).cast("bigint").alias("lhs"),
-                    (F.coalesce("pr", F.lit(0)) + c + a).cast("bigint").alias("rhs"),
+                    (F.coalesce("pl", F.lit(0)) + diff).cast(kind).alias("lhs"),
+                    (F.coalesce("pr", F.lit(0)) + c + a).cast(kind).alias("rhs"),
                     (F.coalesce("pb", F.lit(0.0)) + _frac(diff, c + a)).alias("canberra_sum"))
 
 
@@ -140,18 +149,18 @@ def anomaly_backfill(cur: DataFrame, hist: DataFrame, last_hour: int = 23, missi
     hours without either side get zero terms (each row is extended to the hour before the next one).
     """
     _check(missing)
-    nb = F.lit(None).cast("bigint")
-    c = cur.where(F.col("hour") <= last_hour).select("hour", key, F.col(views).cast("bigint").alias("_c"),
-                                                     nb.alias("_a"))
-    h = hist.where(F.col("hour") <= last_hour).select("hour", key, nb.alias("_c"),
-                                                      F.col(avg).cast("bigint").alias("_a"))
+    kind = _sum_kind(hist, avg)
+    c = cur.where(F.col("hour") <= last_hour).select(
+        "hour", F.lower(key).alias(key), F.col(views).cast("bigint").alias("_c"), F.lit(None).cast(kind).alias("_a"))
+    h = hist.where(F.col("hour") <= last_hour).select(
+        "hour", key, F.lit(None).cast("bigint").alias("_c"), F.col(avg).cast(kind).alias("_a"))
     g = (c.unionByName(h).repartition(key)
           .groupBy("hour", key).agg(F.sum("_c").alias("c"), F.max("_a").alias("a")))
     if missing == "drop":
         g = g.where(F.col("c").isNotNull() & F.col("a").isNotNull())
     else:
         g = g.select("hour", key, F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("a", F.lit(0)).alias("a"))
-    t = g.select("hour", key, *_terms_from(F.col("c"), F.col("a")))
+    t = g.select("hour", key, *_terms_from(F.col("c"), F.col("a"), kind))
     if missing == "zero":
         nxt = F.lead("hour", 1, last_hour + 1).over(Window.partitionBy(key).orderBy("hour"))
         t = t.withColumn("_next", nxt).select(
@@ -163,8 +172,8 @@ def anomaly_backfill(cur: DataFrame, hist: DataFrame, last_hour: int = 23, missi
                      F.when(keep, F.col("canberra_sum")).otherwise(F.lit(0.0)).alias("canberra_sum"))
     run = Window.partitionBy(key).orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = t.select(F.col("hour").cast("int").alias("hour"), key,
-                   F.sum("lhs").over(run).cast("bigint").alias("lhs"),
-                   F.sum("rhs").over(run).cast("bigint").alias("rhs"),
+                   F.sum("lhs").over(run).cast(kind).alias("lhs"),
+                   F.sum("rhs").over(run).cast(kind).alias("rhs"),
                    F.sum("canberra_sum").over(run).alias("canberra_sum"),
                    F.count(F.lit(1)).over(run).alias("_k"))
     if missing == "drop":

@@ -33,13 +33,13 @@ def update_history(hist: DataFrame, day: DataFrame, key: str = "article", hour:
                    views: str = "views", exact: bool = False) -> DataFrame:
     """A4 + J3: fold one day's feed into the history.
 
-    The day's rows are summed per (hour, key) and count as one observation (D20); keys only in the
+    The day's titles are lower-cased (P6); its rows are summed per (hour, key) and count as one observation (D20); keys only in the
     history keep their sums and count; keys only in the day start with n = 1.
     """
     h = hist.select(F.col("hour"), F.col(key), F.col("sum_views").alias("_hs"),
                     F.col("n").alias("_hn"), F.lit(None).cast("bigint").alias("_dv"))
     d = day.where(F.col(views).isNotNull()).select(
-        F.col(hour).alias("hour"), F.col(key), F.lit(0).cast("bigint").alias("_hs"),
+        F.col(hour).alias("hour"), F.lower(key).alias(key), F.lit(0).cast("bigint").alias("_hs"),
         F.lit(0).cast("bigint").alias("_hn"), F.col(views).cast("bigint").alias("_dv"))
     g = (h.unionByName(d).groupBy("hour", key)
           .agg(F.sum("_hs").alias("_hs"), F.sum("_hn").alias("_hn"), F.sum("_dv").alias("_dv")))

@@ -71,7 +71,8 @@ def parse_hourly_logs(lines: DataFrame, value: str = "value", hour: str = "hour"
     ``str.split(' ')``, so two blanks make an empty field) -> (hour, project, article, views, bytes).
 
     Lines with other than exactly four fields are dropped by the reference's arity filter; they are
-    returned as rejects with reason ``arity``. A non-integer view count is reason ``views``. The title
+    returned as rejects with reason ``arity``. A non-integer view count is reason ``views``, an
+    hour outside 0..23 or unknown is reason ``hour``. The title
     is lower-cased; the project code is kept so callers may filter on it (the reference drops it).
     """
     parts = split_fields(F.col(value), " ", keep_trailing=True)
@@ -84,7 +85,8 @@ def parse_hourly_logs(lines: DataFrame, value: str = "value", hour: str = "hour"
         F.coalesce(F.size(parts), F.lit(0)).alias("_n"),
     )
     reason = (F.when(F.col(value).isNull() | (F.col("_n") != 4), F.lit("arity"))
-               .when(F.col("views").isNull(), F.lit("views")))
+               .when(F.col("views").isNull(), F.lit("views"))
+               .when(F.col("hour").isNull() | ~F.col("hour").between(0, 23), F.lit("hour")))
     return _split_good_bad(p, reason, ["hour", "project", "article", "views", "bytes"], value)
 
 

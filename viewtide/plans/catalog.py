@@ -5,6 +5,7 @@ Every query reads whole tables; parameters are fixed here and mirrored by ``orac
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from ..sources import render
 from ..sources.files import read_day
 from ..sources.tables import read_requests, read_table
 from ..streaming import trend_stream as stm
+from . import jobs
 
 # The reference's window sizes (10-minute slots, one-hour series, one-minute slide).
 SLOT, SLOTS, SLIDE = "10 minutes", 6, "1 minute"
@@ -44,16 +46,16 @@ def q_hour_series(spark: SparkSession, sf: str) -> DataFrame:
     return ser.withColumn("series", series_text("series"))
 
 
-def q_sliding_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return win.sliding_counts(read_requests(spark, sf), SLOT, SLIDE)
+def q_sliding_counts(spark: SparkSession, sf: str, requests: DataFrame | None = None) -> DataFrame:
+    return win.sliding_counts(read_requests(spark, sf) if requests is None else requests, SLOT, SLIDE)
 
 
 def q_phase_routed_counts(spark: SparkSession, sf: str) -> DataFrame:
     return win.route_by_phase(win.sliding_counts(read_requests(spark, sf), SLOT, SLIDE), PHASE_TOPIC)
 
 
-def q_hourly_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return win.hourly_totals(read_requests(spark, sf))
+def q_hourly_totals(spark: SparkSession, sf: str, requests: DataFrame | None = None) -> DataFrame:
+    return win.hourly_totals(read_requests(spark, sf) if requests is None else requests)
 
 
 def q_parse_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,9 +99,9 @@ TOP_K = 3
 DIGITS = 6
 
 
-def _day_split(spark: SparkSession, sf: str):
+def _day_split(spark: SparkSession, sf: str, requests: DataFrame | None = None):
     """(feed, latest date Column, today's feed, earlier feed). The latest date is a scalar subquery."""
-    feed = win.hourly_totals(read_requests(spark, sf))
+    feed = win.hourly_totals(read_requests(spark, sf) if requests is None else requests)
     latest = feed.select(F.max("date")).scalar()
     return feed, latest, feed.where(F.col("date") == latest), feed.where(F.col("date") < latest)
 
@@ -114,8 +116,9 @@ def q_update_history(spark: SparkSession, sf: str) -> DataFrame:
     return hist_ops.update_history(hist_ops.historical_average(past), today)
 
 
-def _backfill(spark: SparkSession, sf: str, missing: str, method: str = "ratio") -> DataFrame:
-    _, latest, today, past = _day_split(spark, sf)
+def _backfill(spark: SparkSession, sf: str, missing: str, method: str = "ratio",
+              requests: DataFrame | None = None) -> DataFrame:
+    _, latest, today, past = _day_split(spark, sf, requests)
     run = anom.anomaly_backfill(today, hist_ops.historical_average(past), 23, missing)
     return anom.with_distance(run, method).withColumn("date", latest)
 
@@ -128,8 +131,8 @@ def q_anomaly_backfill_drop(spark: SparkSession, sf: str) -> DataFrame:
     return _out(_backfill(spark, sf, "drop"), "article", "lhs", "rhs")
 
 
-def q_anomaly_backfill_zero(spark: SparkSession, sf: str) -> DataFrame:
-    return _out(_backfill(spark, sf, "zero"), "article", "lhs", "rhs")
+def q_anomaly_backfill_zero(spark: SparkSession, sf: str, requests: DataFrame | None = None) -> DataFrame:
+    return _out(_backfill(spark, sf, "zero", requests=requests), "article", "lhs", "rhs")
 
 
 def q_anomaly_canberra(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,8 +164,8 @@ def q_anomaly_step_zero(spark: SparkSession, sf: str) -> DataFrame:
     return _step(spark, sf, 23, "zero")
 
 
-def q_top_anomalies(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = anom.top_anomalies(_backfill(spark, sf, "zero"), TOP_K)
+def q_top_anomalies(spark: SparkSession, sf: str, requests: DataFrame | None = None) -> DataFrame:
+    ranked = anom.top_anomalies(_backfill(spark, sf, "zero", requests=requests), TOP_K)
     return _out(ranked, "rank", "article")
 
 
@@ -202,8 +205,8 @@ WATERMARK = "10 minutes"
 
 def _request_file_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = read_table(spark, sf, "events").schema
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-                .option("maxFilesPerTrigger", 1).parquet(sf))
+    # a pattern, so that the table may be one file or a folder of any number of files
+    src = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/events.parque[t]")
     return src.select(F.col("event_type").alias("article"), F.col("ts"))
 
 
@@ -260,6 +263,45 @@ def q_hourly_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("date", "hour", "article", "views")
 
 
+# --- jobs over stored tables: the chains E4 and E3 run day by day and hour by hour ---
+def _stored_feed(spark: SparkSession, sf: str, name: str):
+    """The hourly feed with titles as logs have them (capitalised), written as the feed table; its latest date."""
+    root = scratch_path(spark, name)
+    feed = win.hourly_totals(read_requests(spark, sf))
+    title = F.concat(F.upper(F.substring("article", 1, 1)), F.expr("substring(article, 2)"))
+    tbl.write_hourly_totals(feed.withColumn("article", title), f"{root}/feed")
+    day = spark.read.parquet(f"{root}/feed").select(F.max("date")).first()[0]  # one scalar
+    return root, day
+
+
+def q_fold_day_job(spark: SparkSession, sf: str) -> DataFrame:
+    """E4 + K3 + S4: seed the history up to three days ago, fold the last three days one by one, read back."""
+    root, day = _stored_feed(spark, sf, "fold-days")
+    days = [day - dt.timedelta(days=k) for k in (2, 1, 0)]
+    jobs.seed_history_from_feed(spark, f"{root}/feed", f"{root}/history", days[0] - dt.timedelta(days=1))
+    for d in days:
+        jobs.fold_day(spark, f"{root}/feed", f"{root}/history", d, log_path=f"{root}/log", allow_missing_hours=True)
+    return tbl.read_history(spark, f"{root}/history").select("hour", "article", "sum_views", "n", "avg_views")
+
+
+def q_anomaly_hours_job(spark: SparkSession, sf: str) -> DataFrame:
+    """E3 + K4 + K7 + S3 + S5: all hours of the latest day through the state table; the published rows."""
+    root, day = _stored_feed(spark, sf, "anomaly-hours")
+    jobs.seed_history_from_feed(spark, f"{root}/feed", f"{root}/history", day - dt.timedelta(days=1))
+    for hour in range(24):
+        jobs.run_anomaly_hour(spark, f"{root}/feed", f"{root}/history", f"{root}/state", f"{root}/published",
+                              day, hour, TOP_K, "zero", require_feed=False)
+    return _out(tbl.read_anomalies(spark, f"{root}/published"), "rank", "article")
+
+
+# --- many keys: users instead of event types as articles ---
+def _per_user(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return query(spark, sf, read_table(spark, sf, "events").select(
+            F.col("user_id").cast("string").alias("article"), "ts"))
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trending_hour": q_trending_hour,
     "trending_day": q_trending_day,
@@ -291,4 +333,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trending_stream_precount": q_trending_stream_precount,
     "parse_trending_text": q_parse_trending_text,
     "promote_day": q_promote_day,
+    "fold_day_job": q_fold_day_job,
+    "anomaly_hours_job": q_anomaly_hours_job,
+    "sliding_counts_users": _per_user(q_sliding_counts),
+    "hourly_totals_users": _per_user(q_hourly_totals),
+    "anomaly_backfill_zero_users": _per_user(q_anomaly_backfill_zero),
+    "top_anomalies_users": _per_user(q_top_anomalies),
 }

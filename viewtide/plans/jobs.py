@@ -13,7 +13,7 @@ from ..operators import history as hist_ops
 from ..operators.parse import parse_hourly_logs
 from ..operators.serving import serving_rows
 from ..sinks import tables as tbl
-from ..sources.files import path_exists, read_feed, read_hourly_logs
+from ..sources.files import list_partition_values, path_exists, read_feed, read_hourly_logs
 
 
 def build_history(spark: SparkSession, logs_root: str, history_root: str, as_of,
@@ -36,14 +36,17 @@ def build_history(spark: SparkSession, logs_root: str, history_root: str, as_of,
 def seed_history_from_feed(spark: SparkSession, feed_path: str, history_root: str, as_of) -> str:
     """E2 on the typed feed: every (date, hour, article) row up to ``as_of`` is one observation."""
     feed = spark.read.parquet(feed_path).where(F.col("date") <= F.lit(as_of).cast("date"))
+    feed = feed.withColumn("article", F.lower("article"))  # P6
     return tbl.write_history(hist_ops.historical_average(feed), history_root, as_of)
 
 
 def fold_day(spark: SparkSession, feed_path: str, history_root: str, date,
-             log_path: str | None = None, exact: bool = False) -> str:
+             log_path: str | None = None, exact: bool = False, allow_missing_hours: bool = False) -> str:
     """Fold one finished day into the history as a new version ``as_of=date``.
 
-    Refuses a day not after the latest version (a second fold of the same day would count it twice).
+    Refuses a day that does not follow the latest finished version (a second fold of a day would
+    count it twice, a jump would lose the days between), a day without feed, and a day of which an hour
+    is not written yet, unless ``allow_missing_hours`` says that hours without traffic have no folder.
     The new version is written beside the one read; readers switch by taking the latest.
     With ``log_path`` the day's feed is also promoted into the history log (K9).
     """
@@ -53,6 +56,11 @@ def fold_day(spark: SparkSession, feed_path: str, history_root: str, date,
     last = versions[-1]
     if str(date) <= last:
         raise ValueError(f"day {date} is not after the latest history version {last}")
+    if day_before(date) != last:
+        raise ValueError(f"day {date} does not follow the latest history version {last}; fold the days between first")
+    hours = {int(h) for h in list_partition_values(spark, f"{feed_path.rstrip('/')}/date={date}", "hour")}
+    if not hours or not allow_missing_hours and hours != set(range(24)):
+        raise FileNotFoundError(f"feed of {date} under {feed_path} has hours {sorted(hours)} only")
     hist = tbl.read_history(spark, history_root, last)
     day = read_feed(spark, feed_path, date=date)
     out = tbl.write_history(hist_ops.update_history(hist, day, exact=exact), history_root, date)
@@ -84,9 +92,8 @@ def run_anomaly_hour(spark: SparkSession, feed_path: str, history_root: str, sta
     scored = (anom.with_distance(state, method)
                   .withColumn("date", F.lit(date).cast("date")).withColumn("hour", F.lit(hour)))
     ranked = anom.top_anomalies(scored, k)
-    tbl.write_anomalies(ranked, anomalies_root)
-    return spark.read.parquet(anomalies_root).where(
-        (F.col("date") == F.lit(date).cast("date")) & (F.col("hour") == hour))
+    tbl.write_anomalies(ranked, anomalies_root, date, hour)
+    return tbl.read_anomalies(spark, anomalies_root, date, hour)
 
 
 def backfill_anomalies(spark: SparkSession, feed_path: str, history_root: str, anomalies_root: str,
@@ -99,7 +106,7 @@ def backfill_anomalies(spark: SparkSession, feed_path: str, history_root: str, a
     hist = tbl.read_history(spark, history_root, as_of)
     run = anom.anomaly_backfill(cur, hist, last_hour, missing)
     scored = anom.with_distance(run, method).withColumn("date", F.lit(date).cast("date"))
-    tbl.write_anomalies(anom.top_anomalies(scored, k), anomalies_root)
+    tbl.write_anomalies(anom.top_anomalies(scored, k), anomalies_root, date)
 
 
 def serve(spark: SparkSession, trending_path: str, n: int = 10) -> DataFrame:

@@ -227,3 +227,9 @@ SELECT t.* FROM ({_trend_sql(10, 6, 1, True)}) t, d WHERE t.window_end <= d.d"""
     "hourly_totals_stream": f"""SELECT * FROM ({_HOURLY})
 WHERE CAST(date AS TIMESTAMP) + to_hours(hour + 1) <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
 }
+
+# The stored jobs end where the closed forms do; the many-key queries read users as articles.
+ORACLE_SQL["fold_day_job"] = ORACLE_SQL["update_history"]
+ORACLE_SQL["anomaly_hours_job"] = ORACLE_SQL["top_anomalies"]
+for _name in ("sliding_counts", "hourly_totals", "anomaly_backfill_zero", "top_anomalies"):
+    ORACLE_SQL[f"{_name}_users"] = ORACLE_SQL[_name].replace("event_type", "CAST(user_id AS VARCHAR)")

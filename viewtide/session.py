@@ -52,8 +52,9 @@ def _context(spark: SparkSession):
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the folder is configured by the operator and is only read here. Only when it is
-    unset (tests, local runs) is a fresh private folder created and registered.
+    On a cluster the folder is configured by the operator and is only read here; one that is unset is an
+    error, since executors do not share a folder of the driver's machine. Only on a local master
+    (tests, local runs) is a fresh private folder created and registered.
     """
     sc = _context(spark)
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -61,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="viewtide-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

@@ -1,8 +1,9 @@
 """Batch sinks and the typed state tables.
 
-Every write replaces exactly the partitions it owns (dynamic partition overwrite) or a fresh version
-folder, so a job that dies half-way -- lost executors included -- is simply run again: no delete
-step, no read-and-replace of the same path (D22).
+Every write replaces exactly the partitions it owns (dynamic partition overwrite) or one version
+folder whole, so a job that dies half-way -- lost executors included -- is simply run again: no
+delete step, no read-and-replace of the same path (D22). A version counts once its write has finished
+(``_SUCCESS``); one that died half-way is neither read nor in the way of its repetition.
 """
 
 from __future__ import annotations
@@ -34,12 +35,14 @@ def write_hourly_totals(df: DataFrame, path: str) -> None:
 def write_history(hist: DataFrame, root: str, as_of) -> str:
     path = f"{root.rstrip('/')}/as_of={as_of}"
     out = _clustered(hist.select("hour", "article", "sum_views", "n", "avg_views"), ["hour"])
-    out.write.mode("overwrite").partitionBy("hour").parquet(path)
+    # static: the version is replaced whole, whatever hours an earlier build of it had
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("hour").parquet(path)
     return path
 
 
 def history_versions(spark: SparkSession, root: str) -> list[str]:
-    return list_partition_values(spark, root, "as_of")
+    """Finished versions, oldest first."""
+    return list_partition_values(spark, root, "as_of", finished=True)
 
 
 def history_version_before(spark: SparkSession, root: str, date) -> str:
@@ -81,11 +84,25 @@ def read_anomaly_state(spark: SparkSession, root: str, date, hour: int) -> DataF
 
 
 # K7: top anomalies per hour, set semantics per (date, hour, article)
-def write_anomalies(ranked: DataFrame, root: str) -> None:
-    out = ranked.dropDuplicates(["date", "hour", "article"]).select(
-        "rank", "article", "distance", F.col("date").cast("date").alias("date"),
-        F.col("hour").cast("int").alias("hour"))
-    _overwrite_partitions(out, root, ["date", "hour"])
+ANOMALY_COLS = "rank int, article string, distance double"
+
+
+def write_anomalies(ranked: DataFrame, root: str, date, hour: int | None = None) -> None:
+    """Publish one hour, or (``hour`` None) all hours of one day: the folder is replaced whole, so an
+    hour without rows is published as empty and keeps none of an earlier run."""
+    out = ranked.dropDuplicates(["date", "hour", "article"])
+    folder = f"{root.rstrip('/')}/date={date}"
+    if hour is not None:
+        out.select("rank", "article", "distance").write.mode("overwrite").parquet(f"{folder}/hour={hour}")
+        return
+    out = _clustered(out.select("rank", "article", "distance", F.col("hour").cast("int").alias("hour")), ["hour"])
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("hour").parquet(folder)
+
+
+def read_anomalies(spark: SparkSession, root: str, date=None, hour: int | None = None) -> DataFrame:
+    """The published rows: of one hour, or of all."""
+    full = spark.read.schema(f"{ANOMALY_COLS}, date date, hour int").option("basePath", root)
+    return full.parquet(root if date is None else f"{root.rstrip('/')}/date={date}/hour={hour}")
 
 
 # K5 / K6 (batch form): ranked or trending rows under a partition column such as minute or date
@@ -109,4 +126,6 @@ def keyed_by_article(df: DataFrame, key: str = "article", partitions: int | None
 # K9: promote a finished day's hourly partitions from the work feed into the history log
 def promote_day(spark: SparkSession, work_path: str, log_path: str, date) -> None:
     day = spark.read.parquet(work_path).where(F.col("date") == F.lit(date).cast("date"))
-    write_hourly_totals(day, log_path)
+    out = _clustered(day.select("article", "views", "hour"), ["hour"])
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("hour")
+        .parquet(f"{log_path.rstrip('/')}/date={date}"))

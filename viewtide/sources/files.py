@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +13,12 @@ def read_hourly_logs(spark: SparkSession, root: str) -> DataFrame:
     """Every hourly log under ``root/HH/`` in one scan -> (value, hour).
 
     The hour comes from the folder name (``00``..``23``, or ``hour=HH``) of each file, read from the
-    file metadata column, so one job covers all 24 folders.
+    file metadata column, so one job covers all 24 folders. Lines of any other folder have no hour and
+    are rejected by the parser.
     """
     df = spark.read.option("recursiveFileLookup", "true").text(root)
     path = F.col("_metadata.file_path")
-    hh = F.regexp_extract(path, r"/(?:hour=)?([0-9]{1,2})/[^/]*$", 1)
+    hh = F.regexp_extract(path, r"/(?:hour=)?([01]?[0-9]|2[0-3])/[^/]*$", 1)
     return df.select("value", F.when(hh != "", hh.cast("int")).alias("hour"))
 
 
@@ -31,8 +33,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         try:
             spark.read.parquet(path).schema  # resolves the file listing only
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:  # anything else, such as a denied access, is an error
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
 
 
 def read_partition(spark: SparkSession, base: str, **parts) -> DataFrame:
@@ -84,8 +88,9 @@ def import_sequence_pairs(spark: SparkSession, path: str, key: str = "article",
     return spark.sparkContext.sequenceFile(path).toDF([key, value])
 
 
-def list_partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
-    """Names ``column=value`` of the sub-folders of ``root`` (directory listing only, no scan).
+def list_partition_values(spark: SparkSession, root: str, column: str, finished: bool = False) -> list[str]:
+    """Names ``column=value`` of the sub-folders of ``root`` (directory listing only, no scan); with
+    ``finished`` those whose write has committed (they hold ``_SUCCESS``).
     Without a local JVM (Spark Connect) the partition column is read instead; it has one value per
     version, so the result stays small."""
     try:
@@ -105,6 +110,8 @@ def list_partition_values(spark: SparkSession, root: str, column: str) -> list[s
     prefix = f"{column}="
     for st in fs.listStatus(hpath):
         name = st.getPath().getName()
+        if finished and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue
         if st.isDirectory() and name.startswith(prefix):
             out.append(name[len(prefix):])
     return sorted(out)

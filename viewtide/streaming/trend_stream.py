@@ -34,13 +34,15 @@ from ..operators.windows import duration_seconds, non_decreasing, route_by_phase
 
 def kafka_options(bootstrap: str, topic: str | None = None, pattern: str | None = None,
                   starting: str = "latest", max_offsets_per_trigger: int | None = None,
-                  min_partitions: int | None = None, **extra: str) -> dict[str, str]:
+                  min_partitions: int | None = None, fail_on_data_loss: bool = True,
+                  **extra: str) -> dict[str, str]:
     """Options for ``readStream.format('kafka')``: one topic or a pattern (``subscribePattern``,
     e.g. the ten phase topics). ``max_offsets_per_trigger`` bounds a micro-batch (a backlog after
     downtime is worked off in steps, not one giant batch); ``min_partitions`` splits Kafka partitions
-    into more Spark tasks than the topic has partitions."""
+    into more Spark tasks than the topic has partitions. Offsets that have expired stop the stream
+    unless ``fail_on_data_loss`` is off."""
     opts = {"kafka.bootstrap.servers": bootstrap, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+            "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if min_partitions:
