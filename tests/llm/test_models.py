@@ -113,7 +113,7 @@ def test_main_text_of_a_page():
     assert html_main.main_text(None) == html_main.main_text("") == html_main.main_text("<nav>x") == ""
     assert html_main.main_text("just text &am &amp") == "just text &am &"
     assert html_main.main_text("<body><div>One</b></p><i>two</div><main><p>Three</main>") == "Three"
-    assert html_main.main_text("<article>a<!-- b --><![CDATA[c]]><script>d<p></script>e<textarea>f</textarea></article>") == "acde"
+    assert html_main.main_text("<article>a<!-- b --><![CDATA[c]]><script>d<p></script>e<textarea>f</textarea></article>") == "ace"
     assert html_main.main_text("<article><p>a < b and <3 c</p><a title='x>y' href=q>z</a>") == "a < b and <3 c z"
     assert html_main.main_text("<article>" * 500 + "deep" + "</div>" * 9) == "deep"
 
