@@ -33,7 +33,7 @@ from ..session import scratch_path
 from .common import LOWER_AZ, ship
 
 END_ID = 2
-MAX_WORDS = 400_000  # distinct words of a generation; a worker remembers two
+MAX_WORDS = 100_000  # distinct words of a generation; a worker remembers two (some 40 MB)
 TOKEN_SCHEMA = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("doc_id", T.LongType()),
                              T.StructField("seq", T.LongType()),  # position in its file's id range
                              T.StructField("n_tokens", T.LongType()),
@@ -86,9 +86,7 @@ class WordEncoder:
                     ids = self._letters(w)
                 elif text[-1] in self.marks and _plain(text[:-1]):
                     stem = w[:-1]
-                    ids = known.get(stem) or older.get(stem) or self._letters(stem)
-                    known[stem] = ids
-                    ids += self.marks[text[-1]]
+                    ids = (known.get(stem) or older.get(stem) or self._letters(stem)) + self.marks[text[-1]]
                 else:
                     rest.append(w)
                     continue
