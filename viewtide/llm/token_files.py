@@ -7,7 +7,7 @@ prunes stripes and strides by id. Each file holds one id range, so files and str
 parallel. Starts are running totals over file totals and then inside each file.
 
 Encoding: white space splits words before the tokenizer does, so each distinct word is encoded
-once per worker and looked up afterwards; a bounded table holds the words. A round-trip test
+once per task and looked up afterwards; a bounded table holds the words. A round-trip test
 compares this with encoding the whole text.
 
 Defined cases: null and empty texts are the end id alone; rows repeating a doc_id are separate
@@ -127,7 +127,14 @@ def encoder(path: str) -> WordEncoder:
 
 def _encode(path: str | None, end_id: int, rows: int = 500):
     def encode(batches):
-        enc, seq = encoder(path or tokenizer_path()), 0
+        enc = encoder(path or tokenizer_path())
+        try:
+            yield from encoded(enc, batches)
+        finally:  # the worker lives on for other stages
+            enc.known, enc.older = {}, {}
+
+    def encoded(enc, batches):
+        seq = 0
         for whole in batches:
             for b in (whole.slice(i, rows) for i in range(0, whole.num_rows, rows)):
                 raw = enc.encode(b.column("text").to_pylist(), end_id)
