@@ -41,6 +41,7 @@ GAMMA = 0.9
 TEMPLATE = 0.3  # composite importance below which a branch is template
 VARIED = 0.5  # of an article element, from which on its site's articles differ
 PAGES = 5  # that must have a path before it is judged
+DEPTH = 100  # steps of a path; elements nested deeper share the path of their ancestor there, and its verdict
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
@@ -72,6 +73,7 @@ class Page:
 
     def __init__(self, source: str | None):
         self.tag, self.path, self.parent, self.words, self.children = ["#root"], [""], [-1], [frozenset()], [[]]
+        self.depth, self.anchor = [0], [0]  # anchor: the element that gave the path its last step
         self.pieces: list[tuple[int, str] | None] = []
         self._parse(source or "")
 
@@ -79,13 +81,17 @@ class Page:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if "=" in attrs else {}
         words = frozenset(_NAME.findall(f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()))
         key = ".".join([tag, *sorted(words)])
+        node = len(self.tag)
+        deep = self.depth[at] >= DEPTH
         self.tag.append(tag)
-        self.path.append(f"{self.path[at]}/{key}")
+        self.path.append(self.path[at] if deep else f"{self.path[at]}/{key}")
+        self.depth.append(self.depth[at] + 1)
+        self.anchor.append(self.anchor[at] if deep else node)
         self.parent.append(at)
         self.words.append(words)
         self.children.append([])
         self.children[at].append(key)
-        return len(self.tag) - 1
+        return node
 
     def _parse(self, source: str) -> None:
         stack, end, pos = [0], len(source), 0
@@ -237,7 +243,7 @@ def _count_styles(batches):
             seen |= {(SHOWN, keys[k], _key(",".join(c)) & ~0xFF | min(255, len(c))) for k, c in enumerate(page.children) if k}
             for node, text in page.blocks():
                 seen.add((BLOCK, keys[node], _key(text)))
-                up = node
+                up = page.anchor[node]
                 while up > 0:
                     seen.add((BELOW, keys[node], keys[up]))
                     up = page.parent[up]
@@ -301,23 +307,22 @@ def extract_main_text(spark: SparkSession, pages: DataFrame, broadcast_bytes: in
         path, flag = got["path"].to_numpy(), got["template"].to_numpy()
         table = spark.sparkContext.broadcast((frozenset(path[flag].tolist()), frozenset(path.tolist())))
         return rows.mapInArrow(_texts(lambda b: [table.value] * b.num_rows), TEXTS)
-    # beyond the bound each page gets the judged ones of its own paths
-    mine = rows.mapInArrow(_page_paths, "page_id bigint, url string, host string, html string, row bigint, path bigint")
-    mine = mine.join(low, "path", "left").groupBy("page_id", "url", "host", "html", "row").agg(
-        F.collect_set(F.when(F.col("template"), F.col("path"))).alias("template"),
-        F.collect_set(F.when(F.col("template").isNotNull(), F.col("path"))).alias("alike"))
-    return mine.mapInArrow(_texts(lambda b: [(frozenset(t), frozenset(a)) for t, a in
-                                             zip(b.column("template").to_pylist(), b.column("alike").to_pylist())]), TEXTS)
+    # beyond the bound each page gets the judged ones of its own paths; the html itself moves once
+    rows = rows.withColumn("content", F.md5(F.concat("host", F.lit("\n"), F.coalesce("html", F.lit("")))))
+    mine = rows.select("content", "host", "html").mapInArrow(_page_paths, "content string, path bigint")
+    judged = mine.join(low, "path").groupBy("content").agg(
+        F.collect_set(F.when(F.col("template"), F.col("path"))).alias("template"), F.collect_set("path").alias("alike"))
+    return rows.join(judged, "content", "left").mapInArrow(
+        _texts(lambda b: [(frozenset(t or ()), frozenset(a or ())) for t, a in
+                          zip(b.column("template").to_pylist(), b.column("alike").to_pylist())]), TEXTS)
 
 
 def _page_paths(batches):
-    """A page once for each of its distinct paths, with a row number that tells repeated pages apart."""
-    from pyspark import TaskContext
-    row = TaskContext.get().partitionId() << 33
+    """The distinct paths of each page, beside the page's content hash; equal pages have equal paths."""
     for b in batches:
-        for k, (host, source) in enumerate(zip(b.column("host").to_pylist(), b.column("html").to_pylist())):
-            paths = sorted({path_key(host, p) for p in Page(source).path})
-            one = b.slice(k, 1).select(["page_id", "url", "host", "html"]).take(pa.array(np.zeros(len(paths), np.int64)))
-            row += 1
-            yield pa.RecordBatch.from_arrays([*one.columns, pa.array([row] * len(paths), pa.int64()), pa.array(paths, pa.int64())],
-                                             names=["page_id", "url", "host", "html", "row", "path"])
+        content, path = [], []
+        for key, host, source in zip(*(b.column(c).to_pylist() for c in ("content", "host", "html"))):
+            found = sorted({path_key(host, p) for p in Page(source).path})
+            content += [key] * len(found)
+            path += found
+        yield pa.RecordBatch.from_arrays([pa.array(content, pa.string()), pa.array(path, pa.int64())], names=["content", "path"])
