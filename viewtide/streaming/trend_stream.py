@@ -3,9 +3,9 @@
 Every stream first counts requests per (article, slide bucket) in a tumbling event-time window, so
 the later sliding windows replicate one row per article and bucket instead of one per request.
 The second stateful aggregate slides over ``window_time`` of the first (chained event-time
-aggregates, append mode). Its slots are conditional sums keyed on the bucket's offset from the
-window start, so exactly six non-overlapping slots make up an hour (D3, D4), and phase alignment is
-inherent (M8).
+aggregates, append mode): the sliding slot counts. The trend chains a third one over their
+``window_time``, of whose windows only those in phase with a slot are kept (M8), so exactly six
+non-overlapping slots make up an hour (D3, D4): 10 + 6 state updates a bucket row instead of 60.
 
 Every operator also accepts rows already counted per bucket (``weight=``): with ``precount_path``,
 ``run_trending_stream`` reads and counts the raw topic once into such a table and the outputs stream
@@ -106,11 +106,16 @@ def sliding_counts_stream(req: DataFrame, size: str = "10 minutes", slide: str =
                           watermark: str = "10 minutes", ts: str = "ts", key: str = "article",
                           weight: str | None = None) -> DataFrame:
     """M4: sliding counts, emitted once the watermark closes each window."""
+    return _sliding(req, size, slide, watermark, ts, key, weight).select(
+        key, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "views")
+
+
+def _sliding(req: DataFrame, size: str, slide: str, watermark: str, ts: str, key: str,
+             weight: str | None) -> DataFrame:
+    """(window, key, views): bucket counts summed over sliding windows."""
     b = _buckets(req, slide, watermark, ts, key, weight)
-    g = (b.groupBy(F.window("_t", size, slide).alias("window"), F.col(key))
-          .agg(F.sum("views").cast("bigint").alias("views")))
-    return g.select(key, F.col("window.start").alias("window_start"),
-                    F.col("window.end").alias("window_end"), "views")
+    return (b.groupBy(F.window("_t", size, slide).alias("window"), F.col(key))
+             .agg(F.sum("views").cast("bigint").alias("views")))
 
 
 def trend_series_stream(req: DataFrame, slots: int = 6, slot: str = "10 minutes",
@@ -120,12 +125,16 @@ def trend_series_stream(req: DataFrame, slots: int = 6, slot: str = "10 minutes"
     slot_s, slide_s = duration_seconds(slot), duration_seconds(slide)
     if slot_s % slide_s:
         raise ValueError("slot width must be a multiple of the slide")
-    span = f"{slots * slot_s} seconds"
-    b = _buckets(req, f"{slide_s} seconds", watermark, ts, key, weight)
-    k = F.floor((F.col("_bsec") - F.unix_timestamp(F.col("window.start"))) / slot_s)
-    wdf = b.select(F.window("_t", span, f"{slide_s} seconds").alias("window"), key, "_bsec", "views")
+    span, step = f"{slots * slot_s} seconds", f"{slide_s} seconds"
+    s = _sliding(req, f"{slot_s} seconds", step, watermark, ts, key, weight)
+    s = s.select(key, F.window_time("window").alias("_t"),
+                 F.unix_timestamp(F.col("window.start")).alias("_slot"), "views")
+    lead = F.col("_slot") - F.unix_timestamp(F.col("window.start"))
+    # of the windows around a slot only those in phase with it reach the state, one per slot position
+    wdf = (s.select(F.window("_t", span, step).alias("window"), key, "_slot", "views")
+            .where(lead % slot_s == 0))
     g = wdf.groupBy("window", key).agg(
-        *[F.sum(F.when(k == i, F.col("views"))).cast("bigint").alias(f"s{i}") for i in range(slots)])
+        *[F.max(F.when(lead == i * slot_s, F.col("views"))).alias(f"s{i}") for i in range(slots)])
     names = slot_names(slots)
     complete = F.lit(True)
     for n in names:
