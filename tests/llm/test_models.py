@@ -118,6 +118,13 @@ def test_main_text_of_a_page():
     assert html_main.main_text("<article>" * 500 + "deep" + "</div>" * 9) == "deep"
 
 
+def test_deep_pages_have_bounded_paths():
+    deep = "<article>" + "<div class='aa'>x" * 5_000 + "</article>"
+    page = html_main.Page(deep)
+    assert max(p.count("/") for p in page.path) == html_main.DEPTH
+    assert html_main.main_text(deep) == " ".join("x" * 5_000)
+
+
 def site(spark, n=24):
     rows = [(k, f"https://Site.example/{k}", f"<html><body><div class='zz'><p>Welcome to our site</p></div><div class='qq'><p>Text {k} "
              f"with own words {k * 7}</p><p>Second {k}</p></div></body></html>") for k in range(n)]
