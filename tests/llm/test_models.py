@@ -193,6 +193,16 @@ def test_language_held_out(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def test_language_training_rows(spark):
+    """The cut by hash before the window leaves each language's first rows by hash as they are."""
+    docs = spark.range(20_000).selectExpr("id doc_id", "'a b' text", "if(id % 10 < 7, 'aa', if(id % 10 < 9, 'bb', null)) lang")
+    got = {r.t_id for r in lang_id.training_ids(spark, docs, 200).collect()}
+    rows = docs.where(docs.lang.isNotNull() & ~lang_id.held_out()).selectExpr("doc_id", "lang", "xxhash64(doc_id) h").collect()
+    for lang in ("aa", "bb"):
+        own = sorted((r.h, r.doc_id) for r in rows if r.lang == lang)
+        assert {d for _, d in own[:100]} == {d for d in got if any(d == i for _, i in own)}
+
+
 def test_language_odd_rows(spark, odd, none):
     out = lang_id.identify(spark, odd).collect()
     by = {r.doc_id: r for r in out}

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_crc, mixing_constants, ship
+from .common import id_crc, mixing_constants, ship, written
 
 FEATURES = 1 << 12
 CENTROIDS = 3
@@ -161,15 +161,24 @@ def _count_grams(batches):
             names=["lang", "n", "grams"])
 
 
-def train(spark: SparkSession, docs: DataFrame, max_rows: int = MAX_ROWS) -> Centroids:
-    """Fit on at most ``max_rows`` texts with a language whose id is not held out."""
-    ship(spark)
+def training_ids(spark: SparkSession, docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """t_id of at most ``max_rows`` texts with a language, not held out: each language's first by hash."""
     ids = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     ids = ids.select(F.col("doc_id").alias("t_id"), F.col("lang").alias("t_lang"))
-    n_langs = ids.select("t_lang").distinct().count()
+    sizes = written(spark, ids.groupBy("t_lang").agg(F.count("*").alias("t_rows")), "language-sizes")
+    share = max(1, max_rows // max(1, sizes.count()))
+    # rows above a hash that some four times the share of their language lie below cannot be among its first;
+    # they stay out of the window, which so sorts as few rows at any size
+    at = F.xxhash64("t_id") / F.lit(2.0 ** 64) + F.lit(0.5)
+    ids = ids.join(sizes, "t_lang").where(at * F.col("t_rows") <= F.lit(4.0 * share + 64))
     pick = F.row_number().over(W.partitionBy("t_lang").orderBy(F.xxhash64("t_id"), "t_id"))
-    # cut to the share of a language in each task already; the list is at most max_rows long
-    ids = ids.withColumn("r", pick).where(F.col("r") <= max(1, max_rows // max(1, n_langs))).select("t_id")
+    return ids.withColumn("r", pick).where(F.col("r") <= share).select("t_id")
+
+
+def train(spark: SparkSession, docs: DataFrame, max_rows: int = MAX_ROWS) -> Centroids:
+    """Fit on at most ``max_rows`` texts with a language whose id is not held out."""
+    ship(spark)
+    ids = training_ids(spark, docs, max_rows)
     rows = docs.join(F.broadcast(ids), docs.doc_id == ids.t_id, "left_semi").select("lang", F.col("text").cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null").mapInArrow(_count_grams, "lang string, n bigint, grams binary")
     got = [r for r in rows.toArrow().to_pylist() if r["n"]]
