@@ -284,6 +284,15 @@ def q_fold_day_job(spark: SparkSession, sf: str) -> DataFrame:
     return tbl.read_history(spark, f"{root}/history").select("hour", "article", "sum_views", "n", "avg_views")
 
 
+def q_build_history_job(spark: SparkSession, sf: str) -> DataFrame:
+    """E2 + S1 + K3: hourly logs as text files in folders hour=0 to hour=23, the history built from them, read back."""
+    root = scratch_path(spark, "build-history")
+    lines = render.hourly_log_lines(read_table(spark, sf, "events").where(F.col("ts").isNotNull()))
+    lines.select("value", "hour").write.partitionBy("hour").text(f"{root}/logs")
+    jobs.build_history(spark, f"{root}/logs", f"{root}/history", "1970-01-01")
+    return tbl.read_history(spark, f"{root}/history").select("hour", "article", "sum_views", "n", "avg_views")
+
+
 def q_anomaly_hours_job(spark: SparkSession, sf: str) -> DataFrame:
     """E3 + K4 + K7 + S3 + S5: all hours of the latest day through the state table; the published rows."""
     root, day = _stored_feed(spark, sf, "anomaly-hours")
@@ -333,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trending_stream_precount": q_trending_stream_precount,
     "parse_trending_text": q_parse_trending_text,
     "promote_day": q_promote_day,
+    "build_history_job": q_build_history_job,
     "fold_day_job": q_fold_day_job,
     "anomaly_hours_job": q_anomaly_hours_job,
     "sliding_counts_users": _per_user(q_sliding_counts),

@@ -58,8 +58,16 @@ _HOURLY = """SELECT CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
        event_type AS article, CAST(COUNT(*) AS BIGINT) AS views
 FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
 
-_OCTET = r"(\+?0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])|-0+)"
-_IP = rf"{_OCTET}(\.{_OCTET}){{3}}"
+# An address has four parts between dots, each a whole number from 0 to 255 (a plus sign, leading zeros and
+# -0 allowed): judged part by part, on the number itself.
+def _octet_ok(i: int) -> str:
+    part = f"split_part(ip, '.', {i})"
+    digits = f"ltrim({part}, '+-')"
+    return (f"{digits} <> '' AND translate({digits}, '0123456789', '') = '' "
+            f"AND length({part}) - length({digits}) <= 1 AND TRY_CAST({part} AS HUGEINT) BETWEEN 0 AND 255")
+
+
+_IP_OK = "len(string_split(ip, '.')) = 4 AND " + " AND ".join(f"({_octet_ok(i)})" for i in (1, 2, 3, 4))
 
 _REQ_LINES = """req_lines AS (
   SELECT CASE WHEN sec = 3 THEN event_type || chr(9) || ip || chr(9) || 'x' || ep
@@ -84,7 +92,7 @@ parsed AS (
   FROM (SELECT line, string_split(line, chr(9)) AS f FROM req_lines)),
 judged AS (
   SELECT *, CASE WHEN n < 3 THEN 'fields'
-                 WHEN ip IS NULL OR NOT regexp_full_match(ip, '{_IP}') OR strpos(ip, chr(10)) > 0 THEN 'ip'
+                 WHEN ip IS NULL OR NOT ({_IP_OK}) THEN 'ip'
                  WHEN NOT regexp_full_match(tsf, '[+-]?[0-9]+') OR TRY_CAST(tsf AS BIGINT) IS NULL
                       OR TRY_CAST(tsf AS BIGINT) < -62135596800
                       OR TRY_CAST(tsf AS BIGINT) > 253402300799 THEN 'timestamp' END AS reason
@@ -231,5 +239,6 @@ WHERE CAST(date AS TIMESTAMP) + to_hours(hour + 1) <= (SELECT max(ts) FROM event
 # The stored jobs end where the closed forms do; the many-key queries read users as articles.
 ORACLE_SQL["fold_day_job"] = ORACLE_SQL["update_history"]
 ORACLE_SQL["anomaly_hours_job"] = ORACLE_SQL["top_anomalies"]
+ORACLE_SQL["build_history_job"] = ORACLE_SQL["history_from_logs"]
 for _name in ("sliding_counts", "hourly_totals", "anomaly_backfill_zero", "top_anomalies"):
     ORACLE_SQL[f"{_name}_users"] = ORACLE_SQL[_name].replace("event_type", "CAST(user_id AS VARCHAR)")
