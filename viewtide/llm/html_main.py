@@ -258,21 +258,24 @@ def path_importance(spark: SparkSession, pages: DataFrame) -> DataFrame:
     ship(spark)
     counts = written(spark, pages.mapInArrow(_count_styles, COUNTS).groupBy("kind", "path", "value")
                      .agg(F.sum("n").alias("n")), "style-counts")
-    of = lambda kind: counts.where(F.col("kind") == kind)
-    m = of(PAGE).where(F.col("n") >= PAGES).select("path", F.col("n").alias("m"))
-    block = of(BLOCK).join(m, "path").groupBy("path").agg(
-        F.sum(F.col("n") * (1 - F.log("n") / F.log("m"))).alias("sum_imp"), F.sum("n").alias("weight"))
-    content = (of(BELOW).select(F.col("path").alias("leaf"), F.col("value").alias("path"))
-               .join(block.withColumnRenamed("path", "leaf"), "leaf")
+    # entropies as sums of n and n log n, so that a path's many blocks are added up before any exchange
+    of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
+    n, spread, log_m = F.col("n"), F.col("n") * F.log("n"), F.log("m")
+    each = counts.where(F.col("kind") != BELOW).groupBy("path").agg(
+        of(PAGE, n).alias("m"), of(BLOCK, n).alias("weight"), of(BLOCK, spread).alias("block_spread"),
+        of(SHOWN, n).alias("shown"), of(SHOWN, spread).alias("shown_spread"),
+        of(SHOWN, n * F.col("value").bitwiseAND(255)).alias("length")).where(F.col("m") >= PAGES)
+    each = written(spark, each, "style-paths")
+    block = each.where("weight is not null").select(
+        F.col("path").alias("leaf"), "weight", (F.col("weight") - F.col("block_spread") / log_m).alias("sum_imp"))
+    content = (counts.where(F.col("kind") == BELOW).select(F.col("path").alias("leaf"), F.col("value").alias("path"))
+               .join(block, "leaf")
                .groupBy("path").agg((F.sum("sum_imp") / F.sum("weight")).alias("content")))
-    shown = of(SHOWN).withColumn("l", F.col("value").bitwiseAND(255)).join(m, "path")
-    share = F.col("n") / F.col("m")
-    shown = shown.groupBy("path", "m").agg((-F.sum(share * F.log(share) / F.log("m"))).alias("entropy"),
-                                           (F.sum(F.col("l") * F.col("n")) / F.sum("n")).alias("l"))
-    weight = F.pow(F.lit(GAMMA), F.col("l"))
-    return shown.join(content, "path").select(
+    entropy = (F.col("shown") * log_m - F.col("shown_spread")) / (F.col("m") * log_m)
+    weight = F.pow(F.lit(GAMMA), F.col("length") / F.col("shown"))
+    return each.where("shown is not null").join(content, "path").select(
         "path", F.col("m").alias("pages"),
-        ((1 - weight) * F.least(F.col("entropy"), F.lit(1.0)) + weight * F.col("content")).alias("importance"))
+        ((1 - weight) * F.least(entropy, F.lit(1.0)) + weight * F.col("content")).alias("importance"))
 
 
 def host_of(url: str = "url") -> Column:
