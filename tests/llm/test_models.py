@@ -193,6 +193,22 @@ def test_language_held_out(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def test_language_rejects_foreign_and_random_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = lang_id.train(spark, docs)
+    r = random.Random(2)
+    scripts = ["abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz", "абвгдежзийклмнопрстуфхцчшщыьэюя", "αβγδεζηθικλμνξοπρστυφχψω",
+               [chr(0x4E00 + k) for k in range(3000)]]
+    for letters in scripts:
+        for words in (3, 20, 100, 500, 3000):
+            texts = [" ".join("".join(r.choices(letters, k=r.randrange(2, 10))) for _ in range(words)) for _ in range(5)]
+            assert model.predict(texts)[2].all(), (letters[0], words)
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem. "
+    assert model.predict([polish, polish * 20, polish * 200])[2].all()
+    held = [r.text for r in docs.where(lang_id.held_out()).collect()]
+    assert model.predict(held)[2].mean() <= 0.01
+
+
 def test_language_training_rows(spark):
     """The cut by hash before the window leaves each language's first rows by hash as they are."""
     docs = spark.range(20_000).selectExpr("id doc_id", "'a b' text", "if(id % 10 < 7, 'aa', if(id % 10 < 9, 'bb', null)) lang")

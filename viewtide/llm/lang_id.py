@@ -1,14 +1,16 @@
 """Language identification: nearest centroid over TF-IDF character n-grams.
 
 Letters are lower-cased, everything else becomes one blank, and 2- and 3-grams are hashed to a fixed
-number of features with log-scaled counts, IDF weights and unit length. Each language has several
-centroids (spherical k-means over its training texts); a text gets the language of the centroid
-with the largest cosine. A text is rejected if it has no letter, or if its cosine is far below
-what training texts of a similar length have.
+number of features with log-scaled counts, IDF weights and unit length. A text is cut into equal windows of
+about WINDOW letters, because the vector of a long text has nearly every feature and so is like any
+other. Each language has several centroids (spherical k-means over windows of its training texts);
+a text gets the language whose best centroids have the largest cosine on average over all windows.
+A text is rejected if it has no letter, or if that cosine is below what training texts of a similar
+length reach while they are left out of the fit (short lengths: pieces of them).
 
 The model is fitted on at most ``max_rows`` labelled texts, spread evenly over the languages and
-chosen by a hash of the id; it is a few hundred kilobytes per language. Prediction is one
-map-only pass over whole texts.
+chosen by a hash of the id, each with at most TRAIN_WINDOWS windows spread over it; it is a few hundred
+kilobytes per language. Prediction is one map-only pass over whole texts.
 
 Defined cases: null, empty and letterless texts get 'und', score 0 and are rejected; rows with a
 null language are not learned from; ties go to the first language by name; without any training row
@@ -32,8 +34,14 @@ FEATURES = 1 << 12
 CENTROIDS = 3
 MAX_ROWS = 2_400
 ROUNDS = 12
-BINS = (0, 20, 60, 200, 800, 1 << 40)  # letters, for the rejection thresholds
-REJECT_SHARE = 0.4  # of the lowest cosine (1 % of the training texts left out) in a bin
+WINDOW = 400  # letters and blanks
+TRAIN_WINDOWS = 2  # of a training text
+CHUNK = 256  # windows that are scored at a time
+PIECES = (16, 50, 150)  # letters and blanks of the pieces that show what short texts reach
+FOLDS = 4
+BINS = (0, 20, 60, 200, 800, 3200, 1 << 40)  # letters, for the rejection thresholds
+LOWEST = 0.005  # share of the left-out training texts of a bin that its floor may lie above, before the margin
+MARGIN = 0.9
 UND = "und"
 
 PREDICTION = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
@@ -74,19 +82,22 @@ def letters(text: str | None) -> np.ndarray:
     return np.concatenate(([_BLANK] if out[0] != _BLANK else [], out, [_BLANK] if out[-1] != _BLANK else [])).astype(np.uint32)
 
 
-def gram_counts(text: str | None, features: int = FEATURES) -> tuple[np.ndarray, int]:
-    """Log-scaled n-gram counts and the number of letters."""
-    code = letters(text)
-    if not len(code):
-        return np.zeros(features, np.float32), 0
+def windows(code: np.ndarray) -> list[np.ndarray]:
+    """The letters of a text in equal windows of about WINDOW; none without letters."""
+    n = max(1, round(len(code) / WINDOW))
+    return np.array_split(code, n) if len(code) else []
+
+
+def gram_counts(code: np.ndarray, features: int = FEATURES) -> np.ndarray:
+    """Log-scaled n-gram counts of a window."""
     a, b, c = (np.uint32(m & 0xFFFFFFFF) for m in mixing_constants(3, seed=10))
     shift = np.uint32(32 - int(np.log2(features)))
     two = code[:-1] * a + code[1:] * b
-    counts = np.bincount((two ^ (two >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> shift, minlength=features)
+    at = (two ^ (two >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> shift
     if len(code) > 2:
         three = two[:-1] + code[2:] * c
-        counts = counts + np.bincount((three ^ (three >> np.uint32(15))) * np.uint32(0x297A2D39) >> shift, minlength=features)
-    return np.log1p(counts).astype(np.float32), int((code != _BLANK).sum())
+        at = np.concatenate((at, (three ^ (three >> np.uint32(15))) * np.uint32(0x297A2D39) >> shift))
+    return np.log1p(np.bincount(at, minlength=features)).astype(np.float32)
 
 
 @dataclass
@@ -101,22 +112,39 @@ class Centroids:
         v = counts * self.idf
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
+    def cosines(self, vectors: np.ndarray) -> np.ndarray:
+        """Of each vector, the best cosine in each language."""
+        sims = vectors @ self.means.T
+        return np.stack([sims[:, self.owner == k].max(axis=1) for k in range(len(self.langs))], axis=1)
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, cosine and rejection of each text."""
-        lang, cosine, rejected = [], np.zeros(len(texts)), np.ones(len(texts), bool)
-        for i in range(0, len(texts), 256):
-            grams = [gram_counts(t, len(self.idf)) for t in texts[i:i + 256]]
-            n = np.array([k for _, k in grams])
-            if not len(self.langs):
-                lang += [UND] * len(grams)
-                continue
-            sims = self.vectors(np.stack([g for g, _ in grams])) @ self.means.T
-            best = sims.argmax(axis=1)
-            top = np.clip(sims.max(axis=1), 0, 1)
-            lang += [self.langs[self.owner[b]] if k else UND for b, k in zip(best, n)]
-            cosine[i:i + 256] = np.where(n > 0, top, 0)
-            rejected[i:i + 256] = (n == 0) | (top < self.floors[np.searchsorted(BINS, n, side="right") - 1])
-        return lang, cosine, rejected
+        if not len(self.langs):
+            return [UND] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+        sums, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), int)
+        cut = np.ones(len(texts), int)
+        grams, owner = [], []
+
+        def score():
+            if grams:
+                np.add.at(sums, owner, self.cosines(self.vectors(np.stack(grams))))
+                grams.clear()
+                owner.clear()
+
+        for i, text in enumerate(texts):
+            code = letters(text)
+            n[i], parts = (code != _BLANK).sum(), windows(code)
+            cut[i] = max(1, len(parts))
+            for part in parts:
+                grams.append(gram_counts(part, len(self.idf)))
+                owner.append(i)
+                if len(grams) == CHUNK:
+                    score()
+        score()
+        mean = sums / cut[:, None]
+        cosine = np.where(n > 0, np.clip(mean.max(axis=1), 0, 1), 0)
+        lang = [self.langs[b] if k else UND for b, k in zip(mean.argmax(axis=1), n)]
+        return lang, cosine, (n == 0) | (cosine < self.floors[np.searchsorted(BINS, n, side="right") - 1])
 
 
 def _k_means(x: np.ndarray, k: int) -> np.ndarray:
@@ -131,21 +159,48 @@ def _k_means(x: np.ndarray, k: int) -> np.ndarray:
     return means
 
 
-def fit_centroids(counts: np.ndarray, n_letters: np.ndarray, langs: list[str], k: int = CENTROIDS) -> Centroids:
-    names = sorted(set(langs))
+def _fit(counts: np.ndarray, langs: np.ndarray, k: int) -> Centroids:
+    names = sorted(set(langs.tolist()))
     df = (counts > 0).sum(axis=0)
     idf = (np.log((1 + len(counts)) / (1 + df)) + 1).astype(np.float32)
     model = Centroids(names, np.zeros(0, int), idf, np.zeros((0, counts.shape[1]), np.float32), np.zeros(len(BINS) - 1))
-    if not names:
-        return model
-    x, of = model.vectors(counts), np.array(langs)
-    means = [_k_means(x[of == name], k) for name in names]
-    model.means = np.concatenate(means).astype(np.float32)
-    model.owner = np.repeat(np.arange(len(names)), [len(m) for m in means])
-    top, at = (x @ model.means.T).max(axis=1), np.searchsorted(BINS, n_letters, side="right") - 1
-    for b in range(len(BINS) - 1):
-        if (at == b).sum() >= 20:
-            model.floors[b] = REJECT_SHARE * np.quantile(top[at == b], 0.01)
+    if names:
+        means = [_k_means(model.vectors(counts[langs == name]), k) for name in names]
+        model.means = np.concatenate(means).astype(np.float32)
+        model.owner = np.repeat(np.arange(len(names)), [len(m) for m in means])
+    return model
+
+
+def fit_centroids(counts: np.ndarray, text: np.ndarray, piece: np.ndarray, n_letters: np.ndarray, langs: list[str],
+                  k: int = CENTROIDS) -> Centroids:
+    """A model of windows: ``text`` is the number of the text of each and ``n_letters`` that text's letters.
+    Where ``piece`` is set it is a short piece instead, which only tells what texts of its length reach."""
+    of = np.array(langs, object)
+    model = _fit(counts[~piece], of[~piece], k)
+    # floors: each text's cosine in a model that has not seen it
+    fold = np.zeros(len(text), int)
+    for name in model.langs:
+        own = of == name
+        fold[own] = np.unique(text[own], return_inverse=True)[1] % FOLDS
+    top, size = [], []
+    for f in range(FOLDS):
+        out = fold == f
+        seen = _fit(counts[~out & ~piece], of[~out & ~piece], k)
+        out &= np.isin(of, seen.langs)
+        if not out.any():
+            continue
+        _, first, home, cut = np.unique(2 * text[out] + piece[out], return_index=True, return_inverse=True, return_counts=True)
+        sums = np.zeros((len(first), len(seen.langs)))
+        np.add.at(sums, home, seen.cosines(seen.vectors(counts[out])))
+        top.append((sums / cut[:, None]).max(axis=1))
+        size.append(n_letters[out][first])
+    if top:
+        top, bins = np.concatenate(top), np.searchsorted(BINS, np.concatenate(size), side="right") - 1
+        for b in range(len(BINS) - 1):
+            if (bins == b).sum() >= 20:
+                model.floors[b] = MARGIN * np.quantile(top[bins == b], LOWEST)
+            elif b:  # too few of this length: longer texts have larger cosines, so the floor of shorter ones holds
+                model.floors[b] = model.floors[b - 1]
     return model
 
 
@@ -154,11 +209,20 @@ def held_out(name: str = "doc_id") -> Column:
 
 
 def _count_grams(batches):
+    """Of each training text TRAIN_WINDOWS windows spread over it, and from its middle a piece of one of the lengths PIECES."""
     for b in batches:
-        grams = [gram_counts(t) for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("lang"), pa.array([n for _, n in grams], pa.int64()), pa.array([g.tobytes() for g, _ in grams], pa.binary())],
-            names=["lang", "n", "grams"])
+        rows = []
+        for doc, lang, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "lang", "text"))):
+            code = letters(text)
+            parts = windows(code)
+            some = sorted({int((j + 0.5) * len(parts) / TRAIN_WINDOWS) for j in range(TRAIN_WINDOWS)}) if parts else []
+            rows += [(doc, lang, False, int((code != _BLANK).sum()), gram_counts(parts[j]).tobytes()) for j in some]
+            size = PIECES[doc % len(PIECES)]
+            if len(code) > 2 * size:
+                code = code[(len(code) - size) // 2:][:size]
+                rows.append((doc, lang, True, int((code != _BLANK).sum()), gram_counts(code).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
+            (pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.binary()))], names=["doc_id", "lang", "piece", "n", "grams"])
 
 
 def training_ids(spark: SparkSession, docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -179,12 +243,17 @@ def train(spark: SparkSession, docs: DataFrame, max_rows: int = MAX_ROWS) -> Cen
     """Fit on at most ``max_rows`` texts with a language whose id is not held out."""
     ship(spark)
     ids = training_ids(spark, docs, max_rows)
-    rows = docs.join(F.broadcast(ids), docs.doc_id == ids.t_id, "left_semi").select("lang", F.col("text").cast("string").alias("text"))
-    rows = rows.where("lang is not null and text is not null").mapInArrow(_count_grams, "lang string, n bigint, grams binary")
-    got = [r for r in rows.toArrow().to_pylist() if r["n"]]
-    got.sort(key=lambda r: (r["lang"], r["grams"]))  # the fit does not depend on the order of arrival
-    counts = np.stack([np.frombuffer(r["grams"], np.float32) for r in got]) if got else np.zeros((0, FEATURES), np.float32)
-    return fit_centroids(counts, np.array([r["n"] for r in got], int), [r["lang"] for r in got])
+    rows = docs.join(F.broadcast(ids), docs.doc_id == ids.t_id, "left_semi").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    rows = rows.where("lang is not null and text is not null").mapInArrow(
+        _count_grams, "doc_id long, lang string, piece boolean, n bigint, grams binary")
+    got = rows.toArrow().to_pylist()
+    got.sort(key=lambda r: (r["lang"], r["doc_id"], r["piece"], r["n"], r["grams"]))  # the fit does not depend on the order of arrival
+    counts = np.stack([np.frombuffer(r.pop("grams"), np.float32) for r in got]) if got else np.zeros((0, FEATURES), np.float32)
+    number = {}
+    text = [number.setdefault(r["doc_id"], len(number)) for r in got]
+    return fit_centroids(counts, np.array(text, int), np.array([r["piece"] for r in got], bool),
+                         np.array([r["n"] for r in got], int), [r["lang"] for r in got])
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: Centroids | None = None) -> DataFrame:
