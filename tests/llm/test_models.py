@@ -143,6 +143,20 @@ def test_style_tree_removes_the_template(spark, bound):
     assert got[102] == got[208] == "Copy" and all(r.n_chars == len(r.text) for r in out)  # copies keep their text
 
 
+@pytest.mark.parametrize("bound", [None, 0])
+def test_copies_without_an_article_element_keep_their_text(spark, bound):
+    page = "<body><div class='zz'><p>Welcome to our site</p></div><div class='qq'><p>{}</p><p>{}</p></div></body>"
+    rows = [(k, "https://copies.example", page.format(*(("Copy one", "Copy two") if k % 4 else (f"Own {k}", f"Text {k}")))) for k in range(80)]
+    rows += [(100 + k, "https://same.example", "<body><div><p>Only text</p></div><nav>Link {k}</nav></body>") for k in range(9)]
+    few = [[f"b{k % 3}", f"b{(k + 1) % 3}", f"b{k // 3 % 3}", f"b{k // 9}"] for k in range(27)]  # every block on many pages
+    rows += [(200 + k, "https://mixed.example", "<div>" + "".join(f"<p>{w}</p>" for w in f) + "</div>") for k, f in enumerate(few)]
+    got = {r.page_id: r.text for r in html_main.extract_main_text(
+        spark, spark.createDataFrame(rows, "page_id long, url string, html string"), bound).collect()}
+    assert all(got[k] == ("Copy one Copy two" if k % 4 else f"Own {k} Text {k}") for k in range(80))
+    assert all(got[100 + k] == "Only text" for k in range(9))
+    assert all(got[200 + k] == " ".join(f) for k, f in enumerate(few))
+
+
 def test_main_text_of_the_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     out = {r.page_id: r.text for r in html_main.extract_main_text(spark, pages).collect()}

@@ -8,14 +8,19 @@ the m pages that have it (base m), a text block that stands on k of m pages has
 with l children and g = 0.9, where content is averaged over the blocks below it. Branches with low
 composite importance are the site's template and are removed from each page.
 
-The tree is a table of counts: every batch of pages sends its own counts per path, so a host with a
-third of all pages is combined map-side and never gathered. The template paths go to the pages as a
-broadcast table while it is small (checked), and by a join on the host beyond that.
+Pages of a host with the same text outside such parts as HTML names as no article are copies: m and
+the counts are over distinct ones, so that copies of an article do not make its path a template.
+
+The tree is a table of counts: every batch of pages sends the styles of its distinct pages, and these
+their counts per path, so a host with a third of all pages is combined map-side and never gathered.
+The template paths go to the pages as a broadcast table while it is small (checked), and by a join on
+the host beyond that.
 
 What remains on a page: parts that HTML itself names as no article (navigation, page header and
 footer, asides, forms, scripts ...) or that are classed so (menus, adverts, notices, comments ...)
 go; the article element, or the main element, or else the body is the root. Inside an article the tree
-removes a branch only if the site's articles differ, so that copies of an article keep their text.
+removes a branch only if the site's articles differ, so that copies of an article keep their text; likewise in a
+body without an article or main element, if no path there has contents that differ.
 
 Defined cases: null html counts as empty (text is empty, 0 characters); unclosed, stray and
 mis-nested tags are tolerated; a null or host-less url is a host of its own with that name; rows
@@ -216,7 +221,7 @@ def main_text(source: str | None, host: str = "", template: frozenset[int] = fro
     page = Page(source)
     apart = page.apart()
     below, root = page.roots(apart)
-    prune = not root or path_key(host, page.path[root]) not in alike
+    prune = path_key(host, page.path[root]) not in alike
     keep = [False] * len(page.tag)
     gone = [False] * len(page.tag)
     keep[0] = root == 0
@@ -230,38 +235,59 @@ def main_text(source: str | None, host: str = "", template: frozenset[int] = fro
 
 # --- the site style tree as tables of counts -----------------------------------------------------
 COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("kind", "path", "value", "n")])
-PAGE, BLOCK, SHOWN, BELOW = 0, 1, 2, 3  # pages with a path; with a block in it; with a presentation; leaf below path
+# pages with a path; with a block in it; with a presentation; leaf below path; leaf that is no apart part of a host's pages
+PAGE, BLOCK, SHOWN, BELOW, OPEN = 0, 1, 2, 3, 4
+STYLES = T.StructType([T.StructField("host", T.LongType()), T.StructField("content", T.LongType()),
+                       T.StructField("style", T.BinaryType())])
 
 
-def _count_styles(batches):
+def _page_styles(batches):
+    """Per distinct content of a host in the batch: the (kind, path, value) of one page with it."""
     for b in batches:
-        counts: Counter = Counter()
+        found: dict[tuple[int, int], bytes] = {}
         for host, source in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
             page = Page(source)
+            apart, blocks = page.apart(), page.blocks()
             keys = [path_key(host, p) for p in page.path]
             seen = {(PAGE, k, 0) for k in keys[1:]}
             seen |= {(SHOWN, keys[k], _key(",".join(c)) & ~0xFF | min(255, len(c))) for k, c in enumerate(page.children) if k}
-            for node, text in page.blocks():
+            for node, text in blocks:
                 seen.add((BLOCK, keys[node], _key(text)))
+                if not apart[node]:
+                    seen.add((OPEN, keys[node], keys[0]))
                 up = page.anchor[node]
                 while up > 0:
                     seen.add((BELOW, keys[node], keys[up]))
                     up = page.parent[up]
-            counts.update(seen)
+            content = [text for node, text in blocks if not apart[node]] or [text for _, text in blocks]
+            at, style = (keys[0], _key("\n".join(content))), np.array(sorted(seen), np.int64).tobytes()
+            found[at] = min(found.get(at, style), style)
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array([at[i] for at in found], pa.int64()) for i in range(2)], pa.array(list(found.values()), pa.binary())],
+            names=STYLES.names)
+
+
+def _count_styles(batches):
+    for b in batches:
+        counts: Counter = Counter()
+        for style in b.column("style").to_pylist():
+            counts.update(map(tuple, np.frombuffer(style, np.int64).reshape(-1, 3).tolist()))
         yield pa.RecordBatch.from_arrays(
             [*[pa.array([c[i] for c in counts], pa.int64()) for i in range(3)], pa.array(list(counts.values()), pa.int64())],
             names=COUNTS.names)
 
 
 def path_importance(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """(path, pages, importance): composite importance of every path that PAGES pages have."""
+    """(path, pages, importance): composite importance of every path that PAGES distinct pages have; and for
+    each host, with the empty path and no pages, the largest importance of contents outside apart parts."""
     ship(spark)
-    counts = written(spark, pages.mapInArrow(_count_styles, COUNTS).groupBy("kind", "path", "value")
+    styles = pages.mapInArrow(_page_styles, STYLES).groupBy("host", "content").agg(F.min("style").alias("style"))
+    counts = written(spark, styles.select("style").mapInArrow(_count_styles, COUNTS).groupBy("kind", "path", "value")
                      .agg(F.sum("n").alias("n")), "style-counts")
     # entropies as sums of n and n log n, so that a path's many blocks are added up before any exchange
     of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
     n, spread, log_m = F.col("n"), F.col("n") * F.log("n"), F.log("m")
-    each = counts.where(F.col("kind") != BELOW).groupBy("path").agg(
+    each = counts.where(F.col("kind") < BELOW).groupBy("path").agg(
         of(PAGE, n).alias("m"), of(BLOCK, n).alias("weight"), of(BLOCK, spread).alias("block_spread"),
         of(SHOWN, n).alias("shown"), of(SHOWN, spread).alias("shown_spread"),
         of(SHOWN, n * F.col("value").bitwiseAND(255)).alias("length")).where(F.col("m") >= PAGES)
@@ -273,9 +299,12 @@ def path_importance(spark: SparkSession, pages: DataFrame) -> DataFrame:
                .groupBy("path").agg((F.sum("sum_imp") / F.sum("weight")).alias("content")))
     entropy = (F.col("shown") * log_m - F.col("shown_spread")) / (F.col("m") * log_m)
     weight = F.pow(F.lit(GAMMA), F.col("length") / F.col("shown"))
-    return each.where("shown is not null").join(content, "path").select(
+    paths = each.where("shown is not null").join(content, "path").select(
         "path", F.col("m").alias("pages"),
         ((1 - weight) * F.least(entropy, F.lit(1.0)) + weight * F.col("content")).alias("importance"))
+    hosts = (counts.where(F.col("kind") == OPEN).select(F.col("path").alias("leaf"), F.col("value").alias("path"))
+             .join(block, "leaf").groupBy("path").agg(F.max(F.col("sum_imp") / F.col("weight")).alias("importance")))
+    return paths.unionByName(hosts.select("path", F.lit(None).cast("long").alias("pages"), "importance"))
 
 
 def host_of(url: str = "url") -> Column:
