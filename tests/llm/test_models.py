@@ -118,6 +118,14 @@ def test_main_text_of_a_page():
     assert html_main.main_text("<article>" * 500 + "deep" + "</div>" * 9) == "deep"
 
 
+def test_a_teaser_is_no_root():
+    story = "The story of the day is told here at some length. " * 4
+    teaser = "<article><p>Read this too</p></article>"
+    assert html_main.main_text(f"<main><p>{story}</p></main>{teaser}") == story.strip()
+    assert html_main.main_text(f"<div><p>{story}</p></div>{teaser}") == f"{story}Read this too"
+    assert html_main.main_text(f"<article><p>{story}</p></article><main><p>More</p></main>") == story.strip()
+
+
 def test_deep_pages_have_bounded_paths():
     deep = "<article>" + "<div class='aa'>x" * 5_000 + "</article>"
     page = html_main.Page(deep)

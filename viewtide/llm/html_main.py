@@ -18,7 +18,9 @@ the host beyond that.
 
 What remains on a page: parts that HTML itself names as no article (navigation, page header and
 footer, asides, forms, scripts ...) or that are classed so (menus, adverts, notices, comments ...)
-go; the article element, or the main element, or else the body is the root. Inside an article the tree
+go; the article elements, or the main element, or else the body is the root: of the text that is neither
+so named nor the site's template, the article elements (or main) must hold a third, so that a story
+beside a teaser is not lost. Inside an article the tree
 removes a branch only if the site's articles differ, so that copies of an article keep their text; likewise in a
 body without an article or main element, if no path there has contents that differ.
 
@@ -45,6 +47,7 @@ from .common import ship, small_enough, written
 GAMMA = 0.9
 TEMPLATE = 0.3  # composite importance below which a branch is template
 VARIED = 0.5  # of an article element, from which on its site's articles differ
+ROOT_SHARE = 1 / 3  # of a page's text, which its article elements must hold to be taken for the article; likewise main
 PAGES = 5  # that must have a path before it is judged
 DEPTH = 100  # steps of a path; elements nested deeper share the path of their ancestor there, and its verdict
 
@@ -168,15 +171,23 @@ class Page:
             inside.append(inside[up] or tag in ("article", "main"))
         return out
 
-    def roots(self, apart: list[bool]) -> tuple[list[bool], int]:
-        """Elements below the article's root(s), and one root: articles, else main, else everything."""
+    def roots(self, apart: list[bool], template: list[bool]) -> tuple[list[bool], int]:
+        """Elements below the article's root(s), and one root: articles, else main, else everything. Articles or
+        main count only with ROOT_SHARE of the text that is neither apart nor the site's template elsewhere."""
+        own = [0] * len(self.tag)
+        for piece in self.pieces:
+            if piece is not None and not apart[piece[0]]:
+                own[piece[0]] += len("".join(piece[1].split()))
         for wanted in (lambda k: self.tag[k] == "article", lambda k: self.tag[k] == "main" or "main" in self.words[k]):
             found = [k for k in range(1, len(self.tag)) if not apart[k] and wanted(k)]
             if found:
                 below = [False] * len(self.tag)
                 for k in range(1, len(self.tag)):
                     below[k] = below[self.parent[k]] or wanted(k) and not apart[k]
-                return below, found[0]
+                inside = sum(n for n, b in zip(own, below) if b)
+                outside = sum(n for n, b, t in zip(own, below, template) if not b and not t)
+                if inside >= ROOT_SHARE * (inside + outside):
+                    return below, found[0]
         return [True] * len(self.tag), 0
 
     def blocks(self) -> list[tuple[int, str]]:
@@ -220,7 +231,12 @@ def main_text(source: str | None, host: str = "", template: frozenset[int] = fro
     """The main text. ``template`` holds keys of low-importance paths, ``alike`` those below VARIED."""
     page = Page(source)
     apart = page.apart()
-    below, root = page.roots(apart)
+    low = [False] * len(page.tag)
+    if template and path_key(host, "") not in alike:
+        for k in range(1, len(page.tag)):
+            low[k] = low[page.parent[k]] or (page.tag[k] not in ("html", "body", "main", "article")
+                                             and path_key(host, page.path[k]) in template)
+    below, root = page.roots(apart, low)
     prune = path_key(host, page.path[root]) not in alike
     keep = [False] * len(page.tag)
     gone = [False] * len(page.tag)
