@@ -88,6 +88,21 @@ def test_jaccard_join_odd_rows(spark, odd, none):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_jaccard_join_of_repeated_ids(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join([*base[:58], "x", "y"])
+    rows = [(3, " ".join(base), "a"), (7, near, "b"), (7, "a text of its own that is like no other one", "c"), (8, near, "d"),
+            (20, "two equal rows with one id here", "e"), (20, "two equal rows with one id here", "e"),
+            (30, " ".join(base[::-1]), "f"), (30, " ".join([*base[:1:-1], "x", "y"]), "g"), (None, " ".join(base), "h"), (40, None, "i"), (40, None, "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(spark, docs).collect())
+    want = brute_components([(k, t) for k, (_, t, _) in enumerate(rows)])  # by row
+    ids = [d for d, *_ in rows]
+    assert out == sorted((d, want[k][0], ids[want[k][1]]) for k, d in enumerate(ids) if d is not None)
+    kept = jaccard_join.one_per_group(spark, docs)
+    assert sorted(r.source for r in kept.collect()) in (list("acefhii"), list("aceghii")) and kept.columns == docs.columns
+
+
 def test_jaccard_join_on_the_table(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     out = jaccard_join.jaccard_components(spark, docs)

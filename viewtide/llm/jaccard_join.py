@@ -20,7 +20,9 @@ Sets are compared as sets of 64-bit hashes; nothing is sampled, capped or droppe
 
 Defined cases: null, empty and wordless texts have n_shingles 0 and their own id as component; a
 text of 1 to 4 words is one shingle; rows repeating a doc_id keep a row each, judged by
-their own texts; rows without a doc_id stay alone; extra columns are ignored; an empty table gives no rows.
+their own texts (rows are told apart by a 64-bit hash of id and text; component_id is the smallest doc_id of
+the component); rows without a doc_id are in no component and have no row in the result, and one_per_group keeps
+them; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -118,7 +120,7 @@ def _slices(batches, rows: int):
 # rows of a hash range: keys seen in one set of the batch, with the sets' ids; or keys seen in several.
 PACKED = _fields("range:i", "keys:b", "ids:b", "counts:b", "many:b")
 FOUND = _fields("part:i", "ids:b", "shared:b")
-SETS = _fields("doc_id:l", "n:l", "d1:l", "d2:l", "shared:l")
+SETS = _fields("key:l", "n:l", "d1:l", "d2:l", "shared:l", "doc_id:l")
 
 
 def _pack_documents(ranges: int, parts: int):
@@ -126,7 +128,7 @@ def _pack_documents(ranges: int, parts: int):
     def pack(batches):
         shingler = Shingler()
         for b in _slices(batches, BATCH_DOCS):
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = b.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
             sets = shingler.sets(b.column("text").to_pylist())
             sizes = np.array([len(s) for s in sets], np.int64)
             keys, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -148,7 +150,7 @@ def _pack_documents(ranges: int, parts: int):
                 rows.append((r, _offsets(one[at][mine], r, ranges), ids[has].tobytes(), counts[has].astype("<u4").tobytes(),
                              _offsets(many[multiples.get(r, slice(0, 0))], r, ranges)))
             facts = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
-            facts = np.column_stack([sizes, facts, shared])
+            facts = np.column_stack([sizes, facts, shared, b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)])
             home = (ids % parts + parts) % parts
             for p in np.unique(home):
                 at = home == p
@@ -201,8 +203,8 @@ def _sum_shared(table):
     """Per part of the documents: facts of each document row and its summed count."""
     facts, ids, counts = [], [], []
     for i, s in zip(table["ids"].to_pylist(), table["shared"].to_pylist()):
-        if len(s) == 4 * len(i):  # n, digest (2), shared inside its batch
-            facts.append(np.column_stack([np.frombuffer(i, np.int64), np.frombuffer(s, np.int64).reshape(-1, 4)]))
+        if len(s) == 5 * len(i):  # n, digest (2), shared inside its batch, doc_id
+            facts.append(np.column_stack([np.frombuffer(i, np.int64), np.frombuffer(s, np.int64).reshape(-1, 5)]))
         else:
             ids.append(np.frombuffer(i, np.int64))
             counts.append(np.frombuffer(s, np.int64))
@@ -216,16 +218,21 @@ def _sum_shared(table):
         at = np.searchsorted(known, rows[:, 0])
         at[at == len(known)] = 0
         rows[:, 4] += np.where(known[at] == rows[:, 0], sums[at], 0)
-    return pa.table([pa.array(rows[:, k]) for k in range(5)], schema=SETS_ARROW)
+    return pa.table([pa.array(rows[:, k]) for k in range(6)], schema=SETS_ARROW)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    return docs.select(_row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).where("doc_id is not null")
 
 
+def _row_key() -> Column:
+    """Tells rows apart by id and text; null without an id."""
+    return F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+
+
 def shingle_sets(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per document row: doc_id, n (set size), d1, d2 (digest), shared (shingles seen in another row too)."""
+    """Per document row: key, n (set size), d1, d2 (digest), shared (shingles seen in another row too), doc_id."""
     ship(spark)
     head = docs.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")).first()
     ranges = max(1, (head.chars or 0) // 6 // RANGE_KEYS)
@@ -323,7 +330,7 @@ def _leading_parts(_, sets, freq):
 def _class_table(spark: SparkSession, docs: DataFrame, reps: DataFrame) -> DataFrame:
     n = reps.count()
     side = F.broadcast(reps) if small_enough(spark, n, 16) else reps
-    rows = _keyed(docs).join(side, "doc_id", "left_semi")
+    rows = _keyed(docs).drop("doc_id").withColumnRenamed("key", "doc_id").join(side, "doc_id", "left_semi")  # a class goes by its key
     return written(spark, rows.mapInArrow(_class_sets, CLASSES), "jaccard-classes")
 
 
@@ -454,11 +461,11 @@ def _cross_pairs(posts: DataFrame) -> DataFrame:
     return pairs.select(F.least("doc_id", "r_doc_id").alias("a"), F.greatest("doc_id", "r_doc_id").alias("b")).distinct()
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per document row with an id: doc_id, n_shingles, component_id."""
+def _labelled_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Per document row with an id: key, doc_id, n, first (doc_id and key of the component's first row; null without words)."""
     sets = shingle_sets(spark, docs)
-    some = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"),
-                                                       F.max("shared").alias("shared"))
+    some = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("key").alias("rep"), F.max("n").alias("n"), F.max("shared").alias("shared"),
+                                                       F.min(F.struct("doc_id", "key")).alias("first"))
     some = written(spark, some, "jaccard-reps")
     # one shingle links equal sets only, which are one class already
     open_sets = some.where((F.col("n") > 1) & (F.col("n") - F.col("shared") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN)))
@@ -470,18 +477,33 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rest = verified(spark, written(spark, _cross_pairs(_labelled(posts, labels)), "jaccard-cross"), classes)
     if not rest.isEmpty():
         labels = connected_components(spark, edges.unionByName(rest))
-    comp = some.join(labels, some.rep == labels.node, "left").select(
-        F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.coalesce("component", "rep").alias("comp"))
-    out = sets.join(comp, (sets.d1 == comp.c1) & (sets.d2 == comp.c2), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"))
+    linked = written(spark, some.join(labels, some.rep == labels.node).select("node", "component", "first"), "jaccard-linked")
+    firsts = written(spark, linked.groupBy("component").agg(F.min("first").alias("to")), "jaccard-firsts")
+    linked = linked.join(firsts, "component").select("node", "to")
+    comp = some.join(linked, some.rep == linked.node, "left").select(
+        F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.coalesce("to", "first").alias("first"))
+    return sets.join(comp, (sets.d1 == comp.c1) & (sets.d2 == comp.c2) & (sets.n > 0), "left").select("key", "doc_id", "n", "first")
+
+
+def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Per document row with an id: doc_id, n_shingles, component_id."""
+    return _labelled_rows(spark, docs).select("doc_id", F.col("n").alias("n_shingles"),
+                                              F.coalesce("first.doc_id", "doc_id").alias("component_id"))
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component (its smallest id); rows without an id stay."""
-    comp = jaccard_components(spark, docs)
-    drop = comp.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(drop, docs.doc_id == drop.gone, "left_anti")
+    """``docs`` with one row of each component (of its smallest id); rows without an id or words stay."""
+    rows = written(spark, _labelled_rows(spark, docs).where("n > 0").select("key", F.col("first.key").alias("kept")), "jaccard-rows")
+    columns, keyed = docs.columns, docs.withColumn("jaccard_key", _row_key())
+    several = written(spark, rows.where("key = kept").groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "jaccard-several")
+    drop = rows.where("key <> kept").select("key").unionByName(several.select("key")).distinct()
+    out = keyed.join(drop, keyed.jaccard_key == drop.key, "left_anti").select(*[F.col(f"`{c}`") for c in columns])
+    if several.isEmpty():
+        return out
+    # rows that repeat id and text: the smallest one
+    again = keyed.select("jaccard_key", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    again = again.join(several, again.jaccard_key == several.key, "left_semi").groupBy("jaccard_key").agg(F.min("row").alias("row"))
+    return out.unionByName(again.select("row.*"))
 
 
 __all__ = ["jaccard_components", "one_per_group", "shingle_sets", "needed"]
