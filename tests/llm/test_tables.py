@@ -36,6 +36,15 @@ def test_mix_near_targets(spark):
     assert all(abs(r.t - r.target) <= 30 and r.m <= 3 for r in got)
 
 
+def test_mix_copies_of_repeated_rows(spark):
+    rows = [(7, "w " * 10, None, f"s{i % 2}", 0) for i in range(31)] + [(None, "v " * 10, None, "s0", 0) for _ in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    count = lambda df, n: {(r[0], r[1]): r[2] for r in df.groupBy("doc_id", "source").agg(n).collect()}
+    want = mixing.mix(spark, docs).where("n_copies > 0")
+    assert want.groupBy("doc_id", "source", "size").agg(F.countDistinct("n_copies").alias("k")).where("k > 1").count() > 0
+    assert count(mixing.mixed_documents(spark, docs), F.count("*")) == count(want, F.sum("n_copies"))
+
+
 def read_ids(spark, path):
     rows = token_files.read_token_files(spark, path).collect()
     return [(r.doc_id, np.array(r.ids, "<u4")) for r in sorted(rows, key=lambda r: (r.part, r.seq))]

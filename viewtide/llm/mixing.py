@@ -125,7 +125,7 @@ def _cut(queued: DataFrame, copies: int) -> Cut | None:
 
 def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = COPIES,
         seed: str = "mix") -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken, n_copies, first_vft."""
+    """Per document: doc_id, size, source_size, target, taken, n_copies, first_vft, source."""
     queued = _queued(spark, docs, weights, copies, seed)
     cut = _cut(queued, copies)
     n = F.lit(0)
@@ -139,15 +139,30 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
     n = F.when(F.col("size") > 0, n).otherwise(0)
     return queued.select("doc_id", "size", "source_size", F.coalesce(F.col("target"), F.lit(0.0)).alias("target"),
                          (n * F.col("size")).cast("long").alias("taken"), n.cast("int").alias("n_copies"),
-                         _vft(1).alias("first_vft"))
+                         _vft(1).alias("first_vft"), "source")
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """The documents the mix takes, each as often as it is taken, with all their columns."""
-    columns = docs.columns
-    picked = mix(spark, docs, **how).where(F.col("n_copies") > 0).select(
-        F.col("doc_id").alias("m_id"), F.col("size").alias("m_size"), "n_copies").distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # rows that share id, source and size are alike to the mix; where their copies differ, they are dealt by number
+    picked = mix(spark, docs, **how).groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"))
+    picked = picked.agg(F.max("n_copies").alias("m_most"), F.min("n_copies").alias("m_least"),
+                        F.sort_array(F.collect_list("n_copies"), asc=False).alias("m_each")).where("m_most > 0")
+    picked = written(spark, picked.withColumn("m_each", F.when(F.col("m_most") > F.col("m_least"), F.col("m_each"))), "mix-picked")
     rows = docs.withColumn("m_words", word_count())
-    rows = rows.join(picked, rows.doc_id.eqNullSafe(picked.m_id) & (rows.m_words == picked.m_size))
-    copies = F.explode(F.array_repeat(F.lit(1), F.col("n_copies"))).alias("m_copy")
-    return rows.select(*[F.col(f"`{c}`") for c in columns], copies).drop("m_copy")
+
+    def joined(side: DataFrame) -> DataFrame:
+        return rows.join(side, rows.doc_id.eqNullSafe(side.m_id) & rows.source.cast("string").eqNullSafe(side.m_source)
+                         & (rows.m_words == side.m_size))
+
+    def copied(df: DataFrame, n: Column) -> DataFrame:
+        return df.select(*columns, F.explode(F.array_repeat(F.lit(1), n)).alias("m_copy")).drop("m_copy")
+
+    out = copied(joined(picked.where("m_each is null")), F.col("m_most"))
+    mixed = picked.where("m_each is not null")
+    if mixed.isEmpty():
+        return out
+    number = F.row_number().over(W.partitionBy("m_id", "m_source", "m_size").orderBy("text"))
+    mixed = joined(mixed).withColumn("m_number", number)
+    return out.unionByName(copied(mixed, F.element_at("m_each", F.col("m_number"))))
