@@ -247,7 +247,7 @@ def _count_pairs(parts: int, least: int):
 def _first_state(blocks: pa.Table, answers: pa.Table) -> pa.Table:
     """Ids in place of local numbers."""
     row = blocks.to_pylist()[0]
-    ids = np.zeros(len(row["keys"]) + 1, np.int32)
+    ids = np.zeros(row["n_keys"] + 1, np.int32)
     ids[pk.joined(answers["codes"], np.int64) + 1] = pk.joined(answers["ids"], np.int64)
     words = ids[np.frombuffer(row["tokens"], np.int32)]
     return pa.table([[row["block"]], pa.array([row["n_tokens"]], pa.int64()), pa.array([pk.binary(words)], pa.binary()),
@@ -275,9 +275,14 @@ def _next_state(length: int):
     return step
 
 
-def _per_block(state: DataFrame, answers: DataFrame, step) -> DataFrame:
+def _per_block(spark: SparkSession, state: DataFrame, answers: DataFrame, step, parts: int) -> DataFrame:
     replies = answers.where("block is not null").select("block", "codes", "ids")
-    return state.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(step, STATE)
+    state, replies = (pk.spread(spark, df, "block", parts).groupBy("block") for df in (state, replies))
+    return pk.stored(spark, state.cogroup(replies).applyInArrow(step, STATE), "phrase-state")
+
+
+def _per_part(spark: SparkSession, sent: DataFrame, count, parts: int, name: str) -> DataFrame:
+    return pk.stored(spark, pk.spread(spark, sent, "part", parts).groupBy("part").applyInArrow(count, ANSWER), name)
 
 
 def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int = MIN_COUNT,
@@ -290,21 +295,22 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int = MIN_COUN
     parts, n_blocks = pk.parts_for(blocks)
     bits = piece_bits(n_blocks)
     sent = blocks.mapInArrow(_send_words(parts), WORDS)
-    answers = pk.stored(spark, sent.groupBy("part").applyInArrow(_count_words(parts, least), ANSWER), "phrase-words")
+    answers = _per_part(spark, sent, _count_words(parts, least), parts, "phrase-words")
     totals = answers.where("n is not null").groupBy("lang").agg(F.sum("n").alias("n"))
     words = answers.where("id is not null").select("id", "lang", "phrase", "f")
     found, shorter = words.select("lang", "phrase", F.lit(1).alias("length"), "f"), words
-    state = pk.stored(spark, _per_block(blocks, answers, _first_state), "phrase-state")
+    local = blocks.select("block", "n_tokens", "tokens", F.size("keys").alias("n_keys"))
+    state = _per_block(spark, local, answers, _first_state, parts)
     for length in range(2, longest + 1):
         sent = state.mapInArrow(_send_pairs(parts, bits, length), PAIRS)
-        answers = pk.stored(spark, sent.groupBy("part").applyInArrow(_count_pairs(parts, least), ANSWER), "phrase-pairs")
+        answers = _per_part(spark, sent, _count_pairs(parts, least), parts, "phrase-pairs")
         last = words.select(F.col("id").alias("right"), F.col("phrase").alias("word"))
         front = shorter.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("front"))
         grams = answers.where("id is not null").select("id", "left", "right", "f").join(front, "left").join(last, "right")
         shorter = pk.stored(spark, grams.select("id", "lang", F.concat_ws(" ", "front", "word").alias("phrase"), "f"), "phrase-grams")
         found = found.unionByName(shorter.select("lang", "phrase", F.lit(length).alias("length"), "f"))
         if length < longest:
-            state = pk.stored(spark, _per_block(state, answers, _next_state(length)), "phrase-state")
+            state = _per_block(spark, state, answers, _next_state(length), parts)
     return found, totals
 
 

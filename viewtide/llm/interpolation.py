@@ -41,13 +41,16 @@ _END = b""  # no word is empty
 
 BLOCK = ("block long, n_tokens long, tokens binary, keys array<binary>, ids binary, starts binary, kinds binary")
 WORDS = "part int, block long, at binary, keys array<binary>, learned binary, deleted binary"
-PAIRS = "part int, block long, codes binary, learned binary, deleted binary"
-ANSWER = "part int, block long, at binary, ids binary, learned binary, deleted binary, distinct long"
+PAIRS = "part int, block long, codes binary, learned binary, deleted binary, contexts binary, words binary"
+ANSWER = "part int, block long, at binary, ids binary, learned binary, deleted binary, distinct long, total_learned long, total_deleted long"
+PAIR_ANSWER = "part int, block long, learned binary, bucket int, high int, low int, n long, sum_high double, sum_low double"
 STATE = "block long, n_tokens long, tokens binary, ids binary, starts binary, kinds binary, numbers binary, learned binary, deleted binary"
-CELLS = "bucket int, high int, low int, n long, sum_high double, sum_low double"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _ANSWER = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()),
-                     ("learned", pa.binary()), ("deleted", pa.binary()), ("distinct", pa.int64())])
+                     ("learned", pa.binary()), ("deleted", pa.binary()), ("distinct", pa.int64()),
+                     ("total_learned", pa.int64()), ("total_deleted", pa.int64())])
+_PAIR_ANSWER = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("learned", pa.binary()), ("bucket", pa.int32()), ("high", pa.int32()),
+                          ("low", pa.int32()), ("n", pa.int64()), ("sum_high", pa.float64()), ("sum_low", pa.float64())])
 _NO_ID = np.iinfo(np.int64).min  # stands for a null doc_id beside the flag
 
 
@@ -114,15 +117,6 @@ def _send_words(parts: int):
     return send
 
 
-def _replies(table: pa.Table, at, ids, learned, gone) -> pa.Table:
-    bounds = np.concatenate(([0], np.cumsum(pk.lengths(table["learned"], 4))))
-    columns = {"part": table["part"].combine_chunks(), "block": table["block"].combine_chunks(),
-               "learned": pk.cut(learned.astype(np.int64), bounds), "deleted": pk.cut(gone.astype(np.int64), bounds)}
-    if at is not None:
-        columns |= {"at": at.combine_chunks(), "ids": pk.cut(ids, bounds)}
-    return pk.rows(_ANSWER, **columns)
-
-
 def _count_words(parts: int):
     def count(table: pa.Table) -> pa.Table:
         """Counts of the words of a part; a learned word gets a number by the rank of its count, 0 is no word."""
@@ -135,15 +129,37 @@ def _count_words(parts: int):
         known = np.flatnonzero(sums[0])
         ids = np.zeros(len(words), np.int64)
         ids[known[np.lexsort((by_word[known], -sums[0][known]))]] = np.arange(len(known)) * parts + part + 1
-        return pa.concat_tables([_replies(table, table["at"], ids[code], sums[0][code], sums[1][code]),
-                                 pk.rows(_ANSWER, distinct=[len(known)])])
+        bounds = np.concatenate(([0], np.cumsum(pk.lengths(table["at"], 4))))
+        replies = pk.rows(_ANSWER, part=table["part"].combine_chunks(), block=table["block"].combine_chunks(), at=table["at"].combine_chunks(),
+                          ids=pk.cut(ids[code], bounds), learned=pk.cut(sums[0][code], bounds), deleted=pk.cut(sums[1][code], bounds))
+        return pa.concat_tables([replies, pk.rows(_ANSWER, distinct=[len(known)], total_learned=[int(sums[0].sum())],
+                                                  total_deleted=[int(sums[1].sum())])])
     return count
 
 
-def _count_pairs(table: pa.Table) -> pa.Table:
-    codes, back = np.unique(pk.joined(table["codes"], np.uint64), return_inverse=True)
-    sums = [np.bincount(back, weights=pk.joined(table[c], np.int32), minlength=len(codes)).astype(np.int64) for c in ("learned", "deleted")]
-    return _replies(table, None, None, sums[0][back], sums[1][back])
+def _count_pairs(total: int):
+    """``total``: learned tokens that are not deleted."""
+    def count(table: pa.Table) -> pa.Table:
+        """Learned count of each pair for the blocks that sent it, and of the deleted tokens that are these pairs
+        how many fall in each cell of (bucket, pair estimate, word estimate)."""
+        codes, back = np.unique(pk.joined(table["codes"], np.uint64), return_inverse=True)
+        sent = pk.joined(table["deleted"], np.int32)
+        learned, gone = (np.bincount(back, weights=w, minlength=len(codes)).astype(np.int64)
+                         for w in (pk.joined(table["learned"], np.int32), sent))
+        bounds = np.concatenate(([0], np.cumsum(pk.lengths(table["codes"], 8))))
+        replies = pk.rows(_PAIR_ANSWER, part=table["part"].combine_chunks(), block=table["block"].combine_chunks(),
+                          learned=pk.cut(learned[back], bounds))
+        # the counts of context and word that are left come along with pairs that a block has deleted
+        at, first = np.unique(back[sent > 0], return_index=True)
+        context, word = (pk.joined(table[c], np.int64)[first] for c in ("contexts", "words"))
+        high, low = estimates((learned - gone)[at], context, word, total)
+        (h, log_h), (w, log_w) = _half_octave(high), _half_octave(low)
+        b, n = bucket(context), gone[at]
+        key, own, cell = np.unique(b << 20 | (h + 1) << 10 | (w + 1), return_index=True, return_inverse=True)
+        sums = [np.bincount(cell, weights=x, minlength=len(key)) for x in (n, n * log_h, n * log_w)]
+        return pa.concat_tables([replies, pk.rows(_PAIR_ANSWER, bucket=b[own], high=h[own], low=w[own], n=sums[0].astype(np.int64),
+                                                  sum_high=sums[1], sum_low=sums[2])])
+    return count
 
 
 def _number(blocks: pa.Table, answers: pa.Table) -> pa.Table:
@@ -152,7 +168,7 @@ def _number(blocks: pa.Table, answers: pa.Table) -> pa.Table:
     at = pk.joined(answers["at"], np.int32)
     values = []
     for name in ("ids", "learned", "deleted"):
-        v = np.zeros(len(row["keys"]), np.int64)
+        v = np.zeros(row["n_keys"], np.int64)
         v[at] = pk.joined(answers[name], np.int64)
         values.append(pa.array([pk.binary(v)], pa.binary()))
     kept = [blocks[c].combine_chunks() for c in ("block", "n_tokens", "tokens", "ids", "starts", "kinds")]
@@ -177,30 +193,33 @@ def _send_pairs(parts: int):
                 if not len(at):
                     continue
                 kind = _kinds(row)[at]
-                codes, back = np.unique(codes, return_inverse=True)
+                codes, first, back = np.unique(codes, return_index=True, return_inverse=True)
                 learned, gone = (np.bincount(back[kind >= k], minlength=len(codes)) for k in (1, 2))
                 order, own, bounds = pk.dealt(pk.mixed(codes, parts))
+                some = gone[order] > 0
+                where = at[first[order][some]]
+                left = [(a - b)[where] for a, b in zip(_counts(row, "learned"), _counts(row, "deleted"))]
+                few = np.concatenate(([0], np.cumsum(some)))[bounds]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own, pa.int32()), pa.array([row["block"]] * len(own), pa.int64()), pk.cut(codes[order], bounds),
-                     pk.cut(learned[order].astype(np.int32), bounds), pk.cut(gone[order].astype(np.int32), bounds)],
-                    names=["part", "block", "codes", "learned", "deleted"])
+                     pk.cut(learned[order].astype(np.int32), bounds), pk.cut(gone[order].astype(np.int32), bounds),
+                     pk.cut(left[1], few), pk.cut(left[0], few)],
+                    names=["part", "block", "codes", "learned", "deleted", "contexts", "words"])
     return send
 
 
-def _pair_counts(row, answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Learned and deleted count of the pair at each token; 0 where word or context is not learned."""
+def _pair_counts(row, answers: pa.Table, parts: int) -> np.ndarray:
+    """Learned count of the pair at each token; 0 where word or context is not learned."""
     at, codes = _pairs(row)
-    codes, back = np.unique(codes, return_inverse=True)
-    order, own, bounds = pk.dealt(pk.mixed(codes, parts))
-    out = [np.zeros(row["n_tokens"], np.int64), np.zeros(row["n_tokens"], np.int64)]
+    out = np.zeros(row["n_tokens"], np.int64)
     if len(at):
-        by_part = {p: i for i, p in enumerate(answers["part"].to_pylist())}
-        for o, name in zip(out, ("learned", "deleted")):
-            sent = answers[name].to_pylist()
-            v = np.empty(len(codes), np.int64)
-            v[order] = np.frombuffer(b"".join(sent[by_part[p]] for p in own.tolist()), np.int64)
-            o[at] = v[back]
-    return out[0], out[1]
+        codes, back = np.unique(codes, return_inverse=True)
+        order, own, bounds = pk.dealt(pk.mixed(codes, parts))
+        sent = dict(zip(answers["part"].to_pylist(), answers["learned"].to_pylist()))
+        v = np.empty(len(codes), np.int64)
+        v[order] = np.frombuffer(b"".join(sent[p] for p in own.tolist()), np.int64)
+        out[at] = v[back]
+    return out
 
 
 def _counts(row, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -225,24 +244,6 @@ def _half_octave(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(p > 0, np.floor(-2 * log), -1).astype(np.int32), log
 
 
-def _cells(parts: int, total: int):
-    """Of a block's deleted tokens, how many fall in each cell of (bucket, pair estimate, word estimate)."""
-    def cells(state: pa.Table, answers: pa.Table) -> pa.Table:
-        row = state.to_pylist()[0]
-        gone = _kinds(row) == 2
-        pair, pair_gone = _pair_counts(row, answers, parts)
-        (word, context), (word_gone, context_gone) = _counts(row, "learned"), _counts(row, "deleted")
-        context = (context - context_gone)[gone]
-        high, low = estimates((pair - pair_gone)[gone], context, (word - word_gone)[gone], total)
-        (h, log_h), (w, log_w) = _half_octave(high), _half_octave(low)
-        b = bucket(context)
-        key, first, back, n = np.unique(b << 20 | (h + 1) << 10 | (w + 1), return_index=True, return_inverse=True, return_counts=True)
-        return pa.table([pa.array(b[first], pa.int32()), pa.array(h[first], pa.int32()), pa.array(w[first], pa.int32()), pa.array(n, pa.int64()),
-                         np.bincount(back, weights=log_h, minlength=len(key)), np.bincount(back, weights=log_w, minlength=len(key))],
-                        names=["bucket", "high", "low", "n", "sum_high", "sum_low"])
-    return cells
-
-
 def learn_weights(cells: list, types: int) -> np.ndarray:
     """(BUCKETS, 3) weights of pair, word and uniform estimate by expectation-maximisation over cells
     (bucket, high, low, n, sum_high, sum_low). A bucket without a deleted token takes those of the next lower one."""
@@ -271,7 +272,7 @@ def learn_weights(cells: list, types: int) -> np.ndarray:
 def _score(parts: int, total: int, types: int, weights: np.ndarray):
     def score(state: pa.Table, answers: pa.Table) -> pa.Table:
         row = state.to_pylist()[0]
-        pair = _pair_counts(row, answers, parts)[0]
+        pair = _pair_counts(row, answers, parts)
         word, context = _counts(row, "learned")
         high, low = estimates(pair, context, word, total)
         w = weights[bucket(context)]
@@ -292,24 +293,17 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), kind.alias("kind"), F.col("text").cast("string").cast("binary").alias("text"))
     blocks = pk.stored(spark, texts.mapInArrow(_blocks, BLOCK), "lm-blocks")
     parts, _ = pk.parts_for(blocks)
-    by_block = lambda df: df.groupBy("block")
+    dealt = lambda df, by: pk.spread(spark, df, by, parts).groupBy(by)
     sent = blocks.mapInArrow(_send_words(parts), WORDS)
-    words = pk.stored(spark, sent.groupBy("part").applyInArrow(_count_words(parts), ANSWER), "lm-words")
-    types = words.agg(F.sum("distinct")).first()[0] or 0
-    state = pk.stored(spark, by_block(blocks).cogroup(by_block(words.where("block is not null"))).applyInArrow(_number, STATE), "lm-state")
-    sizes = state.mapInArrow(_token_totals, "learned long, deleted long").agg(F.sum("learned"), F.sum("deleted")).first()
-    total, gone = sizes[0] or 0, sizes[1] or 0
+    words = pk.stored(spark, dealt(sent, "part").applyInArrow(_count_words(parts), ANSWER), "lm-words")
+    types, total, gone = (v or 0 for v in words.agg(F.sum("distinct"), F.sum("total_learned"), F.sum("total_deleted")).first())
+    local = blocks.select(*[c for c in blocks.columns if c != "keys"], F.size("keys").alias("n_keys"))
+    replies = words.where("block is not null").select("block", "at", "ids", "learned", "deleted")
+    state = pk.stored(spark, dealt(local, "block").cogroup(dealt(replies, "block")).applyInArrow(_number, STATE), "lm-state")
     sent = state.mapInArrow(_send_pairs(parts), PAIRS)
-    pairs = pk.stored(spark, sent.groupBy("part").applyInArrow(_count_pairs, ANSWER), "lm-pairs")
-    both = by_block(state).cogroup(by_block(pairs))
-    cells = both.applyInArrow(_cells(parts, total - gone), CELLS).groupBy("bucket", "high", "low").agg(
-        F.sum("n").alias("n"), F.sum("sum_high").alias("sum_high"), F.sum("sum_low").alias("sum_low"))
+    pairs = pk.stored(spark, dealt(sent, "part").applyInArrow(_count_pairs(total - gone), PAIR_ANSWER), "lm-pairs")
+    cells = pairs.where("n is not null").groupBy("bucket", "high", "low").agg(F.sum("n"), F.sum("sum_high"), F.sum("sum_low"))
     weights = learn_weights(sorted(tuple(r) for r in cells.collect()), types)
-    return both.applyInArrow(_score(parts, total, types, weights), SCORES)
-
-
-def _token_totals(batches):
-    for b in batches:
-        kinds = [_kinds(b.slice(i, 1).to_pylist()[0]) for i in range(b.num_rows)]
-        yield pa.RecordBatch.from_arrays([pa.array([int((k > 0).sum()) for k in kinds], pa.int64()),
-                                          pa.array([int((k == 2).sum()) for k in kinds], pa.int64())], names=["learned", "deleted"])
+    state = state.drop("deleted")
+    replies = pairs.where("block is not null").select("block", "part", "learned")
+    return dealt(state, "block").cogroup(dealt(replies, "block")).applyInArrow(_score(parts, total, types, weights), SCORES)

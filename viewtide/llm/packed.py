@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-BLOCK_TOKENS = 1 << 21
-PART_KEYS = 1 << 21
+BLOCK_TOKENS = 1 << 19
+PART_KEYS = 1 << 20
 
 
 class Numbers(dict):
@@ -49,6 +49,12 @@ def parts_for(blocks: DataFrame) -> tuple[int, int]:
     return max(1, -(-int(total or 0) // PART_KEYS)), n
 
 
+def spread(spark: SparkSession, df: DataFrame, by: str, parts: int) -> DataFrame:
+    """``df`` dealt by a key of packed rows. The number of tasks is set here: packed rows are small on disk and large in a
+    task, so tasks must not be merged by their bytes."""
+    return df.repartition(max(1, min(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))), by)
+
+
 def mixed(code: np.ndarray, parts: int) -> np.ndarray:
     """Part of each 64-bit code."""
     x = code.astype(np.uint64)
