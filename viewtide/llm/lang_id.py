@@ -88,8 +88,8 @@ def windows(code: np.ndarray) -> list[np.ndarray]:
     return np.array_split(code, n) if len(code) else []
 
 
-def gram_counts(code: np.ndarray, features: int = FEATURES) -> np.ndarray:
-    """Log-scaled n-gram counts of a window."""
+def gram_places(code: np.ndarray, features: int = FEATURES) -> np.ndarray:
+    """Feature of each n-gram of a window."""
     a, b, c = (np.uint32(m & 0xFFFFFFFF) for m in mixing_constants(3, seed=10))
     shift = np.uint32(32 - int(np.log2(features)))
     two = code[:-1] * a + code[1:] * b
@@ -97,7 +97,41 @@ def gram_counts(code: np.ndarray, features: int = FEATURES) -> np.ndarray:
     if len(code) > 2:
         three = two[:-1] + code[2:] * c
         at = np.concatenate((at, (three ^ (three >> np.uint32(15))) * np.uint32(0x297A2D39) >> shift))
-    return np.log1p(np.bincount(at, minlength=features)).astype(np.float32)
+    return at
+
+
+def gram_counts(code: np.ndarray, features: int = FEATURES) -> np.ndarray:
+    """Log-scaled n-gram counts of a window."""
+    return np.log1p(np.bincount(gram_places(code, features), minlength=features)).astype(np.float32)
+
+
+class WindowCounts:
+    """n-gram counts of windows as the features that occur (16 bits) and their counts (a window's n-grams are fewer than
+    2^16). Rows become dense a selection at a time, so the driver never holds all windows by all features."""
+
+    def __init__(self, places: list[bytes], counts: list[bytes], features: int = FEATURES):
+        self.features = features
+        self.start = np.cumsum([0] + [len(p) // 2 for p in places])
+        self.places = np.frombuffer(b"".join(places), np.uint16)
+        self.counts = np.frombuffer(b"".join(counts), np.uint16)
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def dense(self, rows: np.ndarray) -> np.ndarray:
+        """Log-scaled counts of the windows ``rows``."""
+        out = np.zeros((len(rows), self.features), np.float32)
+        for line, r in zip(out, rows):
+            own = slice(self.start[r], self.start[r + 1])
+            line[self.places[own]] = np.log1p(self.counts[own].astype(np.float64))
+        return out
+
+    def windows_with(self, rows: np.ndarray) -> np.ndarray:
+        """Of each feature, how many of the windows ``rows`` have it."""
+        out = np.zeros(self.features, np.int64)
+        for r in rows:
+            out[self.places[self.start[r]:self.start[r + 1]]] += 1
+        return out
 
 
 @dataclass
@@ -159,24 +193,24 @@ def _k_means(x: np.ndarray, k: int) -> np.ndarray:
     return means
 
 
-def _fit(counts: np.ndarray, langs: np.ndarray, k: int) -> Centroids:
-    names = sorted(set(langs.tolist()))
-    df = (counts > 0).sum(axis=0)
-    idf = (np.log((1 + len(counts)) / (1 + df)) + 1).astype(np.float32)
-    model = Centroids(names, np.zeros(0, int), idf, np.zeros((0, counts.shape[1]), np.float32), np.zeros(len(BINS) - 1))
+def _fit(counts: WindowCounts, rows: np.ndarray, langs: np.ndarray, k: int) -> Centroids:
+    """A model of the windows ``rows``; one language's windows are dense at a time."""
+    names = sorted(set(langs[rows].tolist()))
+    idf = (np.log((1 + len(rows)) / (1 + counts.windows_with(rows))) + 1).astype(np.float32)
+    model = Centroids(names, np.zeros(0, int), idf, np.zeros((0, counts.features), np.float32), np.zeros(len(BINS) - 1))
     if names:
-        means = [_k_means(model.vectors(counts[langs == name]), k) for name in names]
+        means = [_k_means(model.vectors(counts.dense(rows[langs[rows] == name])), k) for name in names]
         model.means = np.concatenate(means).astype(np.float32)
         model.owner = np.repeat(np.arange(len(names)), [len(m) for m in means])
     return model
 
 
-def fit_centroids(counts: np.ndarray, text: np.ndarray, piece: np.ndarray, n_letters: np.ndarray, langs: list[str],
+def fit_centroids(counts: WindowCounts, text: np.ndarray, piece: np.ndarray, n_letters: np.ndarray, langs: list[str],
                   k: int = CENTROIDS) -> Centroids:
     """A model of windows: ``text`` is the number of the text of each and ``n_letters`` that text's letters.
     Where ``piece`` is set it is a short piece instead, which only tells what texts of its length reach."""
     of = np.array(langs, object)
-    model = _fit(counts[~piece], of[~piece], k)
+    model = _fit(counts, np.flatnonzero(~piece), of, k)
     # floors: each text's cosine in a model that has not seen it
     fold = np.zeros(len(text), int)
     for name in model.langs:
@@ -185,13 +219,15 @@ def fit_centroids(counts: np.ndarray, text: np.ndarray, piece: np.ndarray, n_let
     top, size = [], []
     for f in range(FOLDS):
         out = fold == f
-        seen = _fit(counts[~out & ~piece], of[~out & ~piece], k)
+        seen = _fit(counts, np.flatnonzero(~out & ~piece), of, k)
         out &= np.isin(of, seen.langs)
         if not out.any():
             continue
         _, first, home, cut = np.unique(2 * text[out] + piece[out], return_index=True, return_inverse=True, return_counts=True)
         sums = np.zeros((len(first), len(seen.langs)))
-        np.add.at(sums, home, seen.cosines(seen.vectors(counts[out])))
+        left = np.flatnonzero(out)
+        for c in range(0, len(left), CHUNK):
+            np.add.at(sums, home[c:c + CHUNK], seen.cosines(seen.vectors(counts.dense(left[c:c + CHUNK]))))
         top.append((sums / cut[:, None]).max(axis=1))
         size.append(n_letters[out][first])
     if top:
@@ -208,6 +244,14 @@ def held_out(name: str = "doc_id") -> Column:
     return id_crc(name) % 4 == 2
 
 
+_WINDOW_NAMES = ["doc_id", "lang", "piece", "n", "places", "counts"]
+
+
+def _sparse(code: np.ndarray) -> tuple[bytes, bytes]:
+    places, counts = np.unique(gram_places(code), return_counts=True)
+    return places.astype(np.uint16).tobytes(), counts.astype(np.uint16).tobytes()
+
+
 def _count_grams(batches):
     """Of each training text TRAIN_WINDOWS windows spread over it, and from its middle a piece of one of the lengths PIECES."""
     for b in batches:
@@ -216,13 +260,13 @@ def _count_grams(batches):
             code = letters(text)
             parts = windows(code)
             some = sorted({int((j + 0.5) * len(parts) / TRAIN_WINDOWS) for j in range(TRAIN_WINDOWS)}) if parts else []
-            rows += [(doc, lang, False, int((code != _BLANK).sum()), gram_counts(parts[j]).tobytes()) for j in some]
+            rows += [(doc, lang, False, int((code != _BLANK).sum()), *_sparse(parts[j])) for j in some]
             size = PIECES[doc % len(PIECES)]
             if len(code) > 2 * size:
                 code = code[(len(code) - size) // 2:][:size]
-                rows.append((doc, lang, True, int((code != _BLANK).sum()), gram_counts(code).tobytes()))
+                rows.append((doc, lang, True, int((code != _BLANK).sum()), *_sparse(code)))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-            (pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.binary()))], names=["doc_id", "lang", "piece", "n", "grams"])
+            (pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()))], names=_WINDOW_NAMES)
 
 
 def training_ids(spark: SparkSession, docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -246,14 +290,15 @@ def train(spark: SparkSession, docs: DataFrame, max_rows: int = MAX_ROWS) -> Cen
     rows = docs.join(F.broadcast(ids), docs.doc_id == ids.t_id, "left_semi").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null").mapInArrow(
-        _count_grams, "doc_id long, lang string, piece boolean, n bigint, grams binary")
-    got = rows.toArrow().to_pylist()
-    got.sort(key=lambda r: (r["lang"], r["doc_id"], r["piece"], r["n"], r["grams"]))  # the fit does not depend on the order of arrival
-    counts = np.stack([np.frombuffer(r.pop("grams"), np.float32) for r in got]) if got else np.zeros((0, FEATURES), np.float32)
-    number = {}
-    text = [number.setdefault(r["doc_id"], len(number)) for r in got]
-    return fit_centroids(counts, np.array(text, int), np.array([r["piece"] for r in got], bool),
-                         np.array([r["n"] for r in got], int), [r["lang"] for r in got])
+        _count_grams, "doc_id long, lang string, piece boolean, n bigint, places binary, counts binary")
+    got = rows.toArrow()
+    # the fit does not depend on the order of arrival
+    got = got.sort_by([(c, "ascending") for c in ("lang", "doc_id", "piece", "n", "places", "counts")])
+    counts = WindowCounts(got["places"].to_pylist(), got["counts"].to_pylist())
+    meta = {c: got[c].to_pylist() for c in ("doc_id", "lang", "piece", "n")}
+    del got
+    text = np.unique(np.array(meta["doc_id"], np.int64), return_inverse=True)[1]
+    return fit_centroids(counts, text, np.array(meta["piece"], bool), np.array(meta["n"], int), meta["lang"])
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: Centroids | None = None) -> DataFrame:
