@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,6 @@ WORDS = "part int, block long, at binary, keys array<binary>, learned binary, de
 PAIRS = "part int, block long, codes binary, learned binary, deleted binary, contexts binary, words binary"
 ANSWER = "part int, block long, at binary, ids binary, learned binary, deleted binary, distinct long, total_learned long, total_deleted long"
 PAIR_ANSWER = "part int, block long, learned binary, bucket int, high int, low int, n long, sum_high double, sum_low double"
-STATE = "block long, n_tokens long, tokens binary, ids binary, starts binary, kinds binary, numbers binary, learned binary, deleted binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _ANSWER = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()),
                      ("learned", pa.binary()), ("deleted", pa.binary()), ("distinct", pa.int64()),
@@ -162,49 +162,44 @@ def _count_pairs(total: int):
     return count
 
 
-def _number(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-    """Each local word's number and counts."""
+def _numbered(blocks: pa.Table, answers: pa.Table) -> dict:
+    """A block's row with the number and the counts of each local word."""
     row = blocks.to_pylist()[0]
-    at = pk.joined(answers["at"], np.int32)
-    values = []
+    words = answers.filter(pc.is_valid(answers["at"]))
+    at = pk.joined(words["at"], np.int32)
     for name in ("ids", "learned", "deleted"):
-        v = np.zeros(row["n_keys"], np.int64)
-        v[at] = pk.joined(answers[name], np.int64)
-        values.append(pa.array([pk.binary(v)], pa.binary()))
-    kept = [blocks[c].combine_chunks() for c in ("block", "n_tokens", "tokens", "ids", "starts", "kinds")]
-    return pa.table(kept + values, names=["block", "n_tokens", "tokens", "ids", "starts", "kinds", "numbers", "learned", "deleted"])
+        if name in words.column_names:
+            v = np.zeros(row["n_keys"], np.int64)
+            v[at] = pk.joined(words[name], np.int64)
+            row["numbers" if name == "ids" else name] = v
+    return row
 
 
 def _pairs(row):
     """(positions whose word and context are learned, their pairs' codes)."""
-    numbers, tokens = np.frombuffer(row["numbers"], np.int64), np.frombuffer(row["tokens"], np.int32)
-    word = numbers[tokens]
+    numbers = row["numbers"]
+    word = numbers[np.frombuffer(row["tokens"], np.int32)]
     context = np.concatenate((numbers[:1], word[:-1]))  # number 0 of a block is the end
     at = np.flatnonzero((word > 0) & (context > 0))
     return at, context[at].astype(np.uint64) << np.uint64(32) ^ word[at].astype(np.uint64)
 
 
 def _send_pairs(parts: int):
-    def send(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                row = b.slice(i, 1).to_pylist()[0]
-                at, codes = _pairs(row)
-                if not len(at):
-                    continue
-                kind = _kinds(row)[at]
-                codes, first, back = np.unique(codes, return_index=True, return_inverse=True)
-                learned, gone = (np.bincount(back[kind >= k], minlength=len(codes)) for k in (1, 2))
-                order, own, bounds = pk.dealt(pk.mixed(codes, parts))
-                some = gone[order] > 0
-                where = at[first[order][some]]
-                left = [(a - b)[where] for a, b in zip(_counts(row, "learned"), _counts(row, "deleted"))]
-                few = np.concatenate(([0], np.cumsum(some)))[bounds]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int32()), pa.array([row["block"]] * len(own), pa.int64()), pk.cut(codes[order], bounds),
-                     pk.cut(learned[order].astype(np.int32), bounds), pk.cut(gone[order].astype(np.int32), bounds),
-                     pk.cut(left[1], few), pk.cut(left[0], few)],
-                    names=["part", "block", "codes", "learned", "deleted", "contexts", "words"])
+    def send(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        row = _numbered(blocks, answers)
+        at, codes = _pairs(row)
+        kind = _kinds(row)[at]
+        codes, first, back = np.unique(codes, return_index=True, return_inverse=True)
+        learned, gone = (np.bincount(back[kind >= k], minlength=len(codes)) for k in (1, 2))
+        order, own, bounds = pk.dealt(pk.mixed(codes, parts))
+        some = gone[order] > 0
+        where = at[first[order][some]]
+        left = [(a - b)[where] for a, b in zip(_counts(row, "learned"), _counts(row, "deleted"))]
+        few = np.concatenate(([0], np.cumsum(some)))[bounds]
+        return pa.table([pa.array(own, pa.int32()), pa.array([row["block"]] * len(own), pa.int64()), pk.cut(codes[order], bounds),
+                         pk.cut(learned[order].astype(np.int32), bounds), pk.cut(gone[order].astype(np.int32), bounds),
+                         pk.cut(left[1], few), pk.cut(left[0], few)],
+                        names=["part", "block", "codes", "learned", "deleted", "contexts", "words"])
     return send
 
 
@@ -215,7 +210,8 @@ def _pair_counts(row, answers: pa.Table, parts: int) -> np.ndarray:
     if len(at):
         codes, back = np.unique(codes, return_inverse=True)
         order, own, bounds = pk.dealt(pk.mixed(codes, parts))
-        sent = dict(zip(answers["part"].to_pylist(), answers["learned"].to_pylist()))
+        pairs = answers.filter(pc.is_null(answers["at"]))
+        sent = dict(zip(pairs["part"].to_pylist(), pairs["learned"].to_pylist()))
         v = np.empty(len(codes), np.int64)
         v[order] = np.frombuffer(b"".join(sent[p] for p in own.tolist()), np.int64)
         out[at] = v[back]
@@ -224,7 +220,7 @@ def _pair_counts(row, answers: pa.Table, parts: int) -> np.ndarray:
 
 def _counts(row, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Count of the word and of the context at each token."""
-    word = np.frombuffer(row[name], np.int64)
+    word = row[name]
     here = word[np.frombuffer(row["tokens"], np.int32)]
     return here, np.concatenate((word[:1], here[:-1]))
 
@@ -270,8 +266,8 @@ def learn_weights(cells: list, types: int) -> np.ndarray:
 
 
 def _score(parts: int, total: int, types: int, weights: np.ndarray):
-    def score(state: pa.Table, answers: pa.Table) -> pa.Table:
-        row = state.to_pylist()[0]
+    def score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        row = _numbered(blocks, answers)
         pair = _pair_counts(row, answers, parts)
         word, context = _counts(row, "learned")
         high, low = estimates(pair, context, word, total)
@@ -298,12 +294,11 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     words = pk.stored(spark, dealt(sent, "part").applyInArrow(_count_words(parts), ANSWER), "lm-words")
     types, total, gone = (v or 0 for v in words.agg(F.sum("distinct"), F.sum("total_learned"), F.sum("total_deleted")).first())
     local = blocks.select(*[c for c in blocks.columns if c != "keys"], F.size("keys").alias("n_keys"))
-    replies = words.where("block is not null").select("block", "at", "ids", "learned", "deleted")
-    state = pk.stored(spark, dealt(local, "block").cogroup(dealt(replies, "block")).applyInArrow(_number, STATE), "lm-state")
-    sent = state.mapInArrow(_send_pairs(parts), PAIRS)
+    words = words.where("block is not null")
+    sent = dealt(local, "block").cogroup(dealt(words.select("block", "at", "ids", "learned", "deleted"), "block")).applyInArrow(_send_pairs(parts), PAIRS)
     pairs = pk.stored(spark, dealt(sent, "part").applyInArrow(_count_pairs(total - gone), PAIR_ANSWER), "lm-pairs")
     cells = pairs.where("n is not null").groupBy("bucket", "high", "low").agg(F.sum("n"), F.sum("sum_high"), F.sum("sum_low"))
     weights = learn_weights(sorted(tuple(r) for r in cells.collect()), types)
-    state = state.drop("deleted")
-    replies = pairs.where("block is not null").select("block", "part", "learned")
-    return dealt(state, "block").cogroup(dealt(replies, "block")).applyInArrow(_score(parts, total, types, weights), SCORES)
+    replies = words.select("block", "part", "at", "ids", "learned").unionByName(
+        pairs.where("block is not null").select("block", "part", "learned"), allowMissingColumns=True)
+    return dealt(local, "block").cogroup(dealt(replies, "block")).applyInArrow(_score(parts, total, types, weights), SCORES)
