@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--article-col", default="article", help="parquet source: column holding the article")
     s.add_argument("--ts-col", default="ts", help="parquet source: event-time column")
     s.add_argument("--precount", help="count the raw stream once into this table; outputs read it")
+    s.add_argument("--store", help="also keep the trending rows by hour in this serving store")
     s.add_argument("--state-partitions", type=int, help="state-store partitions of new queries")
 
     b = sub.add_parser("build-history", help="E2: averages from raw hourly log folders")
@@ -63,6 +64,14 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--allow-missing-feed", action="store_true",
                    help="score an hour with no feed folder as an hour without traffic")
 
+    r = sub.add_parser("repair", help="E3: run again the hours of a day whose feed or history has changed")
+    for n in ("--feed", "--history", "--state", "--out", "--date"):
+        r.add_argument(n, required=True)
+    r.add_argument("-k", type=int, default=5)
+    r.add_argument("--missing", choices=["drop", "zero"], default="drop")
+    r.add_argument("--method", choices=["ratio", "canberra"], default="ratio")
+    r.add_argument("--allow-missing-feed", action="store_true")
+
     f = sub.add_parser("backfill", help="W1: score every hour of a day in one job")
     for n in ("--feed", "--history", "--out", "--date"):
         f.add_argument(n, required=True)
@@ -80,7 +89,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--exact", action="store_true")
 
     v = sub.add_parser("serve", help="E5: latest trending rows")
-    v.add_argument("--trending", required=True)
+    v.add_argument("--trending", help="trending table, read whole")
+    v.add_argument("--store", help="serving store, read from its newest hour back")
     v.add_argument("-n", type=int, default=10)
     return p
 
@@ -103,7 +113,8 @@ def main(argv: list[str] | None = None) -> None:
         kafka = {"kafka.bootstrap.servers": args.bootstrap} if args.phase_sink == "kafka" else None
         qs = stm.run_trending_stream(spark, src, args.out, ck, args.watermark, args.phase_sink,
                                      args.phase_topic, kafka, available_now=args.available_now,
-                                     state_partitions=args.state_partitions, precount_path=args.precount)
+                                     state_partitions=args.state_partitions, precount_path=args.precount,
+                                     serving_store=args.store)
         for q in qs:
             q.awaitTermination()
     elif args.cmd == "build-history":
@@ -112,6 +123,9 @@ def main(argv: list[str] | None = None) -> None:
         jobs.run_anomaly_hour(spark, args.feed, args.history, args.state, args.out, args.date, args.hour,
                               args.k, args.missing, args.method,
                               require_feed=not args.allow_missing_feed)
+    elif args.cmd == "repair":
+        jobs.repair_anomaly_hours(spark, args.feed, args.history, args.state, args.out, args.date, args.k, args.missing,
+                                  args.method, require_feed=not args.allow_missing_feed)
     elif args.cmd == "backfill":
         jobs.backfill_anomalies(spark, args.feed, args.history, args.out, args.date, args.k, args.missing,
                                 args.method)
@@ -119,7 +133,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.fold_day(spark, args.feed, args.history, args.date, args.log, args.exact,
                       allow_missing_hours=args.allow_missing_hours)
     elif args.cmd == "serve":
-        jobs.serve(spark, args.trending, args.n).show(truncate=False)
+        rows = jobs.serve_newest(spark, args.store, args.n) if args.store else jobs.serve(spark, args.trending, args.n)
+        rows.show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ Wall time is modelled as UTC (the reference labels folders and windows by UTC ho
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,15 @@ def wall_clock(ts, like: T.DataType) -> Column:
     return _col(ts) if isinstance(like, T.TimestampNTZType) else to_wall_time(ts)
 
 
+def as_wall_time(df: DataFrame, *names: str) -> DataFrame:
+    """The TIMESTAMP columns among ``names`` as UTC wall time (NTZ): rows written by a stream carry TIMESTAMP bounds,
+    whose clock text would otherwise follow the session time zone."""
+    for c in names:
+        if isinstance(df.schema[c].dataType, T.TimestampType):
+            df = df.withColumn(c, to_wall_time(c))
+    return df
+
+
 # clock stamp of a window start, `HH:mm:ss` in UTC wall time
 def clock_stamp(ts, like: T.DataType = T.TimestampNTZType()) -> Column:
     return F.date_format(wall_clock(ts, like), "HH:mm:ss")

@@ -48,3 +48,19 @@ def update_history(hist: DataFrame, day: DataFrame, key: str = "article", hour:
                    (F.col("_hs") + F.coalesce("_dv", F.lit(0))).cast("bigint").alias("sum_views"),
                    (F.col("_hn") + F.when(seen, 1).otherwise(0)).cast("bigint").alias("n"))
     return with_average(out, exact)
+
+
+def day_delta(day: DataFrame, key: str = "article", hour: str = "hour", views: str = "views") -> DataFrame:
+    """What one day's feed adds to the history: (hour, key, sum_views, n = 1), the day's rows summed per (hour, key)."""
+    return (day.where(F.col(views).isNotNull()).groupBy(F.col(hour).alias("hour"), F.lower(key).alias(key))
+               .agg(F.sum(views).cast("bigint").alias("sum_views"), F.lit(1).cast("bigint").alias("n")))
+
+
+def merge_sums(parts: list[DataFrame], key: str = "article", exact: bool = False) -> DataFrame:
+    """The history of several sets of sums (hour, key, sum_views, n), in one aggregate."""
+    cols = ["hour", key, "sum_views", "n"]
+    whole = parts[0].select(*cols)
+    for p in parts[1:]:
+        whole = whole.unionByName(p.select(*cols))
+    g = whole.groupBy("hour", key).agg(F.sum("sum_views").cast("bigint").alias("sum_views"), F.sum("n").cast("bigint").alias("n"))
+    return with_average(g, exact)

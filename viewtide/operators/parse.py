@@ -66,6 +66,19 @@ def parse_window_counts(lines: DataFrame, value: str = "value") -> tuple[DataFra
     return _split_good_bad(p, reason, ["article", "clock", "views"], value)
 
 
+def parse_phase_records(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """`article \t epoch_seconds \t count` (the phase-topic record that can be put in order again) ->
+    (article, window_start TIMESTAMP, views) and rejects."""
+    parts = F.split(F.col(value), "\t", -1)
+    sec = to_long(F.get(parts, 1))
+    p = lines.select(F.col(value), F.get(parts, 0).alias("article"), sec.alias("_sec"), to_long(F.get(parts, 2)).alias("views"),
+                     F.when(_min_java_fields(value, "\t", 3), 3).otherwise(0).alias("_n"))
+    reason = (F.when(F.col(value).isNull() | (F.col("_n") < 3), F.lit("fields"))
+               .when(F.col("_sec").isNull() | (F.col("_sec") < _MIN_EPOCH_S) | (F.col("_sec") > _MAX_EPOCH_S), F.lit("timestamp"))
+               .when(F.col("views").isNull(), F.lit("count")))
+    return _split_good_bad(p, reason, ["article", F.timestamp_seconds("_sec").alias("window_start"), "views"], value)
+
+
 def parse_hourly_logs(lines: DataFrame, value: str = "value", hour: str = "hour") -> tuple[DataFrame, DataFrame]:
     """P4 + P5: hourly log lines `project title views bytes` (blank separated, split like Python's
     ``str.split(' ')``, so two blanks make an empty field) -> (hour, project, article, views, bytes).

@@ -4,28 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import article_link_text, article_url, series_text, trending_text
-from ..functions.timecols import time_labels, to_wall_time
+from ..functions.timecols import as_wall_time, time_labels
 from .windows import slot_names
 
 
-def _as_wall(df: DataFrame) -> DataFrame:
-    """Window bounds as UTC wall time (NTZ): rows written by the stream carry TIMESTAMP bounds,
-    whose clock text would otherwise follow the session time zone."""
-    for c in ("window_start", "window_end"):
-        if isinstance(df.schema[c].dataType, T.TimestampType):
-            df = df.withColumn(c, to_wall_time(c))
-    return df
-
-
 def latest_trending(trending_rows: DataFrame, n: int = 10, key: str = "article") -> DataFrame:
     """The ``n`` newest trending rows (window end descending, then article).
 
     A top-n report: Spark plans it as TakeOrderedAndProject, a per-partition heap of n rows.
     """
-    return _as_wall(trending_rows).orderBy(F.desc("window_end"), F.asc(key)).limit(n)
+    return as_wall_time(trending_rows, "window_start", "window_end").orderBy(F.desc("window_end"), F.asc(key)).limit(n)
 
 
 def serving_rows(trending_rows: DataFrame, n: int = 10, slots: int = 6, slot_minutes: int = 10,

@@ -177,20 +177,20 @@ def hourly_totals(df: DataFrame, ts: str = "ts", key: str = "article") -> DataFr
 
 
 def route_by_phase(counts: DataFrame, base_topic: str, ts: str = "window_start",
-                   key: str = "article", views: str = "views") -> DataFrame:
+                   key: str = "article", views: str = "views", stamp: str = "clock") -> DataFrame:
     """Topic per row from the last digit of the window start minute, with the keyed
     record the broker receives (key = article, value = `article \\t HH:mm:ss \\t count`).
 
     The digit and the clock come from epoch arithmetic / UTC wall time, so TIMESTAMP windows (from a
-    stream) route the same way whatever the session time zone.
+    stream) route the same way whatever the session time zone. With ``stamp='epoch'`` the record carries the window
+    start in epoch seconds instead of a clock without a date, so a reader can put the series together again (S7).
     """
     ph = phase(ts)
+    when = F.unix_timestamp(F.col(ts)).cast("string") if stamp == "epoch" else clock_stamp(ts, counts.schema[ts].dataType)
     return counts.select(
         "*",
         ph.alias("phase"),
         F.concat(F.lit(base_topic), ph.cast("string")).alias("topic"),
         F.col(key).cast("string").alias("key"),
-        F.concat_ws("\t", F.col(key), clock_stamp(ts, counts.schema[ts].dataType),
-                    F.col(views).cast("string"))
-         .alias("value"),
+        F.concat_ws("\t", F.col(key), when, F.col(views).cast("string")).alias("value"),
     )

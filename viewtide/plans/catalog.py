@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_trending_text, series_text, trending_text
-from ..functions.timecols import to_wall_time
+from ..functions.timecols import as_wall_time, to_wall_time
 from ..operators import anomaly as anom
 from ..operators import history as hist_ops
 from ..operators import parse as prs
 from ..operators import serving as srv
 from ..operators import windows as win
 from ..session import scratch_path
+from ..sinks import ledger, serving_store
 from ..sinks import tables as tbl
 from ..sources import render
-from ..sources.files import read_day
+from ..sources.files import read_day, read_feed
 from ..sources.tables import read_requests, read_table
 from ..streaming import trend_stream as stm
 from . import jobs
@@ -100,8 +101,12 @@ DIGITS = 6
 
 
 def _day_split(spark: SparkSession, sf: str, requests: DataFrame | None = None):
-    """(feed, latest date Column, today's feed, earlier feed). The latest date is a scalar subquery."""
+    """(feed, latest date Column, today's feed, earlier feed). The requests are read once: the hourly feed is written, as the stream
+    does it, and what follows (the latest date, a scalar subquery, included) reads that small table."""
     feed = win.hourly_totals(read_requests(spark, sf) if requests is None else requests)
+    path = scratch_path(spark, "hourly-feed")
+    feed.write.parquet(path)
+    feed = spark.read.schema(feed.schema).parquet(path)
     latest = feed.select(F.max("date")).scalar()
     return feed, latest, feed.where(F.col("date") == latest), feed.where(F.col("date") < latest)
 
@@ -263,6 +268,67 @@ def q_hourly_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("date", "hour", "article", "views")
 
 
+SERIES_COLS = "article string, window_start timestamp, window_end timestamp, s0 long, s1 long, s2 long, s3 long, s4 long, s5 long"
+
+
+def _wall(out: DataFrame) -> DataFrame:
+    return as_wall_time(out, "window_start", "window_end").select("article", "window_start", "window_end", *win.slot_names(SLOTS))
+
+
+def q_trending_stream_job(spark: SparkSession, sf: str) -> DataFrame:
+    """E1 + S6 + P1 + K5: the whole stream job from raw lines (good and bad ones); its trending rows, read through the ledger."""
+    root = scratch_path(spark, "stream-job")
+    render.request_lines(read_table(spark, sf, "events")).write.parquet(f"{root}/lines")
+    lines = stm.request_stream(spark, "parquet", f"{root}/lines", schema="value string")
+    for q in stm.run_trending_stream(spark, lines, f"{root}/out", f"{root}/checkpoint", WATERMARK, phase_topic=PHASE_TOPIC,
+                                     available_now=True, state_partitions=_default_parallelism(spark)):
+        q.awaitTermination()
+    return _wall(ledger.read_batches(spark, f"{root}/out/trending", SERIES_COLS))
+
+
+def q_trending_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """M9 + K5: trending rows after a run, a replay of its batches, a write that died, and a new checkpoint that reads all input
+    again, each row once."""
+    root = scratch_path(spark, "trending-ledger")
+    out = f"{root}/trending"
+
+    def run(checkpoint: str) -> None:
+        rows = stm.trending_stream(_request_file_stream(spark, sf), SLOTS, SLOT, SLIDE, WATERMARK)
+        stm.start_stream(rows, "batches", out, f"{root}/{checkpoint}", None, available_now=True,
+                         state_partitions=_default_parallelism(spark)).awaitTermination()
+
+    run("first")
+    first = ledger.run_id(spark, f"{root}/first", out)
+    rows = ledger.read_batches(spark, out, SERIES_COLS)
+    for folder in ledger.committed(spark, out):
+        ledger.commit(rows, out, first, int(folder.rsplit("=", 1)[1]))
+    rows.write.parquet(ledger.folder_of(out, first, 99))  # no manifest: died before its commit
+    run("second")
+    return _wall(ledger.read_batches(spark, out, SERIES_COLS, ["article", "window_start"]))
+
+
+def q_series_from_phases(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 + M8 + M6: sliding counts sent to the phase topics (as a table), the trending series put together from their records."""
+    root = scratch_path(spark, "phase-topics")
+    counts = stm.sliding_counts_stream(_request_file_stream(spark, sf), SLOT, SLIDE, WATERMARK)
+    routed = win.route_by_phase(counts, PHASE_TOPIC, stamp="epoch").select("topic", "key", "value")
+    stm.start_stream(routed, "parquet", f"{root}/topics", f"{root}/checkpoint", None, partition_by=["topic"], available_now=True,
+                     state_partitions=_default_parallelism(spark)).awaitTermination()
+    records = spark.readStream.schema("key string, value string, topic string").parquet(f"{root}/topics")
+    series = stm.series_from_phases(records, SLOTS, SLOT, SLIDE)
+    return _wall(_drain(spark, series.where(win.non_decreasing(win.slot_names(SLOTS))), "phase-series"))
+
+
+def q_latest_trending_store(spark: SparkSession, sf: str) -> DataFrame:
+    """T3 + K5: trending rows added to the serving store in two batches, one of them twice; the newest rows from its newest hours."""
+    root = scratch_path(spark, "serving-store")
+    rows = q_trending_hour(spark, sf)
+    late = F.minute("window_end") >= 30
+    for batch, part in ((0, rows.where(~late)), (1, rows.where(late)), (1, rows.where(late))):
+        serving_store.add_batch(part, root, "000001", batch)
+    return srv.latest_trending(serving_store.newest_rows(spark, root, SERVE_N), SERVE_N)
+
+
 # --- jobs over stored tables: the chains E4 and E3 run day by day and hour by hour ---
 def _stored_feed(spark: SparkSession, sf: str, name: str):
     """The hourly feed with titles as logs have them (capitalised), written as the feed table; its latest date."""
@@ -284,6 +350,29 @@ def q_fold_day_job(spark: SparkSession, sf: str) -> DataFrame:
     return tbl.read_history(spark, f"{root}/history").select("hour", "article", "sum_views", "n", "avg_views")
 
 
+def q_fold_day_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """E4 + K3 merge-on-read: as fold_day_job, the days as deltas; the second version is compacted before the third day comes."""
+    root, day = _stored_feed(spark, sf, "fold-deltas")
+    days = [day - dt.timedelta(days=k) for k in (2, 1, 0)]
+    jobs.seed_history_from_feed(spark, f"{root}/feed", f"{root}/history", days[0] - dt.timedelta(days=1))
+    for d in days:
+        jobs.fold_day(spark, f"{root}/feed", f"{root}/history", d, allow_missing_hours=True, merge_on_read=True)
+        if d == days[1]:
+            tbl.compact_history(spark, f"{root}/history")
+    return tbl.read_history(spark, f"{root}/history").select("hour", "article", "sum_views", "n", "avg_views")
+
+
+def q_extend_history_job(spark: SparkSession, sf: str) -> DataFrame:
+    """E2 + S1 incremental: the logs come in three deliveries, each run reads the new files alone; the history after the last."""
+    root = scratch_path(spark, "extend-history")
+    lines = render.hourly_log_lines(read_table(spark, sf, "events").where(F.col("ts").isNotNull())).select("value", "hour")
+    early, odd = F.col("hour") < 12, F.crc32(F.col("value").cast("binary")) % 2 == 1
+    for part in (early, ~early & odd, ~early & ~odd):  # the last two bring files of the same hours
+        lines.where(part).write.partitionBy("hour").mode("append").text(f"{root}/logs")
+        jobs.extend_history_from_logs(spark, f"{root}/logs", f"{root}/sums", f"{root}/history", "1970-01-01")
+    return tbl.read_history(spark, f"{root}/history").select("hour", "article", "sum_views", "n", "avg_views")
+
+
 def q_build_history_job(spark: SparkSession, sf: str) -> DataFrame:
     """E2 + S1 + K3: hourly logs as text files in folders hour=0 to hour=23, the history built from them, read back."""
     root = scratch_path(spark, "build-history")
@@ -303,6 +392,24 @@ def q_anomaly_hours_job(spark: SparkSession, sf: str) -> DataFrame:
     return _out(tbl.read_anomalies(spark, f"{root}/published"), "rank", "article")
 
 
+def q_anomaly_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """E3 + K4 repaired: all hours run while hour 5 of the feed is wrong, then that hour is written again and the day
+    repaired; the running sums of all hours, which must be the closed form's."""
+    root = scratch_path(spark, "anomaly-repair")
+    _, latest, today, past = _day_split(spark, sf)
+    day = today.agg(F.max("date")).first()[0]  # one scalar
+    tbl.write_history(hist_ops.historical_average(past), f"{root}/history", day - dt.timedelta(days=1))
+    wrong = F.when(F.col("hour") == 5, F.col("views") * 2 + 1).otherwise(F.col("views"))
+    tbl.write_hourly_totals(today.withColumn("views", wrong), f"{root}/feed")
+    where = (f"{root}/feed", f"{root}/history", f"{root}/state", f"{root}/published", day)
+    for hour in range(24):
+        jobs.run_anomaly_hour(spark, *where, hour, TOP_K, "zero", require_feed=False)
+    tbl.write_hourly_totals(today.where("hour = 5"), f"{root}/feed")
+    jobs.repair_anomaly_hours(spark, *where, TOP_K, "zero", require_feed=False)
+    states = tbl.read_anomaly_states(spark, f"{root}/state", day)
+    return _out(anom.with_distance(states), "article", "lhs", "rhs")
+
+
 # --- many keys: users instead of event types as articles ---
 def _per_user(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -344,7 +451,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "promote_day": q_promote_day,
     "build_history_job": q_build_history_job,
     "fold_day_job": q_fold_day_job,
+    "fold_day_deltas": q_fold_day_deltas,
+    "extend_history_job": q_extend_history_job,
     "anomaly_hours_job": q_anomaly_hours_job,
+    "anomaly_repair": q_anomaly_repair,
+    "trending_stream_job": q_trending_stream_job,
+    "trending_ledger": q_trending_ledger,
+    "series_from_phases": q_series_from_phases,
+    "latest_trending_store": q_latest_trending_store,
     "sliding_counts_users": _per_user(q_sliding_counts),
     "hourly_totals_users": _per_user(q_hourly_totals),
     "anomaly_backfill_zero_users": _per_user(q_anomaly_backfill_zero),

@@ -236,9 +236,21 @@ SELECT t.* FROM ({_trend_sql(10, 6, 1, True)}) t, d WHERE t.window_end <= d.d"""
 WHERE CAST(date AS TIMESTAMP) + to_hours(hour + 1) <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
 }
 
+# The whole stream job reads rendered lines: its requests are those that parse.
+_GOOD = _trend_sql(10, 6, 1, True).replace("event_type AS article", "article").replace("FROM events", "FROM good")
+ORACLE_SQL["trending_stream_job"] = f"""WITH good AS ({ORACLE_SQL["parse_requests"]})
+SELECT * FROM ({_GOOD}) WHERE window_end <= (SELECT max(ts) FROM good) - INTERVAL 10 MINUTE"""
+# The records' watermark is the end of the last slot that the first stage emitted, less a microsecond.
+ORACLE_SQL["series_from_phases"] = f"""SELECT * FROM ({_trend_sql(10, 6, 1, True)})
+WHERE window_end < (SELECT max(window_end) FROM ({ORACLE_SQL["phase_counts_stream"]}))"""
+ORACLE_SQL["trending_ledger"] = ORACLE_SQL["trending_stream"]
+ORACLE_SQL["latest_trending_store"] = _LATEST
 # The stored jobs end where the closed forms do; the many-key queries read users as articles.
 ORACLE_SQL["fold_day_job"] = ORACLE_SQL["update_history"]
 ORACLE_SQL["anomaly_hours_job"] = ORACLE_SQL["top_anomalies"]
+ORACLE_SQL["anomaly_repair"] = ORACLE_SQL["anomaly_backfill_zero"]
+ORACLE_SQL["fold_day_deltas"] = ORACLE_SQL["update_history"]
+ORACLE_SQL["extend_history_job"] = ORACLE_SQL["history_from_logs"]
 ORACLE_SQL["build_history_job"] = ORACLE_SQL["history_from_logs"]
 for _name in ("sliding_counts", "hourly_totals", "anomaly_backfill_zero", "top_anomalies"):
     ORACLE_SQL[f"{_name}_users"] = ORACLE_SQL[_name].replace("event_type", "CAST(user_id AS VARCHAR)")

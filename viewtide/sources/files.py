@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.parse import catalogue_from_lines
+from ..schemas import HOURLY_TOTALS
+from ..sinks.manifest import _fs, finished, finished_folders
 
 
 def read_hourly_logs(spark: SparkSession, root: str) -> DataFrame:
@@ -16,7 +18,26 @@ def read_hourly_logs(spark: SparkSession, root: str) -> DataFrame:
     file metadata column, so one job covers all 24 folders. Lines of any other folder have no hour and
     are rejected by the parser.
     """
-    df = spark.read.option("recursiveFileLookup", "true").text(root)
+    return _with_hour(spark.read.option("recursiveFileLookup", "true").text(root))
+
+
+def read_log_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """S1 over some files only -> (value, hour)."""
+    return _with_hour(spark.read.text(files))
+
+
+def list_files(spark: SparkSession, root: str) -> dict[str, str]:
+    """Data files below a folder with their length and time of change (a listing, no scan)."""
+    fs, hpath = _fs(spark, root)
+    out, names = {}, fs.listFiles(hpath, True)
+    while names.hasNext():
+        f = names.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            out[f.getPath().toString()] = f"{f.getLen()}/{f.getModificationTime()}"
+    return out
+
+
+def _with_hour(df: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     hh = F.regexp_extract(path, r"/(?:hour=)?([01]?[0-9]|2[0-3])/[^/]*$", 1)
     return df.select("value", F.when(hh != "", hh.cast("int")).alias("hour"))
@@ -53,15 +74,27 @@ def read_partition(spark: SparkSession, base: str, **parts) -> DataFrame:
 
 def read_feed(spark: SparkSession, path: str, date=None, hour: int | None = None) -> DataFrame:
     """The typed hourly-totals table (date, hour, article, views), partitioned by date and
-    hour. A given date (and hour) reads just that folder; otherwise the table is read whole."""
-    if date is not None and hour is not None:
-        return read_partition(spark, path, date=date, hour=hour)
-    if date is not None:
-        return read_partition(spark, path, date=date)
-    df = spark.read.parquet(path)
-    if hour is not None:
-        df = df.where(F.col("hour") == F.lit(hour))
-    return df
+    hour. A given date (and hour) reads just that folder; otherwise the finished hours of the table are read.
+
+    Only folders with a commit manifest count: a folder whose write has not finished (or died) is an error when
+    its hour or day is asked for, and left out of the whole table. An hour without a folder had no traffic."""
+    root = path.rstrip("/")
+    if date is None:
+        whole = finished_folders(spark, root, ["date", "hour"])
+        df = spark.read.schema(HOURLY_TOTALS).option("basePath", root).parquet(*whole) if whole else \
+            spark.createDataFrame([], HOURLY_TOTALS)
+        return df if hour is None else df.where(F.col("hour") == F.lit(hour))
+    day = f"{root}/date={date}"
+    hours = [f"{day}/hour={hour}"] if hour is not None else [
+        f"{day}/hour={h}" for h in list_partition_values(spark, day, "hour")]
+    there = hours if hour is None else [f for f in hours if path_exists(spark, f)]
+    if not finished(spark, day):  # a day promoted whole has one manifest
+        half = [f for f in there if not finished(spark, f)]
+        if half:
+            raise FileNotFoundError(f"not written to the end yet: {', '.join(half)}")
+    if not there:
+        return spark.createDataFrame([], HOURLY_TOTALS)
+    return spark.read.schema(HOURLY_TOTALS).option("basePath", root).parquet(*there)
 
 
 def read_day(spark: SparkSession, path: str, date) -> DataFrame:

@@ -25,9 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timecols import as_event_time, date_of, hour_of_day
-from ..sources.files import path_exists
-from ..operators.parse import parse_requests
+from ..operators.parse import parse_phase_records, parse_requests
 from ..operators.windows import duration_seconds, non_decreasing, route_by_phase, slot_names
+from ..schemas import REJECTS, REQUESTS
+from ..sinks import ledger, serving_store
+from ..sinks import manifest as mf
+from ..sources.files import path_exists
 
 
 # ---------------------------------------------------------------- sources
@@ -129,6 +132,11 @@ def trend_series_stream(req: DataFrame, slots: int = 6, slot: str = "10 minutes"
     s = _sliding(req, f"{slot_s} seconds", step, watermark, ts, key, weight)
     s = s.select(key, F.window_time("window").alias("_t"),
                  F.unix_timestamp(F.col("window.start")).alias("_slot"), "views")
+    return _series_of_slots(s, slots, slot_s, span, step, key)
+
+
+def _series_of_slots(s: DataFrame, slots: int, slot_s: int, span: str, step: str, key: str) -> DataFrame:
+    """The complete series of slot counts (key, _t event time of the slot's end, _slot its start in seconds, views)."""
     lead = F.col("_slot") - F.unix_timestamp(F.col("window.start"))
     # of the windows around a slot only those in phase with it reach the state, one per slot position
     wdf = (s.select(F.window("_t", span, step).alias("window"), key, "_slot", "views")
@@ -143,6 +151,22 @@ def trend_series_stream(req: DataFrame, slots: int = 6, slot: str = "10 minutes"
                                     F.col("window.end").alias("window_end"), *names)
 
 
+def series_from_phases(records: DataFrame, slots: int = 6, slot: str = "10 minutes", slide: str = "1 minute",
+                       watermark: str = "0 seconds", key: str = "article") -> DataFrame:
+    """S7 + M8: the hour series put together again from phase-topic records (a ``value`` column of
+    `article \t epoch_seconds \t count`, as `route_by_phase` writes them with ``stamp='epoch'``).
+
+    The slots of an hour window all have one phase, so a reader of a single phase topic finds all six of them there, and
+    ten readers can each take a topic. State is bounded in event time: a record meets the six hour windows in phase with its slot,
+    and a window leaves the state when the watermark (by the slots' ends) passes it. Records of one job are in
+    order already, hence no delay by default. A slot that was sent again counts once."""
+    slot_s, slide_s = duration_seconds(slot), duration_seconds(slide)
+    good, _ = parse_phase_records(records)
+    end = F.timestamp_micros(F.unix_micros("window_start") + F.lit(slot_s * 1_000_000 - 1))
+    s = good.select(key, end.alias("_t"), F.unix_timestamp("window_start").alias("_slot"), "views").withWatermark("_t", watermark)
+    return _series_of_slots(s, slots, slot_s, f"{slots * slot_s} seconds", f"{slide_s} seconds", key)
+
+
 def trending_stream(req: DataFrame, slots: int = 6, slot: str = "10 minutes", slide: str = "1 minute",
                     watermark: str = "10 minutes", ts: str = "ts", key: str = "article",
                     weight: str | None = None) -> DataFrame:
@@ -192,8 +216,38 @@ def complete_partitions_writer(path: str, partition_by: list[str]):
     as append-mode windows are (an hour's totals leave the state together, once): rebalance, then
     dynamic partition overwrite -- idempotent on replay, files sized by AQE."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.hint("rebalance", *partition_by).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+        mf.write_partitions(batch.hint("rebalance", *partition_by), path, partition_by)
+    return write
+
+
+def intake_writer(out_root: str, run: str):
+    """foreachBatch function (P1, S6): raw lines are parsed once, good rows committed to ``out_root/requests`` and bad ones
+    to ``out_root/rejects``; the ledger's manifests hold the counts of both. A replayed batch that is committed is not read again."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, names = batch.sparkSession, (f"{out_root}/requests", f"{out_root}/rejects")
+        if all(mf.finished(spark, ledger.folder_of(n, run, batch_id)) for n in names):
+            return
+        batch.persist()
+        try:
+            for rows, name in zip(parse_requests(batch), names):
+                ledger.commit(rows, name, run, batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def trending_writer(path: str, run: str, store: str | None):
+    """foreachBatch function (K5): trending rows to the ledger and, if there is one, to the serving store."""
+    ledger_write = ledger.batch_writer(path, run)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if store and not batch.isEmpty():
+                serving_store.add_batch(batch, store, run, batch_id)
+            ledger_write(batch, batch_id)
+        finally:
+            batch.unpersist()
     return write
 
 
@@ -202,8 +256,10 @@ def start_stream(df: DataFrame, sink: str, path: str | None, checkpoint: str, na
                  processing_time: str | None = None, options: dict | None = None,
                  state_partitions: int | None = None) -> StreamingQuery:
     """Start an append-mode query: ``parquet`` file sink (exactly-once via its manifest),
-    ``kafka`` (needs a ``topic`` or per-row ``topic`` column), ``batches`` (idempotent
-    per-batch folders) or ``partitions`` (whole partitions per batch, dynamic overwrite).
+    ``kafka`` (needs a ``topic`` or per-row ``topic`` column), ``batches`` (per-batch folders of this checkpoint's
+    run, each committed once, see `sinks.ledger`), ``partitions`` (whole partitions per batch, dynamic overwrite),
+    ``intake`` (raw lines to requests and rejects below ``path``) or ``trending`` (``batches`` that also
+    go to the serving store ``options['store']``).
 
     ``state_partitions`` fixes the number of state-store partitions of a new query (recorded in its
     checkpoint, so restarts keep it); AQE does not resize stateful stages, so size it to the
@@ -231,15 +287,20 @@ def start_stream(df: DataFrame, sink: str, path: str | None, checkpoint: str, na
         return w.format("parquet").options(**(options or {})).start(path)
     if sink == "kafka":
         return w.format("kafka").options(**(options or {})).start()
-    if sink == "batches":
-        return w.foreachBatch(idempotent_batch_writer(path, partition_by=partition_by)).start()
+    if sink in ("batches", "intake", "trending"):
+        run = ledger.run_id(df.sparkSession, checkpoint, f"{path}/requests" if sink == "intake" else path)
+        if sink == "intake":
+            return w.foreachBatch(intake_writer(path, run)).start()
+        if sink == "trending":
+            return w.foreachBatch(trending_writer(path, run, (options or {}).get("store"))).start()
+        return w.foreachBatch(ledger.batch_writer(path, run, partition_by)).start()
     if sink == "partitions":
         return w.foreachBatch(complete_partitions_writer(path, partition_by)).start()
     raise ValueError(f"unsupported sink {sink!r}")
 
 
 def write_trending(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """K5: trending rows to idempotent micro-batch folders."""
+    """K5: trending rows to micro-batch folders, each committed once."""
     return start_stream(df, "batches", path, checkpoint, None, **trigger)
 
 
@@ -269,13 +330,33 @@ def start_precount(requests: DataFrame, path: str, checkpoint: str, slide: str =
     return q
 
 
+def start_intake(lines: DataFrame, out_root: str, checkpoint: str, **common) -> StreamingQuery:
+    """One query reads and parses the raw lines; the outputs stream from ``out_root/requests``. The source is read once
+    for good and bad rows together."""
+    spark = lines.sparkSession
+    fs, folder = mf._fs(spark, f"{out_root}/requests")
+    fs.mkdirs(folder)  # readers may start before the first batch
+    return start_stream(lines, "intake", out_root, checkpoint, "intake", **common)
+
+
+def read_requests_table(spark: SparkSession, out_root: str) -> DataFrame:
+    """The typed requests of `start_intake`, as a stream of (article, ip, ts)."""
+    return spark.readStream.schema(REQUESTS).parquet(f"{out_root}/requests")
+
+
+def read_rejects(spark: SparkSession, out_root: str) -> DataFrame:
+    """The lines that `start_intake` rejected, with reasons."""
+    return ledger.read_batches(spark, f"{out_root}/rejects", ", ".join(f"{f.name} string" for f in REJECTS.fields))
+
+
 def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str, checkpoint_root: str,
                         watermark: str = "10 minutes", phase_sink: str = "parquet",
                         phase_topic: str = "pageviews-", kafka: dict | None = None,
                         available_now: bool = False, processing_time: str | None = "1 minute",
                         slots: int = 6, slot: str = "10 minutes", slide: str = "1 minute",
                         state_partitions: int | None = None,
-                        precount_path: str | None = None) -> list[StreamingQuery]:
+                        precount_path: str | None = None,
+                        serving_store: str | None = None) -> list[StreamingQuery]:
     """From one request stream start the three outputs of the reference job.
 
     * sliding counts routed to ten phase topics (K1) -- Kafka when ``phase_sink='kafka'``,
@@ -284,22 +365,24 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
       written whole by the batch that closes it;
     * trending rows (K5), idempotent micro-batch folders.
 
-    ``requests`` is either typed (article, ts) or raw lines (a ``value`` column, e.g. from Kafka);
-    raw lines are parsed (P1) and their rejects go to a fourth query, ``out_root/rejects``.
+    ``requests`` is either typed (article, ts) or raw lines (a ``value`` column, e.g. from Kafka); raw lines
+    are read and parsed once by an intake query (P1), whose table ``out_root/requests`` the outputs stream from and whose
+    rejects go to ``out_root/rejects``. With ``serving_store`` the trending rows also go there, by hour.
 
     With ``precount_path`` the raw stream is read and counted once, into a per-(article, minute)
     table, and the three outputs stream from that compact table instead of each consuming the raw
     topic (the reference's two-stage design, with a table in place of its phase topics). The slide
     must divide an hour, since the hourly totals are then summed from the buckets.
     """
-    extra: list[StreamingQuery] = []
-    if "value" in requests.columns and "article" not in requests.columns:
-        requests, rejects = parse_requests(requests)
-        extra.append(start_stream(rejects, "parquet", f"{out_root}/rejects", f"{checkpoint_root}/rejects",
-                                  "request_rejects", available_now=available_now,
-                                  processing_time=processing_time, state_partitions=state_partitions))
     common = dict(available_now=available_now, processing_time=processing_time,
                   state_partitions=state_partitions)
+    extra: list[StreamingQuery] = []
+    if "value" in requests.columns and "article" not in requests.columns:
+        intake = start_intake(requests, out_root, f"{checkpoint_root}/intake", available_now=available_now, processing_time=processing_time)
+        if available_now:
+            intake.awaitTermination()  # drain the raw lines first, then the outputs drain the table
+        extra.append(intake)
+        requests = read_requests_table(spark, out_root)
     weight = None
     if precount_path:
         if 3600 % duration_seconds(slide):
@@ -323,6 +406,6 @@ def run_trending_stream(spark: SparkSession, requests: DataFrame, out_root: str,
                           "phase_counts", partition_by=["topic"], **common)
     q2 = start_stream(hourly, "partitions", f"{out_root}/hourly_totals", f"{checkpoint_root}/hourly",
                       "hourly_totals", partition_by=["date", "hour"], **common)
-    q3 = start_stream(trend, "batches", f"{out_root}/trending", f"{checkpoint_root}/trending",
-                      "trending", **common)
+    q3 = start_stream(trend, "trending", f"{out_root}/trending", f"{checkpoint_root}/trending",
+                      "trending", options={"store": serving_store}, **common)
     return [q1, q2, q3, *extra]
