@@ -85,7 +85,7 @@ def _blocks(batches):
             a = a[a != 1]
             docs.append((lang, a))
             size += len(a)
-            if size >= pk.BLOCK_TOKENS:
+            if size >= pk.BLOCK_TOKENS // 2:  # the state of a block is larger than its tokens
                 yield from flush()
     if docs:
         yield from flush()

@@ -21,6 +21,7 @@ from ..session import scratch_path
 
 BLOCK_TOKENS = 1 << 19
 PART_KEYS = 1 << 20
+BATCH_BYTES = 8 << 20
 
 
 class Numbers(dict):
@@ -37,9 +38,16 @@ def block_id(seq: int) -> int:
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder (packed arrays, so with a dense codec) and read back."""
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    """``df`` written to the shared scratch folder (packed arrays, so with a dense codec) and read back.
+
+    Rows are megabytes here, so while it runs few of them go to a Python worker at a time."""
+    path, key = scratch_path(spark, name), "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(BATCH_BYTES, int(before.rstrip("bB")) if before.rstrip("bB").isdigit() else BATCH_BYTES)))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
