@@ -126,3 +126,26 @@ def test_decontaminate_odd_rows(spark, odd, none):
 def test_spans_are_removed():
     assert decontam.without_hits("Keep ONE, two; three four", [1, 3]) == "Keep ; three four"
     assert decontam.without_hits(None, [0, 1]) is None and decontam.without_hits("a b", []) == "a b"
+
+
+def test_decontaminate_keeps_rows_at_any_benchmark_size(spark, odd, monkeypatch):
+    """Blocks and passes change nothing; repeated rows and rows without an id keep a row each."""
+    bench = spark.createDataFrame([("1", "one TWO"), ("1", "eta theta"), ("2", None), ("3", ""), ("4", " - "), (None, "two"), ("7", "one two"),
+                                   ("5", " ".join(f"word{i}" for i in range(500, 530))), ("6", "word5 word6")], "item_id string, text string")
+    rows = odd.unionByName(odd.where("doc_id in (9, 5)"))
+    one = sorted(map(str, decontam.contamination(spark, rows, bench).collect()))
+    kept = sorted(map(str, decontam.remove_contaminated(spark, rows, bench).collect()))
+    spans = sorted(map(str, decontam.remove_contaminated(spark, rows, bench, mode="spans").collect()))
+    assert len(one) == len(spans) == rows.count()
+    monkeypatch.setattr(decontam, "PASS_BLOCKS", 2)
+    assert decontam.item_blocks(spark, bench, 10).count() > 2
+    assert sorted(map(str, decontam.contamination(spark, rows, bench, block_chars=10).collect())) == one
+    assert sorted(map(str, decontam.remove_contaminated(spark, rows, bench, block_chars=10).collect())) == kept
+    assert sorted(map(str, decontam.remove_contaminated(spark, rows, bench, mode="spans", block_chars=10).collect())) == spans
+
+
+def test_equal_hashes_of_different_windows(monkeypatch):
+    monkeypatch.setattr(decontam, "_rolling", lambda codes, n: np.zeros(len(codes) - n + 1, np.uint64))
+    table = decontam.WindowTable(decontam.pack_windows([("a", "x y"), ("b", "y z"), ("c", "x y"), ("d", "q")]))
+    assert table.scan(b"q x y z q".split()) == ([0, 5], {"a", "b", "c", "d"})
+    assert table.scan(b"y x".split()) == ([], set())

@@ -39,7 +39,7 @@ def q_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontam.contamination(spark, read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
-    return found.drop("hits", "fp")
+    return found.drop("hits")
 
 
 def q_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
