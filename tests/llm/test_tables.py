@@ -149,3 +149,31 @@ def test_equal_hashes_of_different_windows(monkeypatch):
     table = decontam.WindowTable(decontam.pack_windows([("a", "x y"), ("b", "y z"), ("c", "x y"), ("d", "q")]))
     assert table.scan(b"q x y z q".split()) == ([0, 5], {"a", "b", "c", "d"})
     assert table.scan(b"y x".split()) == ([], set())
+
+
+@pytest.mark.parametrize("name, by_word", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_encoder_takes_shortcuts_for_its_own_tokenizer_only(name, by_word, docs, monkeypatch):
+    from tokenizers import Tokenizer
+    path = token_files.tokenizer_path(name)
+    whole, enc = Tokenizer.from_file(path), token_files.WordEncoder(path)
+    assert enc.by_word == by_word
+    monkeypatch.setattr(token_files, "MAX_WORDS", 3_000)  # words leave the table and come back
+    texts = [r.text for r in docs.select("text").collect()] + ["x. x, .. é. É ", None, "", "A\tb"] * 3
+    for _ in range(2):
+        got = [g for i in range(0, len(texts), 20) for g in enc.encode(texts[i:i + 20])]
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert not by_word or len(enc.low) <= 3_000
+
+
+def test_words_with_equal_half_digests(monkeypatch):
+    enc = token_files.WordEncoder(token_files.tokenizer_path())
+    want = enc.encode(["one two three two", "four one"])
+    real = token_files.xxhash.xxh3_128_digest
+
+    class Half:
+        xxh3_128_digest = staticmethod(lambda w: bytes(8) + real(w)[8:])
+
+    monkeypatch.setattr(token_files, "xxhash", Half)
+    enc = token_files.WordEncoder(token_files.tokenizer_path())
+    for _ in range(3):
+        assert enc.encode(["one two three two", "four one"]) == want
