@@ -216,3 +216,27 @@ def test_history_extended_by_new_files_only(spark, tmp_dir):
     log_file(logs, "01", "a", ["en Cat 1 1", "en Cat 2 1"])
     with pytest.raises(mf.StaleStateError):
         jobs.extend_history_from_logs(spark, logs, sums, hist, "2024-01-05")
+
+
+def test_bucketed_step_moves_the_feed_only(spark, tmp_dir):
+    feed, hist, buckets, state, out = (f"{tmp_dir}/{n}" for n in ("feed", "hist", "buckets", "state", "out"))
+    put_feed(spark, f"{tmp_dir}/old", [("2024-01-01", h, a, 10 + h) for h in range(3) for a in ("a", "b", "c")])
+    jobs.seed_history_from_feed(spark, f"{tmp_dir}/old", hist, "2024-01-01")
+    rows = [(DAY, h, a, 7 * h + ord(a[0].lower()) % 5) for h in range(3) for a in ("A", "b", "d", "a")]
+    put_feed(spark, feed, rows)
+    jobs.bucket_history(spark, hist, buckets, "2024-01-01", 4)
+    for h in range(3):
+        jobs.run_anomaly_hour_bucketed(spark, feed, buckets, state, out, DAY, h, missing="zero")
+        jobs.run_anomaly_hour(spark, feed, hist, f"{state}-plain", f"{out}-plain", DAY, h, missing="zero")
+    cols = ("hour", "rank", "article", "distance")
+    assert rows_of(tbl.read_anomalies(spark, out), *cols) == rows_of(tbl.read_anomalies(spark, f"{out}-plain"), *cols)
+    jobs.run_anomaly_hour_bucketed(spark, feed, buckets, state, out, DAY, 1, missing="zero")  # replaces its folder
+    from viewtide.sinks.bucketed import forget, read_bucketed
+    forget(spark, f"{state}/date={DAY}/hour=1")  # another session declares it anew
+    prev, past = read_bucketed(spark, f"{state}/date={DAY}/hour=1"), read_bucketed(spark, f"{buckets}/hour=2")
+    step = anom.anomaly_step(read_feed(spark, feed, DAY, 2), past, prev, "zero", buckets=4)
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and plan.count("Bucketed: true") == 2
+    half_written(f"{state}/date={DAY}/hour=7")
+    with pytest.raises(FileNotFoundError):
+        read_bucketed(spark, f"{state}/date={DAY}/hour=7")

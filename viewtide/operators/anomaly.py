@@ -94,17 +94,22 @@ def advance_anomaly(state: DataFrame | None, terms: DataFrame, missing: str = "d
 
 
 def anomaly_step(cur: DataFrame, hist: DataFrame, state: DataFrame | None, missing: str = "drop",
-                 key: str = "article", views: str = "views", avg: str = "avg_views") -> DataFrame:
+                 key: str = "article", views: str = "views", avg: str = "avg_views", buckets: int | None = None) -> DataFrame:
     """E3's hourly step in one exchange: today's rows for the hour, the history of the hour and the
     running sums of the previous hour are unioned and aggregated once per article, equivalent to
     ``advance_anomaly(state, hour_terms(cur, hist))`` (two exchanges). ``state`` is None at hour 0.
+
+    With ``buckets`` the history and the state come from tables bucketed by key into that many buckets: only the hour's
+    rows are dealt to the buckets, and the aggregate runs where the history and the state lie.
     """
     _check(missing)
     kind = _sum_kind(hist, avg)
+    cur = cur.select(F.lower(key).alias(key), F.col(views).cast("bigint").alias("_c"))
+    if buckets:
+        cur = cur.repartition(buckets, key)
     nb, nk, nd = F.lit(None).cast("bigint"), F.lit(None).cast(kind), F.lit(None).cast("double")
     parts = [
-        cur.select(F.lower(key).alias(key), F.col(views).cast("bigint").alias("_c"), nk.alias("_a"), nk.alias("_l"),
-                   nk.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
+        cur.select(key, "_c", nk.alias("_a"), nk.alias("_l"), nk.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
         hist.select(key, nb.alias("_c"), F.col(avg).cast(kind).alias("_a"), nk.alias("_l"),
                     nk.alias("_r"), nd.alias("_b"), F.lit(0).alias("_s")),
     ]

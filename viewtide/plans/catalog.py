@@ -410,6 +410,23 @@ def q_anomaly_repair(spark: SparkSession, sf: str) -> DataFrame:
     return _out(anom.with_distance(states), "article", "lhs", "rhs")
 
 
+BUCKETS = 8
+
+
+def q_anomaly_hours_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """E3 + J1 + J2 over co-bucketed history and state: all hours of the latest day; the published rows."""
+    root = scratch_path(spark, "anomaly-bucketed")
+    _, _, today, past = _day_split(spark, sf)
+    day = today.agg(F.max("date")).first()[0]  # one scalar
+    before = (day - dt.timedelta(days=1)).isoformat()
+    tbl.write_history(hist_ops.historical_average(past), f"{root}/history", before)
+    tbl.write_hourly_totals(today, f"{root}/feed")
+    jobs.bucket_history(spark, f"{root}/history", f"{root}/buckets", before, BUCKETS)
+    for hour in range(24):
+        jobs.run_anomaly_hour_bucketed(spark, f"{root}/feed", f"{root}/buckets", f"{root}/state", f"{root}/published", day, hour, TOP_K, "zero")
+    return _out(tbl.read_anomalies(spark, f"{root}/published"), "rank", "article")
+
+
 # --- many keys: users instead of event types as articles ---
 def _per_user(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -455,6 +472,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extend_history_job": q_extend_history_job,
     "anomaly_hours_job": q_anomaly_hours_job,
     "anomaly_repair": q_anomaly_repair,
+    "anomaly_hours_bucketed": q_anomaly_hours_bucketed,
     "trending_stream_job": q_trending_stream_job,
     "trending_ledger": q_trending_ledger,
     "series_from_phases": q_series_from_phases,

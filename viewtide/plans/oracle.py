@@ -249,6 +249,7 @@ ORACLE_SQL["latest_trending_store"] = _LATEST
 ORACLE_SQL["fold_day_job"] = ORACLE_SQL["update_history"]
 ORACLE_SQL["anomaly_hours_job"] = ORACLE_SQL["top_anomalies"]
 ORACLE_SQL["anomaly_repair"] = ORACLE_SQL["anomaly_backfill_zero"]
+ORACLE_SQL["anomaly_hours_bucketed"] = ORACLE_SQL["top_anomalies"]
 ORACLE_SQL["fold_day_deltas"] = ORACLE_SQL["update_history"]
 ORACLE_SQL["extend_history_job"] = ORACLE_SQL["history_from_logs"]
 ORACLE_SQL["build_history_job"] = ORACLE_SQL["history_from_logs"]
