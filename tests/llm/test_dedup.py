@@ -76,7 +76,9 @@ def test_jaccard_join_at_any_boundary(spark, monkeypatch, boundary):
 
 
 def test_jaccard_join_odd_rows(spark, odd, none):
-    out = sorted(tuple(r) for r in jaccard_join.jaccard_components(spark, odd).collect())
+    out = [tuple(r) for r in jaccard_join.jaccard_components(spark, odd).collect()]
+    assert sorted(r[1:] for r in out if r[0] is None) == [(0, None), (1, None)]  # a row per document, without a component
+    out = sorted(r for r in out if r[0] is not None)
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect() if r.doc_id]
     want = brute_components(rows)
     assert out == sorted((d, *want[d]) for d, _ in rows)
@@ -95,7 +97,9 @@ def test_jaccard_join_of_repeated_ids(spark):
             (20, "two equal rows with one id here", "e"), (20, "two equal rows with one id here", "e"),
             (30, " ".join(base[::-1]), "f"), (30, " ".join([*base[:1:-1], "x", "y"]), "g"), (None, " ".join(base), "h"), (40, None, "i"), (40, None, "i")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    out = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(spark, docs).collect())
+    out = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(spark, docs).collect()]
+    assert [r for r in out if r[0] is None] == [(None, 56, None)]
+    out = sorted(r for r in out if r[0] is not None)
     want = brute_components([(k, t) for k, (_, t, _) in enumerate(rows)])  # by row
     ids = [d for d, *_ in rows]
     assert out == sorted((d, want[k][0], ids[want[k][1]]) for k, d in enumerate(ids) if d is not None)
@@ -103,6 +107,16 @@ def test_jaccard_join_of_repeated_ids(spark):
     assert sorted(r.source for r in kept.collect()) in (list("acefhii"), list("aceghii")) and kept.columns == docs.columns
 
 
+def test_repeated_rows_are_verified_once(spark, monkeypatch):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(base))] * 1000 + [(2, " ".join([*base[:58], "x", "y"]))] * 1000 + [(3, "a text of its own")] * 50
+    links, real = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda *a: links.append(real(*a)) or links[-1])
+    out = jaccard_join.jaccard_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).groupBy("doc_id", "component_id").count()
+    assert sorted(map(tuple, out.collect())) == [(1, 1, 1000), (2, 1, 1000), (3, 3, 50)]
+    assert sum(x.count() for x in links) <= 2
+
+
 def test_jaccard_join_on_the_table(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     out = jaccard_join.jaccard_components(spark, docs)

@@ -21,8 +21,8 @@ Sets are compared as sets of 64-bit hashes; nothing is sampled, capped or droppe
 Defined cases: null, empty and wordless texts have n_shingles 0 and their own id as component; a
 text of 1 to 4 words is one shingle; rows repeating a doc_id keep a row each, judged by
 their own texts (rows are told apart by a 64-bit hash of id and text; component_id is the smallest doc_id of
-the component); rows without a doc_id are in no component and have no row in the result, and one_per_group keeps
-them; extra columns are ignored; an empty table gives no rows.
+the component); rows without a doc_id are in no component: they have a row with component_id null, link nothing, and one_per_group
+keeps them; very long texts are sets like others; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -327,10 +327,15 @@ def _leading_parts(_, sets, freq):
     return _table(rows, POSTED_ARROW)
 
 
-def _class_table(spark: SparkSession, docs: DataFrame, reps: DataFrame) -> DataFrame:
+def _class_table(spark: SparkSession, docs: DataFrame, reps: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One row a class: ``reps`` are the keys of its rows, ``repeated`` those keys that several (equal) rows have."""
     n = reps.count()
     side = F.broadcast(reps) if small_enough(spark, n, 16) else reps
     rows = _keyed(docs).drop("doc_id").withColumnRenamed("key", "doc_id").join(side, "doc_id", "left_semi")  # a class goes by its key
+    if not repeated.isEmpty():
+        again = repeated.select(F.col("key").alias("doc_id"))
+        rows = rows.join(again, "doc_id", "left_anti").unionByName(
+            rows.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")))
     return written(spark, rows.mapInArrow(_class_sets, CLASSES), "jaccard-classes")
 
 
@@ -469,7 +474,8 @@ def _labelled_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     some = written(spark, some, "jaccard-reps")
     # one shingle links equal sets only, which are one class already
     open_sets = some.where((F.col("n") > 1) & (F.col("n") - F.col("shared") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN)))
-    classes = _class_table(spark, docs, open_sets.select(F.col("rep").alias("doc_id")))
+    repeated = written(spark, sets.where("n > 1").groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "jaccard-repeated")
+    classes = _class_table(spark, docs, open_sets.select(F.col("rep").alias("doc_id")), repeated)
     parts = leading_parts(spark, classes)
     posts = signature_postings(spark, parts, boundary_by_cost(parts))
     edges = verified(spark, _leader_pairs(posts), classes)
@@ -485,10 +491,20 @@ def _labelled_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return sets.join(comp, (sets.d1 == comp.c1) & (sets.d2 == comp.c2) & (sets.n > 0), "left").select("key", "doc_id", "n", "first")
 
 
+def _sizes(batches):
+    shingler = Shingler()
+    for b in _slices(batches, BATCH_DOCS):
+        sizes = [len(s) for s in shingler.sets(b.column("text").to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(sizes), pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(sizes), pa.int64())],
+                                         names=["doc_id", "n_shingles", "component_id"])
+
+
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per document row with an id: doc_id, n_shingles, component_id."""
-    return _labelled_rows(spark, docs).select("doc_id", F.col("n").alias("n_shingles"),
-                                              F.coalesce("first.doc_id", "doc_id").alias("component_id"))
+    """Per document row: doc_id, n_shingles, component_id. A row without an id has no component (null) and links nothing."""
+    out = _labelled_rows(spark, docs).select("doc_id", F.col("n").alias("n_shingles"),
+                                             F.coalesce("first.doc_id", "doc_id").alias("component_id"))
+    nameless = docs.where("doc_id is null").select(F.col("text").cast("string").alias("text"))
+    return out.unionByName(nameless.mapInArrow(_sizes, _fields("doc_id:l", "n_shingles:l", "component_id:l")))
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
