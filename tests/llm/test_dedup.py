@@ -23,6 +23,21 @@ def test_exact_dedup_excludes_collisions(docs, odd, hash_of):
         same_as_sql(exact_dedup.exact_dedup(rows, hash_of), "op8_exact_dedup", documents=rows)
 
 
+def test_drop_copies_goes_by_class(spark):
+    rows = [(3, "T"), (7, "T"), (7, "own"), (None, "unique"), (None, "T"), (9, "a  b"), (8, "a b"), (8, "a b")]
+    kept = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, "T"), (7, "own"), (None, "unique"), (8, "a b"), (8, "a b")], key=str)
+
+
+def test_long_documents_of_boilerplate_lines(spark):
+    """Some 20,000 boilerplate lines in a document; a search of each line among them took minutes."""
+    lines = [f"line {i}" for i in range(20_000)]
+    rows = [(k, "\n".join(lines + [f"own {k}"]), f"s{k}") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = line_dedup.remove_boilerplate_lines(spark, docs, LINE_MIN_SITES).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got) == [(k, 20_001, 20_000, f"own {k}") for k in range(4)]
+
+
 def test_line_dedup_odd_rows(spark, odd, none):
     same_as_sql(line_dedup.remove_boilerplate_lines(spark, odd, LINE_MIN_SITES), "op2_line_dedup", documents=odd)
     assert line_dedup.remove_boilerplate_lines(spark, none).count() == 0

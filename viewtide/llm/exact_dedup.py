@@ -53,6 +53,9 @@ def exact_dedup(docs: DataFrame, hash_of: Callable[[Column], Column] = content_h
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    keep = exact_classes(docs).select("keep_id")
-    return docs.join(keep, docs.doc_id == keep.keep_id, "left_semi")
+    """The rows of ``docs`` that stay, with all their columns: in each class those with its smallest id (rows that repeat id and
+    text share the verdict), without an id where the class has none."""
+    rows = docs.withColumns({"__hash": content_hash(normalised()), "__sha": F.sha2(normalised(), 256)})
+    cls = exact_classes(docs).select(F.col("class_hash").alias("__h"), F.col("class_sha").alias("__s"), F.col("keep_id").alias("__k"))
+    same = (F.col("__hash") == F.col("__h")) & (F.col("__sha") == F.col("__s")) & F.col("doc_id").eqNullSafe(F.col("__k"))
+    return rows.join(cls, same, "left_semi").drop("__hash", "__sha")

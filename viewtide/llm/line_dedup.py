@@ -64,14 +64,17 @@ def remove_boilerplate_lines(spark: SparkSession, docs: DataFrame, min_sites: in
     """Per document: doc_id, n_lines (non-blank), n_removed, text without its boilerplate lines."""
     found = boilerplate_occurrences(spark, docs, min_sites, site)
     # a document's own line numbers: no more than the text itself holds
-    gone = found.groupBy("doc_id", "fp").agg(F.collect_set("pos").alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("g_id"), F.col("fp").alias("g_fp"), "gone")
+    gone = found.groupBy("doc_id", "fp").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    # a flag for each line up to the last one that goes, made before the join, so that a line is looked up and not searched for
+    flags = F.flatten(F.transform(F.sequence(F.lit(0), F.size("gone") - 1), lambda i: F.concat(
+        F.array_repeat(F.lit(False), F.get("gone", i) - F.coalesce(F.get("gone", i - 1), F.lit(-1)) - 1), F.array(F.lit(True)))))
+    gone = gone.select(F.col("doc_id").alias("g_id"), F.col("fp").alias("g_fp"), F.size("gone").alias("n_gone"), flags.alias("flags"))
     rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("fp", F.xxhash64("text"))
     out = rows.join(gone, rows.doc_id.eqNullSafe(gone.g_id) & (rows.fp == gone.g_fp), "left")
     parts = F.split("text", "\n")
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("gone"), i))
+    kept = F.filter(parts, lambda _, i: ~F.coalesce(F.get(F.col("flags"), i), F.lit(False)))
     full = F.filter(parts, lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
     return out.select("doc_id", F.size(full).cast("long").alias("n_lines"),
-                      F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-                      F.when(F.col("gone").isNull(), F.col("text"))
+                      F.coalesce("n_gone", F.lit(0)).cast("long").alias("n_removed"),
+                      F.when(F.col("n_gone").isNull(), F.col("text"))
                        .otherwise(F.array_join(kept, "\n")).alias("text"))
