@@ -73,7 +73,7 @@ def _blocks(batches):
         starts = np.cumsum([0] + [len(d) for d in docs[:-1]]).astype(np.int64)
         known = np.array([_NO_ID if i is None else i for i in ids], np.int64)
         missing = np.array([i is None for i in ids], np.int8) << 2
-        row = pa.table([[pk.block_id(seq)], pa.array([len(tokens)], pa.int64()), pa.array([pk.binary(tokens)], pa.binary()),
+        row = pa.table([[pk.block_id(seq)], pa.array([len(tokens)], pa.int64()), pa.array([pk.squeezed(tokens)], pa.binary()),
                         pa.array([list(book)], pa.list_(pa.binary())), pa.array([pk.binary(known)], pa.binary()),
                         pa.array([pk.binary(starts)], pa.binary()), pa.array([pk.binary(np.array(kinds, np.int8) | missing)], pa.binary())],
                        names=["block", "n_tokens", "tokens", "keys", "ids", "starts", "kinds"])
@@ -105,14 +105,15 @@ def _send_words(parts: int):
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                words, tokens, kind = row["keys"], np.frombuffer(row["tokens"], np.int32), _kinds(row)
+                words, tokens, kind = row["keys"], pk.expanded(row["tokens"], np.int32), _kinds(row)
                 learned = np.bincount(tokens[kind > 0], minlength=len(words))
                 gone = np.bincount(tokens[kind == 2], minlength=len(words))
                 order, own, bounds = pk.dealt(pk.mixed_words(words, parts))
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(words, pa.binary()).take(pa.array(order)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int32()), pa.array([row["block"]] * len(own), pa.int64()), pk.cut(order.astype(np.int32), bounds), lists,
-                     pk.cut(learned[order].astype(np.int32), bounds), pk.cut(gone[order].astype(np.int32), bounds)],
+                    [pa.array(own, pa.int32()), pa.array([row["block"]] * len(own), pa.int64()),
+                     pk.cut_squeezed(order.astype(np.int32), bounds, rising=True), lists,
+                     pk.cut_squeezed(learned[order].astype(np.int32), bounds), pk.cut_squeezed(gone[order].astype(np.int32), bounds)],
                     names=["part", "block", "at", "keys", "learned", "deleted"])
     return send
 
@@ -123,15 +124,16 @@ def _count_words(parts: int):
         part = table["part"][0].as_py()
         keys = pa.concat_arrays([c.flatten() for c in table["keys"].chunks]).dictionary_encode()
         code, words = keys.indices.to_numpy(), keys.dictionary.to_pylist()
-        sums = [np.bincount(code, weights=pk.joined(table[c], np.int32)).astype(np.int64) for c in ("learned", "deleted")]
+        sent = [pk.expanded_all(table[c], np.int32) for c in ("learned", "deleted")]
+        bounds = sent[0][1]
+        sums = [np.bincount(code, weights=v).astype(np.int64) for v, _ in sent]
         by_word = np.empty(len(words), np.int64)
         by_word[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
         known = np.flatnonzero(sums[0])
         ids = np.zeros(len(words), np.int64)
         ids[known[np.lexsort((by_word[known], -sums[0][known]))]] = np.arange(len(known)) * parts + part + 1
-        bounds = np.concatenate(([0], np.cumsum(pk.lengths(table["at"], 4))))
         replies = pk.rows(_ANSWER, part=table["part"].combine_chunks(), block=table["block"].combine_chunks(), at=table["at"].combine_chunks(),
-                          ids=pk.cut(ids[code], bounds), learned=pk.cut(sums[0][code], bounds), deleted=pk.cut(sums[1][code], bounds))
+                          **{name: pk.cut_squeezed(v[code], bounds) for name, v in zip(("ids", "learned", "deleted"), (ids, *sums))})
         return pa.concat_tables([replies, pk.rows(_ANSWER, distinct=[len(known)], total_learned=[int(sums[0].sum())],
                                                   total_deleted=[int(sums[1].sum())])])
     return count
@@ -142,16 +144,16 @@ def _count_pairs(total: int):
     def count(table: pa.Table) -> pa.Table:
         """Learned count of each pair for the blocks that sent it, and of the deleted tokens that are these pairs
         how many fall in each cell of (bucket, pair estimate, word estimate)."""
-        codes, back = np.unique(pk.joined(table["codes"], np.uint64), return_inverse=True)
-        sent = pk.joined(table["deleted"], np.int32)
+        codes, bounds = pk.expanded_all(table["codes"], np.uint64, rising=True)
+        codes, back = np.unique(codes, return_inverse=True)
+        sent = pk.expanded_all(table["deleted"], np.int32)[0]
         learned, gone = (np.bincount(back, weights=w, minlength=len(codes)).astype(np.int64)
-                         for w in (pk.joined(table["learned"], np.int32), sent))
-        bounds = np.concatenate(([0], np.cumsum(pk.lengths(table["codes"], 8))))
+                         for w in (pk.expanded_all(table["learned"], np.int32)[0], sent))
         replies = pk.rows(_PAIR_ANSWER, part=table["part"].combine_chunks(), block=table["block"].combine_chunks(),
-                          learned=pk.cut(learned[back], bounds))
+                          learned=pk.cut_squeezed(learned[back], bounds))
         # the counts of context and word that are left come along with pairs that a block has deleted
         at, first = np.unique(back[sent > 0], return_index=True)
-        context, word = (pk.joined(table[c], np.int64)[first] for c in ("contexts", "words"))
+        context, word = (pk.expanded_all(table[c], np.int64)[0][first] for c in ("contexts", "words"))
         high, low = estimates((learned - gone)[at], context, word, total)
         (h, log_h), (w, log_w) = _half_octave(high), _half_octave(low)
         b, n = bucket(context), gone[at]
@@ -165,12 +167,13 @@ def _count_pairs(total: int):
 def _numbered(blocks: pa.Table, answers: pa.Table) -> dict:
     """A block's row with the number and the counts of each local word."""
     row = blocks.to_pylist()[0]
+    row["tokens"] = pk.expanded(row["tokens"], np.int32)
     words = answers.filter(pc.is_valid(answers["at"]))
-    at = pk.joined(words["at"], np.int32)
+    at = pk.expanded_all(words["at"], np.int32, rising=True)[0]
     for name in ("ids", "learned", "deleted"):
         if name in words.column_names:
             v = np.zeros(row["n_keys"], np.int64)
-            v[at] = pk.joined(words[name], np.int64)
+            v[at] = pk.expanded_all(words[name], np.int64)[0]
             row["numbers" if name == "ids" else name] = v
     return row
 
@@ -178,7 +181,7 @@ def _numbered(blocks: pa.Table, answers: pa.Table) -> dict:
 def _pairs(row):
     """(positions whose word and context are learned, their pairs' codes)."""
     numbers = row["numbers"]
-    word = numbers[np.frombuffer(row["tokens"], np.int32)]
+    word = numbers[row["tokens"]]
     context = np.concatenate((numbers[:1], word[:-1]))  # number 0 of a block is the end
     at = np.flatnonzero((word > 0) & (context > 0))
     return at, context[at].astype(np.uint64) << np.uint64(32) ^ word[at].astype(np.uint64)
@@ -196,9 +199,9 @@ def _send_pairs(parts: int):
         where = at[first[order][some]]
         left = [(a - b)[where] for a, b in zip(_counts(row, "learned"), _counts(row, "deleted"))]
         few = np.concatenate(([0], np.cumsum(some)))[bounds]
-        return pa.table([pa.array(own, pa.int32()), pa.array([row["block"]] * len(own), pa.int64()), pk.cut(codes[order], bounds),
-                         pk.cut(learned[order].astype(np.int32), bounds), pk.cut(gone[order].astype(np.int32), bounds),
-                         pk.cut(left[1], few), pk.cut(left[0], few)],
+        return pa.table([pa.array(own, pa.int32()), pa.array([row["block"]] * len(own), pa.int64()), pk.cut_squeezed(codes[order], bounds, rising=True),
+                         pk.cut_squeezed(learned[order].astype(np.int32), bounds), pk.cut_squeezed(gone[order].astype(np.int32), bounds),
+                         pk.cut_squeezed(left[1], few), pk.cut_squeezed(left[0], few)],
                         names=["part", "block", "codes", "learned", "deleted", "contexts", "words"])
     return send
 
@@ -213,7 +216,7 @@ def _pair_counts(row, answers: pa.Table, parts: int) -> np.ndarray:
         pairs = answers.filter(pc.is_null(answers["at"]))
         sent = dict(zip(pairs["part"].to_pylist(), pairs["learned"].to_pylist()))
         v = np.empty(len(codes), np.int64)
-        v[order] = np.frombuffer(b"".join(sent[p] for p in own.tolist()), np.int64)
+        v[order] = np.concatenate([pk.expanded(sent[p], np.int64) for p in own.tolist()])
         out[at] = v[back]
     return out
 
@@ -221,7 +224,7 @@ def _pair_counts(row, answers: pa.Table, parts: int) -> np.ndarray:
 def _counts(row, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Count of the word and of the context at each token."""
     word = row[name]
-    here = word[np.frombuffer(row["tokens"], np.int32)]
+    here = word[row["tokens"]]
     return here, np.concatenate((word[:1], here[:-1]))
 
 

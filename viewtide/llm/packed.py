@@ -13,6 +13,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from ..session import scratch_path
 BLOCK_TOKENS = 1 << 19
 PART_KEYS = 1 << 20
 BATCH_BYTES = 8 << 20
+_ZSTD, _UNZSTD = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 class Numbers(dict):
@@ -94,6 +96,31 @@ def joined(column, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(v for v in column.to_pylist() if v is not None), dtype)
 
 
+def squeezed(values: np.ndarray, rising: bool = False) -> bytes:
+    """An array in few bytes: differences of ``rising`` values, then its bytes by significance (the high ones are mostly
+    zero), compressed."""
+    v = np.diff(values, prepend=values.dtype.type(0)) if rising else values
+    planes = np.ascontiguousarray(v).view(np.uint8).reshape(len(v), v.itemsize).T
+    return _ZSTD.compress(np.ascontiguousarray(planes).tobytes())
+
+
+def expanded(raw: bytes, dtype, rising: bool = False) -> np.ndarray:
+    planes = np.frombuffer(_UNZSTD.decompress(raw), np.uint8)
+    v = np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+    return np.cumsum(v, dtype=dtype) if rising else v
+
+
+def cut_squeezed(values: np.ndarray, bounds: np.ndarray, rising: bool = False) -> pa.Array:
+    """Consecutive slices of an array, each squeezed."""
+    return pa.array([squeezed(values[a:b], rising) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+
+
+def expanded_all(column, dtype, rising: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """All squeezed values of an Arrow column as one array, and the bounds of each."""
+    parts = [expanded(v, dtype, rising) for v in column.to_pylist() if v is not None]
+    return np.concatenate([np.zeros(0, dtype), *parts]), np.cumsum([0, *map(len, parts)])
+
+
 def lengths(column, itemsize: int) -> np.ndarray:
     return np.array([len(v) // itemsize for v in column.to_pylist()], np.int64)
 
