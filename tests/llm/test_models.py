@@ -79,6 +79,42 @@ def test_tagger_learns_and_reconciles():
     assert pii.reconcile([(0.95, a), (0.5, c)], []) == [a] and pii.reconcile([(0.99, b)], [("card", 19, 25)]) == []
 
 
+def test_runs_are_joined_across_windows():
+    one = (0.95, ("email", 10, 20), False, False)
+    long = [(0.97, ("email", 40, 96), False, True), (0.93, ("email", 48, 144), True, True), (0.99, ("email", 96, 150), True, False)]
+    other = [(0.9, ("card", 90, 96), False, True), (0.9, ("ip", 96, 99), True, False), (0.9, ("email", 300, 320), True, False)]
+    assert sorted(pii.join_runs([one, *long[::-1], *other])) == [(0.93, ("email", 40, 150)), (0.95, ("email", 10, 20))]
+    assert pii.join_runs([]) == []
+
+
+def test_spans_longer_than_a_window(monkeypatch):
+    """A tagger that marks every address; the windows of a 200-character one must give it whole."""
+    text = "mail to " + "a" * 130 + "7@" + "b" * 60 + ".org now, or to x1@y.de " + "word " * 30
+    base = pii.base_spans(text)
+    starts = pii.open_windows(text)
+    windows = [(s, text[s:s + pii.WINDOW], s + pii.WINDOW >= len(text)) for s in starts]
+    model = pii.BiLstmCrf.start()
+    monkeypatch.setattr(pii.BiLstmCrf, "emissions", lambda self, x: (np.zeros((len(x), pii.WINDOW, pii.TAGS)), None))
+    monkeypatch.setattr(pii.BiLstmCrf, "marginals", lambda self, em: (np.zeros(len(em)), np.zeros_like(em), np.zeros_like(em)))
+    monkeypatch.setattr(pii.BiLstmCrf, "viterbi", lambda self, em: [pii.tags_of(base, s) for s in starts])
+    found = pii.reconcile(pii.join_runs([r for w in model.window_runs(windows) for r in w]), [])
+    assert found == base and max(e - s for _, s, e in base) > 190
+
+
+def test_many_addresses_in_linear_time():
+    import time
+    text = "write to a1@b.de, " * 50_000  # some 0.9 MB
+    t = time.process_time()
+    base = pii.base_spans(text)
+    starts = pii.open_windows(text)
+    tags = list(pii._labelled([__import__("pyarrow").RecordBatch.from_pydict(
+        {"base": [pii.joined(base)], "starts": [starts], "windows": [[text[s:s + pii.WINDOW] for s in starts]]})]))
+    assert tags[0].num_rows == len(starts)
+    assert pii.reconcile([(0.95, (k, s + 1, e)) for k, s, e in base], base) == []
+    assert len(pii.reconcile([(0.95, s) for s in base], [])) == len(base) == 50_000
+    assert time.process_time() - t < 30
+
+
 def test_windows_cover_every_anchor():
     for n in (0, 1, 95, 96, 97, 143, 144, 145, 500):
         for at in range(n):

@@ -3,23 +3,26 @@
 Base spans (email, ip, card, phone) follow fixed rules over the whole text. The tagger is trained in
 numpy from labelled spans: windows of 96 characters in which the base spans are the labels, at most
 ``max_windows`` with and as many without a span, chosen by a hash. It then reads every whole text in
-windows that overlap by half. Windows are decoded by Viterbi; a span that touches a window's edge is
-left to the neighbour that holds it whole; what windows propose is reconciled over the whole
-document by weighted interval scheduling, and joins the base spans where it overlaps none.
-
-All four kinds contain a digit or an @ under any labelling the tagger was trained on, so windows
-without one are all "outside" by constraint and are not run through the network. Work is one scan of
-the texts, which keeps the other windows (well under 1 % of the text), then the training sample, then
+windows that overlap by half. Windows are decoded by Viterbi; runs of tags that touch a window's edge are joined
+with those of the neighbours, so a span may be longer than a window; what windows propose is reconciled over the whole
+document by weighted interval scheduling, and joins the base spans where it overlaps none. All of it is linear in
+the text, but for sorting a document's spans.
+
+All four kinds contain a digit or an @ under any labelling the tagger was trained on, so only windows that a run of
+ASCII characters with one of them reaches into are run through the network; the others are "outside" by constraint. Work is one scan of
+the texts, which keeps those windows (well under 1 % of the text), then the training sample, then
 a map-only pass over the kept windows.
 
-Defined cases: null text counts as empty and has no spans; positions are code points, ends exclusive;
+Defined cases: null text counts as empty and has no spans; very long texts are read whole; positions are code points, ends exclusive;
 without any base span nothing is learned and nothing added; rows repeating a doc_id get a row each;
 extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -47,6 +50,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _ANCHOR = re.compile(r"[0-9@]")
+_RUN = re.compile(r"[!-~]+")
 
 Span = tuple[str, int, int]
 
@@ -255,9 +259,9 @@ class BiLstmCrf:
                 self.p[k] = self.p[k] - rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-6)
         return self
 
-    def window_spans(self, windows: list[tuple[int, str, bool]]) -> list[list[tuple[float, Span]]]:
-        """Per window (start, text, whether the text ends there): its (confidence, span) proposals."""
-        out: list[list[tuple[float, Span]]] = []
+    def window_runs(self, windows: list[tuple[int, str, bool]]) -> list[list["Run"]]:
+        """Per window (start, text, whether the text ends there): its runs of tags of one kind."""
+        out: list[list[Run]] = []
         for w in range(0, len(windows), 256):
             some = windows[w:w + 256]
             em, _ = self.emissions(np.stack([char_classes(t) for _, t, _ in some]))
@@ -266,36 +270,74 @@ class BiLstmCrf:
             for row, (tags, (start, text, last)) in enumerate(zip(self.viterbi(em), some)):
                 found, i = [], 0
                 while i < len(text):
-                    tag = tags[i]
-                    if tag % 2 == 0:  # outside, or the rest of a span that the window before holds whole
+                    kind = (tags[i] - 1) // 2
+                    if tags[i] == 0 or tags[i] % 2 == 0 and (i > 0 or start == 0):  # outside, or the rest of nothing
                         i += 1
                         continue
                     j = i + 1
-                    while j < len(text) and tags[j] == tag + 1:
+                    while j < len(text) and tags[j] == 2 * kind + 2:
                         j += 1
-                    if (i > 0 or start == 0) and (j < len(text) or last):
-                        found.append((float(sure[row, np.arange(i, j), tags[i:j]].min()),
-                                      (KINDS[(tag - 1) // 2], start + i, start + j)))
+                    found.append((float(sure[row, np.arange(i, j), tags[i:j]].min()), (KINDS[kind], start + i, start + j),
+                                  i == 0 and start > 0, j == len(text) and not last))
                     i = j
                 out.append(found)
         return out
 
+    def window_spans(self, windows: list[tuple[int, str, bool]]) -> list[list[tuple[float, Span]]]:
+        """Per window its (confidence, span) proposals that it holds whole."""
+        return [join_runs(runs) for runs in self.window_runs(windows)]
+
+
+Run = tuple[float, Span, bool, bool]  # confidence, span, whether it may go on before and after its window
+
+
+def join_runs(runs: list[Run]) -> list[tuple[float, Span]]:
+    """The spans of a document's windows: runs that no edge cuts, and chains of overlapping runs cut by edges."""
+    out = [(conf, span) for conf, span, before, after in runs if not before and not after]
+    chain: dict[str, tuple[float, int, int]] = {}  # of each kind the open one
+    for conf, (kind, start, end), before, after in sorted((r for r in runs if r[2] or r[3]), key=lambda r: r[1][1:]):
+        if before:
+            if kind not in chain or start > chain[kind][2]:
+                continue  # what it would go on from is not there
+            least, first, last = chain[kind]
+            conf, start, end = min(conf, least), first, max(end, last)
+        if after:
+            chain[kind] = (conf, start, end)
+        else:
+            out.append((conf, (kind, start, end)))
+    return out
+
 
 def reconcile(proposals: list[tuple[float, Span]], base: list[Span], least: float = CONFIDENCE) -> list[Span]:
     """The non-overlapping proposals with the largest total of confidence, over the whole document."""
     best: dict[Span, float] = {}
     for conf, span in proposals:
-        best[span] = max(conf, best.get(span, 0.0))
+        if conf >= least:
+            best[span] = max(conf, best.get(span, 0.0))
+    starts, reach = _cover(base)
+    # of the base spans that start before a proposal ends, the farthest end lies before it starts
     free = [(s[2], s[1], conf, s) for s, conf in best.items()
-            if conf >= least and not any(s[1] < e and b < s[2] for _, b, e in base)]
+            if not (k := bisect.bisect_left(starts, s[2])) or reach[k - 1] <= s[1]]
     free.sort()
     ends = [f[0] for f in free]
-    table: list[tuple[float, tuple[Span, ...]]] = [(0.0, ())]
-    for k, (_, start, conf, span) in enumerate(free):
-        upto = int(np.searchsorted(ends[:k], start, side="right"))
-        taken = (table[upto][0] + conf, table[upto][1] + (span,))
-        table.append(max(table[k], taken, key=lambda x: x[0]))
-    return list(table[-1][1])
+    total, taken = [0.0], []  # best total of the first k, and for each whether it is part of that
+    for k, (_, start, conf, _span) in enumerate(free):
+        with_it = total[bisect.bisect_right(ends, start, 0, k)] + conf
+        taken.append(with_it > total[k])
+        total.append(max(with_it, total[k]))
+    out, k = [], len(free)
+    while k:
+        k -= 1
+        if taken[k]:
+            out.append(free[k][3])
+            k = bisect.bisect_right(ends, free[k][1], 0, k)
+    return out[::-1]
+
+
+def _cover(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts of the spans in order, and the farthest end up to each."""
+    by_start = sorted(spans, key=lambda x: x[1])
+    return [s for _, s, _ in by_start], list(itertools.accumulate((e for *_, e in by_start), max))
 
 
 # --- Spark ------------------------------------------------------------------------------------
@@ -309,14 +351,12 @@ FOUND = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(f"n
 
 
 def open_windows(text: str | None) -> list[int]:
-    """Starts of the windows that hold a digit or an @."""
+    """Starts of the windows that a run of ASCII characters with a digit or an @ reaches into."""
     starts: set[int] = set()
     last = max(0, -(-(len(text or "") - WINDOW) // STEP))
-    for m in _ANCHOR.finditer(text or ""):
-        k = m.start() // STEP
-        starts.update(w for w in (k - 1, k) if 0 <= w <= last)
-        if k > last:
-            starts.add(last)
+    for m in _RUN.finditer(text or ""):
+        if _ANCHOR.search(m[0]):
+            starts.update(range(min(last, max(0, m.start() // STEP - 1)), min(last, (m.end() - 1) // STEP) + 1))
     return [w * STEP for w in sorted(starts)]
 
 
@@ -338,10 +378,12 @@ def _labelled(batches):
     for b in batches:
         texts, tags = [], []
         for base, starts, windows in zip(*(b.column(c).to_pylist() for c in ("base", "starts", "windows"))):
-            spans = split_spans(base)
+            spans = split_spans(base)  # by start
+            begins, reach = _cover(spans)
             for s, w in zip(starts, windows):
                 texts.append(w)
-                tags.append(tags_of([x for x in spans if x[1] < s + WINDOW and x[2] > s], s).astype(np.int8).tobytes())
+                near = spans[bisect.bisect_right(reach, s):bisect.bisect_left(begins, s + WINDOW)]
+                tags.append(tags_of([x for x in near if x[2] > s], s).astype(np.int8).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(tags, pa.binary()),
                                           pa.array([any(t) for t in tags], pa.bool_())], names=["window", "tags", "has"])
 
@@ -349,7 +391,7 @@ def _labelled(batches):
 def train(scanned: DataFrame, max_windows: int = MAX_WINDOWS) -> BiLstmCrf | None:
     """Fit on at most ``max_windows`` windows with and as many without a base span; None without any span."""
     rows = scanned.where(F.size("starts") > 0).select("base", "starts", "windows")
-    rows = rows.mapInArrow(_labelled, "window string, tags binary, has boolean")
+    rows = rows.mapInArrow(_labelled, "window string, tags binary, has boolean").distinct()  # a window of many copies counts once
     order = (F.xxhash64("window", "tags"), "window", "tags")
     got = [r for has in (True, False) for r in rows.where(F.col("has") == has).orderBy(*order).limit(max_windows).collect()]
     if not any(r.has for r in got):
@@ -373,10 +415,10 @@ def find_personal_data(spark: SparkSession, docs: DataFrame, max_windows: int =
             for k, (starts, texts, n) in enumerate(zip(*(b.column(c).to_pylist() for c in ("starts", "windows", "n_chars")))):
                 windows += [(s, w, s + len(w) >= n) for s, w in zip(starts, texts)]
                 owner += [k] * len(starts)
-            proposals: list[list] = [[] for _ in base]
-            for k, found in zip(owner, model.window_spans(windows) if model else []):
-                proposals[k] += found
-            added = [reconcile(p, spans) for p, spans in zip(proposals, base)]
+            runs: list[list[Run]] = [[] for _ in base]
+            for k, found in zip(owner, model.window_runs(windows) if model else []):
+                runs[k] += found
+            added = [reconcile(join_runs(r), spans) for r, spans in zip(runs, base)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *[pa.array([sum(s[0] == kind for s in spans) for spans in base], pa.int64()) for kind in KINDS],
                  pa.array([hashlib.sha256(joined(spans).encode()).hexdigest() for spans in base], pa.string()),
