@@ -240,3 +240,17 @@ def test_bucketed_step_moves_the_feed_only(spark, tmp_dir):
     half_written(f"{state}/date={DAY}/hour=7")
     with pytest.raises(FileNotFoundError):
         read_bucketed(spark, f"{state}/date={DAY}/hour=7")
+
+
+def test_rejects_come_from_the_same_pass(spark, tmp_dir):
+    logs = f"{tmp_dir}/logs"
+    log_file(logs, "00", "a", ["en Cat 7 1", "de Cat 5 1", "bad", "bad", "en Dog x 1"])
+    log_file(logs, "01", "a", ["en Cat 1 1", "bad"])
+    log_file(logs, "other", "a", ["en Cat 1 1"])
+    for project in (None, "en"):
+        jobs.build_history(spark, logs, f"{tmp_dir}/plain-{project}", "2024-01-01", project=project)
+        jobs.build_history(spark, logs, f"{tmp_dir}/both-{project}", "2024-01-01", project=project, rejects_path=f"{tmp_dir}/rej-{project}")
+        assert rows_of(tbl.read_history(spark, f"{tmp_dir}/both-{project}"), *tbl.HISTORY_COLS) == \
+            rows_of(tbl.read_history(spark, f"{tmp_dir}/plain-{project}"), *tbl.HISTORY_COLS)
+        assert rows_of(spark.read.parquet(f"{tmp_dir}/rej-{project}"), "line", "reason", "n") == \
+            [("bad", "arity", 3), ("en Cat 1 1", "hour", 1), ("en Dog x 1", "views", 1)]

@@ -68,6 +68,7 @@ def main() -> None:
         "trending_stream from the bucket table": stm.trending_stream(pre, weight="views"),
         "sliding_counts_stream from the bucket table": stm.sliding_counts_stream(pre, weight="views"),
         "hourly_totals_stream from the bucket table": stm.hourly_totals_stream(pre, weight="views"),
+        "series_from_phases": stm.series_from_phases(spark.readStream.schema("value string").parquet(pre_path)),
     }
     for name, sdf in streams.items():
         plan = spark._jvm.PythonSQLUtils.explainString(sdf._jdf.queryExecution(), "simple")
@@ -83,7 +84,9 @@ def main() -> None:
     from viewtide.operators.windows import hourly_totals
     from viewtide.plans import jobs
     from viewtide.session import scratch_path
+    from viewtide.sinks import serving_store
     from viewtide.sinks import tables as tbl
+    from viewtide.sinks.bucketed import read_bucketed, write_bucketed
     from viewtide.sources.files import read_feed
     from viewtide.sources.tables import read_requests
     root = scratch_path(spark, "plan-report")
@@ -99,7 +102,20 @@ def main() -> None:
     state_h0 = tbl.read_anomaly_state(spark, f"{root}/state", day, 0)
     hist_all = tbl.read_history(spark, f"{root}/hist")
     feed_day = read_feed(spark, f"{root}/feed", day)
+    jobs.bucket_history(spark, f"{root}/hist", f"{root}/buckets", prev_day, 8)
+    write_bucketed(anom.anomaly_step(read_feed(spark, f"{root}/feed", day, 0), read_bucketed(spark, f"{root}/buckets/hour=0"), None, buckets=8),
+                   f"{root}/bstate/date={day}/hour=0", 8)
+    hist_b, state_b = read_bucketed(spark, f"{root}/buckets/hour=1"), read_bucketed(spark, f"{root}/bstate/date={day}/hour=0")
+    tbl.write_history_delta(hist_ops.day_delta(feed_day), f"{root}/hist", day)
+    merged = tbl.read_history(spark, f"{root}/hist", day, hour=1)
+    from viewtide.plans import catalog
+    serving_store.add_batch(catalog.q_trending_hour(spark, sf), f"{root}/store", "000001", 0)
+    newest = serving_store.newest_rows(spark, f"{root}/store", 10)
     job_plans = {
+        "anomaly hour (step 1), co-bucketed": (anom.anomaly_step(feed_h1, hist_b, state_b, buckets=8),
+                                               {"feed": feed_h1, "history": hist_b, "state": state_b}),
+        "history hour, base and one delta": (merged, {"history": merged}),
+        "serve from the store (10 rows)": (newest, {"store": newest}),
         "anomaly hour (step 1)": (anom.anomaly_step(feed_h1, hist_h1, state_h0),
                                   {"feed": feed_h1, "history": hist_h1, "state": state_h0}),
         "fold day": (hist_ops.update_history(hist_all, feed_day), {"history": hist_all, "feed": feed_day}),
@@ -120,8 +136,9 @@ def main() -> None:
         files = "; ".join(f"{k}: {folders(v)}" for k, v in inputs.items())
         out.append(f"| {name} | {len(re.findall(r'Exchange hashpartitioning', fin))} | "
                    f"{len(re.findall(r'(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)', fin))} | {files} |")
+    out += ["", "In the co-bucketed step the one exchange is that of the hour's feed (REPARTITION_BY_NUM to the buckets)."]
     out += ["", "Single-row exchanges carry one partial aggregate row per task (the latest-date scalar",
-            "subquery). No query joins, none evaluates Python. Each scan reads only the columns the query uses."]
+            "subquery). No query of this list joins, none evaluates Python. Each scan reads only the columns the query uses."]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out) + "\n")
     spark.stop()

@@ -49,7 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--as-of", required=True)
     b.add_argument("--project")
     b.add_argument("--exact", action="store_true")
-    b.add_argument("--rejects", help="also write malformed lines here (a second pass over the logs)")
+    b.add_argument("--rejects", help="also write malformed lines here, with counts")
 
     a = sub.add_parser("anomaly-hour", help="E3: incremental anomaly step for one hour")
     a.add_argument("--feed", required=True)

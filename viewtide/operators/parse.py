@@ -16,7 +16,10 @@ _MIN_EPOCH_S, _MAX_EPOCH_S = -62135596800, 253402300799
 
 
 def _split_good_bad(df: DataFrame, reason: Column, good_cols: list, line: str) -> tuple[DataFrame, DataFrame]:
-    tagged = df.withColumn("_reason", reason)
+    return _parted(df.withColumn("_reason", reason), good_cols, line)
+
+
+def _parted(tagged: DataFrame, good_cols: list, line: str) -> tuple[DataFrame, DataFrame]:
     good = tagged.where(F.col("_reason").isNull()).select(*good_cols)
     bad = tagged.where(F.col("_reason").isNotNull()).select(F.col(line).alias("line"),
                                                             F.col("_reason").alias("reason"))
@@ -88,6 +91,11 @@ def parse_hourly_logs(lines: DataFrame, value: str = "value", hour: str = "hour"
     hour outside 0..23 or unknown is reason ``hour``. The title
     is lower-cased; the project code is kept so callers may filter on it (the reference drops it).
     """
+    return _parted(tag_hourly_logs(lines, value, hour), ["hour", "project", "article", "views", "bytes"], value)
+
+
+def tag_hourly_logs(lines: DataFrame, value: str = "value", hour: str = "hour") -> DataFrame:
+    """The same lines in one DataFrame: the fields, the line, and ``_reason`` (null for a good line)."""
     parts = split_fields(F.col(value), " ", keep_trailing=True)
     p = lines.select(
         F.col(value), F.col(hour).cast("int").alias("hour"),
@@ -100,7 +108,7 @@ def parse_hourly_logs(lines: DataFrame, value: str = "value", hour: str = "hour"
     reason = (F.when(F.col(value).isNull() | (F.col("_n") != 4), F.lit("arity"))
                .when(F.col("views").isNull(), F.lit("views"))
                .when(F.col("hour").isNull() | ~F.col("hour").between(0, 23), F.lit("hour")))
-    return _split_good_bad(p, reason, ["hour", "project", "article", "views", "bytes"], value)
+    return p.withColumn("_reason", reason)
 
 
 def catalogue_from_lines(lines: DataFrame, value: str = "value") -> DataFrame:

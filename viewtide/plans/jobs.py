@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..operators import anomaly as anom
 from ..operators import history as hist_ops
-from ..operators.parse import parse_hourly_logs
+from ..operators.parse import parse_hourly_logs, tag_hourly_logs
 from ..operators.serving import serving_rows
+from ..session import scratch_path
 from ..sinks import manifest as mf
 from ..sinks import tables as tbl
 from ..sinks.bucketed import read_bucketed, write_bucketed
@@ -25,15 +26,29 @@ def build_history(spark: SparkSession, logs_root: str, history_root: str, as_of,
     """The historical hourly averages from raw hourly logs (all 24 hour folders, one job).
 
     ``project`` keeps only one project code (the reference merges all, D20). ``rejects_path``
-    also writes the malformed lines; that is a second pass over the logs (the good rows leave this
-    job aggregated, the rejects as raw lines), so leave it unset for routine rebuilds.
+    also writes the malformed lines, each distinct one once with its reason and how often it came (``n``). The logs are
+    read once for both: good lines are added up per (hour, article) and bad ones per (line, reason) by one aggregate, whose rows
+    are written and then parted.
     """
-    good, bad = parse_hourly_logs(read_hourly_logs(spark, logs_root))
+    logs = read_hourly_logs(spark, logs_root)
+    if not rejects_path:
+        good, _ = parse_hourly_logs(logs)
+        if project is not None:
+            good = good.where(F.col("project") == project)
+        return tbl.write_history(hist_ops.historical_average(good, exact=exact), history_root, as_of)
+    tagged = tag_hourly_logs(logs)
+    good = F.col("_reason").isNull()
     if project is not None:
-        good = good.where(F.col("project") == project)
-    if rejects_path:
-        bad.write.mode("overwrite").parquet(rejects_path)
-    return tbl.write_history(hist_ops.historical_average(good, exact=exact), history_root, as_of)
+        tagged = tagged.where(~good | (F.col("project") == project))
+    sums = tagged.groupBy(F.when(good, F.col("hour")).alias("hour"), F.when(good, F.col("article")).alias("article"),
+                          F.when(~good, F.col("value")).alias("line"), F.col("_reason").alias("reason")).agg(
+        F.sum(F.when(good, F.col("views"))).cast("bigint").alias("sum_views"), F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "parsed-logs")
+    sums.write.parquet(path)
+    sums = spark.read.schema(sums.schema).parquet(path)
+    sums.where("reason is not null").select("line", "reason", "n").write.mode("overwrite").parquet(rejects_path)
+    whole = hist_ops.merge_sums([sums.where("reason is null").select("hour", "article", "sum_views", "n")], exact=exact)
+    return tbl.write_history(whole, history_root, as_of)
 
 
 def extend_history_from_logs(spark: SparkSession, logs_root: str, sums_root: str, history_root: str, as_of,
