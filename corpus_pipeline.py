@@ -10,32 +10,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from viewtide.llm import decontam, jaccard_join, lang_id, mixing, token_files
-from viewtide.llm.common import written
+from viewtide.llm.common import release, written
 from viewtide.sources.tables import read_table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that language identification rejects go."""
+    release(spark)
     return lang_id.drop_rejected(spark, docs)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    release(spark)
     return jaccard_join.one_per_group(spark, docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated by the benchmark go."""
+    release(spark)
     return decontam.remove_contaminated(spark, docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents appear as often as the mix takes them."""
+    release(spark)
     return mixing.mixed_documents(spark, docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files, read back."""
+    release(spark)
     return token_files.token_output(spark, docs)
 
 
