@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import tempfile
+import time
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,7 +57,24 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     executor costs a re-read, not a recomputation."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    release(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+RELEASE_SECONDS = 10.0
+_last_release = [0.0]
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and broadcasts of finished work. It does so when the driver's JVM collects
+    garbage, which a driver with little to do puts off until the executors' disks are full."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None and time.monotonic() - _last_release[0] > RELEASE_SECONDS:
+        gc.collect()  # Python's handles keep plans alive
+        jvm.System.gc()
+        _last_release[0] = time.monotonic()
 
 
 def small_enough(spark: SparkSession, rows: int, row_bytes: int) -> bool:
