@@ -56,6 +56,18 @@ def _brute_sliding(rows, size_min, slide_min):
     return out
 
 
+def test_window_starts_are_not_held_in_an_aggregate(spark):
+    """Many keys with few requests each: only the pre-count aggregates, so no task keeps all its window starts in memory."""
+    rnd = random.Random(3)
+    rows = [(f"u{rnd.randrange(400)}" if k % 50 else None, T0 + dt.timedelta(seconds=rnd.randrange(0, 3 * 86400))) for k in range(2000)]
+    out = win.sliding_counts(spark.createDataFrame(rows, "article string, ts timestamp_ntz"))
+    assert out._jdf.queryExecution().sparkPlan().toString().count("HashAggregate(") == 2  # partial and final
+    epoch = dt.datetime(1970, 1, 1)
+    got = out.collect()
+    assert {(r.article, int((r.window_start - epoch).total_seconds()) // 60): r.views for r in got} == dict(_brute_sliding(rows, 10, 1))
+    assert len(got) == len(_brute_sliding(rows, 10, 1))
+
+
 def test_halo_blocks_match_brute_force(spark):
     """Tiny blocks force many block boundaries; results must not depend on them."""
     rnd = random.Random(7)

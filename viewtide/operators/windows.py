@@ -8,12 +8,12 @@ Shape of the plan, for N requests and K articles:
 2. One exchange on (article, time block). Each bucket row goes to its own block and, if it lies in
    the first ``halo`` buckets of the block, also to the previous block. A block is a day of buckets
    by default, so a hot article's work is spread over one task per day instead of one task in all.
-3. Inside the block: explode each bucket into the window starts that contain it, aggregate, and read
-   the later slots with exact-offset RANGE frames. The aggregate and the window reuse the block
-   partitioning: no further exchange.
+3. Inside the block: sort the buckets, give each window start once, by its first bucket, with the sum of
+   the buckets it holds, and read the later slots with exact-offset RANGE frames. Both windows reuse the block
+   partitioning: no further exchange. A task holds its bucket rows in a sort that spills, not a hash table of starts.
 
 Spark's own ``window(ts, '1 hour', '1 minute')`` would instead replicate every raw request 60 times
-before aggregating; here only the compact bucket rows are replicated, ``size/slide`` times.
+before aggregating; here no request is replicated, and a bucket row makes ``size/slide`` starts at most.
 """
 
 from __future__ import annotations
@@ -78,12 +78,18 @@ def _blocked(m: DataFrame, key: str, block: int, halo: int) -> DataFrame:
 def _window_starts(bm: DataFrame, key: str, block: int, width: int) -> DataFrame:
     """Per (key, blk): count of each ``width``-bucket window starting at bucket s (c = views in
     [s, s+width)). Only starts at or after the block start are kept: earlier ones belong to the
-    previous block, which sees the same buckets through its halo."""
-    s = F.explode(F.sequence(F.col("b") - (width - 1), F.col("b")))
-    return (bm.select(key, "blk", "views", s.alias("s"))
-              .where(F.col("s") >= F.col("blk") * block)
-              .groupBy(key, "blk", "s")
-              .agg(F.sum("views").cast("bigint").alias("c")))
+    previous block, which sees the same buckets through its halo.
+
+    A block's buckets are sorted once, and each start comes from the first bucket in its window with the
+    at most ``width`` buckets that follow it: no start is made twice, so none is kept for an aggregate."""
+    order = Window.partitionBy(key, "blk").orderBy("b")
+    near = F.collect_list(F.struct("b", "views")).over(order.rangeBetween(0, width - 1))
+    first = F.greatest(F.col("b") - (width - 1), F.col("before") + 1, F.col("blk") * block)
+    inside = F.filter("near", lambda x: x["b"] < F.col("s") + width)
+    c = F.aggregate(inside, F.lit(0).cast("bigint"), lambda total, x: total + x["views"])
+    return (bm.select(key, "blk", "b", near.alias("near"), F.lag("b").over(order).alias("before"))
+              .select(key, "blk", "near", F.explode(F.sequence(first, F.col("b"))).alias("s"))
+              .select(key, "blk", "s", c.alias("c")))
 
 
 def sliding_counts(df: DataFrame, size: str | int = "10 minutes", slide: str | int = "1 minute",
