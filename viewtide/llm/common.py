@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import gc
 import os
@@ -77,6 +78,17 @@ def release(spark: SparkSession) -> None:
         _last_release[0] = time.monotonic()
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed to the system. Workers live on between tasks and stages, and the C library
+    and Arrow keep freed memory, which is twice what the worker still holds."""
+    import pyarrow
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def small_enough(spark: SparkSession, rows: int, row_bytes: int) -> bool:
     """True if a side of ``rows`` rows may be broadcast."""
     return rows * row_bytes <= BROADCAST_BYTES

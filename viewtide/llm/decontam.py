@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mixing_constants, ship, written
+from .common import give_back, mixing_constants, ship, written
 
 WINDOW = 13
 BLOCK_CHARS = 2 << 20  # a block's arrays are some five times as large
@@ -163,6 +163,8 @@ def _scan(tables: Broadcast):
                 items.append(sorted(found))
             new = {"n_words": pa.array(n, pa.int64()), "hits": pa.array(hits, pa.list_(pa.int32())), "items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([new.get(c, b.column(i)) for i, c in enumerate(b.schema.names)], names=b.schema.names)
+            del b, new, n, hits, items
+            give_back()
     return scan
 
 

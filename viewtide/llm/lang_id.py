@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_crc, mixing_constants, ship, written
+from .common import give_back, id_crc, mixing_constants, ship, written
 
 FEATURES = 1 << 12
 CENTROIDS = 3
@@ -311,6 +311,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Centroids | None = Non
             lang, cosine, rejected = shared.value.predict(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(lang, pa.string()),
                                               pa.array(cosine), pa.array(rejected)], names=PREDICTION.names)
+            give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"),
                        F.col("text").cast("string").alias("text"))
@@ -325,5 +326,6 @@ def drop_rejected(spark: SparkSession, docs: DataFrame, model: Centroids | None
     def keep(batches):
         for b in batches:
             yield b.filter(pa.array(~shared.value.predict(b.column("text").to_pylist())[2]))
+            give_back()
 
     return docs.mapInArrow(keep, docs.schema)

@@ -9,6 +9,7 @@ part is hot; a part gets about PART_KEYS keys at any input size, because the num
 
 from __future__ import annotations
 
+import contextlib
 import zlib
 
 import numpy as np
@@ -39,17 +40,25 @@ def block_id(seq: int) -> int:
     return TaskContext.get().partitionId() << 32 | seq
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder (packed arrays, so with a dense codec) and read back.
-
-    Rows are megabytes here, so while it runs few of them go to a Python worker at a time."""
-    path, key = scratch_path(spark, name), "spark.sql.execution.arrow.maxBytesPerBatch"
+@contextlib.contextmanager
+def few_bytes(spark: SparkSession):
+    """While it lasts, at most BATCH_BYTES go to a Python worker at a time."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(key)
     spark.conf.set(key, str(min(BATCH_BYTES, int(before.rstrip("bB")) if before.rstrip("bB").isdigit() else BATCH_BYTES)))
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        yield
     finally:
         spark.conf.set(key, before)
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder (packed arrays, so with a dense codec) and read back.
+
+    Rows are megabytes here, so while it runs few of them go to a Python worker at a time."""
+    path = scratch_path(spark, name)
+    with few_bytes(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,8 +8,8 @@ parallel. Starts are running totals over file totals and then inside each file.
 
 Encoding: white space splits words before the tokenizer does, so each distinct word of a batch is looked up in a worker's table
 of packed arrays (128-bit word digests, ids as 16 bits where the vocabulary fits), words new to it are encoded, and a text's ids
-are gathered from there. The table is bounded and serves all tasks of its worker. A round-trip test compares this with encoding
-the whole text.
+are gathered from there. The table is bounded and serves all tasks of its worker, which gives back freed memory after each Arrow
+batch; batches to and from Python are bounded in bytes. A round-trip test compares this with encoding the whole text.
 
 Defined cases: null and empty texts are the end id alone; rows repeating a doc_id are separate
 documents, in the order of their texts; a null doc_id sorts first; very long texts are encoded whole; extra columns are
@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .common import LOWER_AZ, ship
+from .common import LOWER_AZ, give_back, ship
+from .packed import few_bytes, stored
 
 END_ID = 2
 MAX_WORDS = 1_000_000  # words in a worker's table (some 35 MB); beyond, the half used last stays
@@ -211,8 +212,9 @@ def encoder(path: str, end_id: int = END_ID) -> WordEncoder:
     return _ENCODERS[path, end_id]
 
 
-def _encode(path: str | None, end_id: int, rows: int = 500):
+def _encode(path: str | None, end_id: int, rows: int = 250):
     def encode(batches):
+        give_back()  # what earlier stages of a pipeline have left in this worker
         enc, seq = encoder(path or tokenizer_path(), end_id), 0
         for whole in batches:
             for b in (whole.slice(i, rows) for i in range(0, whole.num_rows, rows)):
@@ -222,6 +224,8 @@ def _encode(path: str | None, end_id: int, rows: int = 500):
                     [b.column("part"), b.column("doc_id"), pa.array(np.arange(seq, seq + b.num_rows)), pa.array(lengths),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.view("<i4")))], names=TOKEN_SCHEMA.names)
                 seq += b.num_rows
+            del whole, b, lengths, ids, offsets
+            give_back()
     return encode
 
 
@@ -235,10 +239,11 @@ def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     rows = rows.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    (rows.mapInArrow(_encode(tokenizer, end_id), TOKEN_SCHEMA)
-         .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
-         .option("orc.row.index.stride", "1000").option("orc.stripe.size", str(64 << 20))
-         .option("compression", "zstd").orc(path))
+    with few_bytes(spark):
+        (rows.mapInArrow(_encode(tokenizer, end_id), TOKEN_SCHEMA)
+             .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
+             .option("orc.row.index.stride", "1000").option("orc.stripe.size", str(64 << 20))
+             .option("compression", "zstd").orc(path))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -249,8 +254,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 def _digest(batches):
     for b in batches:
         ids = b.column("ids")
-        flat, offsets = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-        crc = [zlib.crc32(flat[s:e].tobytes()) for s, e in zip(offsets[:-1], offsets[1:])]
+        flat, offsets = ids.values.to_numpy().astype("<i4", copy=False), ids.offsets.to_numpy()
+        crc = [zlib.crc32(flat[s:e]) for s, e in zip(offsets[:-1], offsets[1:])]
         yield pa.RecordBatch.from_arrays(
             [b.column("part"), b.column("doc_id"), b.column("seq"),
              pa.array((offsets[1:] - offsets[:-1]).astype(np.int64)), pa.array(crc, pa.int64())],
@@ -260,7 +265,7 @@ def _digest(batches):
 def token_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
     ship(spark)
-    each = read_token_files(spark, path).mapInArrow(_digest, DIGEST_SCHEMA)
+    each = stored(spark, read_token_files(spark, path).mapInArrow(_digest, DIGEST_SCHEMA), "token-digests")
     # one row per file range
     totals = read_token_files(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("in_part"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
