@@ -158,3 +158,71 @@ def test_components_of_chains(spark):
     out = {r.node: r.component for r in components.connected_components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {**{i: 0 for i in range(41)}, 100: 50, 50: 50, 70: 50, 200: 200, 201: 200}
     assert components.connected_components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_packed_shingles_stay_small_in_many_ranges(spark):
+    """Packed for far more hash ranges than a set has shingles, a shingle takes about as much as in few ranges."""
+    r = random.Random(3)
+    docs = spark.createDataFrame([(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(304))) for i in range(400)], "doc_id long, text string").coalesce(1)
+    packed = jaccard_join._keyed(docs).mapInArrow(jaccard_join._pack_documents(700), jaccard_join.PACKED).where("range >= 0")
+    size = "sum(octet_length(keys) + octet_length(owners) + octet_length(many))"
+    n, size = packed.selectExpr("sum(octet_length(keys)) / 3", size).first()
+    assert n > 119_000 and size < 5 * n
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 24, 133, 255, 256])
+def test_offsets_tell_keys_of_a_range_apart(ranges):
+    import numpy as np
+    keys = np.unique(np.random.default_rng(ranges).integers(0, 1 << 64, 50_000, dtype=np.uint64))
+    keys = np.concatenate([[np.uint64(0)], keys, [np.uint64((1 << 64) - 1)]])
+    part = np.searchsorted(jaccard_join._starts(ranges), keys, "right") - 1
+    assert [(p, part[s].min(), part[s].max()) for p, s in jaccard_join._pieces(keys, ranges)] == [(p, p, p) for p in range(ranges)]
+    offsets, each = jaccard_join._read_offsets([jaccard_join._offsets(keys, part, ranges).tobytes()])
+    assert each.tolist() == [len(keys)] and (np.diff(part * (1 << 24) + offsets) >= 0).all()
+    assert len(np.unique(part * (1 << 24) + offsets)) > 0.99 * len(keys)
+
+
+def test_shared_shingles_are_counted_across_batches(spark):
+    rows = near_copies(4, groups=10)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    lists = {}
+    for d, t in rows:
+        for k in shingles(t):
+            lists.setdefault(k, set()).add(d)
+    want = {d: sum(len(lists[k]) > 1 for k in shingles(t)) for d, t in rows}
+    out = {r.doc_id: (r.n, r.shared) for r in jaccard_join.shingle_sets(spark, docs).collect()}
+    assert {d: (len(shingles(t)), want[d]) for d, t in rows} == out  # too few shingles for two to fall together
+
+
+def test_batch_read_in_pieces_is_counted_whole():
+    import numpy as np
+    import pyarrow as pa
+    sets = [np.array(x, np.uint64) for x in ([1, 5, 1 << 63], [5, 9], [5], [1 << 63, (1 << 63) + 1])]
+    rows = pa.record_batch([pa.array([7, 7, 8, 7]), pa.array([s.tobytes() for s in sets])], names=["batch", "keys"])
+    table = pa.Table.from_batches([*jaccard_join._count_batches(2)([rows])])
+    assert sorted(zip(table["range"].to_pylist(), table["batch"].to_pylist())) == [(0, 7), (0, 8), (1, 7), (1, 7)]
+    found = {}
+    for part in (0, 1):
+        t = jaccard_join._frequencies(table.filter(pa.array([x == part for x in table["range"].to_pylist()])))
+        for b, k, c in zip(*(t[x].to_pylist() for x in ("batch", "keys", "counts"))):
+            found.update({(b, int(x)): int(y) for x, y in zip(np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64))})
+    assert found == {(7, 5): 3, (8, 5): 3, (7, 1 << 63): 2}
+
+
+def test_texts_are_not_shuffled_to_be_filtered(spark, monkeypatch):
+    """Dropped keys go to the texts, whatever size Spark broadcasts of itself."""
+    rows = near_copies(6, groups=12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard_join.one_per_group(spark, docs)
+        plan = kept._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in brute_components(rows).values()})
+        monkeypatch.setattr(jaccard_join, "small_enough", lambda *a: False)  # beyond that they meet in a shuffle
+        kept = jaccard_join.one_per_group(spark, docs)
+        assert "SortMergeJoin" in kept._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in brute_components(rows).values()})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -2,8 +2,9 @@
 
 1. Every document becomes its set of 5-word shingles (64-bit hashes). A set is called settled when
    more than a fifth of it occurs in no other document: it can link with nothing. To find out, each
-   Arrow batch sends its distinct shingles, packed per hash range, so a shingle of a third of all
-   documents travels once per batch. Equal sets (128-bit digest) are one class from here on.
+   Arrow batch sends its distinct shingles, packed per hash range in 3 bytes and a share of the list of
+   their sets, so a shingle of a third of all documents travels once per batch. Each batch gets counts
+   back by the place of the set in it. Equal sets (128-bit digest) are one class from here on.
 2. The classes left get exact document frequencies in the same way. A set's shingles are ordered by
    (frequency, hash); of two sets that link, the leading parts share at least c shingles
    (parts of length |A| - ceil(0.8 |A|) + c).
@@ -27,6 +28,7 @@ keeps them; very long texts are sets like others; extra columns are ignored; an
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -38,6 +40,7 @@ from pyspark.sql import types as T
 
 from .common import lower_words, mixing_constants, ship, small_enough, written
 from .components import connected_components
+from .packed import block_id, cut, cut_squeezed, expanded_all, joined
 
 WORDS = 5
 NUM, DEN = 80, 100  # link: DEN * intersection >= NUM * union
@@ -96,18 +99,36 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+@functools.lru_cache(maxsize=4)
+def _starts(ranges: int) -> np.ndarray:
+    """The first key of each hash range."""
+    return np.array([r * (1 << 64) // ranges for r in range(ranges)], np.uint64)
+
+
 def _pieces(keys: np.ndarray, ranges: int):
     """Sorted keys cut at the hash ranges: (range, slice)."""
-    cuts = np.searchsorted(keys, (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64))
+    cuts = np.searchsorted(keys, _starts(ranges)[1:])
     bounds = [0, *cuts.tolist(), len(keys)]
     return [(r, slice(bounds[r], bounds[r + 1])) for r in range(ranges) if bounds[r + 1] > bounds[r]]
 
 
-def _offsets(keys: np.ndarray, r: int, ranges: int) -> bytes:
-    """The leading 32 bits of keys inside range r: enough to tell RANGE_KEYS of them apart. Where two
-    fall together they count as shared, which only keeps a set open for the next step."""
-    start = np.uint64(r * (1 << 64) // ranges)
-    return ((keys - start) >> np.uint64(33 - ranges.bit_length())).astype("<u4").tobytes()
+OFFSET_BYTES = 3
+
+
+def _offsets(keys: np.ndarray, part: np.ndarray, ranges: int) -> np.ndarray:
+    """The leading 24 bits of keys inside their ranges, 3 bytes each: enough to tell RANGE_KEYS of them apart, but
+    for a tenth. Where two fall together they count as shared, which only keeps a set open for the next step."""
+    inside = (keys - _starts(ranges)[part]) >> np.uint64(33 - ranges.bit_length())
+    leading = (inside * np.uint64(ranges)) >> np.uint64(ranges.bit_length() + 7)
+    return np.ascontiguousarray(leading.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :OFFSET_BYTES]).view(f"V{OFFSET_BYTES}").ravel()
+
+
+def _read_offsets(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The offsets of all rows, and how many each row has."""
+    raw = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, OFFSET_BYTES)
+    out = np.zeros((len(raw), 4), np.uint8)
+    out[:, :OFFSET_BYTES] = raw
+    return out.view("<u4").ravel(), np.array([len(x) // OFFSET_BYTES for x in blobs], np.int64)
 
 
 def _slices(batches, rows: int):
@@ -117,18 +138,20 @@ def _slices(batches, rows: int):
 
 
 # --- 1: which sets are settled ---------------------------------------------------------------
-# rows of a hash range: keys seen in one set of the batch, with the sets' ids; or keys seen in several.
-PACKED = _fields("range:i", "keys:b", "ids:b", "counts:b", "many:b")
-FOUND = _fields("part:i", "ids:b", "shared:b")
+# Rows of a hash range, from a batch: keys seen in one of its sets, with the places of their sets; keys seen in several.
+# Rows with a negative range carry the facts of the batch's sets, six numbers each.
+PACKED = _fields("range:i", "batch:l", "keys:b", "owners:b", "many:b", "facts:b")
+FOUND = _fields("batch:l", "owners:b", "counts:b", "facts:b")
 SETS = _fields("key:l", "n:l", "d1:l", "d2:l", "shared:l", "doc_id:l")
+PLACES = 1 << 16  # more than BATCH_DOCS
 
 
-def _pack_documents(ranges: int, parts: int):
-    """Documents to hash ranges. Rows with range -1 - part carry the documents themselves."""
+def _pack_documents(ranges: int):
+    """Documents to hash ranges, a batch at a time."""
     def pack(batches):
         shingler = Shingler()
-        for b in _slices(batches, BATCH_DOCS):
-            ids = b.column("key").to_numpy(zero_copy_only=False).astype(np.int64)
+        for seq, b in enumerate(_slices(batches, BATCH_DOCS)):
+            batch = block_id(seq)
             sets = shingler.sets(b.column("text").to_pylist())
             sizes = np.array([len(s) for s in sets], np.int64)
             keys, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -140,57 +163,53 @@ def _pack_documents(ranges: int, parts: int):
                 same[:-1] |= same[1:]
             shared = np.bincount(owner[same], minlength=len(sets))
             one, one_owner, many = keys[~same], owner[~same], np.unique(keys[same])
-            rows = []
-            singles, multiples = dict(_pieces(one, ranges)), dict(_pieces(many, ranges))
-            for r in sorted({*singles, *multiples}):
-                at = singles.get(r, slice(0, 0))
-                mine = np.argsort(one_owner[at], kind="stable")
-                counts = np.bincount(one_owner[at], minlength=len(sets))
-                has = np.flatnonzero(counts)
-                rows.append((r, _offsets(one[at][mine], r, ranges), ids[has].tobytes(), counts[has].astype("<u4").tobytes(),
-                             _offsets(many[multiples.get(r, slice(0, 0))], r, ranges)))
-            facts = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
-            facts = np.column_stack([sizes, facts, shared, b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)])
-            home = (ids % parts + parts) % parts
-            for p in np.unique(home):
-                at = home == p
-                rows.append((-1 - int(p), b"", ids[at].tobytes(), np.ascontiguousarray(facts[at]).tobytes(), b""))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], names=PACKED.names)
+            part, many_part = (np.searchsorted(_starts(ranges), k, "right") - 1 for k in (one, many))
+            mine = np.argsort(part * PLACES + one_owner, kind="stable")  # in each range, by set
+            has = np.union1d(part, many_part)
+            at, many_at = (np.append(np.searchsorted(p, has), len(p)) for p in (part, many_part))
+            yield _packed_rows(has, batch, cut(_offsets(one[mine], part, ranges), at),
+                               cut_squeezed(one_owner[mine].astype("<u2"), at, rising=True), cut(_offsets(many, many_part, ranges), many_at))
+            numbers = [b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "doc_id")]
+            digests = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
+            facts = np.column_stack([numbers[0], sizes, digests, shared, numbers[1]]).tobytes()
+            yield _packed_rows(np.array([-1 - (batch >> 32)]), batch, *[pa.array([b""], pa.binary())] * 3, pa.array([facts], pa.binary()))
     return pack
 
 
-def _shared_in_range(parts: int):
+def _packed_rows(ranges: np.ndarray, batch: int, keys, owners, many, facts=None) -> pa.RecordBatch:
+    n = len(ranges)
+    return pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(np.full(n, batch, np.int64)), keys, owners, many,
+                                       pa.nulls(n, pa.binary()) if facts is None else facts], names=PACKED.names)
+
+
+def _shared_in_range(key, table):
     """Per hash range: how many of each set's shingles occur in another set of the corpus."""
-    def shared(key, table):
-        r = key[0].as_py()
-        if r < 0:
-            return pa.table({"part": pa.array([-1 - r] * table.num_rows, pa.int32()),
-                             "ids": table["ids"], "shared": table["counts"]}).cast(FOUND_ARROW)
-        blobs = {c: table[c].to_pylist() for c in ("keys", "ids", "counts", "many")}
-        keys = np.frombuffer(b"".join(blobs["keys"]), "<u4")
-        owner = np.repeat(np.frombuffer(b"".join(blobs["ids"]), np.int64),
-                          np.frombuffer(b"".join(blobs["counts"]), "<u4").astype(np.int64))
-        many = np.unique(np.frombuffer(b"".join(blobs["many"]), "<u4"))
-        del blobs, table
-        order = np.argsort(keys)
-        ranked = keys[order]
-        again = np.zeros(len(keys), bool)
-        if len(keys) > 1:
-            again[1:] = ranked[1:] == ranked[:-1]
-            again[:-1] |= again[1:]
-        if len(many) and len(keys):
-            at = np.searchsorted(many, ranked)
-            at[at == len(many)] = 0
-            again |= many[at] == ranked
-        ids, counts = np.unique(owner[order[again]], return_counts=True)
-        home = (ids % parts + parts) % parts
-        rows = [(int(p), ids[home == p].tobytes(), counts[home == p].astype("<i8").tobytes()) for p in np.unique(home)]
-        return _table(rows, FOUND_ARROW)
-    return shared
-
-
-FOUND_ARROW = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("shared", pa.binary())])
+    if key[0].as_py() < 0:
+        none = pa.nulls(table.num_rows, pa.binary())
+        return pa.table([table["batch"], none, none, table["facts"]], schema=FOUND_ARROW)
+    batch = table["batch"].to_numpy()
+    keys, each = _read_offsets(table["keys"].to_pylist())
+    owner = np.repeat(np.arange(len(batch)) * PLACES, each) + expanded_all(table["owners"], "<u2", rising=True)[0]
+    many = np.unique(_read_offsets(table["many"].to_pylist())[0])
+    del table
+    order = np.argsort(keys)
+    ranked = keys[order]
+    again = np.zeros(len(keys), bool)
+    if len(keys) > 1:
+        again[1:] = ranked[1:] == ranked[:-1]
+        again[:-1] |= again[1:]
+    if len(many) and len(keys):
+        at = np.searchsorted(many, ranked)
+        at[at == len(many)] = 0
+        again |= many[at] == ranked
+    found, counts = np.unique(owner[order[again]], return_counts=True)
+    rows, first = np.unique(found // PLACES, return_index=True)
+    bounds = np.append(first, len(found))
+    return pa.table([pa.array(batch[rows]), cut((found % PLACES).astype("<u2"), bounds), cut(counts.astype("<u4"), bounds),
+                     pa.nulls(len(rows), pa.binary())], schema=FOUND_ARROW)
+
+
+FOUND_ARROW = pa.schema([("batch", pa.int64()), ("owners", pa.binary()), ("counts", pa.binary()), ("facts", pa.binary())])
 SETS_ARROW = pa.schema([(n, pa.int64()) for n in SETS.names])
 
 
@@ -200,27 +219,18 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 
 def _sum_shared(table):
-    """Per part of the documents: facts of each document row and its summed count."""
-    facts, ids, counts = [], [], []
-    for i, s in zip(table["ids"].to_pylist(), table["shared"].to_pylist()):
-        if len(s) == 5 * len(i):  # n, digest (2), shared inside its batch, doc_id
-            facts.append(np.column_stack([np.frombuffer(i, np.int64), np.frombuffer(s, np.int64).reshape(-1, 5)]))
-        else:
-            ids.append(np.frombuffer(i, np.int64))
-            counts.append(np.frombuffer(s, np.int64))
-    if not facts:
-        return _table([], SETS_ARROW)
-    rows = np.concatenate(facts)
-    if ids:
-        ids, counts = np.concatenate(ids), np.concatenate(counts)
-        known, at = np.unique(ids, return_inverse=True)
-        sums = np.bincount(at, weights=counts).astype(np.int64)
-        at = np.searchsorted(known, rows[:, 0])
-        at[at == len(known)] = 0
-        rows[:, 4] += np.where(known[at] == rows[:, 0], sums[at], 0)
+    """Per batch: facts of each document row, its counts of all ranges summed up."""
+    rows = joined(table["facts"], np.int64).reshape(-1, 6).copy()
+    counts = np.bincount(joined(table["owners"], "<u2"), weights=joined(table["counts"], "<u4"), minlength=len(rows))
+    rows[:, 4] += counts.astype(np.int64)
     return pa.table([pa.array(rows[:, k]) for k in range(6)], schema=SETS_ARROW)
 
 
+def _side(spark: SparkSession, keys: DataFrame) -> DataFrame:
+    """Keys to filter texts or sets by: sent to all tasks where they are few enough, so that the texts stay where they are."""
+    return F.broadcast(keys) if small_enough(spark, keys.count(), 16) else keys
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(_row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).where("doc_id is not null")
@@ -234,13 +244,12 @@ def _row_key() -> Column:
 def shingle_sets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document row: key, n (set size), d1, d2 (digest), shared (shingles seen in another row too), doc_id."""
     ship(spark)
-    head = docs.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")).first()
-    ranges = max(1, (head.chars or 0) // 6 // RANGE_KEYS)
+    chars = docs.agg(F.sum(F.length("text"))).first()[0]
+    ranges = max(1, (chars or 0) // 6 // RANGE_KEYS)
     ranges = max(ranges, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = max(8, head.n // 50_000)
-    packed = _keyed(docs).mapInArrow(_pack_documents(ranges, parts), PACKED)
-    found = packed.groupBy("range").applyInArrow(_shared_in_range(parts), FOUND)
-    return written(spark, found.groupBy("part").applyInArrow(_sum_shared, SETS), "shingle-sets")
+    packed = _keyed(docs).mapInArrow(_pack_documents(ranges), PACKED)
+    found = packed.groupBy("range").applyInArrow(_shared_in_range, FOUND)
+    return written(spark, found.groupBy("batch").applyInArrow(_sum_shared, SETS), "shingle-sets")
 
 
 # --- 2: frequencies among the classes left -----------------------------------------------------
@@ -262,15 +271,20 @@ def _class_sets(batches):
             names=CLASSES.names)
 
 
-def _count_batch(ranges: int):
-    def count(_, table):
-        keys, counts = np.unique(np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint64), return_counts=True)
-        batch = table["batch"][0].as_py()
-        rows = [(r, batch, keys[at].tobytes(), counts[at].astype("<i8").tobytes()) for r, at in _pieces(keys, ranges)]
-        return _table(rows, pa.schema([("range", pa.int32()), ("batch", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
+def _count_batches(ranges: int):
+    """Shingles of the batches' rows in a task, per hash range. A batch read in two pieces sends two rows."""
+    def count(batches):
+        for b in _slices(batches, BATCH_DOCS):
+            batch, sets = b.column("batch").to_numpy(), b.column("keys").to_pylist()
+            ends = [*np.flatnonzero(batch[1:] != batch[:-1]) + 1, len(batch)]
+            for start, end in zip([0, *ends], ends):
+                keys, counts = np.unique(np.frombuffer(b"".join(sets[start:end]), np.uint64), return_counts=True)
+                rows = [(r, int(batch[start]), keys[at].tobytes(), counts[at].astype("<i8").tobytes()) for r, at in _pieces(keys, ranges)]
+                yield from _table(rows, COUNTED_ARROW).to_batches()
     return count
 
 
+COUNTED_ARROW = pa.schema([("range", pa.int32()), ("batch", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 FREQ_ARROW = pa.schema([("batch", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
@@ -329,9 +343,7 @@ def _leading_parts(_, sets, freq):
 
 def _class_table(spark: SparkSession, docs: DataFrame, reps: DataFrame, repeated: DataFrame) -> DataFrame:
     """One row a class: ``reps`` are the keys of its rows, ``repeated`` those keys that several (equal) rows have."""
-    n = reps.count()
-    side = F.broadcast(reps) if small_enough(spark, n, 16) else reps
-    rows = _keyed(docs).drop("doc_id").withColumnRenamed("key", "doc_id").join(side, "doc_id", "left_semi")  # a class goes by its key
+    rows = _keyed(docs).drop("doc_id").withColumnRenamed("key", "doc_id").join(_side(spark, reps), "doc_id", "left_semi")  # a class goes by its key
     if not repeated.isEmpty():
         again = repeated.select(F.col("key").alias("doc_id"))
         rows = rows.join(again, "doc_id", "left_anti").unionByName(
@@ -342,7 +354,7 @@ def _class_table(spark: SparkSession, docs: DataFrame, reps: DataFrame, repeated
 def leading_parts(spark: SparkSession, classes: DataFrame) -> DataFrame:
     total = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(total // RANGE_KEYS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counted = classes.select("batch", "keys").groupBy("batch").applyInArrow(_count_batch(ranges), COUNTED)
+    counted = classes.select("batch", "keys").mapInArrow(_count_batches(ranges), COUNTED)
     freq = counted.groupBy("range").applyInArrow(_frequencies, FREQ)
     parts = classes.groupBy("batch").cogroup(freq.groupBy("batch")).applyInArrow(_leading_parts, POSTED)
     return written(spark, parts, "jaccard-leading")
@@ -424,7 +436,9 @@ def _overlaps(batches):
 
 def verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets link, by the exact Jaccard test."""
-    sets = classes.select(F.col("doc_id").alias("s_id"), "keys")
+    pairs = written(spark, pairs, "jaccard-pairs")
+    met = written(spark, pairs.select("a").union(pairs.select("b")).distinct().toDF("s_id"), "jaccard-met")
+    sets = classes.select(F.col("doc_id").alias("s_id"), "keys").join(_side(spark, met), "s_id", "left_semi")
     one = pairs.join(sets, pairs.a == sets.s_id).select("a", "b", F.col("keys").alias("x"))
     two = one.join(sets, one.b == sets.s_id).select("a", "b", "x", F.col("keys").alias("y"))
     return written(spark, two.mapInArrow(_overlaps, _fields("a:l", "b:l")), "jaccard-edges")
@@ -480,7 +494,7 @@ def _labelled_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     posts = signature_postings(spark, parts, boundary_by_cost(parts))
     edges = verified(spark, _leader_pairs(posts), classes)
     labels = connected_components(spark, edges)
-    rest = verified(spark, written(spark, _cross_pairs(_labelled(posts, labels)), "jaccard-cross"), classes)
+    rest = verified(spark, _cross_pairs(_labelled(posts, labels)), classes)
     if not rest.isEmpty():
         labels = connected_components(spark, edges.unionByName(rest))
     linked = written(spark, some.join(labels, some.rep == labels.node).select("node", "component", "first"), "jaccard-linked")
@@ -513,11 +527,13 @@ def one_per_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     columns, keyed = docs.columns, docs.withColumn("jaccard_key", _row_key())
     several = written(spark, rows.where("key = kept").groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "jaccard-several")
     drop = rows.where("key <> kept").select("key").unionByName(several.select("key")).distinct()
+    drop = _side(spark, written(spark, drop, "jaccard-drop"))
     out = keyed.join(drop, keyed.jaccard_key == drop.key, "left_anti").select(*[F.col(f"`{c}`") for c in columns])
     if several.isEmpty():
         return out
     # rows that repeat id and text: the smallest one
     again = keyed.select("jaccard_key", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    several = _side(spark, several)
     again = again.join(several, again.jaccard_key == several.key, "left_semi").groupBy("jaccard_key").agg(F.min("row").alias("row"))
     return out.unionByName(again.select("row.*"))
 
