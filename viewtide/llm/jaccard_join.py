@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lower_words, mixing_constants, ship, small_enough, written
+from .common import give_back, lower_words, mixing_constants, ship, small_enough, written
 from .components import connected_components
 from .packed import block_id, cut, cut_squeezed, expanded_all, joined
 
@@ -137,6 +137,14 @@ def _slices(batches, rows: int):
             yield b.slice(i, rows)
 
 
+def _tidy(run):
+    """A task's function that leaves the worker without the memory it has used."""
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+    return tidied
+
+
 # --- 1: which sets are settled ---------------------------------------------------------------
 # Rows of a hash range, from a batch: keys seen in one of its sets, with the places of their sets; keys seen in several.
 # Rows with a negative range carry the facts of the batch's sets, six numbers each.
@@ -154,23 +162,25 @@ def _pack_documents(ranges: int):
             batch = block_id(seq)
             sets = shingler.sets(b.column("text").to_pylist())
             sizes = np.array([len(s) for s in sets], np.int64)
-            keys, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            digests = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
+            keys, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
+            del sets
             order = np.argsort(keys, kind="stable")
             keys, owner = keys[order], owner[order]
             same = np.zeros(len(keys), bool)
             if len(keys) > 1:
                 same[1:] = keys[1:] == keys[:-1]
                 same[:-1] |= same[1:]
-            shared = np.bincount(owner[same], minlength=len(sets))
+            shared = np.bincount(owner[same], minlength=len(sizes))
             one, one_owner, many = keys[~same], owner[~same], np.unique(keys[same])
+            del keys, owner, order, same
             part, many_part = (np.searchsorted(_starts(ranges), k, "right") - 1 for k in (one, many))
             mine = np.argsort(part * PLACES + one_owner, kind="stable")  # in each range, by set
             has = np.union1d(part, many_part)
             at, many_at = (np.append(np.searchsorted(p, has), len(p)) for p in (part, many_part))
             yield _packed_rows(has, batch, cut(_offsets(one[mine], part, ranges), at),
-                               cut_squeezed(one_owner[mine].astype("<u2"), at, rising=True), cut(_offsets(many, many_part, ranges), many_at))
+                               cut_squeezed(one_owner[mine], at, rising=True), cut(_offsets(many, many_part, ranges), many_at))
             numbers = [b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "doc_id")]
-            digests = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
             facts = np.column_stack([numbers[0], sizes, digests, shared, numbers[1]]).tobytes()
             yield _packed_rows(np.array([-1 - (batch >> 32)]), batch, *[pa.array([b""], pa.binary())] * 3, pa.array([facts], pa.binary()))
     return pack
@@ -203,6 +213,8 @@ def _shared_in_range(key, table):
         at[at == len(many)] = 0
         again |= many[at] == ranked
     found, counts = np.unique(owner[order[again]], return_counts=True)
+    del keys, owner, many, order, ranked, again
+    give_back()
     rows, first = np.unique(found // PLACES, return_index=True)
     bounds = np.append(first, len(found))
     return pa.table([pa.array(batch[rows]), cut((found % PLACES).astype("<u2"), bounds), cut(counts.astype("<u4"), bounds),
@@ -247,7 +259,7 @@ def shingle_sets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     chars = docs.agg(F.sum(F.length("text"))).first()[0]
     ranges = max(1, (chars or 0) // 6 // RANGE_KEYS)
     ranges = max(ranges, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = _keyed(docs).mapInArrow(_pack_documents(ranges), PACKED)
+    packed = _keyed(docs).mapInArrow(_tidy(_pack_documents(ranges)), PACKED)
     found = packed.groupBy("range").applyInArrow(_shared_in_range, FOUND)
     return written(spark, found.groupBy("batch").applyInArrow(_sum_shared, SETS), "shingle-sets")
 
@@ -348,13 +360,13 @@ def _class_table(spark: SparkSession, docs: DataFrame, reps: DataFrame, repeated
         again = repeated.select(F.col("key").alias("doc_id"))
         rows = rows.join(again, "doc_id", "left_anti").unionByName(
             rows.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")))
-    return written(spark, rows.mapInArrow(_class_sets, CLASSES), "jaccard-classes")
+    return written(spark, rows.mapInArrow(_tidy(_class_sets), CLASSES), "jaccard-classes")
 
 
 def leading_parts(spark: SparkSession, classes: DataFrame) -> DataFrame:
     total = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(total // RANGE_KEYS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counted = classes.select("batch", "keys").mapInArrow(_count_batches(ranges), COUNTED)
+    counted = classes.select("batch", "keys").mapInArrow(_tidy(_count_batches(ranges)), COUNTED)
     freq = counted.groupBy("range").applyInArrow(_frequencies, FREQ)
     parts = classes.groupBy("batch").cogroup(freq.groupBy("batch")).applyInArrow(_leading_parts, POSTED)
     return written(spark, parts, "jaccard-leading")
@@ -403,7 +415,7 @@ def _signatures(boundary: int):
 
 def signature_postings(spark: SparkSession, parts: DataFrame, boundary: int) -> DataFrame:
     """(sig, facts of the set, heavy): 2 a light set's subset, 1 a heavy set's shingle, 0 a light set probing."""
-    posts = parts.select(*FACTS, "single", "keys").mapInArrow(_signatures(boundary), POSTINGS)
+    posts = parts.select(*FACTS, "single", "keys").mapInArrow(_tidy(_signatures(boundary)), POSTINGS)
     # a subset's signature and a single shingle must not meet
     posts = posts.withColumn("sig", F.when(F.col("heavy") == 2, F.xxhash64("sig")).otherwise(F.col("sig")))
     posts = written(spark, posts, "jaccard-postings")
@@ -441,7 +453,7 @@ def verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame) -> DataF
     sets = classes.select(F.col("doc_id").alias("s_id"), "keys").join(_side(spark, met), "s_id", "left_semi")
     one = pairs.join(sets, pairs.a == sets.s_id).select("a", "b", F.col("keys").alias("x"))
     two = one.join(sets, one.b == sets.s_id).select("a", "b", "x", F.col("keys").alias("y"))
-    return written(spark, two.mapInArrow(_overlaps, _fields("a:l", "b:l")), "jaccard-edges")
+    return written(spark, two.mapInArrow(_tidy(_overlaps), _fields("a:l", "b:l")), "jaccard-edges")
 
 
 def _leader_pairs(posts: DataFrame) -> DataFrame:
