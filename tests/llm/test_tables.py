@@ -177,3 +177,16 @@ def test_words_with_equal_half_digests(monkeypatch):
     enc = token_files.WordEncoder(token_files.tokenizer_path())
     for _ in range(3):
         assert enc.encode(["one two three two", "four one"]) == want
+
+
+def test_mixed_texts_are_not_shuffled(spark, docs):
+    """How often a document is taken comes from the last ones of its source, not from a join by id."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = mixing.mixed_documents(spark, docs)
+        assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+        want = {r.doc_id: r.n_copies for r in mixing.mix(spark, docs).where("n_copies > 0").collect()}
+        assert {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()} == want and len(set(want.values())) > 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

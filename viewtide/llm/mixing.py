@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS, text_or_empty, written
+from .common import WORD_CLASS, small_enough, text_or_empty, written
 
 WEIGHTS = (5, 2, 1)
 COPIES = 3
@@ -35,6 +35,10 @@ def word_count(name: str = "text") -> Column:
     return F.regexp_count(text_or_empty(name), F.lit(WORD_CLASS)).cast("long")
 
 
+def _shuffle_key(seed: str, doc_id: str) -> Column:
+    return F.md5(F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = COPIES) -> DataFrame:
     """Per source: source_size, weight, target, level. One row per source; sources are a list of
     feeds, orders of magnitude fewer than documents."""
@@ -75,8 +79,7 @@ def _vft(copy: int) -> Column:
 def _queued(spark: SparkSession, docs: DataFrame, weights, copies: int, seed: str) -> DataFrame:
     """Per document: size, shuffle key, source_size, weight, target, level, run (running total in the source)."""
     sizes = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count().alias("size"),
-                        F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-                              .cast("binary")).alias("key"))
+                        _shuffle_key(seed, "doc_id").alias("key"))
     sizes = written(spark, sizes, "mix-sizes")
     n = sizes.count()
     digits = 1
@@ -142,26 +145,44 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
                          _vft(1).alias("first_vft"), "source")
 
 
-def mixed_documents(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
-    """The documents the mix takes, each as often as it is taken, with all their columns."""
+def mixed_documents(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = COPIES,
+                    seed: str = "mix") -> DataFrame:
+    """The documents the mix takes, each as often as it is taken, with all their columns.
+
+    In the order of the queue, the documents of a source that are taken e times or more come before the others. So the last
+    of them, for each e, tells how often any document is taken, and the texts need not be dealt by id to learn it."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     # rows that share id, source and size are alike to the mix; where their copies differ, they are dealt by number
-    picked = mix(spark, docs, **how).groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"))
+    picked = mix(spark, docs, weights, copies, seed).groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"))
     picked = picked.agg(F.max("n_copies").alias("m_most"), F.min("n_copies").alias("m_least"),
                         F.sort_array(F.collect_list("n_copies"), asc=False).alias("m_each")).where("m_most > 0")
     picked = written(spark, picked.withColumn("m_each", F.when(F.col("m_most") > F.col("m_least"), F.col("m_each"))), "mix-picked")
     rows = docs.withColumn("m_words", word_count())
 
-    def joined(side: DataFrame) -> DataFrame:
+    def place(doc_id: str, size: str) -> Column:
+        return F.struct(_shuffle_key(seed, doc_id).alias("key"), F.col(doc_id).alias("doc_id"), F.col(size).alias("size"))
+
+    def joined(side: DataFrame, how: str = "inner") -> DataFrame:
         return rows.join(side, rows.doc_id.eqNullSafe(side.m_id) & rows.source.cast("string").eqNullSafe(side.m_source)
-                         & (rows.m_words == side.m_size))
+                         & (rows.m_words == side.m_size), how)
 
     def copied(df: DataFrame, n: Column) -> DataFrame:
         return df.select(*columns, F.explode(F.array_repeat(F.lit(1), n)).alias("m_copy")).drop("m_copy")
 
-    out = copied(joined(picked.where("m_each is null")), F.col("m_most"))
+    last = [F.max(F.when(F.col("m_most") >= e, place("m_id", "m_size"))).alias(f"m_last{e}") for e in range(1, copies + 1)]
+    last = written(spark, picked.where("m_each is null").groupBy("m_source").agg(*last), "mix-last")
+    last = F.broadcast(last) if last.count() < 100_000 else last
     mixed = picked.where("m_each is not null")
-    if mixed.isEmpty():
+    n_mixed = mixed.count()
+    if n_mixed:
+        mixed = F.broadcast(mixed) if small_enough(spark, n_mixed, 200) else mixed
+        alike = joined(mixed, "left_anti")
+    else:
+        alike = rows
+    alike = alike.join(last, alike.source.cast("string").eqNullSafe(last.m_source))
+    taken = sum((F.when((F.col("m_words") > 0) & (place("doc_id", "m_words") <= F.col(f"m_last{e}")), 1).otherwise(0) for e in range(1, copies + 1)), F.lit(0))
+    out = copied(alike, taken)
+    if not n_mixed:
         return out
     number = F.row_number().over(W.partitionBy("m_id", "m_source", "m_size").orderBy("text"))
     mixed = joined(mixed).withColumn("m_number", number)
